@@ -20,6 +20,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Parquet scan splits: 128 MB keeps each task's input well inside executor memory.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
