@@ -8,23 +8,30 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only after a row-count check proves it under this bound.
-# Dimension rows here are narrow (< 200 bytes), so the bound keeps a broadcast
-# well under 100 MB per executor.
+# Bound for the explicit row-count check (narrow rows, < 200 bytes each, so a
+# broadcast stays well under 100 MB per executor).
 BROADCAST_MAX_ROWS = 500_000
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Each task stops after
-    ``max_rows + 1`` rows, so the check is cheap even on a large side."""
+    """True when ``df`` has at most ``max_rows`` rows.  Meant for relations that
+    are cached or cheap to recompute (each task still reads up to
+    ``max_rows + 1`` rows, so never call it on a large table)."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
 def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join, broadcasting ``right`` only if it is proven small; beyond the bound
-    the join stays a shuffle join (and AQE may still re-plan it at run time)."""
-    if is_small(right, max_rows):
+               max_rows: int | None = None) -> DataFrame:
+    """Join a side that is usually small (a dimension).
+
+    Without ``max_rows`` no hint is given: Spark checks the size itself, first
+    on plan statistics (``spark.sql.autoBroadcastJoinThreshold``) and again at
+    run time on the actual map output (AQE), and keeps a sort-merge join (with
+    skew splitting) when the side is large.  With ``max_rows`` -- for a cached
+    or already computed relation, where counting is cheap -- the side is
+    counted and broadcast only under the bound.
+    """
+    if max_rows is not None and is_small(right, max_rows):
         right = F.broadcast(right)
     return left.join(right, on, how)
 
