@@ -6,9 +6,9 @@ operators below keep the window semantics but split hot keys:
 
 * partition aggregates (min/max/sum/count distinct over a partition) are a
   ``groupBy`` (map-side combined, skew-safe) joined back to the rows;
-* ``row_number`` is computed on range-partitioned data: a local number inside
-  each (key, range partition) plus the row count of the key in earlier range
-  partitions;
+* ``row_number`` uses a plain window for ordinary keys; rows of hot keys are
+  range-partitioned, numbered inside each (key, range partition) and shifted by
+  the row count of the key in earlier range partitions;
 * ``dense_rank`` ranks the *distinct* (key, value) pairs, then joins back.
 
 Ordered running sums over a series (one row per entity and day) are left to a
@@ -41,25 +41,65 @@ def partition_agg(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -
     return df.join(a, on, "left").drop(*[f"__k{i}" for i in range(len(keys))])
 
 
+# A key with more rows than this is "hot": its rows are numbered on range-split
+# partitions instead of in one window partition (one task).
+HOT_GROUP_ROWS = 2_000_000
+
+
 def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                  name: str = "row_number", num_partitions: int | None = None) -> DataFrame:
+                  name: str = "row_number", hot_rows: int = HOT_GROUP_ROWS,
+                  num_partitions: int | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY keys ORDER BY order)``, skew-safe.
 
-    ``order`` must make a total order inside each key (add a unique tie-breaker);
-    otherwise the numbering among ties is arbitrary, as in SQL.
+    Keys are counted first (a map-side combined aggregate).  Keys up to
+    ``hot_rows`` rows are numbered by a plain window (each group fits a task).
+    Rows of hotter keys are range-partitioned on (keys, order), written once to
+    the checkpoint folder so every later read sees the same partition
+    assignment, numbered inside each (key, range partition) and shifted by the
+    key's row count in earlier range partitions.
+
+    ``order`` must make a total order inside each key (add a unique
+    tie-breaker); otherwise the numbering among ties is arbitrary, as in SQL.
     """
     keys = list(keys)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    n = num_partitions or _shuffle_partitions(df)
+    ks = [f"__k{i}" for i in range(len(keys))]
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+             .filter(F.col("__n") > hot_rows)
+             .select(*[F.col(k).alias(a) for k, a in zip(keys, ks)], F.lit(True).alias("__hot")))
+    # At most rows / hot_rows keys can be hot; the set is kept and counted
+    # before it is broadcast.
+    hot = hot.cache()
+    hot_keys = hot.count()
+    if hot_keys == 0:
+        hot.unpersist()
+        w = Window.partitionBy(*keys).orderBy(*order_cols)
+        return df.withColumn(name, F.row_number().over(w))
+    hot_b = F.broadcast(hot) if hot_keys <= 100_000 else hot
+    tagged = df.join(hot_b, null_safe_on(df, hot, keys, ks), "left").drop(*ks)
+    w = Window.partitionBy(*keys).orderBy(*order_cols)
+    normal = (tagged.filter(F.col("__hot").isNull()).drop("__hot")
+                    .withColumn(name, F.row_number().over(w)))
+    hot_part = _ranged_row_number(tagged.filter(F.col("__hot")).drop("__hot"), keys, order_cols, name,
+                                  num_partitions or _shuffle_partitions(df))
+    return normal.unionByName(hot_part)
+
+
+def _ranged_row_number(df: DataFrame, keys: list[str], order_cols: list[Column], name: str,
+                       n: int) -> DataFrame:
     ranged = (df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *order_cols)
                 .withColumn("__pid", F.spark_partition_id()))
+    # The range bounds are sampled from the data; reading the partition ids back
+    # from one written copy keeps the local numbers and the offsets consistent
+    # (and survives lost executors).
+    ranged = ranged.checkpoint(eager=True)
     local = Window.partitionBy(*keys, "__pid").orderBy(*order_cols)
     ranged = ranged.withColumn("__rn", F.row_number().over(local))
-    counts = ranged.groupBy(*keys, "__pid").agg(F.count(F.lit(1)).alias("__n"))
+    counts = ranged.groupBy(*keys, "__pid").agg(F.count(F.lit(1)).alias("__c"))
     before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
                             F.col("__pid").alias("__opid"),
-                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+                            F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"))
     on = null_safe_on(ranged, offsets, keys, [f"__k{i}" for i in range(len(keys))]) & \
         (ranged["__pid"] == offsets["__opid"])
     out = ranged.join(offsets, on, "inner")
@@ -68,15 +108,15 @@ def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
 
 def dense_rank_by(df: DataFrame, keys: Sequence[str], value: str, descending: bool = False,
-                  name: str = "dense_rank") -> DataFrame:
+                  name: str = "dense_rank", hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """``dense_rank() OVER (PARTITION BY keys ORDER BY value)``: rank the distinct
     (keys, value) pairs, then join back.  With no keys it is the global dense
     rank, computed without a single-partition exchange."""
     keys = list(keys)
     pairs = df.select(*keys, value).distinct()
     order = F.col(value).desc_nulls_first() if descending else F.col(value).asc_nulls_last()
-    ranked = row_number_by(pairs, keys, [order], name="__dr") if keys else \
-        _global_row_number(pairs, order, "__dr")
+    ranked = row_number_by(pairs, keys, [order], name="__dr", hot_rows=hot_rows) if keys else \
+        _global_row_number(pairs, order, "__dr", hot_rows)
     ranked = ranked.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
                            F.col(value).alias("__v"), F.col("__dr").alias(name))
     on = null_safe_on(df, ranked, keys + [value],
@@ -84,10 +124,11 @@ def dense_rank_by(df: DataFrame, keys: Sequence[str], value: str, descending: bo
     return df.join(ranked, on, "left").drop("__v", *[f"__k{i}" for i in range(len(keys))])
 
 
-def _global_row_number(df: DataFrame, order: Column, name: str) -> DataFrame:
-    """Row number over the whole relation without a single-partition exchange."""
+def _global_row_number(df: DataFrame, order: Column, name: str, hot_rows: int) -> DataFrame:
+    """Row number over the whole relation: one group, so beyond ``hot_rows``
+    rows it takes the range-split path instead of a single-partition window."""
     df = df.withColumn("__g", F.lit(0))
-    return row_number_by(df, ["__g"], [order], name=name).drop("__g")
+    return row_number_by(df, ["__g"], [order], name=name, hot_rows=hot_rows).drop("__g")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:

@@ -138,3 +138,165 @@ def sql_views(as_of: dt.date) -> list[tuple[str, str]]:
             CAST(li.term_code AS INTEGER) AS dim_term_key, crn AS dim_section_key
           FROM li JOIN dim_term ON li.term_code = dim_term.term_code"""),
     ]
+
+
+# --------------------------------------------------------------------------- attendance stand-ins
+# Students are customers, classes are orders, terms are half-years of a
+# calendar school year, programs are nations.  Status and class numbers are
+# read off the order.  Status table: fixed values (key, deleted, enrolled).
+ATT_STATUS = [(1, "N", "Y"), (2, "N", "Y"), (3, "N", "N")]
+
+
+def _att_orders(t: Tables) -> DataFrame:
+    from strata.operators.windows import partition_agg
+    o = t("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = o.withColumn("y", F.year("o_orderdate"))
+    return partition_agg(o, ["o_custkey"], {"first_year": F.min("y")})
+
+
+def att_fact(t: Tables) -> DataFrame:
+    o = _att_orders(t)
+    c = t("customer", "c_custkey", "c_nationkey")
+    o = o.join(c, o.o_custkey == c.c_custkey)
+    absent = F.floor(F.col("o_totalprice") / 100000).cast("int")
+    return o.select(
+        F.col("o_custkey").alias("STUDENT_KEY"),
+        F.col("o_orderkey").alias("CLASS_KEY"),
+        (F.col("y") * 10 + F.when(F.month("o_orderdate") <= 6, 1).otherwise(2)).alias("TERM_KEY"),
+        F.col("c_nationkey").cast("bigint").alias("PROGRAM_KEY"),
+        F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 2).otherwise(3).alias("STATUS_KEY"),
+        (F.col("y") - F.col("first_year") + 1).alias("BUSINESS_STUDENT_TYPE_KEY"),
+        absent.alias("ABSENT_COUNT"),
+        F.lit(1).alias("FIRST_ATTENDED_CLASS_COUNT"),
+        (10 - absent).alias("ATTENDED_COUNT"),
+        (10 - absent).alias("PHYSICALLY_PRESENT_COUNT"),
+        F.when(10 - absent >= 8, 1).otherwise(0).alias("RECEIVED_CREDIT_COUNT"),
+        F.when(F.col("o_orderstatus") == "P", 1).otherwise(0).alias("DROPPED_COUNT"),
+    )
+
+
+def att_student(t: Tables) -> DataFrame:
+    o = _att_orders(t).select("o_custkey", "first_year").distinct()
+    c = t("customer", "c_custkey", "c_acctbal", "c_nationkey")
+    j = c.join(o, c.c_custkey == o.o_custkey, "left")
+    return j.select(F.col("c_custkey").alias("STUDENT_KEY"),
+                    F.when(F.col("c_acctbal") >= 0, "F").otherwise("M").alias("GENDER"),
+                    F.when(F.col("c_nationkey") < 10, "English").otherwise("Spanish").alias("PRIMARY_LANGUAGE"),
+                    (F.col("first_year") + 4).alias("SEMINARY_GRADUATION_YEAR"))
+
+
+def att_student_type(t: Tables) -> DataFrame:
+    k = att_fact(t).select(F.col("BUSINESS_STUDENT_TYPE_KEY").alias("STUDENT_TYPE_KEY")).distinct()
+    return k.select("STUDENT_TYPE_KEY", F.col("STUDENT_TYPE_KEY").alias("YEAR_IN_SEMINARY"),
+                    (F.col("STUDENT_TYPE_KEY") + 13).alias("AGE_IN_YEARS"),
+                    F.when(F.col("STUDENT_TYPE_KEY") <= 3, "Y").otherwise("N").alias("MEMBERSHIP_YN_FLAG"))
+
+
+def att_class(t: Tables) -> DataFrame:
+    o = t("orders", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    return o.select(F.col("o_orderkey").alias("CLASS_KEY"),
+                    F.substring("o_orderpriority", 1, 1).cast("bigint").alias("INSTRUCTOR_EMPLOYEE_ID"),
+                    F.col("o_orderpriority").alias("COURSE_TITLE"),
+                    F.when(F.col("o_orderstatus") == "F", "Morning").when(F.col("o_orderstatus") == "O", "Released")
+                     .otherwise("Evening").alias("TIME_OF_DAY_DESCRIPTION"),
+                    F.lit(10).alias("CLASS_SESSION_COUNT"))
+
+
+def att_term(t: Tables, as_of: dt.date) -> DataFrame:
+    k = att_fact(t).select("TERM_KEY").distinct()
+    y = (F.col("TERM_KEY") / 10).cast("int")
+    current = as_of.year * 10 + (1 if as_of.month <= 6 else 2)
+    yy = lambda c: F.lpad((c % 100).cast("string"), 2, "0")
+    return k.select("TERM_KEY", (F.col("TERM_KEY") % 10).cast("int").alias("TERM_NUMBER"),
+                    F.concat(y.cast("string"), F.lit(" ("), yy(y), F.lit("-"), yy(y + 1), F.lit(")"))
+                     .alias("SCHOOL_YEAR_NAME"),
+                    F.when(F.col("TERM_KEY") == current, "Y").otherwise("N").alias("CURRENT_TERM_YN_FLAG"))
+
+
+def att_program(t: Tables) -> DataFrame:
+    n = t("nation", "n_nationkey", "n_name", "n_regionkey")
+    r = t("region", "r_regionkey", "r_name")
+    j = n.join(r, n.n_regionkey == r.r_regionkey)
+    return j.select(
+        F.col("n_nationkey").cast("bigint").alias("PROGRAM_KEY"),
+        F.when(F.col("n_regionkey") == 1, F.concat("n_name", F.lit(" Release Time")))
+         .otherwise(F.concat("n_name", F.lit(" Seminary"))).alias("PROGRAM_NAME"),
+        F.when(F.col("n_regionkey") == 4, "INS").otherwise("SEM").alias("PROGRAM_TYPE_GROUP_CODE"),
+        F.col("n_name").alias("POLITICAL_PLACE_NAME"),
+        F.when(F.col("r_name") == "EUROPE", "Elsewhere").otherwise("United States").alias("POLITICAL_PLACE_COUNTRY"),
+        F.col("r_name").alias("POLITICAL_PLACE_CONTINENT"))
+
+
+def att_status(t: Tables) -> DataFrame:
+    return t.spark.createDataFrame(ATT_STATUS, "STATUS_KEY int, DELETED_YN_FLAG string, ENROLLED_YN_FLAG string")
+
+
+def att_employee(t: Tables) -> DataFrame:
+    ids = att_class(t).select(F.col("INSTRUCTOR_EMPLOYEE_ID").alias("EMPLOYEE_ID")).distinct()
+    return ids.select("EMPLOYEE_ID", F.when(F.col("EMPLOYEE_ID") <= 2, "F").otherwise("M").alias("GENDER"),
+                      F.make_date((1950 + F.col("EMPLOYEE_ID") * 5).cast("int"), F.lit(1), F.lit(1)).alias("BIRTH_DATE"))
+
+
+def att_term_fact(t: Tables) -> DataFrame:
+    return att_fact(t).select("STUDENT_KEY", "TERM_KEY", "STATUS_KEY", "BUSINESS_STUDENT_TYPE_KEY",
+                              "PROGRAM_KEY").distinct()
+
+
+def attendance_sources(t: Tables, as_of: dt.date) -> dict[str, DataFrame]:
+    return {
+        "fact": att_fact(t), "student": att_student(t), "student_type": att_student_type(t),
+        "class_": att_class(t), "term": att_term(t, as_of), "program": att_program(t),
+        "status": att_status(t), "employee": att_employee(t), "term_fact": att_term_fact(t),
+    }
+
+
+def attendance_sql(as_of: dt.date) -> list[tuple[str, str]]:
+    current = as_of.year * 10 + (1 if as_of.month <= 6 else 2)
+    status = " UNION ALL ".join(f"SELECT {k} AS STATUS_KEY, '{d}' AS DELETED_YN_FLAG, '{e}' AS ENROLLED_YN_FLAG"
+                                for k, d, e in ATT_STATUS)
+    yy = "lpad(CAST(({c}) % 100 AS VARCHAR), 2, '0')"
+    return [
+        ("ao", """SELECT *, CAST(year(o_orderdate) AS INTEGER) AS y,
+            CAST(min(year(o_orderdate)) OVER (PARTITION BY o_custkey) AS INTEGER) AS first_year FROM orders"""),
+        ("att_fact", """SELECT o_custkey AS STUDENT_KEY, o_orderkey AS CLASS_KEY,
+            y * 10 + CASE WHEN month(o_orderdate) <= 6 THEN 1 ELSE 2 END AS TERM_KEY,
+            CAST(c_nationkey AS BIGINT) AS PROGRAM_KEY,
+            CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'O' THEN 2 ELSE 3 END AS STATUS_KEY,
+            y - first_year + 1 AS BUSINESS_STUDENT_TYPE_KEY,
+            CAST(floor(o_totalprice / 100000) AS INTEGER) AS ABSENT_COUNT,
+            1 AS FIRST_ATTENDED_CLASS_COUNT,
+            10 - CAST(floor(o_totalprice / 100000) AS INTEGER) AS ATTENDED_COUNT,
+            10 - CAST(floor(o_totalprice / 100000) AS INTEGER) AS PHYSICALLY_PRESENT_COUNT,
+            CASE WHEN 10 - CAST(floor(o_totalprice / 100000) AS INTEGER) >= 8 THEN 1 ELSE 0 END AS RECEIVED_CREDIT_COUNT,
+            CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS DROPPED_COUNT
+          FROM ao JOIN customer ON o_custkey = c_custkey"""),
+        ("att_student", """SELECT c_custkey AS STUDENT_KEY, CASE WHEN c_acctbal >= 0 THEN 'F' ELSE 'M' END AS GENDER,
+            CASE WHEN c_nationkey < 10 THEN 'English' ELSE 'Spanish' END AS PRIMARY_LANGUAGE,
+            f.first_year + 4 AS SEMINARY_GRADUATION_YEAR
+          FROM customer LEFT JOIN (SELECT DISTINCT o_custkey, first_year FROM ao) f ON c_custkey = f.o_custkey"""),
+        ("att_student_type", """SELECT k AS STUDENT_TYPE_KEY, k AS YEAR_IN_SEMINARY, k + 13 AS AGE_IN_YEARS,
+            CASE WHEN k <= 3 THEN 'Y' ELSE 'N' END AS MEMBERSHIP_YN_FLAG
+          FROM (SELECT DISTINCT BUSINESS_STUDENT_TYPE_KEY AS k FROM att_fact) x"""),
+        ("att_class", """SELECT o_orderkey AS CLASS_KEY, CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS INSTRUCTOR_EMPLOYEE_ID,
+            o_orderpriority AS COURSE_TITLE,
+            CASE WHEN o_orderstatus = 'F' THEN 'Morning' WHEN o_orderstatus = 'O' THEN 'Released' ELSE 'Evening' END
+              AS TIME_OF_DAY_DESCRIPTION, 10 AS CLASS_SESSION_COUNT FROM orders"""),
+        ("att_term", f"""SELECT TERM_KEY, CAST(TERM_KEY % 10 AS INTEGER) AS TERM_NUMBER,
+            CAST(TERM_KEY // 10 AS VARCHAR) || ' (' || {yy.format(c='TERM_KEY // 10')} || '-'
+              || {yy.format(c='TERM_KEY // 10 + 1')} || ')' AS SCHOOL_YEAR_NAME,
+            CASE WHEN TERM_KEY = {current} THEN 'Y' ELSE 'N' END AS CURRENT_TERM_YN_FLAG
+          FROM (SELECT DISTINCT TERM_KEY FROM att_fact) x"""),
+        ("att_program", """SELECT CAST(n_nationkey AS BIGINT) AS PROGRAM_KEY,
+            CASE WHEN n_regionkey = 1 THEN n_name || ' Release Time' ELSE n_name || ' Seminary' END AS PROGRAM_NAME,
+            CASE WHEN n_regionkey = 4 THEN 'INS' ELSE 'SEM' END AS PROGRAM_TYPE_GROUP_CODE,
+            n_name AS POLITICAL_PLACE_NAME,
+            CASE WHEN r_name = 'EUROPE' THEN 'Elsewhere' ELSE 'United States' END AS POLITICAL_PLACE_COUNTRY,
+            r_name AS POLITICAL_PLACE_CONTINENT
+          FROM nation JOIN region ON n_regionkey = r_regionkey"""),
+        ("att_status", status),
+        ("att_employee", """SELECT EMPLOYEE_ID, CASE WHEN EMPLOYEE_ID <= 2 THEN 'F' ELSE 'M' END AS GENDER,
+            make_date(CAST(1950 + EMPLOYEE_ID * 5 AS INTEGER), 1, 1) AS BIRTH_DATE
+          FROM (SELECT DISTINCT INSTRUCTOR_EMPLOYEE_ID AS EMPLOYEE_ID FROM att_class) x"""),
+        ("att_term_fact", """SELECT DISTINCT STUDENT_KEY, TERM_KEY, STATUS_KEY, BUSINESS_STUDENT_TYPE_KEY, PROGRAM_KEY
+          FROM att_fact"""),
+    ]
