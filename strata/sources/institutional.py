@@ -300,3 +300,152 @@ def attendance_sql(as_of: dt.date) -> list[tuple[str, str]]:
         ("att_term_fact", """SELECT DISTINCT STUDENT_KEY, TERM_KEY, STATUS_KEY, BUSINESS_STUDENT_TYPE_KEY, PROGRAM_KEY
           FROM att_fact"""),
     ]
+
+
+# --------------------------------------------------------------------------- program stand-ins
+# Programs are order priorities (name 'priority:status', so the text before ':'
+# is the program), degrees are order statuses, areas group priorities.
+# Graduations are finished orders (graduated when the price passes 400000),
+# wages are open orders, transfers out are pending orders.  Fixed values:
+PROGRAM_AREAS = {"1": "Health", "2": "Health", "3": "Trades", "4": "General", "5": "General"}
+DEGREES = {"F": "AS", "O": "AA", "P": "CER"}
+INSTITUTIONS = [(2, "2-year"), (4, "4-year")]
+
+
+def _program_cols(prefix: str = "") -> list[Column]:
+    digit = F.substring("o_orderpriority", 1, 1)
+    area = None
+    for k, v in PROGRAM_AREAS.items():
+        area = F.when(digit == k, v) if area is None else area.when(digit == k, v)
+    degree = None
+    for k, v in DEGREES.items():
+        degree = F.when(F.col("o_orderstatus") == k, v) if degree is None else degree.when(F.col("o_orderstatus") == k, v)
+    return [area.alias(f"{prefix}area_of_study"),
+            F.concat("o_orderpriority", F.lit(":"), "o_orderstatus").alias(f"{prefix}program_name"),
+            degree.alias(f"{prefix}degree_code"),
+            F.concat(F.lit("CIP-"), digit).alias(f"{prefix}major_cip")]
+
+
+def _orders_terms(t: Tables) -> DataFrame:
+    return staging.orders_terms(t)
+
+
+def course_history(t: Tables) -> DataFrame:
+    o = _orders_terms(t)
+    return o.select("pidm", "term_code", F.col("term_code").cast("int").alias("dim_term_key"),
+                    F.col("o_orderkey").alias("dim_student_term_key"),
+                    F.floor(F.col("o_totalprice") / 100000).cast("double").alias("gpa_quality_points"),
+                    F.when(F.col("o_orderstatus") == "F", 3.0).when(F.col("o_orderstatus") == "O", 4.0)
+                     .otherwise(1.0).alias("gpa_credits"))
+
+
+def pgm_student_term(t: Tables) -> DataFrame:
+    o = t("orders", "o_orderkey")
+    return o.select(F.col("o_orderkey").alias("dim_student_term_key"),
+                    F.col("o_orderkey").alias("dim_pgm_of_study_term_key"))
+
+
+def pgm_of_study_term(t: Tables) -> DataFrame:
+    o = t("orders", "o_orderkey", "o_orderpriority", "o_orderstatus")
+    return o.select(F.col("o_orderkey").alias("dim_pgm_of_study_term_key"), *_program_cols("term_")) \
+            .withColumnRenamed("term_major_cip", "term_major_cip")
+
+
+def grad_outcomes(t: Tables) -> DataFrame:
+    o = _orders_terms(t).filter(F.col("o_orderstatus") == "F")
+    return o.select("pidm", "term_code", F.col("order_date").alias("graduation_date"),
+                    F.when(F.col("o_totalprice") > 400000, "Y").otherwise("N").alias("ug_ap_graduated_ind"),
+                    F.lit("N").alias("sat_graduated_ind"),
+                    F.col("pidm").alias("dim_student_key"),
+                    F.col("term_code").cast("int").alias("dim_term_key"),
+                    F.col("o_orderkey").alias("dim_program_of_study_key"),
+                    F.floor(F.col("o_totalprice") / 100000).cast("double").alias("cum_institution_gpa"),
+                    F.lit(60.0).alias("cum_institution_credits"))
+
+
+def program_of_study(t: Tables) -> DataFrame:
+    o = t("orders", "o_orderkey", "o_orderpriority", "o_orderstatus")
+    return o.select(F.col("o_orderkey").alias("dim_program_of_study_key"), *_program_cols())
+
+
+def student_wages(t: Tables) -> DataFrame:
+    o = t("orders", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    return (o.filter(F.col("o_orderstatus") == "O")
+             .select(F.col("o_custkey").alias("pidm"),
+                     F.concat(F.year("o_orderdate").cast("string"), F.lit("Q"),
+                              F.quarter("o_orderdate").cast("string")).alias("quarter"),
+                     F.floor(F.col("o_totalprice") / 10).cast("double").alias("wages")))
+
+
+def nsc_enrollments(t: Tables) -> DataFrame:
+    o = _orders_terms(t).filter(F.col("o_orderstatus") == "P")
+    return o.select("pidm", F.col("order_date").alias("enrollment_begin_date"),
+                    F.concat(F.lit("0052"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias("opeid"),
+                    F.when(F.col("o_totalprice") > 200000, 4).otherwise(2).alias("dim_institution_key"))
+
+
+def institutions(t: Tables) -> DataFrame:
+    return t.spark.createDataFrame(INSTITUTIONS, "dim_institution_key int, institution_level string")
+
+
+def dim_student(t: Tables) -> DataFrame:
+    o = _orders_terms(t).groupBy("pidm").agg(F.min("term_code").alias("first_term_non_concurrent"))
+    c = t("customer", "c_custkey", "c_mktsegment", "c_nationkey")
+    geo = t("nation", "n_nationkey", "n_regionkey").join(t("region", "r_regionkey", "r_name"),
+                                                         F.col("n_regionkey") == F.col("r_regionkey"))
+    c = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey)   # nation: 25 rows
+    c = c.join(o, c.c_custkey == o.pidm, "left")
+    k = F.col("c_nationkey")
+    return c.select(F.col("c_custkey").alias("dim_student_key"), F.col("c_custkey").alias("pidm"),
+                    "first_term_non_concurrent", F.col("c_mktsegment").alias("gender"), F.col("r_name").alias("race"),
+                    F.when(k < 8, "Y").when(k < 20, "N").otherwise("X").alias("hispanic_ind"),
+                    F.when(k < 6, "Y").when(k < 14, "N").when(k < 22, "U").otherwise("X").alias("first_generation_ind"))
+
+
+def program_sources(t: Tables, as_of: dt.date) -> dict[str, DataFrame]:
+    return {
+        "dim_term": dim_term(t, as_of), "course_history": course_history(t), "student_term": pgm_student_term(t),
+        "pgm_term": pgm_of_study_term(t), "grads": grad_outcomes(t), "program_of_study": program_of_study(t),
+        "wages": student_wages(t), "nsc": nsc_enrollments(t), "institutions": institutions(t),
+        "dim_student": dim_student(t),
+    }
+
+
+def _program_cols_sql(prefix: str = "") -> str:
+    digit = "substr(o_orderpriority, 1, 1)"
+    area = "CASE " + " ".join(f"WHEN {digit} = '{k}' THEN '{v}'" for k, v in PROGRAM_AREAS.items()) + " END"
+    degree = "CASE " + " ".join(f"WHEN o_orderstatus = '{k}' THEN '{v}'" for k, v in DEGREES.items()) + " END"
+    return (f"{area} AS {prefix}area_of_study, o_orderpriority || ':' || o_orderstatus AS {prefix}program_name, "
+            f"{degree} AS {prefix}degree_code, 'CIP-' || {digit} AS {prefix}major_cip")
+
+
+def program_sql(as_of: dt.date) -> list[tuple[str, str]]:
+    """CTEs for the program stand-ins (needs the ``o`` view and ``sql_views``)."""
+    inst = " UNION ALL ".join(f"SELECT {k} AS dim_institution_key, '{v}' AS institution_level" for k, v in INSTITUTIONS)
+    return [
+        ("fsch", """SELECT pidm, term_code, CAST(term_code AS INTEGER) AS dim_term_key, o_orderkey AS dim_student_term_key,
+            CAST(floor(o_totalprice / 100000) AS DOUBLE) AS gpa_quality_points,
+            CASE WHEN o_orderstatus = 'F' THEN 3.0 WHEN o_orderstatus = 'O' THEN 4.0 ELSE 1.0 END::DOUBLE AS gpa_credits
+          FROM o"""),
+        ("pst", "SELECT o_orderkey AS dim_student_term_key, o_orderkey AS dim_pgm_of_study_term_key FROM orders"),
+        ("dpost", f"SELECT o_orderkey AS dim_pgm_of_study_term_key, {_program_cols_sql('term_')} FROM orders"),
+        ("fsgo", """SELECT pidm, term_code, order_date AS graduation_date,
+            CASE WHEN o_totalprice > 400000 THEN 'Y' ELSE 'N' END AS ug_ap_graduated_ind, 'N' AS sat_graduated_ind,
+            pidm AS dim_student_key, CAST(term_code AS INTEGER) AS dim_term_key, o_orderkey AS dim_program_of_study_key,
+            CAST(floor(o_totalprice / 100000) AS DOUBLE) AS cum_institution_gpa, 60.0::DOUBLE AS cum_institution_credits
+          FROM o WHERE o_orderstatus = 'F'"""),
+        ("dpos", f"SELECT o_orderkey AS dim_program_of_study_key, {_program_cols_sql()} FROM orders"),
+        ("fsw", """SELECT o_custkey AS pidm, CAST(year(o_orderdate) AS VARCHAR) || 'Q' || CAST(quarter(o_orderdate) AS VARCHAR) AS quarter,
+            CAST(floor(o_totalprice / 10) AS DOUBLE) AS wages FROM orders WHERE o_orderstatus = 'O'"""),
+        ("fne", """SELECT pidm, order_date AS enrollment_begin_date, '0052' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS opeid,
+            CASE WHEN o_totalprice > 200000 THEN 4 ELSE 2 END AS dim_institution_key FROM o WHERE o_orderstatus = 'P'"""),
+        ("di", inst),
+        ("ds", """SELECT c_custkey AS dim_student_key, c_custkey AS pidm, f.first_term_non_concurrent,
+            c_mktsegment AS gender, r_name AS race,
+            CASE WHEN c_nationkey < 8 THEN 'Y' WHEN c_nationkey < 20 THEN 'N' ELSE 'X' END AS hispanic_ind,
+            CASE WHEN c_nationkey < 6 THEN 'Y' WHEN c_nationkey < 14 THEN 'N' WHEN c_nationkey < 22 THEN 'U' ELSE 'X' END
+              AS first_generation_ind
+          FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+            LEFT JOIN (SELECT pidm, min(term_code) AS first_term_non_concurrent FROM o GROUP BY pidm) f
+              ON c_custkey = f.pidm"""),
+    ]
