@@ -47,7 +47,7 @@ HOT_GROUP_ROWS = 2_000_000
 
 
 def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                  name: str = "row_number", hot_rows: int = HOT_GROUP_ROWS,
+                  name: str = "row_number", hot_rows: int | None = HOT_GROUP_ROWS,
                   num_partitions: int | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY keys ORDER BY order)``, skew-safe.
 
@@ -58,21 +58,25 @@ def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     assignment, numbered inside each (key, range partition) and shifted by the
     key's row count in earlier range partitions.
 
+    ``hot_rows=None`` states that groups are bounded by construction (e.g.
+    distinct (student, year, term) rows: at most the terms of a year); then a
+    plain window is used and no key count is taken.
+
     ``order`` must make a total order inside each key (add a unique
     tie-breaker); otherwise the numbering among ties is arbitrary, as in SQL.
     """
     keys = list(keys)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    if hot_rows is None:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)))
     ks = [f"__k{i}" for i in range(len(keys))]
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
              .filter(F.col("__n") > hot_rows)
              .select(*[F.col(k).alias(a) for k, a in zip(keys, ks)], F.lit(True).alias("__hot")))
-    # At most rows / hot_rows keys can be hot; the set is kept and counted
-    # before it is broadcast.
-    hot = hot.cache()
+    # At most rows / hot_rows keys can be hot; the set is counted before it is
+    # broadcast.
     hot_keys = hot.count()
     if hot_keys == 0:
-        hot.unpersist()
         w = Window.partitionBy(*keys).orderBy(*order_cols)
         return df.withColumn(name, F.row_number().over(w))
     hot_b = F.broadcast(hot) if hot_keys <= 100_000 else hot
@@ -108,10 +112,12 @@ def _ranged_row_number(df: DataFrame, keys: list[str], order_cols: list[Column],
 
 
 def dense_rank_by(df: DataFrame, keys: Sequence[str], value: str, descending: bool = False,
-                  name: str = "dense_rank", hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                  name: str = "dense_rank", hot_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
     """``dense_rank() OVER (PARTITION BY keys ORDER BY value)``: rank the distinct
-    (keys, value) pairs, then join back.  With no keys it is the global dense
-    rank, computed without a single-partition exchange."""
+    (keys, value) pairs, then join back.  A key's work is bounded by its number
+    of distinct values, not its rows; with no keys it is the global dense rank,
+    which beyond ``hot_rows`` distinct values avoids a single-partition window.
+    ``hot_rows=None``: the distinct values are bounded by construction."""
     keys = list(keys)
     pairs = df.select(*keys, value).distinct()
     order = F.col(value).desc_nulls_first() if descending else F.col(value).asc_nulls_last()
@@ -124,7 +130,7 @@ def dense_rank_by(df: DataFrame, keys: Sequence[str], value: str, descending: bo
     return df.join(ranked, on, "left").drop("__v", *[f"__k{i}" for i in range(len(keys))])
 
 
-def _global_row_number(df: DataFrame, order: Column, name: str, hot_rows: int) -> DataFrame:
+def _global_row_number(df: DataFrame, order: Column, name: str, hot_rows: int | None) -> DataFrame:
     """Row number over the whole relation: one group, so beyond ``hot_rows``
     rows it takes the range-split path instead of a single-partition window."""
     df = df.withColumn("__g", F.lit(0))

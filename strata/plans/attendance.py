@@ -118,7 +118,9 @@ def currently_enrolled(src: Mapping[str, DataFrame], country: str | None) -> Dat
 def dropout_labels(base: DataFrame, enrolled: DataFrame) -> DataFrame:
     """Relevant rows with per-term totals, the dropout flag and the point of
     dropout (for dropped students only)."""
-    rel = base.filter(F.col("Relevant_YN_Flag") == "Y")
+    # The relevant rows feed three grouped aggregates and the flag join: written
+    # once (checkpoint) instead of recomputing the star join for each.
+    rel = base.filter(F.col("Relevant_YN_Flag") == "Y").checkpoint()
     rel = partition_agg(rel, ["STUDENT_KEY", "TERM_KEY"],
                         {"Absences_per_Term": F.sum("ABSENT_COUNT"), "Attended_per_Term": F.sum("ATTENDED_COUNT")})
     rel = partition_agg(rel, ["STUDENT_KEY"], {"__max_year": F.max("YEAR_IN_SEMINARY")})

@@ -104,7 +104,8 @@ def enrollment_detail(course_history: DataFrame, student_term: DataFrame, dim_te
                                                  "gpa_credits_term": F.sum("gpa_credits")})
     f = partition_agg(f, ["pidm", "academic_year"], {"quality_points_ay": F.sum("__qp"),
                                                      "gpa_credits_ay": F.sum("gpa_credits")})
-    f = dense_rank_by(f, ["pidm", "academic_year"], "term_code", descending=True, name="seq")
+    # Ranked over distinct (student, year, term): at most the terms of a year.
+    f = dense_rank_by(f, ["pidm", "academic_year"], "term_code", descending=True, name="seq", hot_rows=None)
     return f.drop("__qp", "gpa_credits").distinct()
 
 
@@ -202,8 +203,11 @@ def retention(combined: DataFrame, dim_student: DataFrame, dim_term: DataFrame)
     graduated -> No, transferred next year -> No, otherwise Yes.
     """
     ties = [F.col(c).asc_nulls_last() for c in TIE_BREAK]
+    # ``combined`` is distinct: a (student, year, program) group holds one row per
+    # distinct degree / graduation / wage / transfer combination, bounded by
+    # those domains, so a plain window is safe.
     c = row_number_by(combined, ["pidm", "academic_year", "program"],
-                      [F.col("degree_code").asc_nulls_last(), *ties], name="enrolled_seq")
+                      [F.col("degree_code").asc_nulls_last(), *ties], name="enrolled_seq", hot_rows=None)
     ds = dim_student.select(F.col("pidm").alias("__spidm"), "first_term_non_concurrent", "gender", "race",
                             "hispanic_ind", "first_generation_ind")
     c = c.join(ds, c.pidm == ds.__spidm, "left")
@@ -239,9 +243,15 @@ def program_mart(calc: DataFrame, null_safe: bool = False) -> DataFrame:
     """Template grain (every enrolled-side and graduate-side combination of ten
     dimensions) with enrolled and graduate measures joined on all ten.  With
     ``null_safe=False`` a NULL dimension loses its measures, as in the
-    reference (H13)."""
+    reference (H13).
+
+    ``calc`` is read by both aggregates, so it is checkpointed first (written
+    once to the shared folder).  The template is the union of the two
+    aggregates' keys, which are exactly the distinct dimension combinations of
+    each side, so it needs no extra pass over ``calc``.
+    """
+    calc = calc.checkpoint()
     seq1 = F.col("enrolled_seq") == 1
-    tpl = template_grain([calc.select(*MART_DIMS), calc.select(*GRAD_DIMS)], MART_DIMS)
     e = calc.groupBy(*MART_DIMS).agg(
         F.sum(F.when(seq1, F.col("quality_points"))).alias("quality_points"),
         F.sum("quality_points").alias("quality_points_v2"),
@@ -255,6 +265,7 @@ def program_mart(calc: DataFrame, null_safe: bool = False) -> DataFrame:
         F.sum("grad_gpa_credits").alias("grad_gpa_credits"),
         F.count(F.when(F.col("grad_program").isNotNull(), F.col("pidm"))).alias("grad_headcount"),
         F.sum(F.col("years_to_completion").cast("decimal(18,2)")).cast("double").alias("years_to_completion"))
+    tpl = template_grain([e.select(*MART_DIMS), g.select(*GRAD_DIMS)], MART_DIMS)
     on = null_safe_on if null_safe else strict_on
     e = e.select(*[F.col(c).alias(f"e_{c}") for c in MART_DIMS], *[c for c in e.columns if c not in MART_DIMS])
     g = g.select(*[F.col(c).alias(f"g_{i}") for i, c in enumerate(GRAD_DIMS)],
@@ -270,11 +281,22 @@ def program_mart(calc: DataFrame, null_safe: bool = False) -> DataFrame:
                       *[F.col(c).alias(lab) for c, lab in measures])
 
 
-def present(mart: DataFrame, as_of: dt.date) -> DataFrame:
+def present(mart: DataFrame, as_of: dt.date, ay: DataFrame | None = None) -> DataFrame:
     """Report columns: 'Total', the wage-bin sort key, year recency (dense rank,
-    newest = 1, computed on the distinct years) and the as-of date."""
+    newest = 1) and the as-of date.
+
+    Every calendar year reaches the mart through the spine, so with ``ay`` given
+    the recency is ranked on the calendar (at most n rows, broadcast) instead of
+    on a second pass over the mart's distinct years.
+    """
     out = mart.withColumns({"Total": F.lit("Total"),
                             "Wage Bin Sort": bin_sort_key(F.col("`Wage Bin`"), WAGE_BINS)})
-    out = dense_rank_by(out.withColumnRenamed("Academic Year", "__ay"), [], "__ay", descending=True,
-                        name="AY Recency").withColumnRenamed("__ay", "Academic Year")
+    if ay is not None:
+        ranks = ay.select(F.col("academic_year").alias("__ay"),
+                          F.dense_rank().over(Window.orderBy(F.desc("academic_year"))).alias("AY Recency"))
+        out = out.join(F.broadcast(ranks), out["Academic Year"] == ranks["__ay"], "left").drop("__ay")
+    else:
+        # Distinct years are bounded by the calendar.
+        out = dense_rank_by(out.withColumnRenamed("Academic Year", "__ay"), [], "__ay", descending=True,
+                            name="AY Recency", hot_rows=None).withColumnRenamed("__ay", "Academic Year")
     return out.withColumn("As of Date", F.lit(as_of))

@@ -52,7 +52,8 @@ def e03_sequence(spark, sf_dir):
     FROM o""", "o"))
 def e04_latest_in_group(spark, sf_dir):
     o = staging.orders_terms(Tables(spark, sf_dir)).withColumn("yr", F.substring("term_code", 1, 4))
-    return dense_rank_by(o, ["pidm", "yr"], "term_code", descending=True, name="seq").select(
+    # Distinct (customer, year, term) pairs: at most three terms a year.
+    return dense_rank_by(o, ["pidm", "yr"], "term_code", descending=True, name="seq", hot_rows=None).select(
         "o_orderkey", "pidm", "term_code", "seq")
 
 

@@ -34,6 +34,9 @@ def build_session(master: str | None = None, app: str = "strata",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # Local mode: the driver JVM is the only executor.
+        conf["spark.driver.memory"] = "12g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

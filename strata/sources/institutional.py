@@ -31,8 +31,28 @@ def _by_season(suffix: Column, idx: int) -> Column:
     return out
 
 
+# Stand-in dimensions are derived from the facts (one scan of orders each), so
+# they are built once per session and written to the shared checkpoint folder;
+# every later reference reads the small written table instead of rescanning the
+# fact.  Keyed by (session, folder, name, as-of).
+_BUILT: dict[tuple, DataFrame] = {}
+
+
+def built_once(t: Tables, name: str, as_of: dt.date | None, build) -> DataFrame:
+    from strata.sources.sinks import materialise
+    key = (id(t.spark), t.sf_dir, name, as_of)
+    df = _BUILT.get(key)
+    if df is None:
+        df = _BUILT[key] = materialise(build(), f"dim_{name}")
+    return df
+
+
 def dim_term(t: Tables, as_of: dt.date) -> DataFrame:
-    terms = staging.orders_terms(t).select("term_code").distinct()
+    return built_once(t, "term", as_of, lambda: _dim_term(t, as_of))
+
+
+def _dim_term(t: Tables, as_of: dt.date) -> DataFrame:
+    terms = staging.order_terms_light(t).select("term_code").distinct()
     y = F.substring("term_code", 1, 4).cast("int")
     sfx = F.expr("substr(term_code, 5)")
     start = F.make_date(y, _by_season(sfx, 1), F.lit(1))
@@ -76,9 +96,9 @@ def dim_course(t: Tables) -> DataFrame:
 
 
 def dim_student_term(t: Tables) -> DataFrame:
-    o = staging.orders_terms(t)
+    o = t("orders", "o_orderkey", "o_orderstatus")
     return o.select(F.col("o_orderkey").alias("dim_student_term_key"),
-                    F.col("continuing_ind").alias("continuing_student_ind"))
+                    F.when(F.col("o_orderstatus") == "F", "N").otherwise("Y").alias("continuing_student_ind"))
 
 
 def fact_daily_enrollments(t: Tables, as_of: dt.date) -> DataFrame:
@@ -331,7 +351,7 @@ def _orders_terms(t: Tables) -> DataFrame:
 
 
 def course_history(t: Tables) -> DataFrame:
-    o = _orders_terms(t)
+    o = staging.order_terms_light(t)
     return o.select("pidm", "term_code", F.col("term_code").cast("int").alias("dim_term_key"),
                     F.col("o_orderkey").alias("dim_student_term_key"),
                     F.floor(F.col("o_totalprice") / 100000).cast("double").alias("gpa_quality_points"),
@@ -352,7 +372,7 @@ def pgm_of_study_term(t: Tables) -> DataFrame:
 
 
 def grad_outcomes(t: Tables) -> DataFrame:
-    o = _orders_terms(t).filter(F.col("o_orderstatus") == "F")
+    o = staging.order_terms_light(t).filter(F.col("o_orderstatus") == "F")
     return o.select("pidm", "term_code", F.col("order_date").alias("graduation_date"),
                     F.when(F.col("o_totalprice") > 400000, "Y").otherwise("N").alias("ug_ap_graduated_ind"),
                     F.lit("N").alias("sat_graduated_ind"),
@@ -389,7 +409,11 @@ def institutions(t: Tables) -> DataFrame:
 
 
 def dim_student(t: Tables) -> DataFrame:
-    o = _orders_terms(t).groupBy("pidm").agg(F.min("term_code").alias("first_term_non_concurrent"))
+    return built_once(t, "student", None, lambda: _dim_student(t))
+
+
+def _dim_student(t: Tables) -> DataFrame:
+    o = staging.order_terms_light(t).groupBy("pidm").agg(F.min("term_code").alias("first_term_non_concurrent"))
     c = t("customer", "c_custkey", "c_mktsegment", "c_nationkey")
     geo = t("nation", "n_nationkey", "n_regionkey").join(t("region", "r_regionkey", "r_name"),
                                                          F.col("n_regionkey") == F.col("r_regionkey"))

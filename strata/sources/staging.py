@@ -41,6 +41,15 @@ def orders_terms(t: Tables) -> DataFrame:
     )
 
 
+def order_terms_light(t: Tables) -> DataFrame:
+    """Orders with their term code, without customer attributes."""
+    o = t("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    return o.select(
+        "o_orderkey", F.col("o_custkey").alias("pidm"), "o_orderstatus", "o_totalprice",
+        F.to_date("o_orderdate").alias("order_date"), "o_orderpriority",
+        F.concat(F.year("o_orderdate").cast("string"), _season(F.month("o_orderdate"))).alias("term_code"))
+
+
 def line_terms(t: Tables) -> DataFrame:
     """``li``: line items with their order's term, student and campus."""
     li = t("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
