@@ -41,6 +41,21 @@ def partition_agg(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -
     return df.join(a, on, "left").drop(*[f"__k{i}" for i in range(len(keys))])
 
 
+def partition_aggs(df: DataFrame, specs: Sequence[tuple[Sequence[str], dict[str, Column]]]) -> DataFrame:
+    """Several partition aggregates at once: every aggregate is computed from the
+    same ``df`` and joined back, so k aggregates read ``df`` k + 1 times (nested
+    ``partition_agg`` calls would read it 2^k times).  Checkpoint ``df`` first
+    when it is an expensive pipeline."""
+    out = df
+    for i, (keys, aggs) in enumerate(specs):
+        keys = list(keys)
+        ks = [f"__p{i}_{j}" for j in range(len(keys))]
+        a = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
+        a = a.select(*[F.col(k).alias(x) for k, x in zip(keys, ks)], *aggs.keys())
+        out = out.join(a, null_safe_on(out, a, keys, ks), "left").drop(*ks)
+    return out
+
+
 # A key with more rows than this is "hot": its rows are numbered on range-split
 # partitions instead of in one window partition (one task).
 HOT_GROUP_ROWS = 2_000_000
@@ -111,6 +126,18 @@ def _ranged_row_number(df: DataFrame, keys: list[str], order_cols: list[Column],
     return out.drop("__pid", "__rn", "__opid", "__off", *[f"__k{i}" for i in range(len(keys))])
 
 
+def dense_rank_table(df: DataFrame, keys: Sequence[str], value: str, descending: bool = False,
+                     name: str = "dense_rank", hot_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
+    """The (keys, value) -> rank table behind ``dense_rank_by``, to be joined by
+    the caller (so the ranks can come from a different, cheaper relation)."""
+    keys = list(keys)
+    pairs = df.select(*keys, value).distinct()
+    order = F.col(value).desc_nulls_first() if descending else F.col(value).asc_nulls_last()
+    if keys:
+        return row_number_by(pairs, keys, [order], name=name, hot_rows=hot_rows)
+    return _global_row_number(pairs, order, name, hot_rows)
+
+
 def dense_rank_by(df: DataFrame, keys: Sequence[str], value: str, descending: bool = False,
                   name: str = "dense_rank", hot_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
     """``dense_rank() OVER (PARTITION BY keys ORDER BY value)``: rank the distinct

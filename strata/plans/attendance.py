@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from strata.functions.dates import year_diff
 from strata.functions.numeric import percent
 from strata.operators.joins import join_small, membership_flag
-from strata.operators.windows import partition_agg, row_number_by
+from strata.operators.windows import partition_aggs, row_number_by
 
 # Point of dropout by (highest year in program, highest term number in the
 # school year): fixed labels of the reference; any other pair is 'None'.
@@ -121,10 +121,12 @@ def dropout_labels(base: DataFrame, enrolled: DataFrame) -> DataFrame:
     # The relevant rows feed three grouped aggregates and the flag join: written
     # once (checkpoint) instead of recomputing the star join for each.
     rel = base.filter(F.col("Relevant_YN_Flag") == "Y").checkpoint()
-    rel = partition_agg(rel, ["STUDENT_KEY", "TERM_KEY"],
-                        {"Absences_per_Term": F.sum("ABSENT_COUNT"), "Attended_per_Term": F.sum("ATTENDED_COUNT")})
-    rel = partition_agg(rel, ["STUDENT_KEY"], {"__max_year": F.max("YEAR_IN_SEMINARY")})
-    rel = partition_agg(rel, ["STUDENT_KEY", "SCHOOL_YEAR_NAME"], {"__max_term": F.max("TERM_NUMBER")})
+    rel = partition_aggs(rel, [
+        (["STUDENT_KEY", "TERM_KEY"], {"Absences_per_Term": F.sum("ABSENT_COUNT"),
+                                       "Attended_per_Term": F.sum("ATTENDED_COUNT")}),
+        (["STUDENT_KEY"], {"__max_year": F.max("YEAR_IN_SEMINARY")}),
+        (["STUDENT_KEY", "SCHOOL_YEAR_NAME"], {"__max_term": F.max("TERM_NUMBER")}),
+    ])
     # NOT IN (enrolled) with NULL keys ignored (H17): a hash join on distinct keys.
     rel = membership_flag(rel, ["STUDENT_KEY"], enrolled, "Dropout_YN_Flag", yes="N", no="Y")
     point = None

@@ -13,13 +13,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.dates import parse_date_key
 from strata.operators.joins import join_small, membership_flag
 from strata.operators.reshape import partial_rollup
-from strata.operators.windows import partition_agg
 
 # Target factor per season: fixed values of the reference.
 DEFAULT_KNOBS = [("Fall", 0.925), ("Spring", 0.925), ("Summer", 0.925)]
@@ -49,9 +48,10 @@ def comparable_periods(section_facts: DataFrame, current: DataFrame, years_back:
     if extra:
         spark = section_facts.sparkSession
         tp = tp.unionByName(spark.createDataFrame(list(extra), "term_code string, days_since_reg_start int"))
-    tp = tp.withColumn("season", F.substring("term_code", 5, 100))
-    tp = partition_agg(tp, ["season"], {"__min": F.min("days_since_reg_start")})
-    return tp.select("term_code", "days_since_reg_start", (F.col("__min") - 1).alias("dsrs")).distinct()
+    # One row per term: a window over the season is bounded by the calendar.
+    w = Window.partitionBy(F.substring("term_code", 5, 100))
+    return tp.select("term_code", "days_since_reg_start",
+                     (F.min("days_since_reg_start").over(w) - 1).alias("dsrs")).distinct()
 
 
 def duplicate_terms(periods: DataFrame) -> DataFrame:

@@ -23,7 +23,8 @@ from strata.functions.numeric import WAGE_BINS, bin_label, bin_sort_key
 from strata.functions.text import before_delimiter
 from strata.operators.joins import null_safe_on, strict_on
 from strata.operators.reshape import template_grain
-from strata.operators.windows import dense_rank_by, partition_agg, row_number_by
+from strata.operators.joins import null_safe_on as _nso
+from strata.operators.windows import dense_rank_by, dense_rank_table, partition_aggs, row_number_by
 
 EXCLUDED_YEARS = ["Unknown", "None"]
 # Own institutions' codes, left out of transfers: fixed values of the reference.
@@ -100,13 +101,19 @@ def enrollment_detail(course_history: DataFrame, student_term: DataFrame, dim_te
                  before_delimiter("term_program_name", ":").alias("program"),
                  F.col("term_degree_code").alias("degree_code"), F.col("term_major_cip").alias("cip"),
                  (F.col("gpa_quality_points") * F.col("gpa_credits")).alias("__qp"), "gpa_credits")
-    f = partition_agg(f, ["pidm", "term_code"], {"quality_points_term": F.sum("__qp"),
-                                                 "gpa_credits_term": F.sum("gpa_credits")})
-    f = partition_agg(f, ["pidm", "academic_year"], {"quality_points_ay": F.sum("__qp"),
-                                                     "gpa_credits_ay": F.sum("gpa_credits")})
+    # The joined history feeds two grouped sums and the term ranking: written once.
+    f = f.checkpoint()
     # Ranked over distinct (student, year, term): at most the terms of a year.
-    f = dense_rank_by(f, ["pidm", "academic_year"], "term_code", descending=True, name="seq", hot_rows=None)
-    return f.drop("__qp", "gpa_credits").distinct()
+    ranks = dense_rank_table(f, ["pidm", "academic_year"], "term_code", descending=True, name="seq",
+                             hot_rows=None)
+    ranks = ranks.select(F.col("pidm").alias("__rp"), F.col("academic_year").alias("__ry"),
+                         F.col("term_code").alias("__rt"), "seq")
+    out = partition_aggs(f, [
+        (["pidm", "term_code"], {"quality_points_term": F.sum("__qp"), "gpa_credits_term": F.sum("gpa_credits")}),
+        (["pidm", "academic_year"], {"quality_points_ay": F.sum("__qp"), "gpa_credits_ay": F.sum("gpa_credits")}),
+    ])
+    out = out.join(ranks, _nso(out, ranks, ["pidm", "academic_year", "term_code"], ["__rp", "__ry", "__rt"]), "left")
+    return out.drop("__qp", "gpa_credits", "__rp", "__ry", "__rt").distinct()
 
 
 def graduate_outcomes(grads: DataFrame, dim_student: DataFrame, wages: DataFrame, dim_term: DataFrame,
@@ -129,10 +136,12 @@ def graduate_outcomes(grads: DataFrame, dim_student: DataFrame, wages: DataFrame
     first = dim_term.select(F.col("term_code").alias("__ftc"), F.col("term_start_date").alias("__first_start"))
     g = g.join(first, g.first_term_non_concurrent == first.__ftc, "left")
     g = g.withColumn("__qp", F.col("cum_institution_gpa") * F.col("cum_institution_credits"))
-    g = partition_agg(g, ["pidm", "term_code"], {"grad_quality_points": F.sum("__qp"),
-                                                 "grad_gpa_credits": F.sum("cum_institution_credits")})
-    g = partition_agg(g, ["w_pidm", "wage_year"], {"__wsum": F.sum("wages"),
-                                                   "__nq": F.count_distinct("quarter")})
+    g = g.checkpoint()   # the joined graduates feed two grouped aggregates
+    g = partition_aggs(g, [
+        (["pidm", "term_code"], {"grad_quality_points": F.sum("__qp"),
+                                 "grad_gpa_credits": F.sum("cum_institution_credits")}),
+        (["w_pidm", "wage_year"], {"__wsum": F.sum("wages"), "__nq": F.count_distinct("quarter")}),
+    ])
     return g.select(
         "pidm", F.col("term_code").alias("grad_term_code"), "grad_term_name",
         F.col("graduation_date").alias("grad_date"), "grad_year",

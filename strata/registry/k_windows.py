@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.operators.reshape import pivot_fixed, template_grain
-from strata.operators.windows import dense_rank_by, partition_agg, row_number_by, running_sum
+from strata.operators.windows import dense_rank_by, partition_agg, partition_aggs, row_number_by, running_sum
 from strata.plans import ledger
 from strata.registry import register
 from strata.sources import staging
@@ -120,8 +120,8 @@ def e10_partition_max(spark, sf_dir):
 def e11_partition_sums(spark, sf_dir):
     o = staging.orders_terms(Tables(spark, sf_dir)).withColumns({
         "yr": F.substring("term_code", 1, 4), "cents": F.col("o_totalprice").cast("decimal(18,2)")})
-    o = partition_agg(o, ["pidm", "term_code"], {"price_term": F.sum("cents").cast("double")})
-    o = partition_agg(o, ["pidm", "yr"], {"price_year": F.sum("cents").cast("double")})
+    o = partition_aggs(o, [(["pidm", "term_code"], {"price_term": F.sum("cents").cast("double")}),
+                           (["pidm", "yr"], {"price_year": F.sum("cents").cast("double")})])
     return o.select("o_orderkey", "pidm", "term_code", "price_term", "price_year")
 
 

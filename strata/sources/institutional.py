@@ -102,21 +102,22 @@ def dim_student_term(t: Tables) -> DataFrame:
 
 
 def fact_daily_enrollments(t: Tables, as_of: dt.date) -> DataFrame:
-    li = staging.line_terms(t)
+    li = t("lineitem", "l_orderkey", "l_partkey", "l_quantity")
+    o = staging.order_terms_light(t).select("o_orderkey", "pidm", "order_date", "term_code")
     terms = dim_term(t, as_of).select("term_code", "registration_start_date")
-    j = li.join(terms, "term_code")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(F.broadcast(terms), "term_code")  # terms: the calendar
     return j.select(
         "term_code",
         F.date_format("order_date", "yyyyMMdd").cast("int").alias("dim_date_key"),
         F.datediff("order_date", "registration_start_date").alias("days_since_reg_start"),
         "pidm",
-        F.col("credits").alias("credits_attempted"),
-        "crn",
+        F.col("l_quantity").alias("credits_attempted"),
+        F.col("l_partkey").alias("crn"),
         # order key of the line: the student-term record
         F.col("l_orderkey").alias("dim_student_term_key"),
-        F.col("crn").alias("dim_course_key"),
+        F.col("l_partkey").alias("dim_course_key"),
         F.col("term_code").cast("int").alias("dim_term_key"),
-        F.col("crn").alias("dim_section_key"),
+        F.col("l_partkey").alias("dim_section_key"),
     )
 
 
