@@ -63,7 +63,7 @@ HOT_GROUP_ROWS = 2_000_000
 
 def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                   name: str = "row_number", hot_rows: int | None = HOT_GROUP_ROWS,
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, sizes_from: DataFrame | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY keys ORDER BY order)``, skew-safe.
 
     Keys are counted first (a map-side combined aggregate).  Keys up to
@@ -75,7 +75,9 @@ def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
     ``hot_rows=None`` states that groups are bounded by construction (e.g.
     distinct (student, year, term) rows: at most the terms of a year); then a
-    plain window is used and no key count is taken.
+    plain window is used and no key count is taken.  ``sizes_from`` is a
+    cheaper relation whose groups contain ``df``'s groups (say the raw fact
+    under a filtered join), used for the key count instead of ``df``.
 
     ``order`` must make a total order inside each key (add a unique
     tie-breaker); otherwise the numbering among ties is arbitrary, as in SQL.
@@ -85,7 +87,7 @@ def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     if hot_rows is None:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)))
     ks = [f"__k{i}" for i in range(len(keys))]
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = ((sizes_from if sizes_from is not None else df).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
              .filter(F.col("__n") > hot_rows)
              .select(*[F.col(k).alias(a) for k, a in zip(keys, ks)], F.lit(True).alias("__hot")))
     # At most rows / hot_rows keys can be hot; the set is counted before it is

@@ -83,7 +83,10 @@ def attendance_base(src: Mapping[str, DataFrame], rules: Sequence[tuple[str, int
     })
     # Registered classes in the term: numbered before the cohort filter (H31),
     # class key as the tie-breaker.
-    j = row_number_by(j, ["STUDENT_KEY", "TERM_KEY"], ["CLASS_KEY"], name="rownumber")
+    # Hot (student, term) groups are found on the raw fact: its groups contain
+    # the joined ones, and counting it avoids running the star join twice.
+    j = row_number_by(j, ["STUDENT_KEY", "TERM_KEY"], ["CLASS_KEY"], name="rownumber",
+                      sizes_from=f.select("STUDENT_KEY", "TERM_KEY"))
     return j.select(
         "STUDENT_KEY", "Student_Gender", "MEMBERSHIP_YN_FLAG", "Student_Age", "PRIMARY_LANGUAGE",
         "YEAR_IN_SEMINARY", "SEMINARY_GRADUATION_YEAR", "CLASS_KEY", "COURSE_TITLE", "TIME_OF_DAY_DESCRIPTION",
