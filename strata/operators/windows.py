@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.joins import null_safe_on
+from strata.session import reliable_checkpoint  # noqa: E402
 
 
 def _shuffle_partitions(df: DataFrame) -> int:
@@ -113,7 +114,7 @@ def _ranged_row_number(df: DataFrame, keys: list[str], order_cols: list[Column],
     # The range bounds are sampled from the data; reading the partition ids back
     # from one written copy keeps the local numbers and the offsets consistent
     # (and survives lost executors).
-    ranged = ranged.checkpoint(eager=True)
+    ranged = reliable_checkpoint(ranged)
     local = Window.partitionBy(*keys, "__pid").orderBy(*order_cols)
     ranged = ranged.withColumn("__rn", F.row_number().over(local))
     counts = ranged.groupBy(*keys, "__pid").agg(F.count(F.lit(1)).alias("__c"))

@@ -24,6 +24,7 @@ from strata.functions.dates import year_diff
 from strata.functions.numeric import percent
 from strata.operators.joins import join_small, membership_flag
 from strata.operators.windows import partition_aggs, row_number_by
+from strata.session import reliable_checkpoint  # noqa: E402
 
 # Point of dropout by (highest year in program, highest term number in the
 # school year): fixed labels of the reference; any other pair is 'None'.
@@ -123,7 +124,7 @@ def dropout_labels(base: DataFrame, enrolled: DataFrame) -> DataFrame:
     dropout (for dropped students only)."""
     # The relevant rows feed three grouped aggregates and the flag join: written
     # once (checkpoint) instead of recomputing the star join for each.
-    rel = base.filter(F.col("Relevant_YN_Flag") == "Y").checkpoint()
+    rel = reliable_checkpoint(base.filter(F.col("Relevant_YN_Flag") == "Y"))
     rel = partition_aggs(rel, [
         (["STUDENT_KEY", "TERM_KEY"], {"Absences_per_Term": F.sum("ABSENT_COUNT"),
                                        "Attended_per_Term": F.sum("ATTENDED_COUNT")}),

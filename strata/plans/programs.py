@@ -25,6 +25,7 @@ from strata.operators.joins import null_safe_on, strict_on
 from strata.operators.reshape import template_grain
 from strata.operators.joins import null_safe_on as _nso
 from strata.operators.windows import dense_rank_by, dense_rank_table, partition_aggs, row_number_by
+from strata.session import reliable_checkpoint  # noqa: E402
 
 EXCLUDED_YEARS = ["Unknown", "None"]
 # Own institutions' codes, left out of transfers: fixed values of the reference.
@@ -102,7 +103,7 @@ def enrollment_detail(course_history: DataFrame, student_term: DataFrame, dim_te
                  F.col("term_degree_code").alias("degree_code"), F.col("term_major_cip").alias("cip"),
                  (F.col("gpa_quality_points") * F.col("gpa_credits")).alias("__qp"), "gpa_credits")
     # The joined history feeds two grouped sums and the term ranking: written once.
-    f = f.checkpoint()
+    f = reliable_checkpoint(f)
     # Ranked over distinct (student, year, term): at most the terms of a year.
     ranks = dense_rank_table(f, ["pidm", "academic_year"], "term_code", descending=True, name="seq",
                              hot_rows=None)
@@ -136,7 +137,7 @@ def graduate_outcomes(grads: DataFrame, dim_student: DataFrame, wages: DataFrame
     first = dim_term.select(F.col("term_code").alias("__ftc"), F.col("term_start_date").alias("__first_start"))
     g = g.join(first, g.first_term_non_concurrent == first.__ftc, "left")
     g = g.withColumn("__qp", F.col("cum_institution_gpa") * F.col("cum_institution_credits"))
-    g = g.checkpoint()   # the joined graduates feed two grouped aggregates
+    g = reliable_checkpoint(g)   # the joined graduates feed two grouped aggregates
     g = partition_aggs(g, [
         (["pidm", "term_code"], {"grad_quality_points": F.sum("__qp"),
                                  "grad_gpa_credits": F.sum("cum_institution_credits")}),
@@ -259,7 +260,7 @@ def program_mart(calc: DataFrame, null_safe: bool = False) -> DataFrame:
     aggregates' keys, which are exactly the distinct dimension combinations of
     each side, so it needs no extra pass over ``calc``.
     """
-    calc = calc.checkpoint()
+    calc = reliable_checkpoint(calc)
     seq1 = F.col("enrolled_seq") == 1
     e = calc.groupBy(*MART_DIMS).agg(
         F.sum(F.when(seq1, F.col("quality_points"))).alias("quality_points"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  Shuffle partitions stay at a cluster-sized
 # default; AQE coalesces them at run time, so small inputs do not pay for it.
@@ -24,9 +24,24 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Parquet scan splits: 128 MB keeps each task's input well inside executor memory.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # AQE merges shuffle partitions up to this size (rather than to keep every
+    # core busy), so a generous partition count costs little on small inputs.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # Checkpoint files of collected DataFrames are removed from the shared folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 1024,
+                           floor: int = 200) -> int:
+    """A starting shuffle-partition count for an input size: about one partition
+    per ``target_bytes`` of input, which AQE then coalesces where the shuffle is
+    smaller (100 TB -> about 400k).  Set it on a cluster session as
+    ``spark.sql.shuffle.partitions``."""
+    return max(floor, -(-input_bytes // target_bytes))
+
+
 def build_session(master: str | None = None, app: str = "strata",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -64,3 +79,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """``df.checkpoint()`` into the shared folder (set up on first use): cuts the
+    lineage so later readers, and recomputation after a lost executor, read
+    the written copy."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -50,9 +50,18 @@ def rows_of(cols, records):
 def main():
     args = sys.argv[1:]
     sf_dir = args[0] if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
-    prefixes = [a for a in args if not os.path.isdir(a)]
+    plain = "--plain" in args
+    prefixes = [a for a in args if not os.path.isdir(a) and not a.startswith("--")]
     load_all()
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if plain:
+        # A bare session, as a caller might build it: no checkpoint folder, no
+        # strata defaults.
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.driver.memory", "8g").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{table_path(sf_dir, t)}')")
