@@ -64,7 +64,8 @@ HOT_GROUP_ROWS = 2_000_000
 
 def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                   name: str = "row_number", hot_rows: int | None = HOT_GROUP_ROWS,
-                  num_partitions: int | None = None, sizes_from: DataFrame | None = None) -> DataFrame:
+                  num_partitions: int | None = None, sizes_from: DataFrame | None = None,
+                  size_keys: Sequence[str] | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY keys ORDER BY order)``, skew-safe.
 
     Keys are counted first (a map-side combined aggregate).  Keys up to
@@ -78,7 +79,10 @@ def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     distinct (student, year, term) rows: at most the terms of a year); then a
     plain window is used and no key count is taken.  ``sizes_from`` is a
     cheaper relation whose groups contain ``df``'s groups (say the raw fact
-    under a filtered join), used for the key count instead of ``df``.
+    under a filtered join), used for the key count instead of ``df``;
+    ``size_keys`` a cheaper subset of the keys (say a hash of a long text) to
+    count by: a hot subset group sends all its rows down the range path, which
+    is exact for any group.
 
     ``order`` must make a total order inside each key (add a unique
     tie-breaker); otherwise the numbering among ties is arbitrary, as in SQL.
@@ -87,10 +91,11 @@ def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     if hot_rows is None:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)))
-    ks = [f"__k{i}" for i in range(len(keys))]
-    hot = ((sizes_from if sizes_from is not None else df).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    skeys = list(size_keys or keys)
+    ks = [f"__k{i}" for i in range(len(skeys))]
+    hot = ((sizes_from if sizes_from is not None else df).groupBy(*skeys).agg(F.count(F.lit(1)).alias("__n"))
              .filter(F.col("__n") > hot_rows)
-             .select(*[F.col(k).alias(a) for k, a in zip(keys, ks)], F.lit(True).alias("__hot")))
+             .select(*[F.col(k).alias(a) for k, a in zip(skeys, ks)], F.lit(True).alias("__hot")))
     # At most rows / hot_rows keys can be hot; the set is counted before it is
     # broadcast.
     hot_keys = hot.count()
@@ -98,7 +103,7 @@ def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
         w = Window.partitionBy(*keys).orderBy(*order_cols)
         return df.withColumn(name, F.row_number().over(w))
     hot_b = F.broadcast(hot) if hot_keys <= 100_000 else hot
-    tagged = df.join(hot_b, null_safe_on(df, hot, keys, ks), "left").drop(*ks)
+    tagged = df.join(hot_b, null_safe_on(df, hot, skeys, ks), "left").drop(*ks)
     w = Window.partitionBy(*keys).orderBy(*order_cols)
     normal = (tagged.filter(F.col("__hot").isNull()).drop("__hot")
                     .withColumn(name, F.row_number().over(w)))

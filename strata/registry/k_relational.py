@@ -95,10 +95,14 @@ def a07_export_mart(spark, sf_dir):
     return sinks.read_mart(spark, path, mart.schema)
 
 
-@register("a08_masked_export")
+@register("a08_masked_export", """SELECT event_id,
+    CASE event_type WHEN 'purchase' THEN 'type A' WHEN 'view' THEN 'type B' WHEN 'click' THEN 'type C'
+      WHEN 'signup' THEN 'type D' WHEN 'error' THEN 'type E' ELSE event_type END AS event_type,
+    round(value * (1 + 0.05 * (2 * (((abs(event_id) + 42) % 1000003) * 48271 % 1000003) / 1000003.0 - 1)), 2) AS value
+    FROM events""")
 def a08_masked_export(spark, sf_dir):
     # Replace categories, perturb numbers with noise seeded by the row key, drop
-    # columns; no DuckDB twin (the noise uses Spark's xxhash64).
+    # columns.
     e = Tables(spark, sf_dir)("events", "event_id", "user_id", "event_type", "value", "props")
     masked = sinks.mask(e, key="event_id",
                         replace={"event_type": {"purchase": "type A", "view": "type B", "click": "type C",

@@ -35,7 +35,7 @@ def e02_duplicate_rows(spark, sf_dir):
     # Keyed by the whole text; a hash of it routes the rows, and the range-split
     # row number keeps one hot text from landing in one task.
     d = d.withColumn("__h", F.xxhash64("text"))
-    numbered = row_number_by(d, ["__h", "text"], ["doc_id"], name="row_num")
+    numbered = row_number_by(d, ["__h", "text"], ["doc_id"], name="row_num", size_keys=["__h"])
     return numbered.filter(F.col("row_num") > 1).select("doc_id", "lang", "row_num")
 
 

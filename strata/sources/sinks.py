@@ -11,9 +11,9 @@ import os
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
 from strata.operators.cleaning import recode
 from strata.session import checkpoint_dir
@@ -60,6 +60,23 @@ def read_mart(spark: SparkSession, path: str, schema: StructType, fmt: str = "pa
     return r.load(path).select(*schema.fieldNames())
 
 
+# Noise for masking: a Lehmer-style mix of an integer key, small enough never to
+# overflow 64 bits and simple enough to be reproduced by any SQL engine.
+NOISE_MODULUS = 1_000_003
+NOISE_MULTIPLIER = 48_271
+
+
+def key_noise(key: str, df: DataFrame, seed: int = 42) -> Column:
+    """A value in [0, 1) that depends only on the row key (and the seed)."""
+    k = F.col(key)
+    if isinstance(df.schema[key].dataType, IntegralType):
+        # pmod first: no overflow for any 64-bit key; equals (|k| + seed) mod M
+        # for the non-negative keys of the provided tables.
+        mixed = ((F.pmod(k, F.lit(NOISE_MODULUS)) + seed) % NOISE_MODULUS) * NOISE_MULTIPLIER % NOISE_MODULUS
+        return mixed / float(NOISE_MODULUS)
+    return (F.abs(F.xxhash64(k, F.lit(seed))) % NOISE_MODULUS) / float(NOISE_MODULUS)
+
+
 def mask(df: DataFrame, key: str, replace: Mapping[str, Mapping[str, str]] | None = None,
          perturb: Mapping[str, float] | None = None, drop: Sequence[str] = (), seed: int = 42) -> DataFrame:
     """Mask a result before export: replace category values, perturb numbers by
@@ -68,7 +85,7 @@ def mask(df: DataFrame, key: str, replace: Mapping[str, Mapping[str, str]] | Non
     out = df
     for col, mapping in (replace or {}).items():
         out = out.withColumn(col, recode(col, mapping, default=col))
+    u = key_noise(key, df, seed)
     for col, fraction in (perturb or {}).items():
-        u = (F.abs(F.xxhash64(F.col(key), F.lit(seed), F.lit(col))) % 1_000_000) / 1_000_000.0
         out = out.withColumn(col, F.round(F.col(col) * (1 + fraction * (2 * u - 1)), 2))
     return out.drop(*drop)

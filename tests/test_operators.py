@@ -147,3 +147,24 @@ def test_numeric_and_date_functions(spark):
     assert got == sorted([(0.0, "$0-25k", 1, "AUG"), (50.0, "None", 6, "JAN"), (None, "None", 6, None)], key=repr)
     e = spark.createDataFrame([(dt.date(2001, 1, 1), dt.date(2000, 1, 1))], "a date, b date")
     assert e.select(elapsed_years("a", "b").alias("y")).first().y == 1.0
+
+
+# --------------------------------------------------------------------------- properties on random data
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_rows = st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 5)), min_size=1, max_size=60)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=_rows, hot=st.integers(1, 10))
+def test_skew_safe_operators_equal_windows(spark, data, hot):
+    df = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(data)], "k string, v int, id int")
+    w = Window.partitionBy("k")
+    want_rn = df.withColumn("rn", F.row_number().over(w.orderBy("v", "id")))
+    got_rn = row_number_by(df, ["k"], ["v", "id"], name="rn", hot_rows=hot, num_partitions=3)
+    assert rows(got_rn, "k", "v", "id", "rn") == rows(want_rn, "k", "v", "id", "rn")
+    want = df.withColumns({"s": F.sum("v").over(w), "d": F.dense_rank().over(w.orderBy("v"))})
+    got = dense_rank_by(partition_aggs(df, [(["k"], {"s": F.sum("v")})]), ["k"], "v", name="d", hot_rows=hot)
+    assert rows(got, "k", "v", "id", "s", "d") == rows(want, "k", "v", "id", "s", "d")
