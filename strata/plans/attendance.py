@@ -25,6 +25,7 @@ from strata.functions.numeric import percent
 from strata.operators.joins import join_small, membership_flag
 from strata.operators.windows import partition_aggs, row_number_by
 from strata.session import reliable_checkpoint  # noqa: E402
+from strata.sources.tables import constant_frame  # noqa: E402
 
 # Point of dropout by (highest year in program, highest term number in the
 # school year): fixed labels of the reference; any other pair is 'None'.
@@ -40,7 +41,7 @@ YEAR_LABELS = {1: "Freshman", 2: "Sophomore", 3: "Junior", 4: "Senior"}
 
 def cohort_rules(spark, rules: Sequence[tuple[str, int, int]]) -> DataFrame:
     """Rule matrix: (school year name, lowest year in program, highest)."""
-    return spark.createDataFrame(list(rules), "rule_year string, lo int, hi int")
+    return constant_frame(spark, list(rules), "rule_year string, lo int, hi int")
 
 
 def attendance_base(src: Mapping[str, DataFrame], rules: Sequence[tuple[str, int, int]],

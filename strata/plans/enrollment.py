@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from strata.functions.dates import parse_date_key
 from strata.operators.joins import join_small, membership_flag
 from strata.operators.reshape import partial_rollup
+from strata.sources.tables import constant_frame  # noqa: E402
 
 # Target factor per season: fixed values of the reference.
 DEFAULT_KNOBS = [("Fall", 0.925), ("Spring", 0.925), ("Summer", 0.925)]
@@ -47,7 +48,7 @@ def comparable_periods(section_facts: DataFrame, current: DataFrame, years_back:
                        .groupBy("term_code").agg(F.max("days_since_reg_start").alias("days_since_reg_start")))
     if extra:
         spark = section_facts.sparkSession
-        tp = tp.unionByName(spark.createDataFrame(list(extra), "term_code string, days_since_reg_start int"))
+        tp = tp.unionByName(constant_frame(spark, list(extra), "term_code string, days_since_reg_start int"))
     # One row per term: a window over the season is bounded by the calendar.
     w = Window.partitionBy(F.substring("term_code", 5, 100))
     return tp.select("term_code", "days_since_reg_start",
@@ -110,7 +111,7 @@ def enrollment_targets(dse: DataFrame, periods: DataFrame,
     latest term of each season).  The 'All' target averages *every* row of the
     season, campus rows and total rows alike, as the reference does (H9)."""
     spark = dse.sparkSession
-    k = spark.createDataFrame(list(knobs), "term_season string, knob double")
+    k = constant_frame(spark, list(knobs), "term_season string, knob double")
     latest = (periods.groupBy(F.substring("term_code", 5, 100)).agg(F.max("term_code").alias("latest")))
     base = dse.join(F.broadcast(k), "term_season")          # a handful of fixed rows
     # NOT IN (subquery): no row passes if the list holds a NULL.

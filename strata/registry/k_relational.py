@@ -10,6 +10,7 @@ from strata.registry import register
 from strata.sources import sinks, staging
 from strata.sources.staging import with_views
 from strata.sources.tables import Tables
+from strata.sources.tables import constant_frame  # noqa: E402
 
 # --------------------------------------------------------------------------- A: scans, sources, sinks
 
@@ -30,7 +31,7 @@ _KNOB_SQL = "SELECT * FROM (VALUES ('F', 0.925::DOUBLE), ('O', 0.925::DOUBLE), (
 
 
 def knobs(spark):
-    return spark.createDataFrame(KNOBS, "o_orderstatus string, knob double")
+    return constant_frame(spark, KNOBS, "o_orderstatus string, knob double")
 
 
 @register("a03_inline_relation", with_views(
@@ -264,7 +265,7 @@ RULES = [(1996, 1, 1), (1997, 1, 2), (1998, 1, 3), (1999, 1, 4)]
 
 
 def rules(spark):
-    return spark.createDataFrame(RULES, "rule_year int, lo int, hi int")
+    return constant_frame(spark, RULES, "rule_year int, lo int, hi int")
 
 
 @register("b16_rule_matrix", """SELECT o_orderkey,

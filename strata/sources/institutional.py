@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from strata.sources import staging
 from strata.sources.tables import Tables
+from strata.sources.tables import constant_frame  # noqa: E402
 
 # Season suffix -> (label, first month): fixed values of the stand-in.
 SEASONS = {"20": ("Spring", 1), "30": ("Summer", 5), "40": ("Fall", 9)}
@@ -251,7 +252,7 @@ def att_program(t: Tables) -> DataFrame:
 
 
 def att_status(t: Tables) -> DataFrame:
-    return t.spark.createDataFrame(ATT_STATUS, "STATUS_KEY int, DELETED_YN_FLAG string, ENROLLED_YN_FLAG string")
+    return constant_frame(t.spark, ATT_STATUS, "STATUS_KEY int, DELETED_YN_FLAG string, ENROLLED_YN_FLAG string")
 
 
 def att_employee(t: Tables) -> DataFrame:
@@ -410,7 +411,7 @@ def nsc_enrollments(t: Tables) -> DataFrame:
 
 
 def institutions(t: Tables) -> DataFrame:
-    return t.spark.createDataFrame(INSTITUTIONS, "dim_institution_key int, institution_level string")
+    return constant_frame(t.spark, INSTITUTIONS, "dim_institution_key int, institution_level string")
 
 
 def dim_student(t: Tables) -> DataFrame:

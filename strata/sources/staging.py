@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.sources.tables import Tables
+from strata.sources.tables import constant_frame  # noqa: E402
 
 
 def _season(month: Column) -> Column:
@@ -108,7 +109,7 @@ CONTINENT = {"view": "Engagement", "click": "Engagement", "purchase": "Commerce"
 
 
 def population(t: Tables) -> DataFrame:
-    return t.spark.createDataFrame(POPULATION, "location string, population int")
+    return constant_frame(t.spark, POPULATION, "location string, population int")
 
 
 def covid_deaths(t: Tables) -> DataFrame:
