@@ -35,15 +35,15 @@ def _by_season(suffix: Column, idx: int) -> Column:
 # Stand-in dimensions are derived from the facts (one scan of orders each), so
 # they are built once per session and written to the shared checkpoint folder;
 # every later reference reads the small written table instead of rescanning the
-# fact.  Keyed by (session, folder, name, as-of).
+# fact.  Keyed by (application, folder, name, as-of).
 _BUILT: dict[tuple, DataFrame] = {}
 
 
 def built_once(t: Tables, name: str, as_of: dt.date | None, build) -> DataFrame:
     from strata.sources.sinks import materialise
-    key = (id(t.spark), t.sf_dir, name, as_of)
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, name, as_of)
     df = _BUILT.get(key)
-    if df is None:
+    if df is None or df.sparkSession is not t.spark:
         df = _BUILT[key] = materialise(build(), f"dim_{name}")
     return df
 
