@@ -13,13 +13,15 @@ def pivot_fixed(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequ
                 agg=F.sum) -> DataFrame:
     """``PIVOT (agg(value) FOR pivot_col IN (values))``.
 
-    The value list is given, so Spark plans one hash aggregate (no extra job to
-    find the distinct values) with map-side partial aggregation per key.
-    Values outside the list are dropped, as in SQL.
+    With the value list given, each output column is ``agg(value)`` over the
+    rows of its value: one hash aggregate, map-side combined, one exchange of
+    one row per key per task.  (``DataFrame.pivot`` plans a (key, value)
+    aggregate and a second exchange.)  ``agg`` must ignore NULLs, so a value
+    with no rows gives NULL as in SQL; values outside the list are dropped.
     """
     names = list(names or values)
-    out = df.groupBy(*keys).pivot(pivot_col, list(values)).agg(agg(value))
-    return out.select(*keys, *[F.col(f"`{v}`").alias(n) for v, n in zip(values, names)])
+    pc = F.col(pivot_col)
+    return df.groupBy(*keys).agg(*[agg(F.when(pc == v, value)).alias(n) for v, n in zip(values, names)])
 
 
 def partial_rollup(df: DataFrame, fixed: Sequence[str], rolled: str, aggs: dict[str, Column],

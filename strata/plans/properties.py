@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strata.functions.text import part_from_right, split_first
 from strata.operators.cleaning import fill_from_group, recode
 from strata.operators.windows import keep_first, row_number_by
+from strata.session import reliable_checkpoint
 
 # Vacancy flag recode: fixed values.
 VACANT_LABELS = {"Y": "Yes", "N": "No"}
@@ -54,7 +55,9 @@ def dedupe(df: DataFrame) -> DataFrame:
 
 def clean_properties(df: DataFrame) -> DataFrame:
     out = convert_date(df)
-    out = fill_addresses(out)
+    # The filled table feeds the dedupe's grouped minimum and its semi join:
+    # written once instead of re-running the fill (and its source) for each.
+    out = reliable_checkpoint(fill_addresses(out))
     out = split_addresses(out)
     out = recode_vacant(out)
     out = dedupe(out)
