@@ -229,13 +229,17 @@ def j07_dedupe_keep_first(spark, sf_dir):
     return keep_first(d, ["__h", "text"], "doc_id").select("doc_id", "lang")
 
 
-@register("j08_append", """SELECT o_orderkey, o_orderstatus FROM orders WHERE year(o_orderdate) = 1998
-    UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE year(o_orderdate) = 1999""")
+@register("j08_append", """SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
+    UNION ALL SELECT o_orderkey, o_orderstatus FROM orders
+    WHERE o_orderdate >= TIMESTAMP '1998-01-01' OR o_orderdate IS NULL""")
 def j08_append(spark, sf_dir):
+    # INSERT INTO t SELECT: a typed table filled from one query, then appended
+    # with the rest of the table.
     o = Tables(spark, sf_dir)("orders", "o_orderkey", "o_orderstatus", "o_orderdate")
     types = {"o_orderkey": "bigint", "o_orderstatus": "string"}
-    first = sinks.typed_staging(o.filter(F.year("o_orderdate") == 1998), types)
-    more = sinks.typed_staging(o.filter(F.year("o_orderdate") == 1999), types)
+    cut = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    first = sinks.typed_staging(o.filter(cut), types)
+    more = sinks.typed_staging(o.filter(~cut | F.col("o_orderdate").isNull()), types)
     return first.unionByName(more)
 
 
