@@ -191,3 +191,66 @@ def test_program_mart_null_keys(spark):
     assert [r["Grad Headcount"] for r in pick(strict, "1-URGENT", "Yes")] == [1]
     # template keys are unique
     assert strict.count() == strict.select(*programs.MART_LABELS).distinct().count()
+
+
+def test_enrollment_snapshot_hazards(spark):
+    facts = spark.createDataFrame([
+        ("202040", 20201010, 10, 1, 3.0, "A", 11, 1, 202040, 101),
+        ("202040", 20201010, 10, 2, 4.0, "B", 12, 1, 202040, 102),     # section with a NULL campus (H8)
+        ("202040", 20201010, 10, 3, 5.0, "A", 13, 9, 202040, 101),     # course 9 not in dim_course (H27)
+        ("202040", 20201009, 9, 1, 6.0, "A", 11, 1, 202040, 101),      # not the comparable day
+    ], "term_code string, dim_date_key int, days_since_reg_start int, pidm int, credits_attempted double, "
+       "crn string, dim_student_term_key int, dim_course_key int, dim_term_key int, dim_section_key int")
+    dst = spark.createDataFrame([(11, "N"), (12, "Y"), (13, "N")], "dim_student_term_key int, continuing_student_ind string")
+    course = spark.createDataFrame([(1,)], "dim_course_key int")
+    term = spark.createDataFrame([(202040, "Fall", "Fall 2020", D(2020, 9, 15))],
+                                 "dim_term_key int, term_season string, term_name string, registration_drop_deadline date")
+    section = spark.createDataFrame([
+        (101, "M", "Main", "Y", None, 20, 99, 30, 99, 2),
+        (102, None, None, "N", "X", 99, 40, 99, 60, 0),                # cross-listed: group figures halved
+    ], "dim_section_key int, campus_code string, campus string, budget_related_ind string, cross_list_group string, "
+       "students_enrolled_section int, students_enrolled_group int, max_enrollment_section int, "
+       "max_enrollment_group int, students_enrolled_waitlist int")
+    periods = spark.createDataFrame([("202040", 11, 10)], "term_code string, days_since_reg_start int, dsrs int")
+    dse = enrollment.enrollment_snapshot(facts, dst, course, term, section, periods)
+    got = {r.campus_code: r for r in dse.collect()}
+    assert set(got) == {"M", "Unknown", "All"}
+    m, u, a = got["M"], got["Unknown"], got["All"]
+    assert (m.new_stu, m.cont_stu, m.new_br_stu, m.sections, m.enrolled, m.capacity, m.waitlisted) == \
+        (1, 0, 1, 1, 20.0, 30.0, 2)
+    assert (u.new_stu, u.cont_stu, u.br_sections, u.enrolled, u.capacity, u.cont_fte, u.new_fte) == \
+        (0, 1, 0, 20.0, 30.0, 0.0, None)
+    assert (a.new_stu, a.cont_stu, a.sections, a.enrolled, a.capacity, a.waitlisted) == (1, 1, 2, 40.0, 60.0, 2)
+    assert all(r.recent_term == "Y" for r in dse.collect())
+
+
+def test_graduate_wages_fan_out_and_missing(spark):
+    grads = spark.createDataFrame([
+        (1, "201630", D(2016, 5, 10), "Y", "N", 1, 201630, 501, 3.0, 60.0),
+        (2, "201630", D(2016, 5, 10), "N", "Y", 2, 201630, 502, 3.0, 60.0),    # no wage rows (H14)
+        (3, "201630", D(2016, 5, 10), "Y", "Y", 3, 201630, 503, 3.0, 60.0),    # five wage rows (H12)
+        (4, "201630", D(2016, 5, 10), "N", "N", 4, 201630, 504, 3.0, 60.0),    # not graduated
+    ], "pidm int, term_code string, graduation_date date, ug_ap_graduated_ind string, sat_graduated_ind string, "
+       "dim_student_key int, dim_term_key int, dim_program_of_study_key int, cum_institution_gpa double, "
+       "cum_institution_credits double")
+    students = spark.createDataFrame([(k, "201340") for k in (1, 2, 3, 4)],
+                                     "dim_student_key int, first_term_non_concurrent string")
+    wages = spark.createDataFrame([(1, "2020Q1", 1000.0), (1, "2020Q2", 1000.0), (1, "2019Q4", 7.0),
+                                   (3, "2020Q1", 500.0), (3, "2020Q1", 500.0), (3, "2020Q2", 1000.0),
+                                   (3, "2020Q3", 1000.0), (3, "2020Q4", 1000.0)],
+                                  "pidm int, quarter string, wages double")
+    dim_term = spark.createDataFrame([("201630", "Summer 2016", "2015-16", D(2016, 5, 1)),
+                                      ("201340", "Fall 2013", "2013-14", D(2013, 9, 1))],
+                                     "term_code string, term_name string, academic_year string, term_start_date date")
+    pos = spark.createDataFrame([(k, "Health", "Nursing:RN", "AS", "51") for k in (501, 502, 503, 504)],
+                                "dim_program_of_study_key int, area_of_study string, program_name string, "
+                                "degree_code string, major_cip string")
+    ay = spark.createDataFrame([("2015-16",)], "academic_year string")
+    out = programs.graduate_outcomes(grads, students, wages, dim_term, pos, ay)
+    got = {r.pidm: r for r in out.collect()}
+    assert sorted(got) == [1, 2, 3]
+    assert (got[1].adjusted_annual_wages, got[1].wage_year, got[1].grad_program) == (4000.0, "2020", "Nursing")
+    assert got[2].adjusted_annual_wages is None and got[2].wage_year is None
+    assert got[3].adjusted_annual_wages == 4000.0
+    assert got[1].grad_quality_points == 360.0 and got[3].grad_quality_points == 900.0   # fan-out kept (H12)
+    assert got[1].years_to_completion == 2.69
