@@ -1,9 +1,11 @@
 """Benchmark: run the headline jobs and print one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 1; the best of N runs is reported per query).
-Each query is built and then fully executed into Spark's no-op sink, so the
-time covers planning and every row, without collecting to the driver.
+BENCH_REPEAT (default 3).  Each query is built and then fully executed into
+Spark's no-op sink, so the time covers planning and every row, without
+collecting to the driver.  Every query runs BENCH_REPEAT times in one session;
+``queries`` holds the median, ``cold`` the first run (which also pays JIT
+warm-up and the one-time build of the stand-in dimensions).
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -32,21 +35,20 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [k for k in sys.argv[1:]]
     load_all()
     spark = build_session(f"local[{cpus}]", app="strata-bench", shuffle_partitions=max(8, cpus * 2))
     # warm-up: JIT and parquet metadata, not timed
     QUERIES["a01_scan_project"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    times: dict[str, float] = {}
-    for key in (only or HEADLINE):
-        best = None
-        for _ in range(repeat):
+    runs: dict[str, list[float]] = {k: [] for k in (only or HEADLINE)}
+    for _ in range(repeat):
+        for key in runs:
             t0 = time.perf_counter()
             QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            best = dt if best is None else min(best, dt)
-        times[key] = round(best, 3)
+            runs[key].append(time.perf_counter() - t0)
+    times = {k: round(statistics.median(v), 3) for k, v in runs.items()}
+    cold = {k: round(v[0], 3) for k, v in runs.items()}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_jobs_total_seconds",
@@ -55,6 +57,9 @@ def main() -> None:
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
+        "repeat": repeat,
+        "cold": cold,
+        "cold_total": round(sum(cold.values()), 3),
     }))
     spark.stop()
 
