@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import bin_label, bin_sort_key
-from strata.operators.cleaning import recode
 from strata.registry import register
 from strata.sources import sinks, staging
 from strata.sources.staging import with_views
@@ -294,5 +293,3 @@ def b17_string_number(spark, sf_dir):
                      (F.substring("term_code", 1, 4).cast("int") + 4).alias("year_plus_4"))
              .distinct())
 
-
-__all__ = ["recode"]

@@ -373,8 +373,7 @@ def pgm_student_term(t: Tables) -> DataFrame:
 
 def pgm_of_study_term(t: Tables) -> DataFrame:
     o = t("orders", "o_orderkey", "o_orderpriority", "o_orderstatus")
-    return o.select(F.col("o_orderkey").alias("dim_pgm_of_study_term_key"), *_program_cols("term_")) \
-            .withColumnRenamed("term_major_cip", "term_major_cip")
+    return o.select(F.col("o_orderkey").alias("dim_pgm_of_study_term_key"), *_program_cols("term_"))
 
 
 def grad_outcomes(t: Tables) -> DataFrame:

@@ -13,6 +13,7 @@ on data values, never by dropping rows.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strata.sources.tables import Tables
@@ -114,11 +115,11 @@ def population(t: Tables) -> DataFrame:
 
 def covid_deaths(t: Tables) -> DataFrame:
     """CovidDeaths-shaped stand-in: totals as running sums, deaths as text."""
-    from pyspark.sql import Window as W
     d = daily_series(t)
     cont = F.lit(None).cast("string")
     for loc, c in CONTINENT.items():
         cont = F.when(F.col("location") == loc, c).otherwise(cont)
+    # One row per (location, day): the running totals' window is bounded by the calendar.
     w = W.partitionBy("location").orderBy("date")
     return (d.join(F.broadcast(population(t)), "location")
              .select(cont.alias("continent"), "location", "date", "population",
