@@ -28,7 +28,8 @@ def e01_running_sum(spark, sf_dir):
 
 
 @register("e02_duplicate_rows", """SELECT doc_id, lang, row_num FROM (
-    SELECT doc_id, lang, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS row_num FROM documents) d
+    SELECT doc_id, lang, CAST(row_number() OVER (PARTITION BY text ORDER BY doc_id) AS INTEGER) AS row_num
+    FROM documents) d
     WHERE row_num > 1""")
 def e02_duplicate_rows(spark, sf_dir):
     d = Tables(spark, sf_dir)("documents", "doc_id", "text", "lang")
