@@ -122,7 +122,7 @@ def i12_date_sub(spark, sf_dir):
 
 
 @register("i13_elapsed_years", with_views("""SELECT l_orderkey, l_linenumber,
-    round(datediff('day', order_date, ship_date) / 365.25, 2) AS years FROM li""", "li"))
+    round(datediff('day', order_date, ship_date) / 365.25, 2) + 0.0 AS years FROM li""", "li"))
 def i13_elapsed_years(spark, sf_dir):
     li = staging.line_terms(Tables(spark, sf_dir))
     return li.select("l_orderkey", "l_linenumber", elapsed_years("ship_date", "order_date").alias("years"))

@@ -30,7 +30,8 @@ def norm(v):
         if math.isnan(v):
             return None
         r = round(v, 9)
-        return 0.0 if r == 0 else r
+        # keep the sign of zero: -0.0 and 0.0 print (and may hash) differently
+        return r
     if isinstance(v, decimal.Decimal):
         return norm(float(v))
     if isinstance(v, dt.datetime):
