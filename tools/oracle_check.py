@@ -23,12 +23,17 @@ from strata.session import build_session  # noqa: E402
 from strata.sources.tables import TABLES, table_path  # noqa: E402
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"   # compare floats bit for bit
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
+        if STRICT:
+            return v
         r = round(v, 9)
         # keep the sign of zero: -0.0 and 0.0 print (and may hash) differently
         return r
