@@ -24,8 +24,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Parquet scan splits: 128 MB keeps each task's input well inside executor memory.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
-    # AQE merges shuffle partitions up to this size (rather than to keep every
-    # core busy), so a generous partition count costs little on small inputs.
+    # On a shared cluster AQE merges shuffle partitions up to this size rather
+    # than keeping every core busy, so a generous partition count costs little
+    # (local sessions keep Spark's parallelism-first default; see build_session).
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # Checkpoint files of collected DataFrames are removed from the shared folder.
@@ -50,8 +51,11 @@ def build_session(master: str | None = None, app: str = "strata",
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     if master and master.startswith("local"):
-        # Local mode: the driver JVM is the only executor.
+        # Local mode: the driver JVM is the only executor, and with small inputs
+        # merging shuffles down to the advisory size would leave one task per
+        # stage, so keep at least one partition per core.
         conf["spark.driver.memory"] = "12g"
+        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
