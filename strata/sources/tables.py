@@ -63,9 +63,8 @@ def constant_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
     so no Python worker is needed to scan it, unlike ``createDataFrame`` on a
     local list."""
     from pyspark.sql import functions as F
-    from pyspark.sql.types import _parse_datatype_string
 
-    st = _parse_datatype_string(schema)
+    st = StructType.fromDDL(schema)
     if not rows:
         return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
     structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
