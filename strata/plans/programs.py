@@ -163,7 +163,10 @@ def transfers(nsc: DataFrame, institutions: DataFrame, ay: DataFrame,
     first_year = ay.select(F.min(F.substring("academic_year", 1, 4).cast("int"))).scalar()
     t = nsc.join(institutions, "dim_institution_key")
     t = t.filter((F.year("enrollment_begin_date") >= first_year) & ~F.col("opeid").isin(list(own_opeids)))
-    return t.select("pidm", F.col("enrollment_begin_date").alias("transfer_date"), "institution_level").distinct()
+    # Calendar days: a begin date carrying a time of day still falls inside a
+    # window that ends on that day.
+    return t.select("pidm", F.to_date("enrollment_begin_date").alias("transfer_date"),
+                    "institution_level").distinct()
 
 
 def _first_transfer_per_year(tr: DataFrame, ay: DataFrame, start: str, end: str, name: str) -> DataFrame:

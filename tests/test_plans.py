@@ -254,3 +254,75 @@ def test_graduate_wages_fan_out_and_missing(spark):
     assert got[3].adjusted_annual_wages == 4000.0
     assert got[1].grad_quality_points == 360.0 and got[3].grad_quality_points == 900.0   # fan-out kept (H12)
     assert got[1].years_to_completion == 2.69
+
+
+def test_retention_rules(spark):
+    cols = ("pidm int, academic_year string, area_of_study string, program string, degree_code string, cip string, "
+            "quality_points double, gpa_credits double, grad_date date, grad_term_code string, "
+            "grad_area_of_study string, grad_program string, grad_degree_code string, grad_cip string, "
+            "grad_quality_points double, grad_gpa_credits double, wage_year string, adjusted_annual_wages double, "
+            "wage_bin string, years_to_completion double, transfer_date_this_year date, transfer_date_next_year date")
+
+    def row(pidm, year, program, degree="AS", grad=None, transfer_next=None):
+        return (pidm, year, "Area", program, degree if program else None, "C", None, None, None, None, None, grad,
+                None, None, None, None, None, None, "None", None, None, transfer_next)
+    combined = spark.createDataFrame([
+        row(1, "2019-20", "P"), row(1, "2020-21", "P"),                    # retained into next year
+        row(2, "2019-20", "A"), row(2, "2019-20", "B"),                    # two programs in one year
+        row(3, "2019-20", "P", grad="P"),                                  # graduated
+        row(4, "2019-20", "P", transfer_next=D(2020, 10, 1)),              # transferred out next year
+        row(5, "2019-20", None),                                           # not enrolled
+        row(6, "2019-20", "P"), row(6, "2020-21", None),                   # next row has no program
+        row(7, "2019-20", "Q", degree=None), row(7, "2019-20", "Q", degree="AS"),   # NULL degree sorts last (H5)
+    ], cols)
+    students = spark.createDataFrame([
+        (1, "201940", "F", "Asia", "Y", "U"), (2, "201940", "M", "Asia", "X", "X"),
+    ] + [(k, "201940", "F", "Asia", "N", "Y") for k in (3, 4, 5, 6, 7)],
+        "pidm int, first_term_non_concurrent string, gender string, race string, hispanic_ind string, "
+        "first_generation_ind string")
+    terms = spark.createDataFrame([("201940", D(2019, 9, 1))], "term_code string, term_start_date date")
+    calc = programs.retention(combined, students, terms)
+    got = {(r.pidm, r.academic_year, r.program, r.degree_code): (r.retained_numerator, r.retained_denominator)
+           for r in calc.collect()}
+    assert got[(1, "2019-20", "P", "AS")] == ("Yes", "Yes")
+    assert got[(1, "2020-21", "P", "AS")] == ("No", "Yes")
+    assert got[(2, "2019-20", "A", "AS")] == ("Same Year", "Same Year")
+    assert got[(2, "2019-20", "B", "AS")] == ("No", "Yes")
+    assert got[(3, "2019-20", "P", "AS")] == ("No", "No")
+    assert got[(4, "2019-20", "P", "AS")] == ("No", "No")
+    assert got[(5, "2019-20", None, None)] == ("Not Enrolled", "Not Enrolled")
+    assert got[(6, "2019-20", "P", "AS")] == ("No", "Yes")
+    seq = {r.degree_code: r.enrolled_seq for r in calc.collect() if r.pidm == 7}
+    assert seq == {"AS": 1, None: 2}
+    demo = {r.pidm: (r.hispanic_origin, r.first_generation, r.first_term_nc_start_date) for r in calc.collect()}
+    assert demo[1] == ("Hispanic or Latinx", "Unknown", D(2019, 9, 1))
+    assert demo[2] == ("Prefer not to Say", None, D(2019, 9, 1))
+    # invariant: the numerator's students are a subset of the denominator's
+    num = {r.pidm for r in calc.collect() if r.retained_numerator == "Yes"}
+    den = {r.pidm for r in calc.collect() if r.retained_denominator == "Yes"}
+    assert num <= den
+
+
+def test_transfer_on_the_last_day_with_a_time(spark):
+    import datetime as _dt
+    nsc = spark.createDataFrame([
+        (1, _dt.datetime(2020, 8, 31, 15, 0), "000001", 2),      # last day of 2019-20, afternoon (H25)
+        (2, _dt.datetime(2020, 9, 1, 0, 0), "005220", 2),        # own institution: excluded
+        (3, _dt.datetime(2018, 5, 1, 0, 0), "000001", 2),        # before the first calendar year
+    ], "pidm int, enrollment_begin_date timestamp_ntz, opeid string, dim_institution_key int")
+    inst = spark.createDataFrame([(2, "2-year")], "dim_institution_key int, institution_level string")
+    ay = spark.createDataFrame([("2019-20", D(2019, 9, 1), D(2020, 8, 31), D(2020, 9, 1), None)],
+                               "academic_year string, ay_start_date date, ay_end_date date, ny_start_date date, "
+                               "ny_end_date date")
+    tr = programs.transfers(nsc, inst, ay)
+    assert rows(tr) == [(1, D(2020, 8, 31), "2-year")]
+    spine = spark.createDataFrame([(1, "2019-20")], "pidm int, academic_year string")
+    empty = lambda schema: spark.createDataFrame([], schema)
+    enroll = empty("pidm int, academic_year string, area_of_study string, program string, degree_code string, "
+                   "cip string, quality_points_ay double, gpa_credits_ay double, seq int")
+    grads = empty("pidm int, grad_year string, grad_date date, grad_term_code string, grad_area_of_study string, "
+                  "grad_program string, grad_degree_code string, grad_cip string, grad_quality_points double, "
+                  "grad_gpa_credits double, wage_year string, adjusted_annual_wages double, "
+                  "years_to_completion double")
+    c = programs.combine(spine, ay, enroll, grads, tr).first()
+    assert (c.transfer_date_this_year, c.transfer_date_next_year, c.wage_bin) == (D(2020, 8, 31), None, "None")
