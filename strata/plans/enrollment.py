@@ -106,10 +106,13 @@ def enrollment_snapshot(facts: DataFrame, dim_student_term: DataFrame, dim_cours
 
 
 def enrollment_targets(dse: DataFrame, periods: DataFrame,
-                       knobs: Sequence[tuple[str, float]] = DEFAULT_KNOBS) -> DataFrame:
+                       knobs: Sequence[tuple[str, float]] = DEFAULT_KNOBS,
+                       all_from_totals_only: bool = False) -> DataFrame:
     """Per (campus, season): round(avg(measure) x knob) over past terms (not the
     latest term of each season).  The 'All' target averages *every* row of the
-    season, campus rows and total rows alike, as the reference does (H9)."""
+    season, campus rows and total rows alike, as the reference does (H9);
+    ``all_from_totals_only=True`` averages the 'All' rows only (a college-wide
+    average)."""
     spark = dse.sparkSession
     k = constant_frame(spark, list(knobs), "term_season string, knob double")
     latest = (periods.groupBy(F.substring("term_code", 5, 100)).agg(F.max("term_code").alias("latest")))
@@ -121,7 +124,8 @@ def enrollment_targets(dse: DataFrame, periods: DataFrame,
     tgt = [F.round(F.avg(m) * F.max("knob")).alias(f"{m}_tar") for m in MEASURES]
     by_campus = (base.filter(F.col("campus_code") != "All")
                      .groupBy("campus_code", "term_season").agg(*tgt))
-    overall = base.groupBy("term_season").agg(*tgt).withColumn("campus_code", F.lit("All"))
+    src = base.filter(F.col("campus_code") == "All") if all_from_totals_only else base
+    overall = src.groupBy("term_season").agg(*tgt).withColumn("campus_code", F.lit("All"))
     return by_campus.unionByName(overall).distinct()
 
 

@@ -84,10 +84,12 @@ def unlisted_types(txns: DataFrame, cols: LedgerCols = LedgerCols()) -> DataFram
                 .groupBy(t.alias("txn_type")).agg(F.count(F.lit(1)).alias("n")))
 
 
-def sell_through(txns: DataFrame, cols: LedgerCols = LedgerCols(), item_type: str = "doll") -> DataFrame:
+def sell_through(txns: DataFrame, cols: LedgerCols = LedgerCols(), item_type: str = "doll",
+                 keep_unsold: bool = False) -> DataFrame:
     """Items purchased and sold per lot, for one item type.  Both counts come
     from one pass (conditional counts), then lots with no sale are dropped, as
-    the reference's inner join of the two count views does (H29)."""
+    the reference's inner join of the two count views does (H29);
+    ``keep_unsold=True`` keeps lots that bought but sold nothing (0 sold)."""
     clean = clean_ledger(txns, cols)
     t = F.col(cols.txn_type)
     counts = (clean.filter(F.col(cols.item_type) == item_type)
@@ -99,7 +101,8 @@ def sell_through(txns: DataFrame, cols: LedgerCols = LedgerCols(), item_type: st
                         F.count_if(t == "revenue").alias("__s")))
     # Inner join semantics: a lot needs at least one purchase row and one sale
     # row; the join key itself must be non-NULL.
-    return (counts.filter((F.col("__p") > 0) & (F.col("__s") > 0) & F.col(cols.lot).isNotNull())
+    present = (F.col("__p") > 0) if keep_unsold else ((F.col("__p") > 0) & (F.col("__s") > 0))
+    return (counts.filter(present & F.col(cols.lot).isNotNull())
                   .select(F.col(cols.lot).alias("LotName"), "ItemsPurchased", "ItemsSold"))
 
 

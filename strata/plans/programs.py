@@ -118,15 +118,21 @@ def enrollment_detail(course_history: DataFrame, student_term: DataFrame, dim_te
 
 
 def graduate_outcomes(grads: DataFrame, dim_student: DataFrame, wages: DataFrame, dim_term: DataFrame,
-                      program_of_study: DataFrame, ay: DataFrame) -> DataFrame:
+                      program_of_study: DataFrame, ay: DataFrame, preaggregate_wages: bool = False) -> DataFrame:
     """Graduates with annualised wages four calendar years after graduation and
     years to completion.  As in the reference, the wage join fans out *before*
     the per-term sums (H12); a graduate with no wage row gets NULL wages (the
-    reference's 4 / 0, H14)."""
+    reference's 4 / 0, H14).  ``preaggregate_wages=True`` first reduces the
+    wages to one row per (student, wage year): annualised wages are unchanged,
+    and the GPA sums are no longer multiplied by the number of wage rows."""
     g = grads.filter((F.col("ug_ap_graduated_ind") == "Y") | (F.col("sat_graduated_ind") == "Y"))
     g = g.join(dim_student.select("dim_student_key", "first_term_non_concurrent"), "dim_student_key")
     w = wages.select(F.col("pidm").alias("w_pidm"), "quarter", "wages",
                      F.substring("quarter", 1, 4).alias("wage_year"))
+    if preaggregate_wages:
+        w = w.groupBy("w_pidm", "wage_year").agg(F.sum("wages").alias("wages"),
+                                                  F.count_distinct("quarter").alias("__nq0"))
+        w = w.withColumn("quarter", F.lit(None).cast("string"))
     g = g.join(w, (g.pidm == w.w_pidm) & (w.wage_year.cast("int") == F.year("graduation_date") + 4), "left")
     dt_ = dim_term.filter(~F.col("academic_year").isin(EXCLUDED_YEARS)).select(
         F.col("term_code").alias("__tc"), F.col("term_name").alias("grad_term_name"),
@@ -138,10 +144,11 @@ def graduate_outcomes(grads: DataFrame, dim_student: DataFrame, wages: DataFrame
     g = g.join(first, g.first_term_non_concurrent == first.__ftc, "left")
     g = g.withColumn("__qp", F.col("cum_institution_gpa") * F.col("cum_institution_credits"))
     g = reliable_checkpoint(g)   # the joined graduates feed two grouped aggregates
+    quarters = F.max("__nq0") if preaggregate_wages else F.count_distinct("quarter")
     g = partition_aggs(g, [
         (["pidm", "term_code"], {"grad_quality_points": F.sum("__qp"),
                                  "grad_gpa_credits": F.sum("cum_institution_credits")}),
-        (["w_pidm", "wage_year"], {"__wsum": F.sum("wages"), "__nq": F.count_distinct("quarter")}),
+        (["w_pidm", "wage_year"], {"__wsum": F.sum("wages"), "__nq": quarters}),
     ])
     return g.select(
         "pidm", F.col("term_code").alias("grad_term_code"), "grad_term_name",

@@ -326,3 +326,42 @@ def test_transfer_on_the_last_day_with_a_time(spark):
                   "years_to_completion double")
     c = programs.combine(spine, ay, enroll, grads, tr).first()
     assert (c.transfer_date_this_year, c.transfer_date_next_year, c.wage_bin) == (D(2020, 8, 31), None, "None")
+
+
+def test_corrected_options(spark):
+    # Keep lots that bought but never sold
+    sell = ledger.sell_through(_ledger(spark), keep_unsold=True)
+    assert rows(sell) == [("lot A", 1, 1), ("lot B", 1, 0), ("lot C", 1, 2)]
+    # H9: the 'All' target from total rows only
+    dse = spark.createDataFrame([("201940", "Fall", "A", 10), ("201940", "Fall", "B", 20),
+                                 ("201940", "Fall", "All", 30), ("202040", "Fall", "All", 99)],
+                                "term_code string, term_season string, campus_code string, new_stu long")
+    for m in enrollment.MEASURES[1:]:
+        dse = dse.withColumn(m, F.lit(0).cast("long"))
+    periods = spark.createDataFrame([("201940", 1, 0), ("202040", 1, 0)],
+                                    "term_code string, days_since_reg_start int, dsrs int")
+    got = {r.campus_code: r.new_stu_tar
+           for r in enrollment.enrollment_targets(dse, periods, all_from_totals_only=True).collect()}
+    assert got["All"] == 28.0                                    # round(30 x .925)
+
+
+def test_preaggregated_wages_remove_the_fan_out(spark):
+    grads = spark.createDataFrame([(3, "201630", D(2016, 5, 10), "Y", "N", 3, 201630, 503, 3.0, 60.0)],
+                                  "pidm int, term_code string, graduation_date date, ug_ap_graduated_ind string, "
+                                  "sat_graduated_ind string, dim_student_key int, dim_term_key int, "
+                                  "dim_program_of_study_key int, cum_institution_gpa double, "
+                                  "cum_institution_credits double")
+    students = spark.createDataFrame([(3, "201340")], "dim_student_key int, first_term_non_concurrent string")
+    wages = spark.createDataFrame([(3, "2020Q1", 500.0), (3, "2020Q1", 500.0), (3, "2020Q2", 1000.0)],
+                                  "pidm int, quarter string, wages double")
+    dim_term = spark.createDataFrame([("201630", "Summer 2016", "2015-16", D(2016, 5, 1)),
+                                      ("201340", "Fall 2013", "2013-14", D(2013, 9, 1))],
+                                     "term_code string, term_name string, academic_year string, term_start_date date")
+    pos = spark.createDataFrame([(503, "Health", "Nursing", "AS", "51")],
+                                "dim_program_of_study_key int, area_of_study string, program_name string, "
+                                "degree_code string, major_cip string")
+    ay = spark.createDataFrame([("2015-16",)], "academic_year string")
+    faithful = programs.graduate_outcomes(grads, students, wages, dim_term, pos, ay).first()
+    fixed = programs.graduate_outcomes(grads, students, wages, dim_term, pos, ay, preaggregate_wages=True).first()
+    assert faithful.adjusted_annual_wages == fixed.adjusted_annual_wages == 4000.0
+    assert (faithful.grad_quality_points, fixed.grad_quality_points) == (540.0, 180.0)
