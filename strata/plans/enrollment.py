@@ -105,6 +105,13 @@ def enrollment_snapshot(facts: DataFrame, dim_student_term: DataFrame, dim_cours
                       "days_since_reg_start", *aggs.keys())
 
 
+def repeated_snapshot_rows(dse: DataFrame) -> DataFrame:
+    """Snapshot keys that occur more than once (H28: the drop deadline is grouped
+    but not selected, so a term with two deadlines repeats its rows)."""
+    keys = ["term_code", "campus_code", "dim_date_key", "days_since_reg_start"]
+    return dse.groupBy(*keys).count().filter(F.col("count") > 1)
+
+
 def enrollment_targets(dse: DataFrame, periods: DataFrame,
                        knobs: Sequence[tuple[str, float]] = DEFAULT_KNOBS,
                        all_from_totals_only: bool = False) -> DataFrame:

@@ -365,3 +365,26 @@ def test_preaggregated_wages_remove_the_fan_out(spark):
     fixed = programs.graduate_outcomes(grads, students, wages, dim_term, pos, ay, preaggregate_wages=True).first()
     assert faithful.adjusted_annual_wages == fixed.adjusted_annual_wages == 4000.0
     assert (faithful.grad_quality_points, fixed.grad_quality_points) == (540.0, 180.0)
+
+
+def test_two_drop_deadlines_repeat_snapshot_rows(spark):
+    facts = spark.createDataFrame([("202040", 20201010, 10, 1, 3.0, "A", 11, 1, 202040, 101)],
+                                  "term_code string, dim_date_key int, days_since_reg_start int, pidm int, "
+                                  "credits_attempted double, crn string, dim_student_term_key int, "
+                                  "dim_course_key int, dim_term_key int, dim_section_key int")
+    dst = spark.createDataFrame([(11, "N")], "dim_student_term_key int, continuing_student_ind string")
+    course = spark.createDataFrame([(1,)], "dim_course_key int")
+    term = spark.createDataFrame([(202040, "Fall", "Fall 2020", D(2020, 9, 15)),
+                                  (202040, "Fall", "Fall 2020", D(2020, 9, 22))],      # two deadlines (H28)
+                                 "dim_term_key int, term_season string, term_name string, "
+                                 "registration_drop_deadline date")
+    section = spark.createDataFrame([(101, "M", "Main", "Y", None, 20, 99, 30, 99, 2)],
+                                    "dim_section_key int, campus_code string, campus string, "
+                                    "budget_related_ind string, cross_list_group string, "
+                                    "students_enrolled_section int, students_enrolled_group int, "
+                                    "max_enrollment_section int, max_enrollment_group int, "
+                                    "students_enrolled_waitlist int")
+    periods = spark.createDataFrame([("202040", 11, 10)], "term_code string, days_since_reg_start int, dsrs int")
+    dse = enrollment.enrollment_snapshot(facts, dst, course, term, section, periods)
+    assert dse.count() == 4                                   # (M, All) x two deadlines, as the reference gives
+    assert rows(enrollment.repeated_snapshot_rows(dse), "campus_code", "count") == [("All", 2), ("M", 2)]
