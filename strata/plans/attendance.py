@@ -24,8 +24,8 @@ from strata.functions.dates import year_diff
 from strata.functions.numeric import percent
 from strata.operators.joins import join_small, membership_flag
 from strata.operators.windows import partition_aggs, row_number_by
-from strata.session import reliable_checkpoint  # noqa: E402
-from strata.sources.tables import constant_frame  # noqa: E402
+from strata.session import reliable_checkpoint
+from strata.sources.tables import constant_frame
 
 # Point of dropout by (highest year in program, highest term number in the
 # school year): fixed labels of the reference; any other pair is 'None'.

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from strata.functions.dates import parse_date_key
 from strata.operators.joins import join_small, membership_flag
 from strata.operators.reshape import partial_rollup
-from strata.sources.tables import constant_frame  # noqa: E402
+from strata.sources.tables import constant_frame
 
 # Target factor per season: fixed values of the reference.
 DEFAULT_KNOBS = [("Fall", 0.925), ("Spring", 0.925), ("Summer", 0.925)]

@@ -9,7 +9,7 @@ from strata.registry import register
 from strata.sources import sinks, staging
 from strata.sources.staging import with_views
 from strata.sources.tables import Tables
-from strata.sources.tables import constant_frame  # noqa: E402
+from strata.sources.tables import constant_frame
 
 # --------------------------------------------------------------------------- A: scans, sources, sinks
 

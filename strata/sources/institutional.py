@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from strata.sources import staging
 from strata.sources.tables import Tables
-from strata.sources.tables import constant_frame  # noqa: E402
+from strata.sources.tables import constant_frame
 
 # Season suffix -> (label, first month): fixed values of the stand-in.
 SEASONS = {"20": ("Spring", 1), "30": ("Summer", 5), "40": ("Fall", 9)}

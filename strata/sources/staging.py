@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strata.sources.tables import Tables
-from strata.sources.tables import constant_frame  # noqa: E402
+from strata.sources.tables import constant_frame
 
 
 def _season(month: Column) -> Column:
