@@ -23,7 +23,6 @@ from strata.functions.numeric import WAGE_BINS, bin_label, bin_sort_key
 from strata.functions.text import before_delimiter
 from strata.operators.joins import null_safe_on, strict_on
 from strata.operators.reshape import template_grain
-from strata.operators.joins import null_safe_on as _nso
 from strata.operators.windows import dense_rank_by, dense_rank_table, partition_aggs, row_number_by
 from strata.session import reliable_checkpoint
 
@@ -113,7 +112,7 @@ def enrollment_detail(course_history: DataFrame, student_term: DataFrame, dim_te
         (["pidm", "term_code"], {"quality_points_term": F.sum("__qp"), "gpa_credits_term": F.sum("gpa_credits")}),
         (["pidm", "academic_year"], {"quality_points_ay": F.sum("__qp"), "gpa_credits_ay": F.sum("gpa_credits")}),
     ])
-    out = out.join(ranks, _nso(out, ranks, ["pidm", "academic_year", "term_code"], ["__rp", "__ry", "__rt"]), "left")
+    out = out.join(ranks, null_safe_on(out, ranks, ["pidm", "academic_year", "term_code"], ["__rp", "__ry", "__rt"]), "left")
     return out.drop("__qp", "gpa_credits", "__rp", "__ry", "__rt").distinct()
 
 
