@@ -79,3 +79,10 @@ def test_global_rank_has_no_single_partition_window_over_rows(spark):
 def test_rollup_uses_expand_once(spark):
     plan = _plan(QUERIES["d10_partial_rollup"](spark, MID))
     assert "Expand" in plan and "NestedLoop" not in plan
+
+
+def test_fixed_pivot_is_one_exchange(spark):
+    plan = _plan(QUERIES["l18_lot_pnl"](spark, MID))
+    # one map-side-combined aggregate: partial sums, one exchange, final sums
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "partial_sum" in plan
