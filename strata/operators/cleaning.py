@@ -59,3 +59,13 @@ def recode(col: Column | str, mapping: Mapping[str, str], default: Column | str
         return out
     d = F.col(default) if isinstance(default, str) else default
     return out.otherwise(d)
+
+
+def repeated_values(df: DataFrame, col: str) -> DataFrame:
+    """Values of ``col`` held by more than one row (a map-side-combined count).
+
+    With ``col`` a hash of a long text, only rows under a repeated hash can be
+    duplicates, so whole texts need comparing (and shuffling) only there.
+    """
+    return (df.groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
+              .filter(F.col("__n") > 1).select(col))

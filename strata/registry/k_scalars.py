@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strata.functions.dates import elapsed_years, month_abbrev, parse_date_key, year_diff
 from strata.functions.numeric import percent
 from strata.functions.text import before_delimiter, concat_null_as_empty, part_from_right, split_first
-from strata.operators.cleaning import fill_from_group, fill_zero, recode, sentinel_to_null
+from strata.operators.cleaning import fill_from_group, fill_zero, recode, repeated_values, sentinel_to_null
 from strata.operators.reshape import pivot_fixed
 from strata.operators.windows import keep_first
 from strata.plans import ledger
@@ -226,7 +226,12 @@ def j06_drop_columns(spark, sf_dir):
     SELECT doc_id, lang, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) d WHERE rn = 1""")
 def j07_dedupe_keep_first(spark, sf_dir):
     d = Tables(spark, sf_dir)("documents", "doc_id", "text", "lang").withColumn("__h", F.xxhash64("text"))
-    return keep_first(d, ["__h", "text"], "doc_id").select("doc_id", "lang")
+    # Rows with a unique text hash are kept as they are; whole texts are
+    # compared only inside repeated hashes (exact: equal texts share a hash).
+    cand = repeated_values(d, "__h")
+    unique = d.join(cand, "__h", "left_anti")
+    firsts = keep_first(d.join(cand, "__h", "left_semi"), ["__h", "text"], "doc_id")
+    return unique.unionByName(firsts).select("doc_id", "lang")
 
 
 @register("j08_append", """SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'

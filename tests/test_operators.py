@@ -168,3 +168,9 @@ def test_skew_safe_operators_equal_windows(spark, data, hot):
     want = df.withColumns({"s": F.sum("v").over(w), "d": F.dense_rank().over(w.orderBy("v"))})
     got = dense_rank_by(partition_aggs(df, [(["k"], {"s": F.sum("v")})]), ["k"], "v", name="d", hot_rows=hot)
     assert rows(got, "k", "v", "id", "s", "d") == rows(want, "k", "v", "id", "s", "d")
+
+
+def test_repeated_values_narrow_the_text_comparison(spark):
+    from strata.operators.cleaning import repeated_values
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None), (5, None)], "id int, t string")
+    assert rows(repeated_values(df, "t")) == sorted([("a",), (None,)], key=repr)
