@@ -99,7 +99,7 @@ def signatures(sets: list[np.ndarray], rows: int, bands: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, k: int, rows: int, bands: int) -> DataFrame:
-    """(id, n_shingles, set_key, bands): null key and bands for a text without words."""
+    """(id, th, n_shingles, set_key, bands): null key and bands for a text without words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", PART):
@@ -112,10 +112,10 @@ def sketches(docs: DataFrame, k: int, rows: int, bands: int) -> DataFrame:
                     keys[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                     lists[i] = band
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(lists, pa.list_(pa.int64()))], ["id", "n_shingles", "set_key", "bands"])
+                [b.column("id"), b.column("th"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
+                 pa.array(lists, pa.list_(pa.int64()))], ["id", "th", "n_shingles", "set_key", "bands"])
 
-    return docs.mapInArrow(run, "id long, n_shingles long, set_key binary, bands array<long>")
+    return docs.mapInArrow(run, "id long, th long, n_shingles long, set_key binary, bands array<long>")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -198,10 +198,12 @@ def remaining_pairs(stars: DataFrame, least: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST,
                     bands: tuple[int, int] | None = None) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text)."""
+    """(doc_id, n_shingles, component_id, kept, th) for every row of ``docs`` (doc_id, text);
+    ``th`` is xxhash64 of the text (null: empty)."""
     rows, count = bands or BANDS[least]
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "text")
-    sketch = written(sketches(docs, shingle, rows, count), "sketches")
+    th = F.xxhash64(F.coalesce("text", F.lit("")))
+    sketch = written(sketches(docs.select("id", th.alias("th"), "text"), shingle, rows, count), "sketches")
     classes = written(sketch.where("set_key IS NOT NULL").groupBy("set_key").agg(
         F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands")), "classes")
     member = classes.select("rep", "copies", F.explode("bands").alias("bucket"))
@@ -221,12 +223,23 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST,
     discard(sets, stars, pairs, ids)
     of_class = classes.select("set_key", "rep").join(found, F.col("rep") == F.col("node"), "left").select(
         F.col("set_key").alias("_key"), F.coalesce("component", "rep").alias("_component"))
-    out = sketch.select("id", "n_shingles", "set_key").join(of_class, F.col("set_key") == F.col("_key"), "left")
+    out = sketch.select("id", "th", "n_shingles", "set_key").join(of_class, F.col("set_key") == F.col("_key"), "left")
     component = F.coalesce("_component", "id")
     null = lambda c: F.when(c != F.lit(NULL_ID), c)
     return out.select(null(F.col("id")).alias("doc_id"), "n_shingles", null(component).alias("component_id"),
-                      (F.col("id") == component).alias("kept"))
+                      (F.col("id") == component).alias("kept"), "th")
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST) -> DataFrame:
+    """``docs`` with one document (the smallest id) of each group; rows that repeat an
+    id and its text are one document and stay together."""
+    gone = near_duplicates(docs.select("doc_id", "text"), shingle, least).where("NOT kept").select(
+        F.col("doc_id").alias("_gone"), F.col("th").alias("_gone_th")).distinct()
+    gone = written(gone, "gone")
+    side = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    on = F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_gone_th"))
+    return docs.join(side, on, "left_anti")
 
 
 def op7_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir, "doc_id", "text"), shingle=3, least=85)
+    return near_duplicates(documents(spark, sf_dir, "doc_id", "text"), shingle=3, least=85).drop("th")

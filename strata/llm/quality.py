@@ -27,6 +27,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,9 @@ POOLED, RIDGE = 0.3, 1e-2
 #: Log-odds are divided by this before the logistic function.
 TEMPER = 4.0
 
+#: Labels are broadcast up to this many (16 bytes each), else joined by a shuffle.
+BROADCAST_LABELS = 500_000
+
 FEATURES = ("words", "word_length", "word_length_sd", "symbols", "upper", "digits", "marks", "exclaims", "sentences",
             "lines", "distinct_words", "distinct_pairs", "repeats", "top_word", "short_words", "long_words", "marked_words")
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>@^~=+_{}[]\\/", np.uint8))
@@ -201,6 +205,28 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
                       F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
 
 
+def scored(docs: DataFrame, model: Discriminant, text: str = "text", out: str = "score") -> DataFrame:
+    """``docs`` with the score of every row; its other columns do not pass through Python."""
+
+    @F.pandas_udf("double")
+    def score_of(texts: pd.Series) -> pd.Series:
+        batch = pa.record_batch([pa.array(texts, pa.string(), from_pandas=True)], ["text"])
+        parts = [model.score(statistics(b.column("text"))) for b in slices([batch])]
+        return pd.Series(np.concatenate([*parts, np.zeros(0)]))
+
+    return docs.withColumn(out, score_of(F.col(text)))
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> Discriminant:
+    """Fit on the labelled rows of ``docs`` outside the held-out fold; only those are measured."""
+    known = labels.where("quality IN (0, 1)").where(crc_mod("doc_id", FOLDS) != 0).select(
+        F.col("doc_id").alias("_id"), F.col("quality").cast("long").alias("label"))
+    if known.count() <= BROADCAST_LABELS:
+        known = F.broadcast(known)
+    rows = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id")).select(F.col("label").alias("doc_id"), "text")
+    return fit(features(rows).select("x", F.col("doc_id").alias("label")))
+
+
 def op6_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     return classify(documents(spark, sf_dir, "doc_id", "text"), labels)
