@@ -29,8 +29,10 @@ def split_first(s: Column | str, delim: str = ",") -> tuple[Column, Column]:
 
 def part_from_right(s: Column | str, n: int, delim: str = ",") -> Column:
     """The n-th part counting from the right (1 = last), trimmed; NULL when the
-    text has fewer parts (PARSENAME(REPLACE(s, ',', '.'), n))."""
-    parts = F.split(_c(s), delim)
+    text has fewer parts (PARSENAME(REPLACE(s, ',', '.'), n)).  The delimiter is
+    taken literally."""
+    quoted = "\\Q" + delim.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    parts = F.split(_c(s), quoted)
     return F.trim(F.try_element_at(parts, F.lit(-n)))
 
 

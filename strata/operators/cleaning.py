@@ -8,12 +8,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import null_safe_on
+from strata.operators.joins import strict_on
 
 
 def sentinel_to_null(df: DataFrame, col: str, sentinel: str = "NULL") -> DataFrame:
-    """``UPDATE t SET c = NULL WHERE c = 'NULL'``."""
-    return df.withColumn(col, F.nullif(F.col(col), F.lit(sentinel)))
+    """``UPDATE t SET c = NULL WHERE c = 'NULL'`` under a collation that ignores case."""
+    return df.withColumn(col, F.when(F.lower(F.col(col)) != F.lit(sentinel.lower()), F.col(col)))
 
 
 def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -28,13 +28,14 @@ def fill_from_group(df: DataFrame, group: Sequence[str], col: str) -> DataFrame:
     The reference's UPDATE ... FROM self-join takes an arbitrary donor; here the
     donor is the group's minimum (deterministic).  A ``groupBy`` with map-side
     combine finds donors, a join brings them back: no all-pairs self-join and no
-    group gathered in one task.
+    group gathered in one task.  The groups are compared by equality, as there: a
+    row without a group stays as it is.
     """
     group = list(group)
     donors = (df.filter(F.col(col).isNotNull())
                 .groupBy(*group).agg(F.min(col).alias("__donor")))
     donors = donors.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "__donor")
-    on = null_safe_on(df, donors, group, [f"__g{i}" for i in range(len(group))])
+    on = strict_on(df, donors, group, [f"__g{i}" for i in range(len(group))])
     out = df.join(donors, on, "left")
     return (out.withColumn(col, F.coalesce(F.col(col), F.col("__donor")))
                .drop("__donor", *[f"__g{i}" for i in range(len(group))]))
@@ -48,10 +49,14 @@ def conflicting_donors(df: DataFrame, group: Sequence[str], col: str) -> DataFra
               .filter(F.col("n_values") > 1))
 
 
-def recode(col: Column | str, mapping: Mapping[str, str], default: Column | str | None = None) -> Column:
+def recode(col: Column | str, mapping: Mapping[str, str], default: Column | str | None = None,
+           any_case: bool = False) -> Column:
     """``CASE col WHEN k THEN v ... ELSE default END``; ``default=None`` keeps NULL,
-    pass the column itself to keep unlisted values."""
+    pass the column itself to keep unlisted values.  ``any_case``: compare as a
+    collation that ignores case does."""
     c = F.col(col) if isinstance(col, str) else col
+    if any_case:
+        c, mapping = F.lower(c), {k.lower(): v for k, v in mapping.items()}
     out = None
     for k, v in mapping.items():
         out = F.when(c == k, F.lit(v)) if out is None else out.when(c == k, F.lit(v))

@@ -90,23 +90,20 @@ def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     keys = list(keys)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     if hot_rows is None:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)))
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)).cast("long"))
     skeys = list(size_keys or keys)
     ks = [f"__k{i}" for i in range(len(skeys))]
     hot = ((sizes_from if sizes_from is not None else df).groupBy(*skeys).agg(F.count(F.lit(1)).alias("__n"))
              .filter(F.col("__n") > hot_rows)
              .select(*[F.col(k).alias(a) for k, a in zip(skeys, ks)], F.lit(True).alias("__hot")))
-    # At most rows / hot_rows keys can be hot; the set is counted before it is
-    # broadcast.
-    hot_keys = hot.count()
-    if hot_keys == 0:
+    if hot.isEmpty():
         w = Window.partitionBy(*keys).orderBy(*order_cols)
-        return df.withColumn(name, F.row_number().over(w))
-    hot_b = F.broadcast(hot) if hot_keys <= 100_000 else hot
-    tagged = df.join(hot_b, null_safe_on(df, hot, skeys, ks), "left").drop(*ks)
+        return df.withColumn(name, F.row_number().over(w).cast("long"))
+    # At most rows / hot_rows keys are hot; Spark sizes this join itself.
+    tagged = df.join(hot, null_safe_on(df, hot, skeys, ks), "left").drop(*ks)
     w = Window.partitionBy(*keys).orderBy(*order_cols)
     normal = (tagged.filter(F.col("__hot").isNull()).drop("__hot")
-                    .withColumn(name, F.row_number().over(w)))
+                    .withColumn(name, F.row_number().over(w).cast("long")))
     hot_part = _ranged_row_number(tagged.filter(F.col("__hot")).drop("__hot"), keys, order_cols, name,
                                   num_partitions or _shuffle_partitions(df))
     return normal.unionByName(hot_part)
@@ -130,7 +127,7 @@ def _ranged_row_number(df: DataFrame, keys: list[str], order_cols: list[Column],
     on = null_safe_on(ranged, offsets, keys, [f"__k{i}" for i in range(len(keys))]) & \
         (ranged["__pid"] == offsets["__opid"])
     out = ranged.join(offsets, on, "inner")
-    out = out.withColumn(name, (F.col("__rn") + F.col("__off")).cast("int"))
+    out = out.withColumn(name, F.col("__rn") + F.col("__off"))
     return out.drop("__pid", "__rn", "__opid", "__off", *[f"__k{i}" for i in range(len(keys))])
 
 
@@ -173,17 +170,18 @@ def _global_row_number(df: DataFrame, order: Column, name: str, hot_rows: int |
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
-    """Rows with the lowest ``order_col`` in each group: ``row_number() = 1``.
+    """Exactly one row of each group: ``row_number() OVER (PARTITION BY keys ORDER
+    BY order_col) = 1`` with NULL first and, among equal values, the row that is
+    smallest in all its columns.
 
-    A ``groupBy`` min (map-side combined) and a null-safe left-semi join; valid
-    when ``order_col`` is unique within a group (an id).
+    One ``groupBy`` (map-side combined) carries the whole row in the minimum of a
+    struct; no window and no self-join.  NULL keys form a group.
     """
     keys = list(keys)
-    firsts = df.groupBy(*keys).agg(F.min(order_col).alias("__first"))
-    firsts = firsts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__first")
-    on = null_safe_on(df, firsts, keys, [f"__k{i}" for i in range(len(keys))]) & \
-        (df[order_col] == firsts["__first"])
-    return df.join(firsts, on, "left_semi")
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(F.col(order_col).alias("__order"), *[F.col(c) for c in rest])
+    out = df.groupBy(*keys).agg(F.min(row).alias("__row"))
+    return out.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
 
 
 def running_sum(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: Column,

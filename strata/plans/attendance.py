@@ -24,7 +24,7 @@ from strata.functions.dates import year_diff
 from strata.functions.numeric import percent
 from strata.operators.joins import join_small, membership_flag
 from strata.operators.windows import partition_aggs, row_number_by
-from strata.session import reliable_checkpoint
+from strata.sources.sinks import materialise
 from strata.sources.tables import constant_frame
 
 # Point of dropout by (highest year in program, highest term number in the
@@ -46,7 +46,9 @@ def cohort_rules(spark, rules: Sequence[tuple[str, int, int]]) -> DataFrame:
 
 def attendance_base(src: Mapping[str, DataFrame], rules: Sequence[tuple[str, int, int]],
                     school_years: tuple[str, str], country: str | None, min_grad_year: int,
-                    as_of: dt.date, program_type: str = "SEM") -> DataFrame:
+                    as_of: dt.date, program_type: str = "SEM", numbered: bool = True) -> DataFrame:
+    """``numbered=False`` leaves out ``rownumber`` (and the window behind it) for
+    callers that do not keep it."""
     f = src["fact"]
     s = src["student"].select("STUDENT_KEY", F.col("GENDER").alias("Student_Gender"), "PRIMARY_LANGUAGE",
                               "SEMINARY_GRADUATION_YEAR")
@@ -87,8 +89,9 @@ def attendance_base(src: Mapping[str, DataFrame], rules: Sequence[tuple[str, int
     # class key as the tie-breaker.
     # Hot (student, term) groups are found on the raw fact: its groups contain
     # the joined ones, and counting it avoids running the star join twice.
-    j = row_number_by(j, ["STUDENT_KEY", "TERM_KEY"], ["CLASS_KEY"], name="rownumber",
-                      sizes_from=f.select("STUDENT_KEY", "TERM_KEY"))
+    if numbered:
+        j = row_number_by(j, ["STUDENT_KEY", "TERM_KEY"], ["CLASS_KEY"], name="rownumber",
+                          sizes_from=f.select("STUDENT_KEY", "TERM_KEY"))
     return j.select(
         "STUDENT_KEY", "Student_Gender", "MEMBERSHIP_YN_FLAG", "Student_Age", "PRIMARY_LANGUAGE",
         "YEAR_IN_SEMINARY", "SEMINARY_GRADUATION_YEAR", "CLASS_KEY", "COURSE_TITLE", "TIME_OF_DAY_DESCRIPTION",
@@ -98,7 +101,8 @@ def attendance_base(src: Mapping[str, DataFrame], rules: Sequence[tuple[str, int
         F.col("POLITICAL_PLACE_COUNTRY").alias("Country"),
         F.col("POLITICAL_PLACE_CONTINENT").alias("Continent"),
         "ABSENT_COUNT", "CLASS_SESSION_COUNT", "FIRST_ATTENDED_CLASS_COUNT", "ATTENDED_COUNT",
-        "PHYSICALLY_PRESENT_COUNT", "RECEIVED_CREDIT_COUNT", "DROPPED_COUNT", "rownumber", "Relevant_YN_Flag")
+        "PHYSICALLY_PRESENT_COUNT", "RECEIVED_CREDIT_COUNT", "DROPPED_COUNT", *(["rownumber"] if numbered else []),
+        "Relevant_YN_Flag")
 
 
 def currently_enrolled(src: Mapping[str, DataFrame], country: str | None) -> DataFrame:
@@ -124,8 +128,9 @@ def dropout_labels(base: DataFrame, enrolled: DataFrame) -> DataFrame:
     """Relevant rows with per-term totals, the dropout flag and the point of
     dropout (for dropped students only)."""
     # The relevant rows feed three grouped aggregates and the flag join: written
-    # once (checkpoint) instead of recomputing the star join for each.
-    rel = reliable_checkpoint(base.filter(F.col("Relevant_YN_Flag") == "Y"))
+    # once as parquet (so each reader prunes columns) instead of recomputing the
+    # star join for each.
+    rel = materialise(base.filter(F.col("Relevant_YN_Flag") == "Y"), "relevant_rows")
     rel = partition_aggs(rel, [
         (["STUDENT_KEY", "TERM_KEY"], {"Absences_per_Term": F.sum("ABSENT_COUNT"),
                                        "Attended_per_Term": F.sum("ATTENDED_COUNT")}),

@@ -50,7 +50,7 @@ def comparable_periods(section_facts: DataFrame, current: DataFrame, years_back:
         spark = section_facts.sparkSession
         tp = tp.unionByName(constant_frame(spark, list(extra), "term_code string, days_since_reg_start int"))
     # One row per term: a window over the season is bounded by the calendar.
-    w = Window.partitionBy(F.substring("term_code", 5, 100))
+    w = Window.partitionBy(F.expr("substr(term_code, 5)"))
     return tp.select("term_code", "days_since_reg_start",
                      (F.min("days_since_reg_start").over(w) - 1).alias("dsrs")).distinct()
 
@@ -65,10 +65,9 @@ def enrollment_snapshot(facts: DataFrame, dim_student_term: DataFrame, dim_cours
     """``dse``: 13 measures per (term, comparable day) and campus, plus the 'All'
     rollup row per term."""
     p = periods.select(F.col("term_code").alias("p_term"), F.col("dsrs"))
-    # periods: one row per term of a bounded window (callers cache it), so the
-    # row-count check is cheap; under the bound it is broadcast.
+    # periods: one row per term; Spark sizes this join itself.
     f = join_small(facts, p, (F.col("term_code") == F.col("p_term"))
-                   & (F.col("days_since_reg_start") == F.col("dsrs")), max_rows=100_000).drop("p_term", "dsrs")
+                   & (F.col("days_since_reg_start") == F.col("dsrs"))).drop("p_term", "dsrs")
     dst = dim_student_term.withColumnRenamed("dim_student_term_key", "__dst_key")
     f = f.join(dst, f.dim_student_term_key == dst.__dst_key)
     f = join_small(f, dim_course, "dim_course_key")   # unused columns, but it filters (H27)
@@ -122,12 +121,12 @@ def enrollment_targets(dse: DataFrame, periods: DataFrame,
     average)."""
     spark = dse.sparkSession
     k = constant_frame(spark, list(knobs), "term_season string, knob double")
-    latest = (periods.groupBy(F.substring("term_code", 5, 100)).agg(F.max("term_code").alias("latest")))
+    latest = (periods.groupBy(F.expr("substr(term_code, 5)")).agg(F.max("term_code").alias("latest")))
     base = dse.join(F.broadcast(k), "term_season")          # a handful of fixed rows
     # NOT IN (subquery): no row passes if the list holds a NULL.
     has_null = latest.filter(F.col("latest").isNull()).exists()
     base = (base.filter(F.col("term_code").isNotNull() & ~has_null)
-                .join(F.broadcast(latest), base.term_code == latest.latest, "left_anti"))
+                .join(latest, base.term_code == latest.latest, "left_anti"))
     tgt = [F.round(F.avg(m) * F.max("knob")).alias(f"{m}_tar") for m in MEASURES]
     by_campus = (base.filter(F.col("campus_code") != "All")
                      .groupBy("campus_code", "term_season").agg(*tgt))

@@ -33,11 +33,13 @@ class LedgerCols:
 
 def clean_ledger(txns: DataFrame, cols: LedgerCols = LedgerCols(), sentinel: str = "NULL") -> DataFrame:
     """Round amounts to cents (exact decimal), turn the 'NULL' lot text into a
-    real NULL, and lower-case the type so 'Revenue' and 'revenue' agree."""
+    real NULL, and lower-case the transaction and item types so 'Revenue' and
+    'revenue', 'Doll' and 'doll' agree."""
     out = sentinel_to_null(txns, cols.lot, sentinel)
     return out.withColumns({
         cols.amount: money(cols.amount),
         cols.txn_type: F.lower(F.col(cols.txn_type)),
+        **({cols.item_type: F.lower(F.col(cols.item_type))} if cols.item_type in txns.columns else {}),
     })
 
 
@@ -92,7 +94,7 @@ def sell_through(txns: DataFrame, cols: LedgerCols = LedgerCols(), item_type: st
     ``keep_unsold=True`` keeps lots that bought but sold nothing (0 sold)."""
     clean = clean_ledger(txns, cols)
     t = F.col(cols.txn_type)
-    counts = (clean.filter(F.col(cols.item_type) == item_type)
+    counts = (clean.filter(F.col(cols.item_type) == item_type.lower())
                    .filter(t.isin("purchase", "revenue"))
                    .groupBy(cols.lot)
                    .agg(F.count(F.when(t == "purchase", F.col(cols.txn_id))).alias("ItemsPurchased"),

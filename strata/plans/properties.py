@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strata.functions.text import part_from_right, split_first
 from strata.operators.cleaning import fill_from_group, recode
 from strata.operators.windows import keep_first, row_number_by
-from strata.session import reliable_checkpoint
+from strata.sources.sinks import materialise
 
 # Vacancy flag recode: fixed values.
 VACANT_LABELS = {"Y": "Yes", "N": "No"}
@@ -40,7 +40,7 @@ def split_addresses(df: DataFrame) -> DataFrame:
 
 
 def recode_vacant(df: DataFrame) -> DataFrame:
-    return df.withColumn("SoldAsVacant", recode("SoldAsVacant", VACANT_LABELS, default="SoldAsVacant"))
+    return df.withColumn("SoldAsVacant", recode("SoldAsVacant", VACANT_LABELS, default="SoldAsVacant", any_case=True))
 
 
 def duplicates(df: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def duplicates(df: DataFrame) -> DataFrame:
 
 
 def dedupe(df: DataFrame) -> DataFrame:
-    """Keep the lowest UniqueID of each duplicate group."""
+    """Keep one row of each duplicate group, the lowest UniqueID (NULL first)."""
     return keep_first(df, DEDUPE_KEYS, "UniqueID")
 
 
@@ -57,7 +57,7 @@ def clean_properties(df: DataFrame) -> DataFrame:
     out = convert_date(df)
     # The filled table feeds the dedupe's grouped minimum and its semi join:
     # written once instead of re-running the fill (and its source) for each.
-    out = reliable_checkpoint(fill_addresses(out))
+    out = materialise(fill_addresses(out), "filled_properties")
     out = split_addresses(out)
     out = recode_vacant(out)
     out = dedupe(out)

@@ -192,7 +192,7 @@ _WIDE_KEYS = ["term_code", "campus", "continuing_ind", "budget_ind", "o_ordersta
     GROUP BY ALL""", "li"))
 def d17_wide_group(spark, sf_dir):
     li = staging.line_terms(Tables(spark, sf_dir)).withColumns({
-        "season": F.substring("term_code", 5, 2),
+        "season": F.expr("substr(term_code, 5)"),
         "order_year": F.year("order_date"),
         "ship_year": F.year("ship_date"),
         "discount_band": F.when(F.col("l_discount") >= 0.05, "high").otherwise("low"),

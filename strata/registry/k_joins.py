@@ -141,7 +141,7 @@ def c10_cross_join(spark, sf_dir):
     FROM o LEFT JOIN (SELECT substr(term_code, 5) AS season, campus, count(*) AS n FROM o GROUP BY 1, 2) t
       ON substr(o.term_code, 5) = t.season AND o.campus = t.campus""", "o"))
 def c11_concat_key_join(spark, sf_dir):
-    o = staging.orders_terms(Tables(spark, sf_dir)).withColumn("season", F.substring("term_code", 5, 2))
+    o = staging.orders_terms(Tables(spark, sf_dir)).withColumn("season", F.expr("substr(term_code, 5)"))
     target = o.groupBy("season", "campus").agg(F.count(F.lit(1)).alias("target_n"))
     # Two-column key instead of season || campus: no collisions, NULL-correct.
     return o.join(target, ["season", "campus"], "left").select("o_orderkey", "season", "campus", "target_n")
@@ -206,7 +206,7 @@ def c14_semi_flag(spark, sf_dir):
     WHERE term_code NOT IN (SELECT DISTINCT max(term_code) OVER (PARTITION BY substr(term_code, 5)) FROM o)""", "o"))
 def c15_anti_filter(spark, sf_dir):
     o = staging.orders_terms(Tables(spark, sf_dir)).select("o_orderkey", "term_code")
-    latest = o.groupBy(F.substring("term_code", 5, 2)).agg(F.max("term_code").alias("latest"))
+    latest = o.groupBy(F.expr("substr(term_code, 5)")).agg(F.max("term_code").alias("latest"))
     # NOT IN: rows whose term is NULL, or any NULL in the list, are excluded.
     has_null = latest.filter(F.col("latest").isNull()).exists()
     return (o.filter(F.col("term_code").isNotNull() & ~has_null)

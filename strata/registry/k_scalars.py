@@ -192,7 +192,8 @@ def j02_sentinel_to_null(spark, sf_dir):
 
 
 @register("j03_fill_from_group", with_views("""SELECT UniqueID, ParcelID,
-    coalesce(PropertyAddress, min(PropertyAddress) OVER (PARTITION BY ParcelID)) AS PropertyAddress FROM prop""", "prop"))
+    coalesce(PropertyAddress, donor) AS PropertyAddress
+    FROM prop LEFT JOIN (SELECT ParcelID AS parcel, min(PropertyAddress) AS donor FROM prop GROUP BY ParcelID) ON ParcelID = parcel""", "prop"))
 def j03_fill_from_group(spark, sf_dir):
     p = staging.properties(Tables(spark, sf_dir)).select("UniqueID", "ParcelID", "PropertyAddress")
     return fill_from_group(p, ["ParcelID"], "PropertyAddress")
@@ -223,7 +224,7 @@ def j06_drop_columns(spark, sf_dir):
 
 
 @register("j07_dedupe_keep_first", """SELECT doc_id, lang FROM (
-    SELECT doc_id, lang, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) d WHERE rn = 1""")
+    SELECT doc_id, lang, row_number() OVER (PARTITION BY text ORDER BY doc_id NULLS FIRST) AS rn FROM documents) d WHERE rn = 1""")
 def j07_dedupe_keep_first(spark, sf_dir):
     d = Tables(spark, sf_dir)("documents", "doc_id", "text", "lang").withColumn("__h", F.xxhash64("text"))
     # Rows with a unique text hash are kept as they are; whole texts are

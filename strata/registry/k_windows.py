@@ -29,7 +29,7 @@ def e01_running_sum(spark, sf_dir):
 
 
 @register("e02_duplicate_rows", """SELECT doc_id, lang, row_num FROM (
-    SELECT doc_id, lang, CAST(row_number() OVER (PARTITION BY text ORDER BY doc_id) AS INTEGER) AS row_num
+    SELECT doc_id, lang, CAST(row_number() OVER (PARTITION BY text ORDER BY doc_id) AS BIGINT) AS row_num
     FROM documents) d
     WHERE row_num > 1""")
 def e02_duplicate_rows(spark, sf_dir):
@@ -44,7 +44,7 @@ def e02_duplicate_rows(spark, sf_dir):
 
 
 @register("e03_sequence", """SELECT o_orderkey, o_custkey,
-    CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS seq FROM orders""")
+    CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS seq FROM orders""")
 def e03_sequence(spark, sf_dir):
     o = Tables(spark, sf_dir)("orders", "o_orderkey", "o_custkey", "o_orderdate")
     return row_number_by(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], name="seq").select(
@@ -52,7 +52,7 @@ def e03_sequence(spark, sf_dir):
 
 
 @register("e04_latest_in_group", with_views("""SELECT o_orderkey, pidm, term_code,
-    CAST(dense_rank() OVER (PARTITION BY pidm, substr(term_code, 1, 4) ORDER BY term_code DESC) AS INTEGER) AS seq
+    CAST(dense_rank() OVER (PARTITION BY pidm, substr(term_code, 1, 4) ORDER BY term_code DESC) AS BIGINT) AS seq
     FROM o""", "o"))
 def e04_latest_in_group(spark, sf_dir):
     o = staging.orders_terms(Tables(spark, sf_dir)).withColumn("yr", F.substring("term_code", 1, 4))
@@ -62,7 +62,7 @@ def e04_latest_in_group(spark, sf_dir):
 
 
 @register("e05_global_dense_rank", """SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y,
-    CAST(dense_rank() OVER (ORDER BY year(o_orderdate) DESC) AS INTEGER) AS recency FROM orders""")
+    CAST(dense_rank() OVER (ORDER BY year(o_orderdate) DESC) AS BIGINT) AS recency FROM orders""")
 def e05_global_dense_rank(spark, sf_dir):
     o = Tables(spark, sf_dir)("orders", "o_orderkey", "o_orderdate").withColumn("y", F.year("o_orderdate"))
     return dense_rank_by(o, [], "y", descending=True, name="recency").select("o_orderkey", "y", "recency")
@@ -105,7 +105,7 @@ def e08_lead_condition(spark, sf_dir):
 @register("e09_partition_min", with_views("""SELECT o_orderkey, substr(term_code, 5) AS season,
     min(order_date) OVER (PARTITION BY substr(term_code, 5)) AS season_first_day FROM o""", "o"))
 def e09_partition_min(spark, sf_dir):
-    o = staging.orders_terms(Tables(spark, sf_dir)).withColumn("season", F.substring("term_code", 5, 2))
+    o = staging.orders_terms(Tables(spark, sf_dir)).withColumn("season", F.expr("substr(term_code, 5)"))
     return partition_agg(o, ["season"], {"season_first_day": F.min("order_date")}).select(
         "o_orderkey", "season", "season_first_day")
 

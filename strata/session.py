@@ -70,7 +70,9 @@ def build_session(master: str | None = None, app: str = "strata",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised tables.
 
-    Read from ``spark.checkpoint.dir``; set a local one only when unset.
+    Read from ``spark.checkpoint.dir``.  Where it is unset, a local session gets a
+    temporary folder of its own; on a cluster that is an error, for each executor
+    would write to its own disk.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
@@ -79,6 +81,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         existing = spark.sparkContext.getCheckpointDir()
         if existing:
             return existing
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)

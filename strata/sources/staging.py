@@ -130,26 +130,29 @@ def covid_deaths(t: Tables) -> DataFrame:
 
 
 def vaccinations(t: Tables) -> DataFrame:
-    """``vac``: low-value events per (location, day), counted as text."""
+    """``vac``: events of value under 10 per (location, day), counted as text; a day
+    without any has the count 0."""
     e = t("events", "ts", "event_type", "value")
-    return (e.filter(F.col("value") < 10)
-             .groupBy(F.col("event_type").alias("location"), F.to_date("ts").alias("date"))
-             .agg(F.count(F.lit(1)).cast("string").alias("new_vaccinations")))
+    return (e.groupBy(F.col("event_type").alias("location"), F.to_date("ts").alias("date"))
+             .agg(F.count_if(F.col("value") < 10).cast("string").alias("new_vaccinations")))
 
 
 def properties(t: Tables) -> DataFrame:
-    """``prop``: orders as property sales; parcel = customer; some addresses NULL."""
+    """``prop``: orders as property sales; parcel = customer.  Some addresses and
+    parcels are NULL, and every tenth order is entered twice (the second entry has
+    the negative id), so rows repeat under the five dedupe keys."""
     o = t("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
           "o_orderdate", "o_orderpriority")
     c = t("customer", "c_custkey", "c_name", "c_nationkey")
     n = t("nation", "n_nationkey", "n_name", "n_regionkey")
     r = t("region", "r_regionkey", "r_name")
     geo = n.join(r, n.n_regionkey == r.r_regionkey)
-    cust = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey)  # nation: 25 rows
+    cust = c.join(geo, c.c_nationkey == geo.n_nationkey)
     street_city = F.concat_ws(", ", "c_name", "n_name")
-    return o.join(cust, o.o_custkey == cust.c_custkey).select(
-        F.col("o_orderkey").alias("UniqueID"),
-        F.col("o_custkey").alias("ParcelID"),
+    entries = F.when(F.col("o_orderkey") % 10 == 0, F.array(F.lit(1), F.lit(-1))).otherwise(F.array(F.lit(1)))
+    return o.join(cust, o.o_custkey == cust.c_custkey).withColumn("entry", F.explode(entries)).select(
+        (F.col("o_orderkey") * F.col("entry")).alias("UniqueID"),
+        F.when(F.col("o_orderkey") % 13 != 0, F.col("o_custkey")).alias("ParcelID"),
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None).cast("string"))
          .otherwise(street_city).alias("PropertyAddress"),
         F.concat_ws(", ", "c_name", "n_name", "r_name").alias("OwnerAddress"),
@@ -163,11 +166,9 @@ def properties(t: Tables) -> DataFrame:
 
 
 def student_years(t: Tables) -> DataFrame:
-    """``yr``: distinct (customer, order year) of finished orders."""
-    o = t("orders", "o_custkey", "o_orderdate", "o_orderstatus")
-    return (o.filter(F.col("o_orderstatus") == "F")
-             .select(F.col("o_custkey").alias("pidm"), F.year("o_orderdate").alias("yr"))
-             .distinct())
+    """``yr``: distinct (customer, order year)."""
+    o = t("orders", "o_custkey", "o_orderdate")
+    return o.select(F.col("o_custkey").alias("pidm"), F.year("o_orderdate").alias("yr")).distinct()
 
 
 BUILDERS = {
@@ -218,18 +219,19 @@ VIEW_SQL: dict[str, tuple[str, tuple[str, ...]]] = {
         CAST(deaths AS VARCHAR) AS new_deaths
       FROM daily JOIN pop USING (location)""", ("daily", "pop")),
     "vac": ("""SELECT event_type AS location, CAST(ts AS DATE) AS date,
-        CAST(count(*) AS VARCHAR) AS new_vaccinations
-      FROM events WHERE value < 10 GROUP BY 1, 2""", ()),
-    "prop": ("""SELECT o_orderkey AS UniqueID, o_custkey AS ParcelID,
+        CAST(count(*) FILTER (WHERE value < 10) AS VARCHAR) AS new_vaccinations
+      FROM events GROUP BY 1, 2""", ()),
+    "prop": ("""SELECT o_orderkey * entry AS UniqueID, CASE WHEN o_orderkey % 13 <> 0 THEN o_custkey END AS ParcelID,
         CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE c_name || ', ' || n_name END AS PropertyAddress,
         c_name || ', ' || n_name || ', ' || r_name AS OwnerAddress,
         o_orderdate AS SaleDate, o_totalprice AS SalePrice, o_orderpriority AS LegalReference,
         CASE WHEN o_orderstatus = 'F' THEN 'Y' WHEN o_orderstatus = 'O' THEN 'N' ELSE 'No' END AS SoldAsVacant,
         n_name AS TaxDistrict
       FROM orders JOIN customer ON o_custkey = c_custkey
-        JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""", ()),
+        JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+        JOIN (VALUES (1), (-1)) AS entries(entry) ON entry = 1 OR o_orderkey % 10 = 0""", ()),
     "yr": ("""SELECT DISTINCT o_custkey AS pidm, CAST(year(o_orderdate) AS INTEGER) AS yr
-      FROM orders WHERE o_orderstatus = 'F'""", ()),
+      FROM orders""", ()),
 }
 
 

@@ -23,20 +23,31 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-# Schema per file, so repeated reads while a plan is built skip parquet schema
-# inference.  Each read is still a fresh relation (fresh attribute ids), so the
-# same table can appear on both sides of a join.
-_SCHEMAS: dict[str, StructType] = {}
+# Schema per state of a file, so repeated reads while a plan is built skip parquet
+# schema inference.  Each read is still a fresh relation (fresh attribute ids), so
+# the same table can appear on both sides of a join.
+_SCHEMAS: dict[tuple, StructType] = {}
+
+
+def input_version(spark: SparkSession, path: str) -> tuple:
+    """What tells one state of a table from another: (name, length, time) of its
+    files, from the file system Spark itself reads it with."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return (path,)
+    return (path, *sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(where)))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     path = table_path(sf_dir, name)
-    schema = _SCHEMAS.get(path)
+    version = input_version(spark, path)
+    schema = _SCHEMAS.get(version)
     if schema is None:
         df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
+        _SCHEMAS[version] = df.schema
     else:
         df = spark.read.schema(schema).parquet(path)
     return df.select(*cols) if cols else df

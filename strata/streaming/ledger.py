@@ -1,55 +1,43 @@
-"""Lot profit and loss kept current over arriving ledger files.
+"""Lot profit and loss kept current over arriving ledger files: the batch job's own
+logic on a stream.
 
 The state is one row of five running sums per lot, held in Spark's state store
-under the checkpoint location (so a restarted or re-scheduled query resumes
-where it stopped).  Each trigger's result replaces the published mart
-(``foreachBatch`` + overwrite), which keeps the sink idempotent per batch.
+under the checkpoint location the caller names, so a restarted query resumes
+where it stopped.  Every trigger writes its result to a folder of its own
+(``epoch=<n>``, rewritten whole if the trigger is repeated); readers take the
+newest complete one, so no reader sees a half-written mart.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.plans.ledger import EXPENSE_COLUMNS, LEDGER_COLUMNS, LEDGER_TYPES, LedgerCols, clean_ledger
-from strata.session import checkpoint_dir
-
-
-def lot_pnl_stream(txns: DataFrame, cols: LedgerCols = LedgerCols()) -> DataFrame:
-    """Streaming twin of ``plans.ledger.lot_pnl``: conditional sums stand in
-    for the pivot (not available on streams); the result columns are the same."""
-    clean = clean_ledger(txns, cols)
-    t = F.col(cols.txn_type)
-    sums = [F.coalesce(F.sum(F.when(t == v, F.col(cols.amount))), F.lit(0).cast("decimal(28,2)")).alias(c)
-            for v, c in zip(LEDGER_TYPES, LEDGER_COLUMNS)]
-    agg = clean.groupBy(F.col(cols.lot).alias("LotName")).agg(*sums)
-    profit = F.col("Revenue")
-    for c in EXPENSE_COLUMNS:
-        profit = profit - F.col(c)
-    expenses = sum((F.col(c) for c in EXPENSE_COLUMNS[1:]), F.col(EXPENSE_COLUMNS[0]))
-    return agg.select("LotName", *[F.col(c).cast("double").alias(c) for c in LEDGER_COLUMNS],
-                      F.round(profit, 2).cast("double").alias("Profit"),
-                      expenses.cast("double").alias("AllExpenses"))
-
-
-def run_lot_pnl(spark: SparkSession, source_dir: str, schema: StructType, out_path: str,
-                name: str = "lot_pnl", checkpoint_location: str | None = None,
-                cols: LedgerCols = LedgerCols(), max_files_per_trigger: int | None = None,
+from strata.plans.ledger import LedgerCols, lot_pnl
+
+
+def run_lot_pnl(spark: SparkSession, source_dir: str, schema: StructType, out_path: str, checkpoint_location: str,
+                name: str = "lot_pnl", cols: LedgerCols = LedgerCols(), max_files_per_trigger: int | None = None,
                 available_now: bool = True):
-    """Run the streaming lot P&L over parquet files in ``source_dir``; each batch
-    overwrites ``out_path`` with the full current result.  Returns the query."""
+    """Run ``lot_pnl`` over parquet files as they land in ``source_dir``; returns the query."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    pnl = lot_pnl_stream(reader.parquet(source_dir), cols)
-    ckpt = checkpoint_location or os.path.join(checkpoint_dir(spark), "streams", name)
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+        batch.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch_id}")
 
-    w = pnl.writeStream.outputMode("complete").option("checkpointLocation", ckpt).foreachBatch(publish)
+    w = (lot_pnl(reader.parquet(source_dir), cols).writeStream.outputMode("complete")
+         .option("checkpointLocation", checkpoint_location).foreachBatch(publish))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.queryName(name).start()
+
+
+def current_lot_pnl(spark: SparkSession, out_path: str) -> DataFrame:
+    """The newest published result."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(out_path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [s.getPath() for s in fs.listStatus(folder)
+            if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    newest = max(done, key=lambda p: int(p.getName().split("=")[1]))
+    return spark.read.parquet(newest.toString())

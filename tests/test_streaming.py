@@ -7,7 +7,7 @@ from conftest import rows
 from strata.plans import ledger
 from strata.sources import staging
 from strata.sources.tables import Tables
-from strata.streaming import run_lot_pnl
+from strata.streaming import current_lot_pnl, run_lot_pnl
 
 
 def test_stream_matches_batch_and_resumes(spark):
@@ -17,10 +17,10 @@ def test_stream_matches_batch_and_resumes(spark):
     first = txn.filter("txn_id % 2 = 0")     # two arrivals of the same ledger
     second = txn.filter("txn_id % 2 = 1")
     first.write.parquet(os.path.join(src, "part=1"))
-    q = run_lot_pnl(spark, src, txn.schema, out, checkpoint_location=ckpt)
+    q = run_lot_pnl(spark, src, txn.schema, out, ckpt)
     q.awaitTermination()
-    assert rows(spark.read.parquet(out)) == rows(ledger.lot_pnl(first))
+    assert rows(current_lot_pnl(spark, out)) == rows(ledger.lot_pnl(first))
     second.write.parquet(os.path.join(src, "part=2"))
-    q = run_lot_pnl(spark, src, txn.schema, out, checkpoint_location=ckpt)
+    q = run_lot_pnl(spark, src, txn.schema, out, ckpt)
     q.awaitTermination()
-    assert rows(spark.read.parquet(out)) == rows(ledger.lot_pnl(txn))
+    assert rows(current_lot_pnl(spark, out)) == rows(ledger.lot_pnl(txn))
