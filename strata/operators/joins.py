@@ -36,6 +36,17 @@ def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner",
     return left.join(right, on, how)
 
 
+def few_rows(df: DataFrame, name: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """A relation that has few rows whatever it is computed from (an aggregate on a
+    low-cardinality key): written first, counted, and broadcast only under the
+    bound, so the large side of the join is never exchanged.  Beyond the bound the
+    written table is joined by shuffle, where AQE splits skewed keys."""
+    from strata.sources.sinks import materialise
+
+    table = materialise(df, name)
+    return F.broadcast(table) if is_small(table, max_rows) else table
+
+
 def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str],
                  right_keys: Sequence[str] | None = None) -> Column:
     right_keys = list(right_keys or keys)

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.joins import null_safe_on
+from strata.operators.joins import few_rows, null_safe_on
 from strata.session import reliable_checkpoint
 
 
@@ -30,14 +30,19 @@ def _shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def partition_agg(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
+def partition_agg(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column], few_groups: bool = False) -> DataFrame:
     """Attach per-partition aggregates to every row (``agg(...) OVER (PARTITION BY keys)``).
 
     NULL keys form their own partition, as in SQL windows (null-safe join back).
+    ``few_groups``: the keys are expected to have few values (say three seasons);
+    the groups are then written first and, if they are few, broadcast, so the rows
+    are not sent to a handful of tasks by their key.
     """
     keys = list(keys)
     a = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
     a = a.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *aggs.keys())
+    if few_groups:
+        a = few_rows(a, "groups")
     on = null_safe_on(df, a, keys, [f"__k{i}" for i in range(len(keys))])
     return df.join(a, on, "left").drop(*[f"__k{i}" for i in range(len(keys))])
 

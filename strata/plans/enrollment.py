@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.dates import parse_date_key
-from strata.operators.joins import join_small, membership_flag
+from strata.operators.joins import few_rows, join_small, membership_flag
 from strata.operators.reshape import partial_rollup
 from strata.sources.tables import constant_frame
 
@@ -121,7 +121,8 @@ def enrollment_targets(dse: DataFrame, periods: DataFrame,
     average)."""
     spark = dse.sparkSession
     k = constant_frame(spark, list(knobs), "term_season string, knob double")
-    latest = (periods.groupBy(F.expr("substr(term_code, 5)")).agg(F.max("term_code").alias("latest")))
+    # One row per season of the written periods: counted, then broadcast.
+    latest = few_rows(periods.groupBy(F.expr("substr(term_code, 5)")).agg(F.max("term_code").alias("latest")), "latest_terms")
     base = dse.join(F.broadcast(k), "term_season")          # a handful of fixed rows
     # NOT IN (subquery): no row passes if the list holds a NULL.
     has_null = latest.filter(F.col("latest").isNull()).exists()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.operators.joins import interval_join, join_small, membership_flag, null_safe_on, strict_on
+from strata.operators.joins import few_rows, interval_join, join_small, membership_flag, null_safe_on, strict_on
 from strata.operators.reshape import partial_rollup, template_grain
 from strata.operators.windows import partition_agg
 from strata.registry import register
@@ -142,7 +142,8 @@ def c10_cross_join(spark, sf_dir):
       ON substr(o.term_code, 5) = t.season AND o.campus = t.campus""", "o"))
 def c11_concat_key_join(spark, sf_dir):
     o = staging.orders_terms(Tables(spark, sf_dir)).withColumn("season", F.expr("substr(term_code, 5)"))
-    target = o.groupBy("season", "campus").agg(F.count(F.lit(1)).alias("target_n"))
+    # Seasons x campuses: a few rows, so the orders are not exchanged on that key.
+    target = few_rows(o.groupBy("season", "campus").agg(F.count(F.lit(1)).alias("target_n")), "targets")
     # Two-column key instead of season || campus: no collisions, NULL-correct.
     return o.join(target, ["season", "campus"], "left").select("o_orderkey", "season", "campus", "target_n")
 
@@ -206,11 +207,12 @@ def c14_semi_flag(spark, sf_dir):
     WHERE term_code NOT IN (SELECT DISTINCT max(term_code) OVER (PARTITION BY substr(term_code, 5)) FROM o)""", "o"))
 def c15_anti_filter(spark, sf_dir):
     o = staging.orders_terms(Tables(spark, sf_dir)).select("o_orderkey", "term_code")
-    latest = o.groupBy(F.expr("substr(term_code, 5)")).agg(F.max("term_code").alias("latest"))
+    # One row per season, written once: the list and its NULL test read the written rows.
+    latest = few_rows(o.groupBy(F.expr("substr(term_code, 5)")).agg(F.max("term_code").alias("latest")), "latest_terms")
     # NOT IN: rows whose term is NULL, or any NULL in the list, are excluded.
-    has_null = latest.filter(F.col("latest").isNull()).exists()
-    return (o.filter(F.col("term_code").isNotNull() & ~has_null)
-             .join(latest, o.term_code == latest.latest, "left_anti"))
+    if not latest.filter(F.col("latest").isNull()).isEmpty():
+        return o.limit(0)
+    return o.filter(F.col("term_code").isNotNull()).join(latest, o.term_code == latest.latest, "left_anti")
 
 
 _ENROLLED_2001 = "SELECT o_custkey FROM orders WHERE year(o_orderdate) = 2001"

@@ -11,6 +11,7 @@ from strata.operators.windows import dense_rank_by, partition_agg, partition_agg
 from strata.plans import ledger
 from strata.registry import register
 from strata.sources import staging
+from strata.sources.sinks import materialise
 from strata.sources.staging import with_views
 from strata.sources.tables import Tables
 
@@ -106,7 +107,7 @@ def e08_lead_condition(spark, sf_dir):
     min(order_date) OVER (PARTITION BY substr(term_code, 5)) AS season_first_day FROM o""", "o"))
 def e09_partition_min(spark, sf_dir):
     o = staging.orders_terms(Tables(spark, sf_dir)).withColumn("season", F.expr("substr(term_code, 5)"))
-    return partition_agg(o, ["season"], {"season_first_day": F.min("order_date")}).select(
+    return partition_agg(o, ["season"], {"season_first_day": F.min("order_date")}, few_groups=True).select(
         "o_orderkey", "season", "season_first_day")
 
 
@@ -124,6 +125,8 @@ def e10_partition_max(spark, sf_dir):
 def e11_partition_sums(spark, sf_dir):
     o = staging.orders_terms(Tables(spark, sf_dir)).withColumns({
         "yr": F.substring("term_code", 1, 4), "cents": F.col("o_totalprice").cast("decimal(18,2)")})
+    # Read three times: written once, with the columns that are needed.
+    o = materialise(o.select("o_orderkey", "pidm", "term_code", "yr", "cents"), "priced_terms")
     o = partition_aggs(o, [(["pidm", "term_code"], {"price_term": F.sum("cents").cast("double")}),
                            (["pidm", "yr"], {"price_year": F.sum("cents").cast("double")})])
     return o.select("o_orderkey", "pidm", "term_code", "price_term", "price_year")
@@ -132,7 +135,8 @@ def e11_partition_sums(spark, sf_dir):
 @register("e12_degenerate_order", with_views("""SELECT l_orderkey, l_linenumber, pidm, term_code,
     sum(credits) OVER (PARTITION BY pidm, term_code ORDER BY term_code) AS credits_per_term FROM li""", "li"))
 def e12_degenerate_order(spark, sf_dir):
-    li = staging.line_terms(Tables(spark, sf_dir))
+    li = staging.line_terms(Tables(spark, sf_dir)).select("l_orderkey", "l_linenumber", "pidm", "term_code", "credits")
+    li = materialise(li, "line_credits")   # read twice
     # Ordered by its own partition key, every row is a peer: the running sum is
     # the partition total.
     return partition_agg(li, ["pidm", "term_code"], {"credits_per_term": F.sum("credits")}).select(
