@@ -24,7 +24,7 @@ from strata.functions.text import before_delimiter
 from strata.operators.joins import null_safe_on, strict_on
 from strata.operators.reshape import template_grain
 from strata.operators.windows import dense_rank_by, dense_rank_table, partition_aggs, row_number_by
-from strata.session import reliable_checkpoint
+from strata.sources.sinks import materialise
 
 EXCLUDED_YEARS = ["Unknown", "None"]
 # Own institutions' codes, left out of transfers: fixed values of the reference.
@@ -41,6 +41,11 @@ MART_LABELS = ["Academic Year", "Area of Study", "Program", "Degree Code", "CIP"
                "Hispanic Origin", "First Generation", "Wage Bin"]
 
 
+def exact(c: Column | str) -> Column:
+    """A sum of these does not depend on the order of its rows."""
+    return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,4)")
+
+
 def academic_years(dim_term: DataFrame, as_of: dt.date, n: int = 6) -> DataFrame:
     """The ``n`` newest academic years started by ``as_of``, with this-year and
     next-year windows.  A year ending in August runs to the day before the next
@@ -100,38 +105,41 @@ def enrollment_detail(course_history: DataFrame, student_term: DataFrame, dim_te
                  F.col("term_area_of_study").alias("area_of_study"),
                  before_delimiter("term_program_name", ":").alias("program"),
                  F.col("term_degree_code").alias("degree_code"), F.col("term_major_cip").alias("cip"),
-                 (F.col("gpa_quality_points") * F.col("gpa_credits")).alias("__qp"), "gpa_credits")
-    # The joined history feeds two grouped sums and the term ranking: written once.
-    f = reliable_checkpoint(f)
+                 exact(F.col("gpa_quality_points") * F.col("gpa_credits")).alias("__qp"), exact("gpa_credits").alias("__gc"))
+    # One early aggregate: a row per student, term and program with partial sums
+    # (map-side combined).  All that follows works on these rows; they are written
+    # once, for the two grouped sums, the ranking and the rows themselves.
+    rows = [c for c in f.columns if not c.startswith("__")]
+    f = materialise(f.groupBy(*rows).agg(F.sum("__qp").alias("__qp"), F.sum("__gc").alias("__gc")), "student_terms")
     # Ranked over distinct (student, year, term): at most the terms of a year.
     ranks = dense_rank_table(f, ["pidm", "academic_year"], "term_code", descending=True, name="seq",
                              hot_rows=None)
     ranks = ranks.select(F.col("pidm").alias("__rp"), F.col("academic_year").alias("__ry"),
                          F.col("term_code").alias("__rt"), "seq")
+    total = lambda c: F.sum(c).cast("double")
     out = partition_aggs(f, [
-        (["pidm", "term_code"], {"quality_points_term": F.sum("__qp"), "gpa_credits_term": F.sum("gpa_credits")}),
-        (["pidm", "academic_year"], {"quality_points_ay": F.sum("__qp"), "gpa_credits_ay": F.sum("gpa_credits")}),
+        (["pidm", "term_code"], {"quality_points_term": total("__qp"), "gpa_credits_term": total("__gc")}),
+        (["pidm", "academic_year"], {"quality_points_ay": total("__qp"), "gpa_credits_ay": total("__gc")}),
     ])
     out = out.join(ranks, null_safe_on(out, ranks, ["pidm", "academic_year", "term_code"], ["__rp", "__ry", "__rt"]), "left")
-    return out.drop("__qp", "gpa_credits", "__rp", "__ry", "__rt").distinct()
+    return out.drop("__qp", "__gc", "__rp", "__ry", "__rt")
 
 
 def graduate_outcomes(grads: DataFrame, dim_student: DataFrame, wages: DataFrame, dim_term: DataFrame,
                       program_of_study: DataFrame, ay: DataFrame, preaggregate_wages: bool = False) -> DataFrame:
     """Graduates with annualised wages four calendar years after graduation and
-    years to completion.  As in the reference, the wage join fans out *before*
-    the per-term sums (H12); a graduate with no wage row gets NULL wages (the
-    reference's 4 / 0, H14).  ``preaggregate_wages=True`` first reduces the
-    wages to one row per (student, wage year): annualised wages are unchanged,
-    and the GPA sums are no longer multiplied by the number of wage rows."""
+    years to completion.  In the reference the wage rows multiply the graduations
+    before the per-term sums (H12); here wages are one row per (student, wage year)
+    with their sum, their number of rows and of quarters, and the sums are
+    multiplied by those numbers, so no pairs are ever made.  A graduate with no
+    wage row gets NULL wages (the reference's 4 / 0, H14).
+    ``preaggregate_wages=True`` leaves the multiplication out: the GPA sums and the
+    wages are then those of single rows."""
     g = grads.filter((F.col("ug_ap_graduated_ind") == "Y") | (F.col("sat_graduated_ind") == "Y"))
     g = g.join(dim_student.select("dim_student_key", "first_term_non_concurrent"), "dim_student_key")
-    w = wages.select(F.col("pidm").alias("w_pidm"), "quarter", "wages",
-                     F.substring("quarter", 1, 4).alias("wage_year"))
-    if preaggregate_wages:
-        w = w.groupBy("w_pidm", "wage_year").agg(F.sum("wages").alias("wages"),
-                                                  F.count_distinct("quarter").alias("__nq0"))
-        w = w.withColumn("quarter", F.lit(None).cast("string"))
+    w = (wages.select(F.col("pidm").alias("w_pidm"), F.substring("quarter", 1, 4).alias("wage_year"), "quarter", "wages")
+         .groupBy("w_pidm", "wage_year").agg(F.sum(exact("wages")).alias("__paid"), F.count(F.lit(1)).alias("__rows"),
+                                             F.count_distinct("quarter").alias("__quarters")))
     g = g.join(w, (g.pidm == w.w_pidm) & (w.wage_year.cast("int") == F.year("graduation_date") + 4), "left")
     dt_ = dim_term.filter(~F.col("academic_year").isin(EXCLUDED_YEARS)).select(
         F.col("term_code").alias("__tc"), F.col("term_name").alias("grad_term_name"),
@@ -141,24 +149,31 @@ def graduate_outcomes(grads: DataFrame, dim_student: DataFrame, wages: DataFrame
     g = g.join(F.broadcast(ay.select(F.col("academic_year").alias("grad_year"))), "grad_year", "left_semi")
     first = dim_term.select(F.col("term_code").alias("__ftc"), F.col("term_start_date").alias("__first_start"))
     g = g.join(first, g.first_term_non_concurrent == first.__ftc, "left")
-    g = g.withColumn("__qp", F.col("cum_institution_gpa") * F.col("cum_institution_credits"))
-    g = reliable_checkpoint(g)   # the joined graduates feed two grouped aggregates
-    quarters = F.max("__nq0") if preaggregate_wages else F.count_distinct("quarter")
+    g = g.select(
+        "pidm", F.col("term_code").alias("grad_term_code"), "grad_term_name", F.col("graduation_date").alias("grad_date"),
+        "grad_year", F.col("area_of_study").alias("grad_area_of_study"),
+        before_delimiter("program_name", ":").alias("grad_program"), F.col("degree_code").alias("grad_degree_code"),
+        F.col("major_cip").alias("grad_cip"), "wage_year", "__paid", "__rows", "__quarters",
+        elapsed_years("graduation_date", "__first_start").alias("years_to_completion"),
+        exact(F.col("cum_institution_gpa") * F.col("cum_institution_credits")).alias("__qp"),
+        exact("cum_institution_credits").alias("__gc"))
+    # One early aggregate: a row per distinct graduation with sums and how many rows
+    # it stands for; written once, for the two grouped sums and the rows themselves.
+    rows = [c for c in g.columns if c not in ("__qp", "__gc")]
+    g = materialise(g.groupBy(*rows).agg(F.sum("__qp").alias("__qp"), F.sum("__gc").alias("__gc"),
+                                         F.count(F.lit(1)).alias("__n")), "graduations")
+    times = F.lit(1) if preaggregate_wages else F.coalesce("__rows", F.lit(1))
+    paid = F.max("__paid") if preaggregate_wages else F.sum(F.col("__paid") * F.col("__n"))
+    total = lambda c: F.sum(F.col(c) * times).cast("double")
     g = partition_aggs(g, [
-        (["pidm", "term_code"], {"grad_quality_points": F.sum("__qp"),
-                                 "grad_gpa_credits": F.sum("cum_institution_credits")}),
-        (["w_pidm", "wage_year"], {"__wsum": F.sum("wages"), "__nq": quarters}),
+        (["pidm", "grad_term_code"], {"grad_quality_points": total("__qp"), "grad_gpa_credits": total("__gc")}),
+        (["pidm", "wage_year"], {"__wsum": paid.cast("double")}),
     ])
     return g.select(
-        "pidm", F.col("term_code").alias("grad_term_code"), "grad_term_name",
-        F.col("graduation_date").alias("grad_date"), "grad_year",
-        F.col("area_of_study").alias("grad_area_of_study"),
-        before_delimiter("program_name", ":").alias("grad_program"),
-        F.col("degree_code").alias("grad_degree_code"), F.col("major_cip").alias("grad_cip"),
-        "grad_quality_points", "grad_gpa_credits", "wage_year",
-        F.round(F.col("__wsum") * F.try_divide(F.lit(4.0), F.col("__nq"))).alias("adjusted_annual_wages"),
-        elapsed_years("graduation_date", "__first_start").alias("years_to_completion"),
-    ).distinct()
+        "pidm", "grad_term_code", "grad_term_name", "grad_date", "grad_year", "grad_area_of_study", "grad_program",
+        "grad_degree_code", "grad_cip", "grad_quality_points", "grad_gpa_credits", "wage_year",
+        F.round(F.col("__wsum") * F.try_divide(F.lit(4.0), F.col("__quarters"))).alias("adjusted_annual_wages"),
+        "years_to_completion").distinct()
 
 
 def transfers(nsc: DataFrame, institutions: DataFrame, ay: DataFrame,
@@ -264,24 +279,24 @@ def program_mart(calc: DataFrame, null_safe: bool = False) -> DataFrame:
     ``null_safe=False`` a NULL dimension loses its measures, as in the
     reference (H13).
 
-    ``calc`` is read by both aggregates, so it is checkpointed first (written
-    once to the shared folder).  The template is the union of the two
+    ``calc`` is read by both aggregates, so the columns they need are written once
+    as parquet.  The template is the union of the two
     aggregates' keys, which are exactly the distinct dimension combinations of
     each side, so it needs no extra pass over ``calc``.
     """
-    calc = reliable_checkpoint(calc)
+    used = dict.fromkeys([*MART_DIMS, *GRAD_DIMS, "pidm", "enrolled_seq", "quality_points", "gpa_credits", "retained_numerator",
+                          "retained_denominator", "grad_quality_points", "grad_gpa_credits", "years_to_completion"])
+    calc = materialise(calc.select(*used), "retention")
     seq1 = F.col("enrolled_seq") == 1
     e = calc.groupBy(*MART_DIMS).agg(
-        F.sum(F.when(seq1, F.col("quality_points"))).alias("quality_points"),
-        F.sum("quality_points").alias("quality_points_v2"),
-        F.sum_distinct(F.when(seq1, F.col("quality_points"))).alias("quality_points_v3"),
-        F.sum(F.when(seq1, F.col("gpa_credits"))).alias("gpa_credits"),
+        F.sum(F.when(seq1, exact("quality_points"))).cast("double").alias("quality_points"),
+        F.sum(F.when(seq1, exact("gpa_credits"))).cast("double").alias("gpa_credits"),
         F.count_distinct(F.when(F.col("program").isNotNull() & seq1, F.col("pidm"))).alias("enrolled_headcount"),
         F.count_distinct(F.when(F.col("retained_numerator") == "Yes", F.col("pidm"))).alias("retained_numerator"),
         F.count_distinct(F.when(F.col("retained_denominator") == "Yes", F.col("pidm"))).alias("retained_denominator"))
     g = calc.groupBy(*GRAD_DIMS).agg(
-        F.sum("grad_quality_points").alias("grad_quality_points"),
-        F.sum("grad_gpa_credits").alias("grad_gpa_credits"),
+        F.sum(exact("grad_quality_points")).cast("double").alias("grad_quality_points"),
+        F.sum(exact("grad_gpa_credits")).cast("double").alias("grad_gpa_credits"),
         F.count(F.when(F.col("grad_program").isNotNull(), F.col("pidm"))).alias("grad_headcount"),
         F.sum(F.col("years_to_completion").cast("decimal(18,2)")).cast("double").alias("years_to_completion"))
     tpl = template_grain([e.select(*MART_DIMS), g.select(*GRAD_DIMS)], MART_DIMS)
@@ -312,7 +327,7 @@ def present(mart: DataFrame, as_of: dt.date, ay: DataFrame | None = None) -> Dat
                             "Wage Bin Sort": bin_sort_key(F.col("`Wage Bin`"), WAGE_BINS)})
     if ay is not None:
         ranks = ay.select(F.col("academic_year").alias("__ay"),
-                          F.dense_rank().over(Window.orderBy(F.desc("academic_year"))).alias("AY Recency"))
+                          F.dense_rank().over(Window.orderBy(F.desc("academic_year"))).cast("long").alias("AY Recency"))
         out = out.join(F.broadcast(ranks), out["Academic Year"] == ranks["__ay"], "left").drop("__ay")
     else:
         # Distinct years are bounded by the calendar.
