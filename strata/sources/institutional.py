@@ -82,7 +82,7 @@ def dim_section(t: Tables) -> DataFrame:
     p = t("part", "p_partkey", "p_type", "p_size", "p_brand")
     return p.select(
         F.col("p_partkey").alias("dim_section_key"),
-        F.substring("p_type", 1, 3).alias("campus_code"),
+        F.when(F.col("p_partkey") % 17 != 0, F.substring("p_type", 1, 3)).alias("campus_code"),   # some unknown
         F.col("p_type").alias("campus"),
         F.when(F.col("p_size") > 25, "Y").otherwise("N").alias("budget_related_ind"),
         F.when(F.col("p_size") > 40, F.col("p_brand")).alias("cross_list_group"),
@@ -158,7 +158,8 @@ def sql_views(as_of: dt.date) -> list[tuple[str, str]]:
             CASE WHEN DATE '{a}' BETWEEN term_start_date
                  AND CAST(term_start_date + INTERVAL 4 MONTH - INTERVAL 1 DAY AS DATE) THEN 'Y' ELSE 'N' END AS current_term_ind
           FROM dt0"""),
-        ("dim_section", """SELECT p_partkey AS dim_section_key, substr(p_type, 1, 3) AS campus_code, p_type AS campus,
+        ("dim_section", """SELECT p_partkey AS dim_section_key, CASE WHEN p_partkey % 17 <> 0 THEN substr(p_type, 1, 3) END AS campus_code,
+            p_type AS campus,
             CASE WHEN p_size > 25 THEN 'Y' ELSE 'N' END AS budget_related_ind,
             CASE WHEN p_size > 40 THEN p_brand END AS cross_list_group,
             p_size AS students_enrolled_section, p_size * 2 AS students_enrolled_group,
@@ -356,6 +357,18 @@ DEGREES = {"F": "AS", "O": "AA", "P": "CER"}
 INSTITUTIONS = [(2, "2-year"), (4, "4-year")]
 
 
+# Degree of a second program entry: fixed value of the stand-in.
+SECOND_DEGREE = "SECOND"
+
+
+def _program_entries(t: Tables) -> DataFrame:
+    """Orders as program entries: every 49th is missing, every 50th has a second one."""
+    o = t("orders", "o_orderkey", "o_orderpriority", "o_orderstatus")
+    k = F.col("o_orderkey")
+    one, two = F.array(F.lit(1)), F.array(F.lit(1), F.lit(2))
+    return o.where(k % 49 != 0).withColumn("entry", F.explode(F.when(k % 50 == 0, two).otherwise(one)))
+
+
 def _program_cols(prefix: str = "") -> list[Column]:
     digit = F.substring("o_orderpriority", 1, 1)
     area = None
@@ -366,7 +379,7 @@ def _program_cols(prefix: str = "") -> list[Column]:
         degree = F.when(F.col("o_orderstatus") == k, v) if degree is None else degree.when(F.col("o_orderstatus") == k, v)
     return [area.alias(f"{prefix}area_of_study"),
             F.concat("o_orderpriority", F.lit(":"), "o_orderstatus").alias(f"{prefix}program_name"),
-            degree.alias(f"{prefix}degree_code"),
+            F.when(F.col("entry") == 1, degree).otherwise(SECOND_DEGREE).alias(f"{prefix}degree_code"),
             F.concat(F.lit("CIP-"), digit).alias(f"{prefix}major_cip")]
 
 
@@ -390,25 +403,23 @@ def pgm_student_term(t: Tables) -> DataFrame:
 
 
 def pgm_of_study_term(t: Tables) -> DataFrame:
-    o = t("orders", "o_orderkey", "o_orderpriority", "o_orderstatus")
-    return o.select(F.col("o_orderkey").alias("dim_pgm_of_study_term_key"), *_program_cols("term_"))
+    return _program_entries(t).select(F.col("o_orderkey").alias("dim_pgm_of_study_term_key"), *_program_cols("term_"))
 
 
 def grad_outcomes(t: Tables) -> DataFrame:
     o = staging.order_terms_light(t).filter(F.col("o_orderstatus") == "F")
     return o.select("pidm", "term_code", F.col("order_date").alias("graduation_date"),
                     F.when(F.col("o_totalprice") > 400000, "Y").otherwise("N").alias("ug_ap_graduated_ind"),
-                    F.lit("N").alias("sat_graduated_ind"),
+                    F.when(F.col("o_totalprice").between(380000, 400000), "Y").otherwise("N").alias("sat_graduated_ind"),
                     F.col("pidm").alias("dim_student_key"),
                     F.col("term_code").cast("int").alias("dim_term_key"),
                     F.col("o_orderkey").alias("dim_program_of_study_key"),
                     F.floor(F.col("o_totalprice") / 100000).cast("double").alias("cum_institution_gpa"),
-                    F.lit(60.0).alias("cum_institution_credits"))
+                    (60 + 15 * (F.col("o_orderkey") % 3)).cast("double").alias("cum_institution_credits"))
 
 
 def program_of_study(t: Tables) -> DataFrame:
-    o = t("orders", "o_orderkey", "o_orderpriority", "o_orderstatus")
-    return o.select(F.col("o_orderkey").alias("dim_program_of_study_key"), *_program_cols())
+    return _program_entries(t).select(F.col("o_orderkey").alias("dim_program_of_study_key"), *_program_cols())
 
 
 def student_wages(t: Tables) -> DataFrame:
@@ -463,25 +474,27 @@ def _program_cols_sql(prefix: str = "") -> str:
     area = "CASE " + " ".join(f"WHEN {digit} = '{k}' THEN '{v}'" for k, v in PROGRAM_AREAS.items()) + " END"
     degree = "CASE " + " ".join(f"WHEN o_orderstatus = '{k}' THEN '{v}'" for k, v in DEGREES.items()) + " END"
     return (f"{area} AS {prefix}area_of_study, o_orderpriority || ':' || o_orderstatus AS {prefix}program_name, "
-            f"{degree} AS {prefix}degree_code, 'CIP-' || {digit} AS {prefix}major_cip")
+            f"CASE WHEN entry = 1 THEN {degree} ELSE '{SECOND_DEGREE}' END AS {prefix}degree_code, 'CIP-' || {digit} AS {prefix}major_cip")
 
 
 def program_sql(as_of: dt.date) -> list[tuple[str, str]]:
     """CTEs for the program stand-ins (needs the ``o`` view and ``sql_views``)."""
     inst = " UNION ALL ".join(f"SELECT {k} AS dim_institution_key, '{v}' AS institution_level" for k, v in INSTITUTIONS)
+    entries = "orders JOIN (VALUES (1), (2)) AS e(entry) ON o_orderkey % 49 <> 0 AND (entry = 1 OR o_orderkey % 50 = 0)"
     return [
         ("fsch", """SELECT pidm, term_code, CAST(term_code AS INTEGER) AS dim_term_key, o_orderkey AS dim_student_term_key,
             CAST(floor(o_totalprice / 100000) AS DOUBLE) AS gpa_quality_points,
             CASE WHEN o_orderstatus = 'F' THEN 3.0 WHEN o_orderstatus = 'O' THEN 4.0 ELSE 1.0 END::DOUBLE AS gpa_credits
           FROM o"""),
         ("pst", "SELECT o_orderkey AS dim_student_term_key, o_orderkey AS dim_pgm_of_study_term_key FROM orders"),
-        ("dpost", f"SELECT o_orderkey AS dim_pgm_of_study_term_key, {_program_cols_sql('term_')} FROM orders"),
+        ("dpost", f"SELECT o_orderkey AS dim_pgm_of_study_term_key, {_program_cols_sql('term_')} FROM {entries}"),
         ("fsgo", """SELECT pidm, term_code, order_date AS graduation_date,
-            CASE WHEN o_totalprice > 400000 THEN 'Y' ELSE 'N' END AS ug_ap_graduated_ind, 'N' AS sat_graduated_ind,
+            CASE WHEN o_totalprice > 400000 THEN 'Y' ELSE 'N' END AS ug_ap_graduated_ind, 
+            CASE WHEN o_totalprice BETWEEN 380000 AND 400000 THEN 'Y' ELSE 'N' END AS sat_graduated_ind,
             pidm AS dim_student_key, CAST(term_code AS INTEGER) AS dim_term_key, o_orderkey AS dim_program_of_study_key,
-            CAST(floor(o_totalprice / 100000) AS DOUBLE) AS cum_institution_gpa, 60.0::DOUBLE AS cum_institution_credits
+            CAST(floor(o_totalprice / 100000) AS DOUBLE) AS cum_institution_gpa, (60 + 15 * (o_orderkey % 3))::DOUBLE AS cum_institution_credits
           FROM o WHERE o_orderstatus = 'F'"""),
-        ("dpos", f"SELECT o_orderkey AS dim_program_of_study_key, {_program_cols_sql()} FROM orders"),
+        ("dpos", f"SELECT o_orderkey AS dim_program_of_study_key, {_program_cols_sql()} FROM {entries}"),
         ("fsw", """SELECT o_custkey AS pidm, CAST(year(o_orderdate) AS VARCHAR) || 'Q' || CAST(quarter(o_orderdate) AS VARCHAR) AS quarter,
             CAST(floor(o_totalprice / 10) AS DOUBLE) AS wages FROM orders WHERE o_orderstatus = 'O'"""),
         ("fne", """SELECT pidm, order_date AS enrollment_begin_date, '0052' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS opeid,

@@ -125,3 +125,30 @@ def test_only_what_a_key_needs_runs(spark):
     assert len(tracker.getJobIdsForGroup("l01-again")) == 0
     frame.collect()
     spark.sparkContext.setJobGroup("", "")
+
+
+def test_graduations_never_meet_wages_in_pairs(spark):
+    """10,000 graduations and 10,000 wage rows of one student in one year: the sums
+    are those of 100 million pairs, the time is not."""
+    from strata.plans import programs
+    n = 10_000
+    base = spark.range(n)
+    grads = base.select(F.lit(1).alias("pidm"), F.lit("200020").alias("term_code"), F.lit("2000-05-01").cast("date").alias("graduation_date"),
+                        F.lit("Y").alias("ug_ap_graduated_ind"), F.lit("N").alias("sat_graduated_ind"), F.lit(1).alias("dim_student_key"),
+                        F.lit(200020).alias("dim_term_key"), F.lit(7).alias("dim_program_of_study_key"),
+                        F.lit(2.0).alias("cum_institution_gpa"), F.lit(60.0).alias("cum_institution_credits"))
+    wages = base.select(F.lit(1).alias("pidm"), F.concat(F.lit("2004Q"), (F.col("id") % 2 + 1).cast("string")).alias("quarter"),
+                        F.lit(10.0).alias("wages"))
+    student = spark.createDataFrame([(1, "199920")], "dim_student_key int, first_term_non_concurrent string")
+    terms = spark.createDataFrame([("200020", "Spring", "1999-00", dt.date(2000, 1, 1)), ("199920", "Spring", "1998-99", dt.date(1999, 1, 1))],
+                                  "term_code string, term_name string, academic_year string, term_start_date date")
+    program = spark.createDataFrame([(7, "A", "P:x", "D", "C")],
+                                    "dim_program_of_study_key int, area_of_study string, program_name string, degree_code string, major_cip string")
+    ay = spark.createDataFrame([("1999-00",)], "academic_year string")
+    out = programs.graduate_outcomes(grads, student, wages, terms, program, ay).collect()
+    assert len(out) == 1
+    r = out[0]
+    assert (r["grad_quality_points"], r["grad_gpa_credits"]) == (120.0 * n * n, 60.0 * n * n)
+    assert r["adjusted_annual_wages"] == 10.0 * n * n * 4 / 2
+    single = programs.graduate_outcomes(grads, student, wages, terms, program, ay, preaggregate_wages=True).collect()[0]
+    assert (single["grad_quality_points"], single["adjusted_annual_wages"]) == (120.0 * n, 10.0 * n * 4 / 2)
