@@ -23,12 +23,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that the quadratic discriminant does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     model = quality.learn(docs, labels)
-    return quality.scored(docs, model, out="_score").where(f"_score >= {quality.THRESHOLD}").drop("_score")
+    return quality.scored(docs, model, out="__llm_score").where(f"__llm_score >= {quality.THRESHOLD}").drop("__llm_score")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the limits on repeats."""
-    return repetition.passes(docs, out="_kept").where("_kept").drop("_kept")
+    return repetition.passes(docs, out="__llm_kept").where("__llm_kept").drop("__llm_kept")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

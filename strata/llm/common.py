@@ -10,8 +10,12 @@ hash.
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +25,7 @@ from pyspark.sql import functions as F
 from strata.session import checkpoint_dir
 
 #: Text bytes worked on at once.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -30,7 +34,25 @@ _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once an application, unless they find
+    it themselves (it is on PYTHONPATH, or they start in its folder)."""
+    root = Path(__file__).resolve().parents[2]
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or Path.cwd() == root or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    with tempfile.NamedTemporaryFile(prefix="strata-", suffix=".zip", delete=False) as f, zipfile.ZipFile(f, "w") as z:
+        for path in sorted((root / "strata").rglob("*.py")):
+            z.write(path, path.relative_to(root))
+    spark.sparkContext.addPyFile(f.name)
+    _SHIPPED.add(app)
+
+
 def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    ship_package(spark)
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return df.select(*cols) if cols else df
 
@@ -72,6 +94,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text",
             to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
+        pa.default_memory_pool().release_unused()
 
 
 def _offsets(col: pa.Array) -> np.ndarray:

@@ -27,7 +27,6 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,15 +139,17 @@ class Discriminant:
 
 
 def fit(rows: DataFrame, pooled: float = POOLED, ridge: float = RIDGE, temper: float = TEMPER) -> Discriminant:
-    """From (x, label): class sums by partition, then by class; only sums reach the driver."""
+    """From (x, label) or (text, label): class sums by partition, then by class; only
+    sums reach the driver."""
     d = len(FEATURES)
+    measured = "x" in rows.columns
 
     def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, 1 + d + d * d))
-        for b in batches:
+        for b in batches if measured else slices(batches):
             if not b.num_rows:
                 continue
-            x = np.asarray(b.column("x").flatten()).reshape(-1, d)
+            x = np.asarray(b.column("x").flatten()).reshape(-1, d) if measured else statistics(b.column("text"))
             y = np.asarray(b.column("label"))
             for c in (0, 1):
                 part = x[y == c]
@@ -208,11 +209,10 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 def scored(docs: DataFrame, model: Discriminant, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the score of every row; its other columns do not pass through Python."""
 
-    @F.pandas_udf("double")
-    def score_of(texts: pd.Series) -> pd.Series:
-        batch = pa.record_batch([pa.array(texts, pa.string(), from_pandas=True)], ["text"])
-        parts = [model.score(statistics(b.column("text"))) for b in slices([batch])]
-        return pd.Series(np.concatenate([*parts, np.zeros(0)]))
+    @F.arrow_udf("double")
+    def score_of(texts: pa.Array) -> pa.Array:
+        parts = [model.score(statistics(b.column("text"))) for b in slices([pa.record_batch([texts], ["text"])])]
+        return pa.array(np.concatenate([*parts, np.zeros(0)]))
 
     return docs.withColumn(out, score_of(F.col(text)))
 
@@ -223,8 +223,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Discriminant:
         F.col("doc_id").alias("_id"), F.col("quality").cast("long").alias("label"))
     if known.count() <= BROADCAST_LABELS:
         known = F.broadcast(known)
-    rows = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id")).select(F.col("label").alias("doc_id"), "text")
-    return fit(features(rows).select("x", F.col("doc_id").alias("label")))
+    return fit(docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id")).select("text", "label"))
 
 
 def op6_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:

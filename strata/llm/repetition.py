@@ -21,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -221,11 +220,10 @@ def repetition(docs: DataFrame, text: str = "text", key: str = "doc_id", min_wor
 def passes(docs: DataFrame, text: str = "text", out: str = "kept", **limits) -> DataFrame:
     """``docs`` with the verdict of ``repetition`` on every row; other columns do not pass through Python."""
 
-    @F.pandas_udf("boolean")
-    def verdict(texts: pd.Series) -> pd.Series:
-        batch = pa.record_batch([pa.array(texts, pa.string(), from_pandas=True)], ["text"])
+    @F.arrow_udf("boolean")
+    def verdict(texts: pa.Array) -> pa.Array:
         kept = [np.ones(0, bool)]
-        for b in slices([batch]):
+        for b in slices([pa.record_batch([texts], ["text"])]):
             m = measure(b.column("text"), limits.get("min_words", MIN_WORDS))
             n = m["n_words"]
             base = (n < BASE_WORDS) | (100 * m["n_repeat_words"] > BASE_PERCENT * n)
@@ -233,7 +231,7 @@ def passes(docs: DataFrame, text: str = "text", out: str = "kept", **limits) ->
             repeats = (m["covered_words"] > limits.get("max_covered", MAX_COVERED) * n) | (
                 (long > limits.get("min_longest", MIN_LONGEST)) & (long > limits.get("max_longest", MAX_LONGEST) * n))
             kept.append(~base & ~repeats)
-        return pd.Series(np.concatenate(kept))
+        return pa.array(np.concatenate(kept))
 
     return docs.withColumn(out, verdict(F.col(text)))
 

@@ -20,7 +20,6 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,9 +120,9 @@ def with_successor(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     splits = np.unique(np.array(docs.approxQuantile(
         "doc_id", [i / buckets for i in range(1, buckets)], 0.25 / buckets), np.float64)).astype(np.int64)
 
-    @F.pandas_udf("int")
-    def bucket_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(splits, ids.to_numpy(np.int64), "right"), dtype="int32")
+    @F.arrow_udf("int")
+    def bucket_of(ids: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(splits, ids.to_numpy(zero_copy_only=False), "right").astype(np.int32))
 
     lowest = F.lit(-(1 << 63)).cast("long")
     bucket = bucket_of(F.coalesce("doc_id", lowest))

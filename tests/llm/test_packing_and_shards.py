@@ -153,7 +153,7 @@ def test_shard_query(spark):
 # ------------------------------------------------------------------ pipeline
 
 
-def write(spark, folder, docs, labels, cols="doc_id long, text string, lang string, source string, n_chars long, id string"):
+def write(spark, folder, docs, labels, cols="doc_id long, text string, lang string, source string, n_chars long, id string, _id string, _th string, _score string"):
     spark.createDataFrame(docs, cols).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
 
@@ -171,7 +171,7 @@ def test_pipeline_equals_its_stages_one_by_one(spark, tmp_path):
     texts[21] = " ".join(texts[12].split()[:-1])
     block = prose(30)
     texts[30] = prose(60) + f" {block} and {block}"
-    docs = [(i, t, "en", "s", len(t), "q") for i, t in enumerate(texts + junk + ["", "few words"])] + [(None, None, None, None, None, None)]
+    docs = [(i, t, "en", "s", len(t), "q", "i", "t", "x") for i, t in enumerate(texts + junk + ["", "few words"])] + [(None,) * 9]
     labels = [(i, 1, 0) for i in range(60)] + [(i, 0, 0) for i in range(60, 85)]
     write(spark, tmp_path, docs, labels)
     docs_df = spark.read.parquet(f"{tmp_path}/documents.parquet")
