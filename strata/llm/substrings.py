@@ -19,9 +19,13 @@ each document goes only to the shards that can hold a match of it:
    each context is streamed through the automata of smaller ids, which give for
    every word the longest match ending there (matching statistics).  Spans of at
    least 50 words are removed.
-4. An anchor with more than ``MOST`` contexts would be a large group in one task.
-   Its windows are hashed instead and take the smallest id by an aggregation,
-   which is exact as well and of any size.
+4. An anchor with more than ``MOST`` contexts (a line that stands in many
+   documents, say) would be a large group in one task.  A window has at least 21
+   words on the left of its anchor or at least 21 on the right of it, so such
+   contexts are dealt out once by the 21 words on the left and once by those on
+   the right, and the shards are those of anchor and neighbours.  Where even such
+   a shard has more than ``MOST`` contexts, its windows are hashed and take the
+   smallest id by an aggregation, which is exact as well and of any size.
 
 Defined results: null, empty and blank texts have no words and lose none; equal
 ids do not remove from each other, whatever their texts; rows equal in id and
@@ -42,6 +46,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import Words, discard, documents, mix, slices, written
 
 WINDOW, GRAM = 50, 8
+SIDE = (WINDOW - GRAM) // 2
 #: Contexts in one automaton, and most contexts of an anchor that one task takes.
 SHARD, MOST = 512, 4096
 #: Ids are broadcast up to this many (8 bytes each), else joined by a shuffle.
@@ -59,12 +64,13 @@ def _row_key(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(text).alias("th"), "text")
 
 
-def find_anchors(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Word places (in all texts of the part) at which an anchor begins, ascending, and their hashes."""
+def _selected(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all 8-word runs, their row offsets, and for every window of a row the
+    run it begins with and the run that is its anchor (places among all runs)."""
     per = WINDOW - GRAM + 1
     g, first = w.grams(GRAM)
     if len(g) < per:
-        return np.zeros(0, np.int64), g[:0]
+        return g, first, np.zeros(0, np.int64), np.zeros(0, np.int64)
     key = (g & ~_LOW) | (_LOW - (np.arange(len(g), dtype=np.uint64) & _LOW))
     least, span = key, 1
     while span * 2 <= per:
@@ -75,7 +81,13 @@ def find_anchors(w: Words) -> tuple[np.ndarray, np.ndarray]:
     windows = np.maximum(n - per + 1, 0)
     at = np.arange(windows.sum()) - np.repeat(np.concatenate([[0], np.cumsum(windows)[:-1]]), windows) + np.repeat(first[:-1], windows)
     low = (_LOW - (least[at] & _LOW)).astype(np.int64)
-    gram = np.unique(at + ((low - at) & int(_LOW)))
+    return g, first, at, at + ((low - at) & int(_LOW))
+
+
+def find_anchors(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Word places (in all texts of the part) at which an anchor begins, ascending, and their hashes."""
+    g, first, _, chosen = _selected(w)
+    gram = np.unique(chosen)
     row = np.searchsorted(first, gram, "right") - 1
     return gram - first[row] + w.first[row], g[gram]
 
@@ -191,8 +203,9 @@ def match_group(contexts: list[tuple[int, list]], least: int = WINDOW) -> list[l
 
 
 def match_contexts(contexts: DataFrame) -> DataFrame:
-    """(id, th, begin, end) from (anchor, id, th, first, words): each anchor's contexts together, in order of id."""
-    ordered = contexts.repartition("anchor").sortWithinPartitions("anchor", "id", "th", "first")
+    """(id, th, begin, end) from (anchor, part, id, th, first, words): the contexts of
+    an anchor and part together, in order of id."""
+    ordered = contexts.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "id", "th", "first")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
@@ -205,11 +218,11 @@ def match_contexts(contexts: DataFrame) -> DataFrame:
         pack = lambda out: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
         for b in batches:
             out = []
-            for a, i, th, first, words in zip(*[b.column(c).to_pylist() for c in ("anchor", "id", "th", "first", "words")]):
-                if group and group[0][0] != a:
+            for a, part, i, th, first, words in zip(*[b.column(c).to_pylist() for c in ("anchor", "part", "id", "th", "first", "words")]):
+                if group and group[0][0] != (a, part):
                     out += spans()
                     group = []
-                group.append((a, i, th, first, words.split(b" ")))
+                group.append(((a, part), i, th, first, words.split(b" ")))
             if out:
                 yield pack(out)
         if group and (out := spans()):
@@ -218,41 +231,59 @@ def match_contexts(contexts: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "id long, th long, begin int, end int")
 
 
-def cut_contexts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """(anchor, id, th, first, words, at) of ``wanted`` (anchor, id, th, at), words joined by a space."""
+def cut_contexts(wanted: DataFrame, docs: DataFrame, by_neighbours: bool = False) -> DataFrame:
+    """(anchor, part, side, place, id, th, first, words) of ``wanted`` (anchor, id, th, at):
+    the context's words joined by a space, the anchor's place among them and the
+    context's place in its text.  ``by_neighbours``: once for the ``SIDE`` words on
+    the left of the anchor (side -1) and once for those on the right (1), ``part``
+    being a hash of them; else part and side are 0."""
     per_doc = wanted.groupBy("id", "th").agg(F.collect_list(F.struct("anchor", "at")).alias("places"))
     rows = docs.join(per_doc, ["id", "th"]).select("id", "th", "text", "places")
 
+    def part_of(side: bytes, words: list[bytes]) -> int:
+        return int.from_bytes(hashlib.blake2b(side + b" ".join(words), digest_size=8).digest(), "little", signed=True)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", PART):
             out = []
             for i, th, text, places in zip(*[b.column(c).to_pylist() for c in ("id", "th", "text", "places")]):
                 words = text.encode("utf-8").split()
                 for p in places:
-                    first = max(0, p["at"] - (WINDOW - GRAM))
-                    out.append((p["anchor"], i, th, first, b" ".join(words[first:p["at"] + WINDOW])))
+                    at = p["at"]
+                    first = max(0, at - (WINDOW - GRAM))
+                    context = b" ".join(words[first:at + WINDOW])
+                    left, right = words[max(0, at - SIDE):at], words[at + GRAM:at + GRAM + SIDE]
+                    parts = [(0, 0)] if not by_neighbours else [
+                        (part_of(k, x), side) for side, k, x in ((-1, b"<", left), (1, b">", right)) if len(x) == SIDE]
+                    out += [(p["anchor"], part, side, at - first, i, th, first, context) for part, side in parts]
             if out:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                                 ["anchor", "id", "th", "first", "words"])
+                                                 ["anchor", "part", "side", "place", "id", "th", "first", "words"])
 
-    return rows.mapInArrow(run, "anchor long, id long, th long, first int, words binary")
+    return rows.mapInArrow(run, "anchor long, part long, side int, place int, id long, th long, first int, words binary")
 
 
 def match_windows(contexts: DataFrame) -> DataFrame:
-    """(id, th, begin, end) as ``match_contexts``, by hashes of single windows (any number of contexts)."""
+    """(id, th, begin, end) as ``match_contexts``, by hashes of single windows (any
+    number of contexts).  A window is taken once: by the context of its own anchor
+    and by one of the anchor's sides."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for i, th, first, words in zip(*[b.column(c).to_pylist() for c in ("id", "th", "first", "words")]):
-                words = words.split(b" ")
-                for k in range(len(words) - WINDOW + 1):
-                    h = hashlib.blake2b(b" ".join(words[k:k + WINDOW]), digest_size=16).digest()
-                    out.append((h, i, th, first + k))
-            if out:
-                kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int32()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["h", "id", "th", "begin"])
+        for b in slices(batches, "words", PART):
+            _, runs, begins, chosen = _selected(Words(b.column("words")))
+            row = np.searchsorted(runs, begins, "right") - 1
+            begin, anchor = begins - runs[row], chosen - runs[row]
+            place, side = (np.asarray(b.column(c))[row] for c in ("place", "side"))
+            left = place - begin >= SIDE  # the window holds the left neighbours
+            own = (anchor == place) & ((side == 0) | (left == (side < 0)))
+            row, begin = row[own], begin[own]
+            words = [x.split(b" ") for x in b.column("words").to_pylist()]
+            h = [hashlib.blake2b(b" ".join(words[r][k:k + WINDOW]), digest_size=16).digest() for r, k in zip(row.tolist(), begin.tolist())]
+            at = pa.array(row, pa.int64())
+            start = (np.asarray(b.column("first"))[row] + begin).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(h, pa.binary()), b.column("id").take(at), b.column("th").take(at), pa.array(start)],
+                                             ["h", "id", "th", "begin"])
 
     windows = contexts.mapInArrow(run, "h binary, id long, th long, begin int")
     owner = windows.groupBy("h").agg(F.min("id").alias("owner"), F.max("id").alias("_last")).where("owner < _last").select("h", "owner")
@@ -275,8 +306,13 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     holders = rows.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= BROADCAST_IDS else rows
     few, most = wanted.where(f"contexts <= {MOST}"), wanted.where(f"contexts > {MOST}")
     spans = copies.union(match_contexts(cut_contexts(few, holders)))
-    if most.limit(1).count():
-        spans = spans.union(match_windows(written(cut_contexts(most, holders), "contexts")))
+    if not most.isEmpty():
+        dealt = written(cut_contexts(most, holders, by_neighbours=True), "contexts")
+        size = dealt.groupBy("anchor", "part").agg(F.count("*").alias("_n")).where("_n > 1")
+        dealt = dealt.join(size, ["anchor", "part"])
+        spans = spans.union(match_contexts(dealt.where(f"_n <= {MOST}").drop("_n")))
+        if not size.where(f"_n > {MOST}").isEmpty():
+            spans = spans.union(match_windows(dealt.where(f"_n > {MOST}")))
     out = written(spans.groupBy("id", "th").agg(F.collect_set(F.struct("begin", "end")).alias("spans")), "spans")
     discard(hits, owner, wanted)
     return out
@@ -294,21 +330,21 @@ def kept_words(text: str | None, spans: list[dict] | None) -> tuple[int, list[by
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_spans`` (null where nothing is removed); texts without spans are not shuffled."""
+    """``docs`` with ``__llm_spans`` (null where nothing is removed); texts without spans are not shuffled."""
     key = _row_key(docs)
     spans = repeated_spans(key)
     ids = spans.select("id").distinct()
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).withColumn(
-        "_th", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    named = spans.select(F.col("id").alias("_i"), F.col("th").alias("_t"), F.col("spans").alias("_spans"))
-    on = (F.col("_id") == F.col("_i")) & (F.col("_th") == F.col("_t"))
+    keyed = docs.withColumn("__llm_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).withColumn(
+        "__llm_th", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    named = spans.select(F.col("id").alias("__llm_i"), F.col("th").alias("__llm_t"), F.col("spans").alias("__llm_spans"))
+    on = (F.col("__llm_id") == F.col("__llm_i")) & (F.col("__llm_th") == F.col("__llm_t"))
     if ids.count() > BROADCAST_IDS:
-        return keyed.join(named, on, "left").drop("_id", "_th", "_i", "_t")
-    touched = F.broadcast(ids.withColumnRenamed("id", "_touched"))
-    clean = keyed.join(touched, F.col("_id") == F.col("_touched"), "left_anti").withColumn(
-        "_spans", F.lit(None).cast(spans.schema["spans"].dataType))
-    other = keyed.join(touched, F.col("_id") == F.col("_touched"), "left_semi").join(named, on, "left")
-    return clean.drop("_id", "_th").union(other.drop("_id", "_th", "_i", "_t"))
+        return keyed.join(named, on, "left").drop("__llm_id", "__llm_th", "__llm_i", "__llm_t")
+    touched = F.broadcast(ids.withColumnRenamed("id", "__llm_touched"))
+    clean = keyed.join(touched, F.col("__llm_id") == F.col("__llm_touched"), "left_anti").withColumn(
+        "__llm_spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    other = keyed.join(touched, F.col("__llm_id") == F.col("__llm_touched"), "left_semi").join(named, on, "left")
+    return clean.drop("__llm_id", "__llm_th").union(other.drop("__llm_id", "__llm_th", "__llm_i", "__llm_t"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -316,13 +352,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     where any was removed, the text as it was elsewhere; ``n_chars`` follows."""
     names = docs.columns
 
-    @F.udf("string")
-    def cut(text, spans):
-        return b" ".join(kept_words(text, spans)[1]).decode("utf-8") if spans else text
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        rows = zip(texts.to_pylist(), spans.to_pylist())
+        return pa.array([b" ".join(kept_words(t, s)[1]).decode("utf-8") if s else t for t, s in rows], pa.string())
 
-    out = with_spans(docs).withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut("text", "_spans")))
+    out = with_spans(docs).withColumn("text", F.when(F.col("__llm_spans").isNull(), F.col("text")).otherwise(cut("text", "__llm_spans")))
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(
+        out = out.withColumn("n_chars", F.when(F.col("__llm_spans").isNull(), F.col("n_chars")).otherwise(
             F.char_length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*[F.col(f"`{c}`") for c in names])
 
@@ -331,7 +368,7 @@ def op10_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             n, gone, sha = [], [], []
-            for text, spans in zip(b.column("text").to_pylist(), b.column("_spans").to_pylist()):
+            for text, spans in zip(b.column("text").to_pylist(), b.column("__llm_spans").to_pylist()):
                 total, kept = kept_words(text, spans)
                 n.append(total), gone.append(total - len(kept))
                 sha.append(hashlib.sha256(b" ".join(kept)).hexdigest())

@@ -52,7 +52,7 @@ def got(spark, rows, parts=3):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
     out = []
     for r in substrings.with_spans(df).collect():
-        n, kept = substrings.kept_words(r["text"], r["_spans"])
+        n, kept = substrings.kept_words(r["text"], r["__llm_spans"])
         out.append((r["doc_id"], n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
     return sorted(out, key=str)
 
@@ -63,7 +63,7 @@ def test_equals_brute_force(spark, seed):
     assert got(spark, rows) == sorted(brute(rows), key=str)
 
 
-def test_large_groups_by_windows(spark, monkeypatch):
+def test_large_groups_by_neighbours_and_windows(spark, monkeypatch):
     rows = corpus(3, 120)
     monkeypatch.setattr(substrings, "MOST", 3)
     assert got(spark, rows) == sorted(brute(rows), key=str)
