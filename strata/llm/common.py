@@ -66,11 +66,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as parquet into the shared checkpoint folder and read back:
     the lineage is cut there and a lost executor costs no recomputation."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/llm/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove all tables that ``written`` made for this application, once its results are read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(*frames: DataFrame) -> None:
     """Remove the files behind tables made by ``written`` that are read no more."""
     for df in frames:
