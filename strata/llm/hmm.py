@@ -1,7 +1,7 @@
 """Hidden Markov language model, trained by Baum-Welch, and exact likelihoods.
 
-Words (lower-cased A-Z) are counted over all training texts.  The ``HOT`` most
-frequent words are symbols of their own; every other word, seen or not, belongs
+Words (lower-cased A-Z) are counted over all training texts.  The most frequent
+words (up to ``HOT``) are symbols of their own; every other word, seen or not, belongs
 to one of ``CLASSES`` classes by its last bytes and has, inside its class, the
 smoothed share of its count (unseen words of a class are one more word).  The
 end of a text is a symbol too.  A text's probability is that of its symbols
@@ -99,9 +99,23 @@ class Symbols:
         return p / p.sum()
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The words above a count that at most ``most`` words reach.  The count is found
+    from a histogram by 64ths of an octave, a few thousand rows for any corpus (a
+    sorted limit would send that many words from every task to the driver)."""
+    octave = F.floor(F.log2("n") * 64)
+    total, low = 0, 0
+    for r in sorted(counts.groupBy(octave.alias("o")).agg(F.count("*").alias("k")).collect(), key=lambda r: -r["o"]):
+        if total + r["k"] > most:
+            low = r["o"] + 1
+            break
+        total += r["k"]
+    return counts.where(octave >= low)
+
+
 def symbols(counts: DataFrame, texts: int, hot: int = HOT) -> Symbols:
-    """From the word counts and the number of training texts; ``hot`` words and a row a class reach the driver."""
-    top = counts.orderBy(F.desc("n"), "word").limit(hot).collect()
+    """From the word counts and the number of training texts; up to ``hot`` words and a row a class reach the driver."""
+    top = sorted(frequent(counts, hot).collect(), key=lambda r: (-r["n"], r["word"]))
     tail = F.crc32(F.expr(f"substr(word, greatest(1, octet_length(word) - {TAIL - 1}))")) % CLASSES
     words, mass = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in counts.groupBy(tail.alias("c")).agg(F.count("*").alias("v"), F.sum("n").alias("n")).collect():
