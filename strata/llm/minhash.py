@@ -16,7 +16,8 @@ Candidates are not all pairs of a bucket:
    linked to it.  A member is then described by its difference from the pivot.
    For two members to be linked they must share a number of difference elements
    that follows from the sizes, so they share one among the first few of each in
-   order of rarity (prefix filtering).  Those pairs are compared on full sets.
+   order of rarity (prefix filtering).  Those pairs are compared on full sets,
+   unless both are linked to one pivot already.
    No pair above the threshold that met in a bucket is lost, and a group of any
    size is joined on its rare differences only.
 4. Links are closed to components.
@@ -173,27 +174,34 @@ def remaining_pairs(stars: DataFrame, least: int) -> DataFrame:
     """Pairs (p, x, wanted) of members of one pivot, not both linked to it, that can be linked."""
     s = least / 100.0
     theta = least / (100.0 + least)
+    # A member's label is the smallest pivot that it is linked to: members of one label are connected.
+    labels = stars.where(_linked(least)).groupBy(F.col("x").alias("_x")).agg(F.min("p").alias("label"))
     rest = stars.where(F.col("diff").isNotNull()).withColumn("linked", _linked(least))
-    mixed = rest.groupBy("p").agg(F.count("*").alias("_m"), F.min("linked").alias("_all")).where("_m > 1 AND NOT _all").select("p")
+    rest = rest.join(labels, F.col("x") == F.col("_x"), "left").withColumn("label", F.coalesce("label", "x")).drop("_x")
+    mixed = (rest.groupBy("p").agg(F.min("linked").alias("_all"), F.min("label").alias("_low"), F.max("label").alias("_high"))
+             .where("NOT _all AND _low < _high").select("p"))
     rest = rest.join(mixed, "p", "left_semi")
     # Least number of difference elements a partner must share (partner size chosen to make it smallest).
     other = F.least(F.greatest(F.col("np"), s * F.col("nx")), F.col("nx") / s)
     tau = F.greatest(F.lit(1), F.ceil(theta * (F.col("nx") + other) - F.col("both")
                                       + F.greatest(F.lit(0.0), F.col("np") - other) - 1e-6))
     rest = rest.withColumn("_prefix", F.size("diff") - tau + 1).where("_prefix > 0")
-    items = rest.select("p", "x", "nx", "linked", "_prefix", F.size("diff").alias("_size"), F.explode("diff").alias("e"))
+    items = rest.select("p", "x", "np", "nx", "both", "linked", "label", "_prefix", F.size("diff").alias("_size"), F.explode("diff").alias("e"))
     often = items.groupBy("p", "e").agg(F.count("*").alias("_df")).where("_df > 1")
     shared = items.join(often, ["p", "e"])
     # Elements of one member only come first in order of rarity and match nothing.
     count = F.count("*").over(Window.partitionBy("p", "x"))
     place = F.row_number().over(Window.partitionBy("p", "x").orderBy("_df", "e"))
-    shared = (shared.withColumn("_n", count).withColumn("_at", place)
-              .where(F.col("_at") + F.col("_size") - F.col("_n") <= F.col("_prefix")).select("p", "e", "x", "nx", "linked"))
-    one = shared.select("p", "e", F.col("x").alias("a"), F.col("nx").alias("na"), F.col("linked").alias("la"))
-    two = shared.select("p", "e", F.col("x").alias("b"), F.col("nx").alias("nb"), F.col("linked").alias("lb"))
-    on = ((one["p"] == two["p"]) & (one["e"] == two["e"]) & (F.col("a") < F.col("b")) & ~(F.col("la") & F.col("lb"))
-          & (F.col("na") * 100 >= F.col("nb") * least) & (F.col("nb") * 100 >= F.col("na") * least))
-    return one.join(two, on).select(F.col("a").alias("p"), F.col("b").alias("x"), F.lit(False).alias("wanted")).distinct()
+    # Elements of x from this one on, in order of rarity.
+    shared = (shared.withColumn("_on", count - place + 1).where(F.col("_size") - F.col("_on") < F.col("_prefix")))
+    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("x", "nx", "both", "linked", "label", "_on")]
+    one, two = shared.select("p", "e", "np", *side("a")), shared.select(F.col("p").alias("p2"), F.col("e").alias("e2"), *side("b"))
+    # The pair must share this many difference elements, all of them from its first common one on.
+    need = theta * (F.col("nx_a") + F.col("nx_b")) + F.col("np") - F.col("both_a") - F.col("both_b") - 1e-6
+    on = ((F.col("p") == F.col("p2")) & (F.col("e") == F.col("e2")) & (F.col("x_a") < F.col("x_b"))
+          & ~(F.col("linked_a") & F.col("linked_b")) & (F.col("label_a") != F.col("label_b")) & (need <= F.least("_on_a", "_on_b"))
+          & (F.col("nx_a") * 100 >= F.col("nx_b") * least) & (F.col("nx_b") * 100 >= F.col("nx_a") * least))
+    return one.join(two, on).select(F.col("x_a").alias("p"), F.col("x_b").alias("x"), F.lit(False).alias("wanted")).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST,
@@ -234,10 +242,10 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, least: int = L
     """``docs`` with one document (the smallest id) of each group; rows that repeat an
     id and its text are one document and stay together."""
     gone = near_duplicates(docs.select("doc_id", "text"), shingle, least).where("NOT kept").select(
-        F.col("doc_id").alias("_gone"), F.col("th").alias("_gone_th")).distinct()
+        F.col("doc_id").alias("__llm_gone"), F.col("th").alias("__llm_gone_th")).distinct()
     gone = written(gone, "gone")
     side = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    on = F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_gone_th"))
+    on = F.col("doc_id").eqNullSafe(F.col("__llm_gone")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__llm_gone_th"))
     return docs.join(side, on, "left_anti")
 
 
