@@ -6,7 +6,7 @@ that licence, up to case, punctuation, white space, copyright lines and
 equivalent spellings.  The same lookup is made for every line of a text, which
 finds one-line notices inside documents.  DataFrame functions only.
 
-Canonical form: A-Z to a-z; lines that begin with "copyright", "(c)" or the
+Canonical form: lower case; lines that begin with "copyright", "(c)" or the
 copyright sign are dropped; every run of ASCII or typographic punctuation and
 ASCII white space becomes one space; equivalent spellings are replaced word by
 word; no space at either end.
@@ -19,14 +19,15 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import documents
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+COPYRIGHT_MARKS = ("copyright", "(c)", "©")
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
 SEPARATORS = r"[\t\n\x0B\f\r !-/:-@\[-`{-~‘’“”–—…«»•·©]+"
 
@@ -46,6 +47,9 @@ EQUIVALENT = {
     "signalling": "signaling", "utilisation": "utilization", "whilst": "while", "wilful": "willful",
 }
 
+#: Parts of words of which every known text holds one, however it is spelt.
+STEMS = ("licen", "software")
+
 #: Public licence texts and one-line notices.
 KNOWN = {
     "0BSD": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
@@ -72,15 +76,31 @@ Permission is granted to anyone to use this software for any purpose, including
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text (null: empty)."""
-    t = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    t = F.regexp_replace(t, COPYRIGHT_LINE, "\n")
+    def without_copyright(t: Column) -> Column:
+        return F.when(_holds(t, COPYRIGHT_MARKS), F.regexp_replace(t, COPYRIGHT_LINE, "\n")).otherwise(t)
+
+    def one_spelling(t: Column) -> Column:
+        other = t
+        for word, same in EQUIVALENT.items():
+            other = F.replace(other, F.lit(f" {word} "), F.lit(f" {same} "))
+        # Most texts hold none of the words: one look instead of a pass for each.
+        return F.when(F.rlike(t, F.lit(f" ({'|'.join(EQUIVALENT)}) ")), other).otherwise(t)
+
+    t = _with(F.lower(F.coalesce(text, F.lit(""))), without_copyright)
     # Two spaces between words, so each word has a space of its own on either side.
-    t = F.concat(F.lit(" "), F.regexp_replace(t, SEPARATORS, "  "), F.lit(" "))
-    for word, same in EQUIVALENT.items():
-        t = F.replace(t, F.lit(f" {word} "), F.lit(f" {same} "))
+    t = _with(F.concat(F.lit(" "), F.regexp_replace(t, SEPARATORS, "  "), F.lit(" ")), one_spelling)
     return F.trim(F.replace(t, F.lit("  "), F.lit(" ")))
 
 
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _holds(text: Column, parts: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(p)) for p in parts])
+
+
 def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
@@ -99,13 +119,15 @@ def scan(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
     return out.join(F.broadcast(found), F.col("text_digest") == F.col("_digest"), "left").drop("_digest")
 
 
-def notices(docs: DataFrame, known: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def notices(docs: DataFrame, known: DataFrame, text: str = "text", key: str = "doc_id",
+            stems: Sequence[str] = STEMS) -> DataFrame:
     """(key, licence, lines): known texts that are a whole line of a document.
 
-    Lines shorter or longer than every known text cannot match and are not hashed;
-    the length of the canonical form decides, so no spelling is lost."""
+    Every known text must hold one of ``stems`` in all its spellings; lines that
+    hold none cannot match and are not hashed."""
     found = known.select(F.col("digest").alias("_digest"), "licence")
-    lines = docs.select(key, F.explode(F.split(F.col(text), "\n")).alias("_line"))
+    lines = docs.where(_holds(F.lower(F.col(text)), stems)).select(key, F.explode(F.split(F.col(text), "\n")).alias("_line"))
+    lines = lines.where(_holds(F.lower(F.col("_line")), stems))
     lines = lines.select(key, digest(F.col("_line")).alias("_d"))
     return (lines.join(F.broadcast(found), F.col("_d") == F.col("_digest"))
                  .groupBy(key, "licence").agg(F.count("*").alias("lines")))
@@ -129,7 +151,7 @@ def _sql_text(value: str) -> str:
 
 
 def _canonical_sql(text: str) -> str:
-    t = f"translate(coalesce({text}, ''), '{UPPER}', '{LOWER}')"
+    t = f"lower(coalesce({text}, ''))"
     t = f"regexp_replace({t}, {_sql_text(COPYRIGHT_LINE)}, chr(10), 'g')"
     t = f"' ' || regexp_replace({t}, {_sql_text(SEPARATORS)}, '  ', 'g') || ' '"
     for word, same in EQUIVALENT.items():

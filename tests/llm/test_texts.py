@@ -281,3 +281,10 @@ def test_scores_without_examples_and_of_odd_texts(spark):
     assert quality.classify(df.limit(0), labels.limit(0)).collect() == []
     same = quality.statistics(pa.array(["a b", "a b", None, ""]))
     assert (same[0] == same[1]).all() and (same[2] == same[3]).all() and np.isfinite(quality.statistics(pa.array(ODD))).all()
+
+
+def test_every_known_text_holds_a_stem():
+    for body in licences.KNOWN.values():
+        assert any(s in body.lower() for s in licences.STEMS)
+    for word, same in licences.EQUIVALENT.items():
+        assert all((s in word) == (s in same) for s in licences.STEMS)
