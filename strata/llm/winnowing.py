@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import documents, mix, slices
 
 #: Code points in a hashed run (a power of two), and hashes in a window.
-K, WINDOW = 16, 100
+K, WINDOW = 16, 16
 #: Bits of a position; the other bits are the hash.
 PLACE = 24
 _LOW = np.uint64((1 << PLACE) - 1)

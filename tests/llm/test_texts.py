@@ -206,6 +206,15 @@ def test_fingerprints_of_edited_texts(spark, tmp_path):
     assert len(prints) == len(ODD) and prints[0] == [] and prints[1] == [] and len(prints[3]) == 1
 
 
+def test_half_a_short_text_leaves_a_common_print():
+    rng = random.Random(11)
+    for _ in range(300):
+        n = rng.randint(62, 230)
+        text, other = ("".join(rng.choice("abcdefghij ") for _ in range(n)) for _ in range(2))
+        own, edit = winnowing.winnow([text, text[:n - n // 2] + other[:n // 2]])
+        assert winnowing.likeness(own, edit) > 0
+
+
 @pytest.mark.parametrize("rows", [[], [(5, "only one text here")], [(1, "a b"), (1, "a b"), (None, "c d")]])
 def test_successors_of_few_rows(spark, tmp_path, rows):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
