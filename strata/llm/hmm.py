@@ -1,28 +1,28 @@
 """Hidden Markov language model, trained by Baum-Welch, and exact likelihoods.
 
-Words (lower-cased A-Z) are counted over all training texts.  The most frequent
-words (up to ``HOT``) are symbols of their own; every other word, seen or not, belongs
-to one of ``CLASSES`` classes by its last bytes and has, inside its class, the
-smoothed share of its count (unseen words of a class are one more word).  The
-end of a text is a symbol too.  A text's probability is that of its symbols
-under the hidden Markov model times those shares, so the probabilities of all
-texts add up to one (unseen words of a class taken as one word).
-
-Training: every task runs the scaled forward and backward recursions over its
-texts and adds up expected counts (first states, transitions, emissions); these
-sums, one row a symbol and task, are aggregated by symbol across tasks, and the
-model that follows from them (``STATES`` numbers a symbol, so of bounded size) is
-broadcast for the next round.  Texts are worked on side by side, longest first,
-one word of each at a time; no text is cut.  Scoring runs the forward recursion
-once more over all texts.
-
-The counts of rare words are never gathered in one place: rare words of each
-text are joined with the count table and added up by text.
+Words (lower-cased A-Z) are counted over all training texts.  Every training word
+is a symbol with emissions of its own (a fixed part of them shared with the words
+of its class, which end alike), and so is the end of a text.  Words that
+are not in the training texts belong to one of ``CLASSES`` classes by their last
+bytes; those of a class are one more word, which takes its smoothed share of what
+the training words of that class gather.  The probabilities of all texts add up to
+one (unseen words of a class taken as one word).
+
+Training: texts are dealt into chunks of bounded size with the list of their words.
+Every chunk runs the scaled forward and backward recursions over its texts and adds
+up expected counts (first states, transitions, emissions).  The emission counts of
+all words are one table keyed by word, summed across chunks each round and joined
+with the words of every chunk for the next; only those of the most frequent words
+(up to ``HOT``, which are in every chunk), of the classes and of the end go through
+the driver and a broadcast instead, so nothing of the size of the vocabulary is
+held in one place, and ``HOT`` changes no result beyond rounding.  Texts are worked
+on side by side, longest first, one word of each at a time; no text is cut.
+Scoring runs the forward recursion once more over all texts.
 
 Defined results: null, empty and blank texts consist of the end only; equal
 texts have equal scores; without training texts every count is 0 and the model
-is uniform; null ids are the empty text for the fold; an empty table gives no
-rows; other columns are ignored.
+is the shaken start; null ids are the empty text for the fold; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,18 +35,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import crc_mod, documents, slices, written
+from strata.llm.common import crc_mod, discard, documents, mix, slices, written
 
 STATES, ROUNDS = 12, 5
 HOT, CLASSES, TAIL = 32_000, 256, 3
 FOLDS, ADD = 10, 0.1
 #: Weight of the corpus frequencies in every state's emissions, in words.
 PRIOR = 20.0
+#: Part of every word's expected counts that is taken from its class, by its share of the class's tokens.
+MIX = 0.3
 #: Words worked on side by side, words a task counts before it hands them on, steps between rescalings.
 TOKENS, FLUSH, RESCALE = 300_000, 300_000, 16
+#: Text bytes of a chunk.
+CHUNK = 1 << 25
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -78,31 +83,48 @@ def class_of(word: bytes) -> int:
 
 @dataclass
 class Symbols:
-    """Numbers of the hot words, the classes and the end, with what is known of them."""
+    """What is known of the words.  Numbers: hot words, the end, the classes (unseen
+    words), then the other words of a chunk."""
 
     hot: dict[bytes, int]
-    counts: np.ndarray  # of every symbol, in training tokens
-    shares: np.ndarray  # log10 of the denominator inside each class
+    counts: np.ndarray  # of the hot words and the end, in training tokens
+    noise: np.ndarray  # hashes of the hot words, for the start
+    classes: np.ndarray  # of every hot word
+    words: np.ndarray  # training words of every class
+    mass: np.ndarray  # their tokens
     tokens: int  # N
     distinct: int  # V
 
     @property
     def end(self) -> int:
-        return len(self.counts) - 1
+        return len(self.hot)
+
+    @property
+    def fixed(self) -> int:
+        return len(self.hot) + 1 + CLASSES
 
     @property
     def base_log(self) -> float:
         return math.log10(self.tokens + ADD * (self.distinct + 1))
 
+    @property
+    def whole(self) -> float:
+        """What counts (with ``ADD``) are divided by: all words, the end and one unseen word."""
+        return self.tokens + ADD * (self.words.sum() + 2)
+
     def prior(self) -> np.ndarray:
-        p = self.counts + ADD
-        return p / p.sum()
+        """Of the hot words, the end and the unseen word of every class."""
+        unseen = ADD * (self.words + 1) / (self.words + 1).sum()
+        return np.concatenate([self.counts + ADD, unseen]) / self.whole
 
+    def unseen_share(self) -> np.ndarray:
+        return ADD / (self.mass + ADD * (self.words + 1))
 
-def frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The words above a count that at most ``most`` words reach.  The count is found
-    from a histogram by 64ths of an octave, a few thousand rows for any corpus (a
-    sorted limit would send that many words from every task to the driver)."""
+
+def split_by_count(counts: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The words above a count that at most ``most`` words reach, and the others.  The
+    count is found from a histogram by 64ths of an octave, a few thousand rows for any
+    corpus (a sorted limit would send that many words from every task to the driver)."""
     octave = F.floor(F.log2("n") * 64)
     total, low = 0, 0
     for r in sorted(counts.groupBy(octave.alias("o")).agg(F.count("*").alias("k")).collect(), key=lambda r: -r["o"]):
@@ -110,83 +132,139 @@ def frequent(counts: DataFrame, most: int) -> DataFrame:
             low = r["o"] + 1
             break
         total += r["k"]
-    return counts.where(octave >= low)
+    return counts.where(octave >= low), counts.where(octave < low)
 
 
-def symbols(counts: DataFrame, texts: int, hot: int = HOT) -> Symbols:
-    """From the word counts and the number of training texts; up to ``hot`` words and a row a class reach the driver."""
-    top = sorted(frequent(counts, hot).collect(), key=lambda r: (-r["n"], r["word"]))
+def symbols(counts: DataFrame, frequent: DataFrame, texts: int) -> Symbols:
+    """From the word counts, the frequent of them and the number of training texts; only
+    the frequent words and a row a class reach the driver."""
+    top = sorted(frequent.withColumn("h", F.xxhash64("word")).collect(), key=lambda r: (-r["n"], r["word"]))
     tail = F.crc32(F.expr(f"substr(word, greatest(1, octet_length(word) - {TAIL - 1}))")) % CLASSES
     words, mass = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in counts.groupBy(tail.alias("c")).agg(F.count("*").alias("v"), F.sum("n").alias("n")).collect():
         words[r["c"]], mass[r["c"]] = r["v"], r["n"]
-    tokens, distinct = int(mass.sum()) + texts, int(words.sum()) + (texts > 0)
-    for r in top:
-        c = class_of(bytes(r["word"]))
-        words[c] -= 1
-        mass[c] -= r["n"]
-    return Symbols({bytes(r["word"]): i for i, r in enumerate(top)}, np.concatenate([[r["n"] for r in top], mass, [texts]]).astype(float),
-                   np.log10(mass + ADD * (words + 1)), tokens, distinct)
+    return Symbols({bytes(r["word"]): i for i, r in enumerate(top)}, np.array([*[r["n"] for r in top], texts], float),
+                   np.array([r["h"] for r in top], np.int64), np.array([class_of(bytes(r["word"])) for r in top], np.int64),
+                   words, mass, int(mass.sum()) + texts, int(words.sum()) + (texts > 0))
 
 
 def encode(docs: DataFrame, known: Symbols) -> DataFrame:
-    """Per row of (doc_id, th, held_out, text): symbols (unsigned 16-bit), what its hot
-    words and end add to the base score, and its rare words with their numbers.
-
-    The first rare word is a mark (a space and the row's hash), which no text has."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(known)
+    """Per row of (doc_id, held_out, text) its chunk and symbols (unsigned 32-bit), and
+    per chunk a row for each of its words that is not hot (``word`` is null else)."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = shared.value
-        get, first_class = s.hot.get, len(s.hot)
-        logs = np.log10(s.counts + ADD)
-        classes: dict[bytes, int] = {}
+        get, local = s.hot.get, {}
+        chunk, size = TaskContext.get().partitionId() << 32, 0
+
+        def rows(n: int, **cols: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)), *[
+                cols[f.name].cast(f.type) if f.name in cols else pa.nulls(n, f.type) for f in fields]],
+                ["chunk", *[f.name for f in fields]])
+
+        def vocabulary() -> Iterator[pa.RecordBatch]:
+            words = list(local)
+            for at in range(0, len(words), 10_000):
+                part = words[at:at + 10_000]
+                yield rows(len(part), local=pa.array(np.arange(at, at + len(part))), word=pa.array(part, pa.binary()),
+                           cls=pa.array([class_of(w) for w in part]))
+
+        fields: list[pa.Field] = []
         for b in slices(batches, "text"):
-            cols: list[list] = [[] for _ in range(7)]
-            for th, t in zip(b.column("th").to_pylist(), b.column("text").to_pylist()):
-                words = (t or "").encode("utf-8").lower().split()
-                ids = [get(w, -1) for w in words]
-                rare: Counter = Counter()
-                for i, k in enumerate(ids):
-                    if k < 0:
-                        w = words[i]
-                        rare[w] += 1
-                        c = classes.get(w[-TAIL:])
-                        if c is None:
-                            c = classes[w[-TAIL:]] = class_of(w)
-                        ids[i] = first_class + c
+            fields = fields or [pa.field("doc_id", b.column("doc_id").type), *rest]
+            if size and size + b.column("text").nbytes > CHUNK:
+                yield from vocabulary()
+                local.clear()
+                chunk, size = chunk + 1, 0
+            size += max(1, b.column("text").nbytes)
+            coded, counts = [], []
+            for t in b.column("text").to_pylist():
+                ids = []
+                for w in (t or "").encode("utf-8").lower().split():
+                    i = get(w)
+                    ids.append(s.fixed + local.setdefault(w, len(local)) if i is None else i)
                 ids.append(s.end)
-                sym = np.array(ids, "<u2")
-                rest = (sym >= first_class) & (sym < s.end)
-                for col, v in zip(cols, (len(ids), int((~rest).sum()) - (s.counts[-1] == 0), float(logs[sym[~rest]].sum()),
-                                         float(s.shares[sym[rest] - first_class].sum()), sym.tobytes(),
-                                         [b" %d" % th, *rare], [1, *rare.values()])):
-                    col.append(v)
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), b.column("held_out"),
-                                              *[pa.array(c, k) for c, k in zip(cols, kinds)]], names)
+                coded.append(np.array(ids, "<u4").tobytes())
+                counts.append(len(ids))
+            yield rows(b.num_rows, doc_id=b.column("doc_id"), held_out=b.column("held_out"), n_tokens=pa.array(counts),
+                       symbols=pa.array(coded, pa.binary()))
+        if size:
+            yield from vocabulary()
 
-    names = ["doc_id", "th", "held_out", "n_tokens", "hot_known", "hot_log", "rare_shares", "symbols", "rare", "rare_n"]
-    return docs.mapInArrow(run, f"doc_id {kind}, th long, held_out boolean, n_tokens long, hot_known long, hot_log double, "
-                                "rare_shares double, symbols binary, rare array<binary>, rare_n array<int>")
+    rest = [pa.field("held_out", pa.bool_()), pa.field("n_tokens", pa.int64()), pa.field("symbols", pa.binary()),
+            pa.field("local", pa.int32()), pa.field("cls", pa.int32()), pa.field("word", pa.binary())]
+    return docs.mapInArrow(run, f"chunk long, doc_id {kind}, held_out boolean, n_tokens long, symbols binary, "
+                                "local int, cls int, word binary")
 
 
 @dataclass
 class Model:
     first: np.ndarray  # K
     move: np.ndarray  # K x K
-    emit: np.ndarray  # symbols x K
+    emit: np.ndarray  # symbols x K (of a trained model: those that are not of a chunk)
+    #: Of the words in the table: their emissions are (own + weight * prior) / total, where ``mix``
+    #: of their own counts comes from ``rate``, the counts a token of each class.
+    total: np.ndarray | None = None
+    weight: float = 0.0
+    mix: float = 0.0
+    rate: np.ndarray | None = None
 
 
-def start_model(known: Symbols, states: int = STATES, seed: int = 5) -> Model:
-    """Every state begins as the corpus frequencies, shaken by seeded noise; states tend to stay."""
-    rng = np.random.default_rng(seed)
-    emit = known.prior()[:, None] * np.exp(rng.normal(0, 1, (len(known.counts), states)))
+def noise(hashes: np.ndarray, states: int) -> np.ndarray:
+    """Standard normal numbers from 64-bit hashes, a row each."""
+    h = hashes.astype(np.int64).view(np.uint64)[:, None]
+    step = np.arange(1, 2 * states + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    u = ((mix(h + step) >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
+    return np.sqrt(-2 * np.log(u[:, :states])) * np.cos(2 * np.pi * u[:, states:])
+
+
+def columns(states: int, kind: str) -> str:
+    return ", ".join(f"s{i} {kind}" for i in range(states))
+
+
+def start_model(cold: DataFrame, known: Symbols, states: int = STATES) -> tuple[Model, DataFrame]:
+    """Every state begins as the corpus frequencies, shaken by noise from each word's
+    hash; states tend to stay.  Also the table (key, s0..) of the words that are not hot."""
+    whole = known.whole
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            p = (b.column("n").to_numpy() + ADD) / whole
+            e = p[:, None] * np.exp(noise(b.column("h").to_numpy(), states))
+            yield pa.RecordBatch.from_arrays([b.column("id"), *[pa.array(c) for c in e.T.astype(np.float32)]],
+                                             ["key", *[f"s{i}" for i in range(states)]])
+
+    table = written(cold.select("id", "n", F.xxhash64("word").alias("h")).mapInArrow(
+        run, f"key long, {columns(states, 'float')}"), "emissions")
+    rest = table.agg(*[F.sum(f"s{i}") for i in range(states)]).first()
+    emit = known.prior()[:, None] * np.exp(noise(np.concatenate([known.noise, np.arange(1 + CLASSES)]), states))
+    total = emit.sum(0) + np.array([x or 0.0 for x in rest])
     move = np.full((states, states), 0.1 / max(states - 1, 1))
     np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
-    return Model(np.full(states, 1 / states), move, emit / emit.sum(0))
+    return Model(np.full(states, 1 / states), move, emit / total, total), table
+
+
+def of_chunk(model: Model, known: Symbols, words: pa.Table) -> tuple[Model, np.ndarray, np.ndarray, np.ndarray]:
+    """The model with the emissions of a chunk's words, and their keys, counts and classes by number."""
+    size, at = words.num_rows, words.column("local").to_numpy()
+    keys, cls, n = np.empty(size, np.int64), np.empty(size, np.int64), np.empty(size)
+    keys[at], cls[at], n[at] = (words.column(c).to_numpy() for c in ("key", "cls", "n"))
+    gathered = np.empty((size, len(model.first)))
+    for i in range(gathered.shape[1]):
+        gathered[at, i] = words.column(f"s{i}").to_numpy()
+    if model.mix:
+        gathered = (1 - model.mix) * gathered + model.mix * n[:, None] * model.rate[cls]
+    emit = (gathered + model.weight * ((n + ADD) / known.whole)[:, None]) / model.total
+    emit = np.where((n > 0)[:, None], emit, model.emit[known.end + 1 + cls])
+    return Model(model.first, model.move, np.concatenate([model.emit, emit])), keys, n, cls
+
+
+def with_emissions(vocab: DataFrame, table: DataFrame, states: int) -> DataFrame:
+    """The words of every chunk with what the table holds of them (0 if nothing)."""
+    return vocab.join(table, "key", "left").select("chunk", "local", "cls", "key", "n", *[
+        F.coalesce(f"s{i}", F.lit(0.0)).cast("float").alias(f"s{i}") for i in range(states)])
 
 
 def groups(texts: list[np.ndarray], limit: int = TOKENS) -> Iterator[list[int]]:
@@ -272,93 +350,119 @@ def expected(model: Model, sym: np.ndarray, active: np.ndarray) -> tuple[float,
     return float(like.sum()), gamma[:first].sum(0), moves, emitted
 
 
-def read_symbols(col: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(x, "<u2") for x in col.to_pylist()]
-
+def read_symbols(col: pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<u4") for x in col.to_pylist()]
 
-def train_round(rows: DataFrame, model: Model, known: Symbols) -> tuple[Model, float]:
-    """One Baum-Welch step over ``rows`` (symbols): counts by task, sums by symbol, the model from them."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-    k, n = len(model.first), len(known.counts)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        like, first, moves, emitted = 0.0, np.zeros(k), np.zeros((k, k)), np.zeros((k, n))
-        for b in batches:
-            texts = read_symbols(b.column("symbols"))
-            for g in groups(texts):
-                part = expected(m, *side_by_side([texts[i] for i in g]))
-                like, first, moves, emitted = like + part[0], first + part[1], moves + part[2], emitted + part[3]
+def train_round(docs: DataFrame, vocab: DataFrame, table: DataFrame, model: Model, known: Symbols) -> tuple[Model, DataFrame, float]:
+    """One Baum-Welch step over ``docs`` (chunk, symbols): counts by chunk, sums by word, the
+    model and the table that follow from them."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast((model, known))
+    k, fixed = len(model.first), known.fixed
+    names = ["key", *[f"s{i}" for i in range(k)]]
+
+    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
+        base, s = shared.value
+        m, keys, _, cls = of_chunk(base, s, words)
+        like, first, moves, emitted = 0.0, np.zeros(k), np.zeros((k, k)), np.zeros((k, len(m.emit)))
+        coded = read_symbols(texts.column("symbols"))
+        for g in groups(coded):
+            part = expected(m, *side_by_side([coded[i] for i in g]))
+            like, first, moves, emitted = like + part[0], first + part[1], moves + part[2], emitted + part[3]
+        # What the words of a class gather, the hot ones aside, stands at the class.
+        for i in range(k):
+            emitted[i, s.end + 1:fixed] = np.bincount(cls, emitted[i, fixed:], CLASSES)
         seen = np.flatnonzero(emitted.any(0))
-        # Below 0 stand the likelihood, the first states and the transitions.
-        table = np.concatenate([np.full((1, k), like), first[None], moves, emitted[:, seen].T])
-        at = np.concatenate([np.arange(-2 - k, 0), seen])
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *[pa.array(c) for c in table.T.astype(np.float32)]],
-                                         ["at", *[f"s{i}" for i in range(k)]])
-
-    parts = rows.select("symbols").mapInArrow(run, "at int, " + ", ".join(f"s{i} float" for i in range(k)))
-    sums = parts.groupBy("at").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(k)]).toPandas()
+        # Below 0 stand the likelihood, the first states, the transitions, the hot words, the end and the classes.
+        rows = np.concatenate([np.full((1, k), like), first[None], moves, emitted[:, seen].T])
+        at = np.concatenate([-1 - np.arange(2 + k), np.where(seen < fixed, -3 - k - seen, 0)])
+        late = seen >= fixed
+        at[2 + k:][late] = keys[seen[late] - fixed]
+        return pa.table([pa.array(at, pa.int64()), *[pa.array(c) for c in rows.T.astype(np.float32)]], names)
+
+    parts = docs.groupBy("chunk").cogroup(with_emissions(vocab, table, k).groupBy("chunk")).applyInArrow(
+        run, f"key long, {columns(k, 'float')}")
+    sums = written(parts.groupBy("key").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(k)]), "emissions")
+    own = sums.where("key < 0").toPandas()
     shared.unpersist()
-    table = np.zeros((2 + k + n, k))
-    table[sums["at"].to_numpy() + 2 + k] = sums[[f"s{i}" for i in range(k)]].to_numpy()
-    emit = table[2 + k:] + PRIOR * known.prior()[:, None]
-    move, first = table[2:2 + k] + 0.1, table[1] + 0.1
-    return Model(first / first.sum(), move / move.sum(1)[:, None], emit / emit.sum(0)), float(table[0, 0])
-
-
-def train(rows: DataFrame, known: Symbols, states: int = STATES, rounds: int = ROUNDS) -> tuple[Model, list[float]]:
-    model, likes = start_model(known, states), []
-    for _ in range(rounds if known.tokens else 0):
-        model, like = train_round(rows, model, known)
-        likes.append(like)
-    return model, likes
-
-
-def likelihoods(rows: DataFrame, model: Model) -> DataFrame:
-    """``rows`` (without symbols) with ``chain``: log10 of the probability of the symbols."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-    keep = [f for f in rows.schema.fields if f.name != "symbols"]
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for b in batches:
-            texts = read_symbols(b.column("symbols"))
-            out = np.zeros(len(texts))
-            for g in groups(texts):
-                out[g] = forward(m, *side_by_side([texts[i] for i in g]), False)[0] / math.log(10)
-            yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in keep], pa.array(out)], [*[f.name for f in keep], "chain"])
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keep)
-    return rows.mapInArrow(run, f"{schema}, chain double")
+    got = np.zeros((2 + k + fixed, k))
+    got[-1 - own["key"].to_numpy()] = own[names[1:]].to_numpy()
+    like, first, move, gathered = float(got[0, 0]), got[1] + 0.1, got[2:2 + k] + 0.1, got[2 + k:]
+    end, classes = known.end, gathered[known.end + 1:].copy()
+    words = gathered[:end + 1].sum(0) + classes.sum(0)
+    for i in range(k):
+        classes[:, i] += np.bincount(known.classes, gathered[:end, i], CLASSES)
+    rate = classes / np.maximum(known.mass, 1)[:, None]
+    gathered[:end] = (1 - MIX) * gathered[:end] + MIX * known.counts[:end, None] * rate[known.classes]
+    unseen = known.unseen_share()[:, None] * classes
+    total = words + unseen.sum(0) + PRIOR
+    emit = (np.concatenate([gathered[:end + 1], unseen]) + PRIOR * known.prior()[:, None]) / total
+    return Model(first / first.sum(), move / move.sum(1)[:, None], emit, total, PRIOR, MIX, rate), sums.where("key >= 0"), like
+
+
+def train(docs: DataFrame, vocab: DataFrame, cold: DataFrame, known: Symbols, states: int = STATES,
+          rounds: int = ROUNDS) -> tuple[Model, DataFrame, list[float]]:
+    """The model, the table of the words that are not hot, and the likelihood before every round."""
+    model, table = start_model(cold, known, states)
+    likes: list[float] = []
+    if known.tokens and rounds:
+        # Dealt by chunk once; every round only moves the words of the chunks.
+        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        docs = docs.select("chunk", "symbols").repartition(parts, "chunk").persist(StorageLevel.DISK_ONLY)
+        docs.count()
+        for _ in range(rounds):
+            model, after, like = train_round(docs, vocab, table, model, known)
+            discard(table)
+            table = after
+            likes.append(like)
+        docs.unpersist()
+    return model, table, likes
+
+
+def likelihoods(docs: DataFrame, vocab: DataFrame, table: DataFrame, model: Model, known: Symbols) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, base_log, score): log10 of the probability of the
+    symbols, and the sum of the logarithms of their counts."""
+    shared = docs.sparkSession.sparkContext.broadcast((model, known))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    kept = ["doc_id", "held_out", "n_tokens"]
+
+    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
+        base, s = shared.value
+        m, _, n, _ = of_chunk(base, s, words)
+        counts = np.concatenate([s.counts, np.zeros(CLASSES), n])
+        logs, seen = np.log10(counts + ADD), counts > 0
+        coded = read_symbols(texts.column("symbols"))
+        out = np.zeros(len(coded))
+        for g in groups(coded):
+            out[g] = forward(m, *side_by_side([coded[i] for i in g]), False)[0] / math.log(10)
+        return pa.table([*[texts.column(c) for c in kept], pa.array([int(seen[x].sum()) for x in coded], pa.int64()),
+                         pa.array([float(logs[x].sum()) for x in coded], pa.float64()), pa.array(out)],
+                        [*kept, "n_known", "base_log", "score"])
+
+    return docs.select("chunk", *kept, "symbols").groupBy("chunk").cogroup(
+        with_emissions(vocab, table, len(model.first)).groupBy("chunk")).applyInArrow(
+        run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_log double, score double")
 
 
 def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, hot: int = HOT) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs``."""
-    rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"),
-                       (crc_mod("doc_id", FOLDS) == 0).alias("held_out"), "text")
+    rows = docs.select("doc_id", (crc_mod("doc_id", FOLDS) == 0).alias("held_out"), "text")
     training = rows.where("NOT held_out")
     counts = written(word_counts(training.select("text")), "counts")
-    known = symbols(counts, training.count(), hot)
+    frequent, others = split_by_count(counts, hot)
+    cold = written(others.withColumn("id", F.monotonically_increasing_id()), "cold")
+    known = symbols(counts, frequent, training.count())
     coded = written(encode(rows, known), "coded")
-    model, _ = train(coded.where("NOT held_out"), known, states, rounds)
-    # Rare words: joined with the counts and added up by text; marks tell how many equal rows there are.
-    rare = coded.select("doc_id", "th", F.explode(F.arrays_zip("rare", "rare_n")).alias("w")).select(
-        F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("w.rare").alias("word"), F.col("w.rare_n").alias("k"))
-    seen = F.coalesce("n", F.lit(0))
-    mark = F.substring("word", 1, 1) == F.lit(b" ")
-    value = lambda c: F.sum(F.when(~mark, c).otherwise(0))
-    rare = (rare.join(counts, "word", "left").groupBy("_id", "_th").agg(
-        F.sum(F.when(mark, F.col("k")).otherwise(0)).alias("_equal"),
-        value(F.when(seen > 0, F.col("k")).otherwise(0)).alias("_known"),
-        value(F.col("k") * F.log10(seen + ADD)).alias("_log")))
-    chain = likelihoods(coded.select("doc_id", "th", "held_out", "n_tokens", "hot_known", "hot_log", "rare_shares", "symbols"), model)
-    out = chain.join(rare, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
-    log = F.col("_log") / F.col("_equal")
-    return out.select("doc_id", "held_out", "n_tokens",
-                      (F.col("hot_known") + F.col("_known") / F.col("_equal")).cast("long").alias("n_known"),
-                      F.lit(known.tokens).cast("long").alias("train_tokens"),
-                      (F.col("hot_log") + log - F.col("n_tokens") * known.base_log).alias("base_score"),
-                      (F.col("chain") + log - F.col("rare_shares")).alias("score"))
+    texts = coded.where("word IS NULL")
+    # Words that are not in the training texts get keys below 0, which no table has.
+    unseen = -1 - F.pmod(F.xxhash64("word"), F.lit(1 << 62))
+    vocab = written(coded.where("word IS NOT NULL").select("chunk", "local", "cls", "word").join(cold, "word", "left").select(
+        "chunk", "local", "cls", F.coalesce("id", unseen).alias("key"), F.coalesce("n", F.lit(0)).alias("n")), "vocabulary")
+    model, table, _ = train(texts.where("NOT held_out"), vocab, cold, known, states, rounds)
+    return likelihoods(texts, vocab, table, model, known).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(known.tokens).cast("long").alias("train_tokens"),
+        (F.col("base_log") - F.col("n_tokens") * known.base_log).alias("base_score"), "score")
 
 
 def op3_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:

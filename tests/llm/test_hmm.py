@@ -106,6 +106,15 @@ def test_scores(spark):
     assert sum(r["score"] for r in test) > sum(r["base_score"] for r in test) + 10
 
 
+def test_scores_do_not_depend_on_how_many_words_are_broadcast(spark):
+    df = spark.createDataFrame(rows_of(2, 90), "doc_id long, text string").repartition(3)
+    runs = [{r["doc_id"]: r for r in hmm.score(df, states=3, rounds=4, hot=h).collect()} for h in (0, 40, 100_000)]
+    for i, r in runs[0].items():
+        for other in runs[1:]:
+            assert math.isclose(r["score"], other[i]["score"], rel_tol=1e-4)
+            assert math.isclose(r["base_score"], other[i]["base_score"], rel_tol=1e-9)
+
+
 def test_empty_table(spark):
     assert hmm.score(spark.createDataFrame([], "doc_id long, text string"), states=2, rounds=1).collect() == []
 
