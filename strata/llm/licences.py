@@ -6,8 +6,11 @@ that licence, up to case, punctuation, white space, copyright lines and
 equivalent spellings.  The same lookup is made for every line of a text, which
 finds one-line notices inside documents.  DataFrame functions only.
 
+Known are the texts of ``KNOWN`` and, by their digests, the licences of
+``licence_digests.py`` in their usual variants.
+
 Canonical form: lower case; lines that begin with "copyright", "(c)" or the
-copyright sign are dropped; every run of ASCII or typographic punctuation and
+copyright sign, also behind comment marks, are dropped; every run of ASCII or typographic punctuation and
 ASCII white space becomes one space; equivalent spellings are replaced word by
 word; no space at either end.
 
@@ -26,9 +29,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import documents
+from strata.llm.licence_digests import DIGESTS
 
 COPYRIGHT_MARKS = ("copyright", "(c)", "©")
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
+#: The same behind the comment marks of the usual languages.
+COMMENT_MARKS = r"(?:(?:#+|//+!?|/\*+!?|\(\*+|\*+|--+|;+|%+|<!--+|\{-+|[\"'!|])[ \t]*)*"
+COPYRIGHT_ANYWHERE = COPYRIGHT_LINE.replace(r"[ \t]*", r"[ \t]*" + COMMENT_MARKS, 1)
 SEPARATORS = r"[\t\n\x0B\f\r !-/:-@\[-`{-~‘’“”–—…«»•·©]+"
 
 #: Spellings that count as one (from the public licence matching guidelines).
@@ -77,7 +84,7 @@ Permission is granted to anyone to use this software for any purpose, including
 def canonical(text: Column) -> Column:
     """The canonical form of a text (null: empty)."""
     def without_copyright(t: Column) -> Column:
-        return F.when(_holds(t, COPYRIGHT_MARKS), F.regexp_replace(t, COPYRIGHT_LINE, "\n")).otherwise(t)
+        return F.when(_holds(t, COPYRIGHT_MARKS), F.regexp_replace(t, COPYRIGHT_ANYWHERE, "\n")).otherwise(t)
 
     def one_spelling(t: Column) -> Column:
         other = t
@@ -105,11 +112,14 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
 
-def known_digests(spark: SparkSession, known: Mapping[str, str] = KNOWN) -> DataFrame:
-    """(digest, licence) of the known texts: one row a digest, bounded by the list."""
+def known_digests(spark: SparkSession, known: Mapping[str, str] = KNOWN, digests: Mapping[str, str] = DIGESTS) -> DataFrame:
+    """(digest, licence) of the known texts and digests: one row a digest, bounded by the lists."""
     rows = F.array(*[F.struct(F.lit(k).alias("licence"), F.lit(v).alias("body")) for k, v in sorted(known.items())])
-    table = spark.range(1).select(F.inline(rows))
-    return table.groupBy(digest(F.col("body")).alias("digest")).agg(F.min("licence").alias("licence"))
+    table = spark.range(1).select(F.inline(rows)).select(digest(F.col("body")).alias("digest"), "licence")
+    if digests:
+        rows = F.array(*[F.struct(F.lit(d).alias("digest"), F.lit(k).alias("licence")) for d, k in digests.items()])
+        table = table.union(spark.range(1).select(F.inline(rows)))
+    return table.groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
 def scan(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:

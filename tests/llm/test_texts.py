@@ -242,6 +242,30 @@ def test_licences_up_to_form(spark):
     assert licences.scan(df.limit(0), known).collect() == []
 
 
+def test_usual_files_of_licences(spark):
+    from pathlib import Path
+    lines = "MIT License\n\nCopyright (c) 2024 Someone\n\n" + licences.KNOWN["MIT"]
+    marked = lambda mark: "\n".join(f"{mark} {x}" for x in lines.split("\n"))
+    unlicense = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org>"""
+    want = [(lines, "MIT"), (marked("#"), "MIT"), (marked("//"), "MIT"), ("/*\n" + marked(" *") + "\n */", "MIT"), (unlicense, "Unlicense"),
+            ("ISC License\n\n" + licences.KNOWN["ISC"], "ISC"), ("zlib License\n\n; (c) A\n" + licences.KNOWN["Zlib"], "Zlib"),
+            ("Other title\n\n" + licences.KNOWN["MIT"], None), ("# no copyright here\n" + licences.KNOWN["MIT"], None)]
+    folder = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "BSD": "BSD-3-Clause", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0",
+             "CC0-1.0": "CC0-1.0"}
+    want += [((folder / f).read_text(encoding="utf-8"), k) for f, k in names.items() if (folder / f).exists()]
+    got = {r["doc_id"]: r["text_licence"] for r in licences.scan(table(spark, [t for t, _ in want]), licences.known_digests(spark)).collect()}
+    assert got == {i: k for i, (_, k) in enumerate(want)}
+
+
 def test_licence_query_is_native_and_equals_its_sql(spark):
     df = licences.op8_licence_digest(spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
