@@ -28,8 +28,10 @@ from strata.llm.common import documents, mix, slices
 
 #: Code points in a hashed run (a power of two), and hashes in a window.
 K, WINDOW = 16, 16
-#: Bits of a position; the other bits are the hash.
+#: Low bits of a position in a packed print; the other bits are the hash.
 PLACE = 24
+#: Windows looked at at once.
+PIECE = 1 << 22
 _LOW = np.uint64((1 << PLACE) - 1)
 #: Text bytes worked on at once.
 PART = 1 << 18
@@ -45,22 +47,33 @@ def _grams(points: np.ndarray, k: int) -> np.ndarray:
     return mix(h)
 
 
+def _smallest(h: np.ndarray, window: int) -> np.ndarray:
+    """Place of the smallest of every window, the rightmost of equal ones."""
+    out = [np.zeros(0, np.int64)]
+    for a in range(0, len(h) - window + 1, PIECE):
+        part = h[a:a + PIECE + window - 1]
+        # Smallest first, then rightmost: the place in the piece counts down in the low bits.
+        least = (part & ~_LOW) | (_LOW - np.arange(len(part), dtype=np.uint64))
+        span = 1
+        while span * 2 <= window:
+            least = np.minimum(least[:-span], least[span:])
+            span *= 2
+        if span < window:
+            least = np.minimum(least[:len(least) - (window - span)], least[window - span:])
+        out.append(a + (_LOW - (least & _LOW)).astype(np.int64))
+    return np.concatenate(out)
+
+
 def winnow(texts: list[str], k: int = K, window: int = WINDOW) -> list[np.ndarray]:
-    """Per text: chosen hashes with positions, as hash << 24 | position, in order."""
+    """Per text: chosen hashes with positions, as hash << 24 | position, in order (of
+    positions the low 24 bits; ``places`` gives all of them)."""
     if k & (k - 1):
         raise ValueError("k must be a power of two")
     size = np.array([len(t) for t in texts], np.int64)
     first = np.concatenate([[0], np.cumsum(size)])
     points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
     h = _grams(points, k)
-    # Smallest first, then rightmost: the position counts down in the low bits.
-    key = (h & ~_LOW) | (_LOW - (np.arange(len(h), dtype=np.uint64) & _LOW))
-    least, span = key, 1
-    while span * 2 <= window and len(least) > span:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    if span < window and len(least) > window - span:
-        least = np.minimum(least[:len(least) - (window - span)], least[window - span:])
+    place = _smallest(h, window)
     grams = np.maximum(size - k + 1, 0)
     out = []
     for t, a, g in zip(texts, first[:-1].tolist(), grams.tolist()):
@@ -70,11 +83,12 @@ def winnow(texts: list[str], k: int = K, window: int = WINDOW) -> list[np.ndarra
             whole = int.from_bytes(hashlib.blake2b(t.encode("utf-8"), digest_size=5).digest(), "big")
             out.append(np.array([whole << PLACE], np.uint64))
         else:
-            chosen = least[a:a + g - window + 1] if g >= window else key[a:a + g].min(keepdims=True)
-            new = np.concatenate([[True], chosen[1:] != chosen[:-1]])
-            chosen = chosen[new]
-            place = (_LOW - (chosen & _LOW) - np.uint64(a & int(_LOW))) & _LOW
-            out.append((chosen & ~_LOW) | place)
+            if g >= window:
+                at = place[a:a + g - window + 1]
+                at = at[np.concatenate([[True], at[1:] != at[:-1]])]
+            else:
+                at = np.array([a + g - 1 - int((h[a:a + g] >> np.uint64(PLACE))[::-1].argmin())])
+            out.append((h[at] & ~_LOW) | ((at - a).astype(np.uint64) & _LOW))
     return out
 
 
@@ -83,9 +97,18 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return len(x & y) / len(x | y) if x or y else 1.0
 
 
+def places(chosen: np.ndarray) -> np.ndarray:
+    """Whole positions of a text's fingerprints: they rise by less than 24 bits each."""
+    low = (chosen & _LOW).astype(np.int64)
+    return low + (np.cumsum(np.diff(low, prepend=0) < 0) << PLACE)
+
+
 def digest(chosen: np.ndarray) -> str:
-    """16 hex digits a fingerprint: 10 of the hash, 6 of the position."""
-    return chosen.astype(">u8").tobytes().hex()
+    """18 hex digits a fingerprint: 10 of the hash, 8 of the position."""
+    out = np.empty((len(chosen), 9), np.uint8)
+    out[:, :5] = (chosen >> np.uint64(PLACE)).astype(">u8")[:, None].view(np.uint8)[:, 3:]
+    out[:, 5:] = places(chosen).astype(">u4")[:, None].view(np.uint8)
+    return out.tobytes().hex()
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K, window: int = WINDOW) -> DataFrame:
@@ -98,7 +121,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
             prints = winnow([t or "" for t in b.column("text").to_pylist()], k, window)
             flat = np.concatenate([*prints, np.zeros(0, np.uint64)])
             values = pa.StructArray.from_arrays([pa.array((flat >> np.uint64(PLACE)).astype(np.int64)),
-                                                 pa.array((flat & _LOW).astype(np.int32))], fields=list(item))
+                                                 pa.array(np.concatenate([*map(places, prints), np.zeros(0, np.int64)]).astype(np.int32))], fields=list(item))
             ends = np.concatenate([[0], np.cumsum([len(p) for p in prints])])
             yield pa.RecordBatch.from_arrays([b.column("key"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)],
                                              ["key", "prints"])

@@ -206,6 +206,15 @@ def test_fingerprints_of_edited_texts(spark, tmp_path):
     assert len(prints) == len(ODD) and prints[0] == [] and prints[1] == [] and len(prints[3]) == 1
 
 
+def test_positions_of_a_very_long_text():
+    n = (1 << 24) + 500
+    chosen, = winnowing.winnow(["a" * n])
+    # All hashes are equal: the rightmost of every window is chosen, each place from the first window's last one on.
+    assert (winnowing.places(chosen) == np.arange(winnowing.WINDOW - 1, n - winnowing.K + 1)).all()
+    few = winnowing.digest(np.array([5 << 24 | 7, 6 << 24 | 3], np.uint64))
+    assert few == f"{5:010x}{7:08x}{6:010x}{(1 << 24) + 3:08x}"
+
+
 def test_half_a_short_text_leaves_a_common_print():
     rng = random.Random(11)
     for _ in range(300):
