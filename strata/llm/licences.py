@@ -32,10 +32,8 @@ from strata.llm.common import documents
 from strata.llm.licence_digests import DIGESTS
 
 COPYRIGHT_MARKS = ("copyright", "(c)", "©")
-COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
-#: The same behind the comment marks of the usual languages.
-COMMENT_MARKS = r"(?:(?:#+|//+!?|/\*+!?|\(\*+|\*+|--+|;+|%+|<!--+|\{-+|[\"'!|])[ \t]*)*"
-COPYRIGHT_ANYWHERE = COPYRIGHT_LINE.replace(r"[ \t]*", r"[ \t]*" + COMMENT_MARKS, 1)
+#: A copyright line, also behind comment marks; one class of marks, so a line of any number of them is read without recursion.
+COPYRIGHT_LINE = r"(^|\n)[-#/*(;%<!{\"'| \t]*(copyright|\(c\)|©)[^\n]*"
 SEPARATORS = r"[\t\n\x0B\f\r !-/:-@\[-`{-~‘’“”–—…«»•·©]+"
 
 #: Spellings that count as one (from the public licence matching guidelines).
@@ -84,7 +82,7 @@ Permission is granted to anyone to use this software for any purpose, including
 def canonical(text: Column) -> Column:
     """The canonical form of a text (null: empty)."""
     def without_copyright(t: Column) -> Column:
-        return F.when(_holds(t, COPYRIGHT_MARKS), F.regexp_replace(t, COPYRIGHT_ANYWHERE, "\n")).otherwise(t)
+        return F.when(_holds(t, COPYRIGHT_MARKS), F.regexp_replace(t, COPYRIGHT_LINE, "\n")).otherwise(t)
 
     def one_spelling(t: Column) -> Column:
         other = t
@@ -171,9 +169,11 @@ def _canonical_sql(text: str) -> str:
 
 def oracle() -> str:
     known = ", ".join(f"({_sql_text(k)}, {_sql_text(v)})" for k, v in sorted(KNOWN.items()))
+    more = ", ".join(f"('{d}', '{k}')" for d, k in DIGESTS.items())
     return f"""
-    WITH known AS (SELECT sha256({_canonical_sql('body')}) AS digest, min(licence) AS licence
-                   FROM (VALUES {known}) AS k(licence, body) GROUP BY 1),
+    WITH known AS (SELECT digest, min(licence) AS licence
+                   FROM (SELECT sha256({_canonical_sql('body')}) AS digest, licence FROM (VALUES {known}) AS k(licence, body)
+                         UNION ALL SELECT digest, licence FROM (VALUES {more}) AS d(digest, licence)) GROUP BY 1),
     whole AS (SELECT doc_id, sha256({_canonical_sql('text')}) AS text_digest FROM documents),
     lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
     found AS (SELECT l.doc_id, k.licence, count(*) AS n

@@ -275,6 +275,26 @@ For more information, please refer to <https://unlicense.org>"""
     assert got == {i: k for i, (_, k) in enumerate(want)}
 
 
+def test_lines_of_a_million_marks(spark):
+    marks = ["|", "#", "*", "-", "/", ";", "%", "!", "'", '"', "(", "{", "<", "| ", "# \t", "//!", "<!--", "(c", "/* "]
+    texts = ["copyright\n" + m * (1_000_000 // len(m)) + "\n" + licences.KNOWN["MIT-line"] for m in marks]
+    got = {r["doc_id"]: r["text_licence"] for r in licences.scan(table(spark, texts).repartition(4), licences.known_digests(spark)).collect()}
+    assert got == {i: "MIT-line" if m != "(c" else None for i, m in enumerate(marks)}
+
+
+def test_commented_licence_in_query_and_sql(spark, tmp_path):
+    marked = "\n".join(f"{m} {x}" for m, x in zip("#-;*|" * 9, ("MIT License\n(c) 2024 A\n" + licences.KNOWN["MIT"]).split("\n")))
+    texts = [marked, "// (c) 2020 B\n" + licences.KNOWN["ISC"], "((c) x\nReleased under the MIT License.", None, "", "copyright |||| ("]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    df = licences.op8_licence_digest(spark, str(tmp_path))
+    cur = con.execute(licences.oracle())
+    want = sorted(cur.fetchall())
+    assert sorted(map(tuple, df.select(*[c[0] for c in cur.description]).collect())) == want
+    assert [r[2] for r in want] == ["MIT", "ISC", "MIT-line", None, None, None]
+
+
 def test_licence_query_is_native_and_equals_its_sql(spark):
     df = licences.op8_licence_digest(spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
