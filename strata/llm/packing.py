@@ -31,6 +31,7 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -41,12 +42,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.bpe import PATTERN, Encoder, default_vocabulary
+from strata.llm.bpe import PATTERN, Encoder, default_vocabulary, encoder
 from strata.llm.common import documents, slices, written
 from strata.llm.sharding import ranked, unit
 
 CAPACITY = 1024
 END = 2
+#: White-space characters in a row from which a text leaves ``tiktoken`` (which fails at about a million).
+LONG_BLANK = 50_000
 
 
 @lru_cache(maxsize=2)
@@ -58,17 +61,25 @@ def _tokens(path: str):
     return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=enc.vocab, special_tokens=special)
 
 
+def token_ids(text: str, path: str) -> np.ndarray:
+    """The ids of a text.  ``tiktoken`` keeps a stack entry for every character of a run
+    of white space; texts with a long run go through the encoder of ``bpe``, which
+    gives the same ids."""
+    if len(text) >= LONG_BLANK and any(len(x) >= LONG_BLANK for x in re.findall(r"\s+", text)):
+        return np.frombuffer(encoder(path).encode_column(pa.array([text], pa.large_string()))[0], "<u4")
+    return np.asarray(_tokens(path).encode(text, allowed_special="all"), "<u4")
+
+
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, ids): the ids of every text and
     the end id, cut into pieces of ``capacity``, the first one shorter if need be."""
     path = path or default_vocabulary()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _tokens(path)
         for b in slices(batches, "text"):
             row, piece, start, length, crc, body = [], [], [], [], [], []
             for i, text in enumerate(b.column("text").to_pylist()):
-                ids = np.append(np.asarray(enc.encode(text or "", allowed_special="all"), "<u4"), np.uint32(end)).astype("<u4")
+                ids = np.append(token_ids(text or "", path), np.uint32(end)).astype("<u4")
                 n = len(ids)
                 head = n if n <= capacity else (n % capacity or capacity)
                 cuts = [0, *range(head, n + 1, capacity)]

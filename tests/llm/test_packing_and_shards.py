@@ -199,3 +199,26 @@ def test_pipeline_equals_its_stages_one_by_one(spark, tmp_path):
 def test_pipeline_of_an_empty_table(spark, tmp_path):
     write(spark, tmp_path, [], [])
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("blank", [" ", "\t", "\n"])
+def test_a_million_blanks_in_a_row(spark, blank):
+    from tokenizers import Tokenizer
+    texts = ["a" + blank * 1_100_000 + "b c", blank * 60_000, "x " * 60_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tok = Tokenizer.from_file(bpe.default_vocabulary())
+    got = defaultdict(list)
+    for r in sorted(packing.pieces(docs).collect(), key=lambda r: (r["doc_id"], r["piece"])):
+        got[r["doc_id"]] += np.frombuffer(r["ids"], "<u4").tolist()
+    for i in (0, 1, 2) if blank == " " else (0, 1):
+        assert got[i] == [*tok.encode(texts[i], add_special_tokens=False).ids, packing.END]
+
+
+def test_packing_stage_takes_long_blanks(spark, tmp_path):
+    rows = [(1, "a" + " " * 1_200_000 + "b", "en", "s", 1), (2, "\n" * 1_200_000, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    stage = dict(corpus_pipeline.STAGES)["best_fit_packing"]
+    for got in (stage(spark, docs, str(tmp_path)), packing.op2_dominance_packing(spark, str(tmp_path))):
+        ends = got.groupBy("doc_id").agg(F.max(F.col("start") + F.col("length")).alias("n")).collect()
+        assert {r["doc_id"] for r in ends} == {1, 2} and all(r["n"] > 2 for r in ends)
