@@ -8,10 +8,14 @@ from __future__ import annotations
 
 from strata.llm.bpe import op9_forced_boundary_bpe
 from strata.llm.hmm import op3_hidden_markov
+from strata.llm.lexical import op13_presence_masks
+from strata.llm.lexical import oracle as _lexical_oracle
 from strata.llm.licences import op8_licence_digest
 from strata.llm.licences import oracle as _licence_oracle
 from strata.llm.minhash import op7_min_max_hash
 from strata.llm.packing import op2_dominance_packing
+from strata.llm.phrases import op12_phrase_index
+from strata.llm.phrases import oracle as _phrase_oracle
 from strata.llm.quality import op6_quadratic_discriminant
 from strata.llm.repetition import op1_suffix_repetition
 from strata.llm.sharding import op5_stratified_interleave
@@ -21,6 +25,7 @@ from strata.llm.winnowing import op4_winnowing
 QUERIES = {f.__name__: f for f in (
     op1_suffix_repetition, op2_dominance_packing, op3_hidden_markov, op4_winnowing, op5_stratified_interleave,
     op6_quadratic_discriminant, op7_min_max_hash, op8_licence_digest, op9_forced_boundary_bpe, op10_suffix_automata,
+    op12_phrase_index, op13_presence_masks,
 )}
 
-ORACLES = {"op8_licence_digest": _licence_oracle()}
+ORACLES = {"op8_licence_digest": _licence_oracle(), "op12_phrase_index": _phrase_oracle(), "op13_presence_masks": _lexical_oracle()}

@@ -142,14 +142,14 @@ def mix(h: np.ndarray) -> np.ndarray:
 class Words:
     """The words of a string column: ``start``/``end`` byte places in ``data``,
     ``first`` (row offsets into the words), ``hash`` (64 bits of each word;
-    ``lower`` folds A-Z first)."""
+    ``lower`` folds A-Z first).  ``space``: for each byte, whether it parts words."""
 
-    def __init__(self, col: pa.Array, lower: bool = False):
+    def __init__(self, col: pa.Array, lower: bool = False, space: np.ndarray = _SPACE):
         self.data, self.off = utf8(col)
         data = self.data
         if lower and len(data):
             data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
-        word = ~_SPACE[data]
+        word = ~space[data]
         begins = np.empty(len(data), bool)
         if len(data):
             begins[0] = True
