@@ -20,12 +20,15 @@ from strata.llm.quality import op6_quadratic_discriminant
 from strata.llm.repetition import op1_suffix_repetition
 from strata.llm.sharding import op5_stratified_interleave
 from strata.llm.substrings import op10_suffix_automata
+from strata.llm.urls import op11_boosted_urls
+from strata.llm.urls import oracle as _url_oracle
 from strata.llm.winnowing import op4_winnowing
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_repetition, op2_dominance_packing, op3_hidden_markov, op4_winnowing, op5_stratified_interleave,
     op6_quadratic_discriminant, op7_min_max_hash, op8_licence_digest, op9_forced_boundary_bpe, op10_suffix_automata,
-    op12_phrase_index, op13_presence_masks,
+    op11_boosted_urls, op12_phrase_index, op13_presence_masks,
 )}
 
-ORACLES = {"op8_licence_digest": _licence_oracle(), "op12_phrase_index": _phrase_oracle(), "op13_presence_masks": _lexical_oracle()}
+ORACLES = {"op8_licence_digest": _licence_oracle(), "op11_boosted_urls": _url_oracle(), "op12_phrase_index": _phrase_oracle(),
+           "op13_presence_masks": _lexical_oracle()}

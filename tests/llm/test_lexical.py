@@ -56,7 +56,7 @@ def test_terms_of_whole_texts(monkeypatch):
     assert lexical.term_counts(None) == Counter()
 
 
-@pytest.mark.parametrize("top, cells, block", [(20, 1 << 22, 1 << 22), (3, 40, 60), (1, 1, 1)])
+@pytest.mark.parametrize("top, cells, block", [(20, 1 << 22, 1 << 22), (3, 200, 500)])
 def test_ranking_equals_plain_version(spark, top, cells, block):
     rng = random.Random(top)
     word = lambda: rng.choice("abcdefghij") * rng.choice([1, 1, 2]) + rng.choice(["", "É", "X"])
