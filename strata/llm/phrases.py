@@ -46,7 +46,7 @@ from strata.llm.common import Words, discard, documents, mix, slices, written
 
 DEPTH, LEAST, SHARE, TOP = 3, 10, 50, 2000
 #: Words of a shard (a longer text is a shard of its own).
-SHARD = 1_500_000
+SHARD = 750_000
 #: Bits of the filter of frequent phrases that every shard is sent (8 MB).
 BITS = 1 << 26
 
