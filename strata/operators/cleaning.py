@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import strict_on
+from strata.operators.joins import join_grouped
 
 
 def sentinel_to_null(df: DataFrame, col: str, sentinel: str = "NULL") -> DataFrame:
@@ -34,11 +34,8 @@ def fill_from_group(df: DataFrame, group: Sequence[str], col: str) -> DataFrame:
     group = list(group)
     donors = (df.filter(F.col(col).isNotNull())
                 .groupBy(*group).agg(F.min(col).alias("__donor")))
-    donors = donors.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "__donor")
-    on = strict_on(df, donors, group, [f"__g{i}" for i in range(len(group))])
-    out = df.join(donors, on, "left")
-    return (out.withColumn(col, F.coalesce(F.col(col), F.col("__donor")))
-               .drop("__donor", *[f"__g{i}" for i in range(len(group))]))
+    out = join_grouped(df, donors, group, "left")
+    return out.withColumn(col, F.coalesce(F.col(col), F.col("__donor"))).drop("__donor")
 
 
 def conflicting_donors(df: DataFrame, group: Sequence[str], col: str) -> DataFrame:

@@ -9,15 +9,20 @@ operators below keep the window semantics but split hot keys:
 * ``row_number`` uses a plain window for ordinary keys; rows of hot keys are
   range-partitioned, numbered inside each (key, range partition) and shifted by
   the row count of the key in earlier range partitions;
+* ``lag``/``lead`` work inside ranges, and the rows at the borders of the ranges
+  find their neighbours in a small relation of border rows (``shift_by``);
+* running sums add the totals of earlier ranges to a sum inside the range
+  (``running_sum`` with ``hot_rows``);
 * ``dense_rank`` ranks the *distinct* (key, value) pairs, then joins back.
 
-Ordered running sums over a series (one row per entity and day) are left to a
-plain window: after pre-aggregation their groups are bounded by the calendar.
+Where a group is bounded by construction (a series of one row per entity and
+day, a student's years) the callers say so and a plain window is used.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -116,12 +121,7 @@ def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
 def _ranged_row_number(df: DataFrame, keys: list[str], order_cols: list[Column], name: str,
                        n: int) -> DataFrame:
-    ranged = (df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *order_cols)
-                .withColumn("__pid", F.spark_partition_id()))
-    # The range bounds are sampled from the data; reading the partition ids back
-    # from one written copy keeps the local numbers and the offsets consistent
-    # (and survives lost executors).
-    ranged = reliable_checkpoint(ranged)
+    ranged = _ranged(df, keys, order_cols, n)
     local = Window.partitionBy(*keys, "__pid").orderBy(*order_cols)
     ranged = ranged.withColumn("__rn", F.row_number().over(local))
     counts = ranged.groupBy(*keys, "__pid").agg(F.count(F.lit(1)).alias("__c"))
@@ -136,6 +136,63 @@ def _ranged_row_number(df: DataFrame, keys: list[str], order_cols: list[Column],
     return out.drop("__pid", "__rn", "__opid", "__off", *[f"__k{i}" for i in range(len(keys))])
 
 
+def shift_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], shifts: Mapping[str, tuple[str, int]],
+             hot_rows: int | None = HOT_GROUP_ROWS, num_partitions: int | None = None) -> DataFrame:
+    """``lag`` and ``lead`` without one task per key: for each ``name: (column, n)`` the
+    value of ``column`` n rows later (earlier for n < 0) in the key's order, else NULL.
+
+    Keys up to ``hot_rows`` rows take a plain window (with no keys the whole relation
+    is one group).  Rows of hotter keys are range-partitioned on (keys, order) and
+    written once with their partition; inside a range the plain window is right for
+    all rows but those within reach of its two ends.  These border rows -- at most
+    2 * reach of each range of a key -- form a small relation of their own, in which
+    each one's neighbours stand next to it, so their values come from a window over
+    the border rows of a key, whose number depends on the ranges and not on the rows.
+
+    ``order`` must make a total order inside a key.
+    """
+    keys = list(keys)
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    plain = Window.partitionBy(*keys).orderBy(*order_cols)
+
+    def shifted(frame: DataFrame, window) -> DataFrame:
+        return frame.withColumns({n: F.lead(c, k).over(window) if k >= 0 else F.lag(c, -k).over(window) for n, (c, k) in shifts.items()})
+
+    if hot_rows is None:
+        return shifted(df, plain)
+    ks = [f"__k{i}" for i in range(len(keys))]
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
+             .select(*[F.col(k).alias(a) for k, a in zip(keys, ks)], F.lit(True).alias("__hot")))
+    if hot.isEmpty():
+        return shifted(df, plain)
+    # Without keys the whole relation is hot, and there is nothing to look up.
+    tagged = df.join(hot, null_safe_on(df, hot, keys, ks), "left").drop(*ks) if keys else df.withColumn("__hot", F.lit(True))
+    few = shifted(tagged.filter(F.col("__hot").isNull()).drop("__hot"), plain)
+    ranged = _ranged(tagged.filter(F.col("__hot")).drop("__hot"), keys, order_cols, num_partitions or _shuffle_partitions(df))
+    reach = max(abs(k) for _, k in shifts.values())
+    local = Window.partitionBy(*keys, "__pid")
+    ranged = shifted(ranged.withColumns({"__at": F.row_number().over(local.orderBy(*order_cols)), "__of": F.count(F.lit(1)).over(local)}),
+                     local.orderBy(*order_cols))
+    border = (F.col("__at") <= reach) | (F.col("__at") > F.col("__of") - reach)
+    inner = ranged.filter(~border)
+    edge = ranged.filter(border).withColumnsRenamed({n: f"__local_{n}" for n in shifts})
+    edge = shifted(edge, Window.partitionBy(*keys).orderBy("__pid", *order_cols))
+    # Where the row n places on lies in the same range, the local value is the right one.
+    here = lambda k: (F.col("__at") + k <= F.col("__of")) if k >= 0 else (F.col("__at") + k >= 1)
+    edge = edge.withColumns({n: F.when(here(k), F.col(f"__local_{n}")).otherwise(F.col(n)) for n, (_, k) in shifts.items()})
+    return few.unionByName(inner.unionByName(edge.drop(*[f"__local_{n}" for n in shifts])).drop("__pid", "__at", "__of"))
+
+
+def _ranged(df: DataFrame, keys: list[str], order_cols: list[Column], n: int) -> DataFrame:
+    """Rows in ranges of (keys, order) with ``__pid``, the number of their range.
+
+    The range bounds are sampled from the data; reading the partition ids back
+    from one written copy keeps everything computed from them consistent (and
+    survives lost executors)."""
+    ranged = df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *order_cols)
+    return reliable_checkpoint(ranged.withColumn("__pid", F.spark_partition_id()))
+
+
 def dense_rank_table(df: DataFrame, keys: Sequence[str], value: str, descending: bool = False,
                      name: str = "dense_rank", hot_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
     """The (keys, value) -> rank table behind ``dense_rank_by``, to be joined by
@@ -190,9 +247,45 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
 
 
 def running_sum(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: Column,
-                name: str) -> DataFrame:
+                name: str, hot_rows: int | None = None, num_partitions: int | None = None) -> DataFrame:
     """SQL default frame: RANGE UNBOUNDED PRECEDING, so tied order values share
-    a total (never ROWS)."""
+    a total (never ROWS).
+
+    ``hot_rows=None``: groups are bounded by construction (a plain window).  Otherwise
+    the rows of a hotter group are first summed by (group, order) -- peers share
+    their total, so a tie never lies across a border -- and range-partitioned on
+    those; a running sum inside each range is shifted by the totals of the group's
+    earlier ranges, and joined back to the rows.
+    """
+    partition, order = list(partition), list(order)
     w = (Window.partitionBy(*partition).orderBy(*order)
          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn(name, F.sum(value).over(w))
+    if hot_rows is None:
+        return df.withColumn(name, F.sum(value).over(w))
+    ks = [f"__k{i}" for i in range(len(partition))]
+    hot = (df.groupBy(*partition).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
+             .select(*[F.col(k).alias(a) for k, a in zip(partition, ks)], F.lit(True).alias("__hot")))
+    if hot.isEmpty():
+        return df.withColumn(name, F.sum(value).over(w))
+    tagged = df.withColumn("__value", value)
+    tagged = tagged.join(hot, null_safe_on(tagged, hot, partition, ks), "left").drop(*ks) if partition else tagged.withColumn("__hot", F.lit(True))
+    few = tagged.filter(F.col("__hot").isNull()).withColumn(name, F.sum("__value").over(w))
+    rows = tagged.filter(F.col("__hot"))
+    # Peers as one row; a group of NULLs only has no sum, as in the window.
+    peers = rows.groupBy(*dict.fromkeys([*partition, *order])).agg(F.sum("__value").alias("__sum"))
+    ranged = _ranged(peers, partition, [F.col(o) for o in order], num_partitions or _shuffle_partitions(df))
+    local = Window.partitionBy(*partition, "__pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranged = ranged.withColumn("__in", F.sum("__sum").over(local))
+    # A row a (group, range): as many as there are ranges, and one more a group.
+    totals = ranged.groupBy(*partition, "__pid").agg(F.sum("__sum").alias("__total"))
+    before = Window.partitionBy(*partition).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*[F.col(k).alias(a) for k, a in zip(partition, ks)], F.col("__pid").alias("__opid"),
+                           F.sum("__total").over(before).alias("__before"))
+    on = reduce(Column.__and__, [ranged["__pid"] == totals["__opid"], *([null_safe_on(ranged, totals, partition, ks)] if ks else [])])
+    ranged = ranged.join(totals, on)
+    total = F.coalesce(F.col("__before") + F.col("__in"), "__before", "__in")
+    found = dict.fromkeys([*partition, *order])
+    names = [f"__f{i}" for i in range(len(found))]
+    sums = ranged.select(*[F.col(c).alias(n) for c, n in zip(found, names)], total.alias(name))
+    back = rows.join(sums, null_safe_on(rows, sums, list(found), names), "left").drop(*names)
+    return few.unionByName(back).drop("__hot", "__value")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.operators.joins import few_rows, interval_join, join_small, membership_flag, null_safe_on, strict_on
+from strata.operators.joins import few_rows, interval_join, join_grouped, join_small, membership_flag, null_safe_on, strict_on
 from strata.operators.reshape import partial_rollup, template_grain
 from strata.operators.windows import partition_agg
 from strata.registry import register
@@ -161,7 +161,7 @@ def c12_offset_key_join(spark, sf_dir):
     wages = (o.filter(F.col("o_orderstatus") == "O")
               .groupBy("o_custkey", F.year("o_orderdate").alias("wage_year"))
               .agg(F.count(F.lit(1)).alias("n")))
-    return (grads.join(wages, ["o_custkey", "wage_year"], "left")
+    return (join_grouped(grads, wages, ["o_custkey", "wage_year"], "left")
                  .select("o_orderkey", F.coalesce("n", F.lit(0)).alias("wage_rows")))
 
 

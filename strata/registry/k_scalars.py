@@ -11,6 +11,7 @@ from strata.functions.dates import elapsed_years, month_abbrev, parse_date_key,
 from strata.functions.numeric import percent
 from strata.functions.text import before_delimiter, concat_null_as_empty, part_from_right, split_first
 from strata.operators.cleaning import fill_from_group, fill_zero, recode, repeated_values, sentinel_to_null
+from strata.operators.joins import join_grouped
 from strata.operators.reshape import pivot_fixed
 from strata.operators.windows import keep_first
 from strata.plans import ledger
@@ -230,8 +231,8 @@ def j07_dedupe_keep_first(spark, sf_dir):
     # Rows with a unique text hash are kept as they are; whole texts are
     # compared only inside repeated hashes (exact: equal texts share a hash).
     cand = repeated_values(d, "__h")
-    unique = d.join(cand, "__h", "left_anti")
-    firsts = keep_first(d.join(cand, "__h", "left_semi"), ["__h", "text"], "doc_id")
+    unique = join_grouped(d, cand, ["__h"], "left_anti")
+    firsts = keep_first(join_grouped(d, cand, ["__h"], "left_semi"), ["__h", "text"], "doc_id")
     return unique.unionByName(firsts).select("doc_id", "lang")
 
 

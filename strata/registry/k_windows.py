@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.operators.cleaning import repeated_values
+from strata.operators.joins import join_grouped
 from strata.operators.reshape import pivot_fixed, template_grain
 from strata.operators.windows import dense_rank_by, partition_agg, partition_aggs, row_number_by, running_sum
 from strata.plans import ledger
@@ -39,7 +40,7 @@ def e02_duplicate_rows(spark, sf_dir):
     # Only texts whose 8-byte hash occurs twice can repeat: find those hashes
     # (a shuffle of hashes, not texts), then number whole texts inside them.
     # The range-split row number keeps one hot text from landing in one task.
-    dup = d.join(repeated_values(d, "__h"), "__h", "left_semi")
+    dup = join_grouped(d, repeated_values(d, "__h"), ["__h"], "left_semi")
     numbered = row_number_by(dup, ["__h", "text"], ["doc_id"], name="row_num", size_keys=["__h"])
     return numbered.filter(F.col("row_num") > 1).select("doc_id", "lang", "row_num")
 
