@@ -1,29 +1,33 @@
 """Program outcomes job (L6-L15): six academic years of enrollment,
 retention, graduation, wages and transfers, rolled into a template-grain mart.
 
-Plan notes.  Every step from ``enrollment_detail`` to ``retention`` is keyed by
-the student (``pidm``).  Per-partition window sums are grouped aggregates joined
-back (a hot student is combined map-side, never gathered in one task); the
-calendar (at most ``n`` rows) reaches the rows as a scalar subquery, so the
+Plan notes.  Every step from ``enrollment_detail`` on is keyed by the student
+(``pidm``).  Raw rows are first reduced map-side to a student's distinct programs
+of a term and distinct graduations (so a hot student has no more of these than
+others) and laid out by student once; sums, ranks and places are windows over
+that layout.  The calendar (at most ``n`` rows) reaches the rows as a scalar subquery, so the
 student x year spine and the transfer windows are ``explode``s, not joins.
 Transfers are reduced to one first date per (student, year) before they meet
-the spine, so two range joins cannot multiply each other's rows.
+the spine, so two range joins cannot multiply each other's rows.  Programs and
+graduations of a student's year stay two relations (``Sides``): only the keys
+that ask for the combined rows themselves multiply them out.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.dates import elapsed_years, month_abbrev
-from strata.functions.numeric import WAGE_BINS, bin_label, bin_sort_key
+from strata.functions.numeric import WAGE_BIN_NONE, WAGE_BINS, bin_label, bin_sort_key
 from strata.functions.text import before_delimiter
-from strata.operators.joins import null_safe_on, strict_on
-from strata.operators.reshape import template_grain
-from strata.operators.windows import dense_rank_by, dense_rank_table, partition_aggs, row_number_by
+from strata.operators.cleaning import recode
+from strata.operators.windows import HOT_GROUP_ROWS, dense_rank_by, row_number_by, shift_by
 from strata.sources.sinks import materialise
 
 EXCLUDED_YEARS = ["Unknown", "None"]
@@ -37,6 +41,10 @@ MART_DIMS = ["academic_year", "area_of_study", "program", "degree_code", "cip",
              "hispanic_origin", "first_generation", "wage_bin"]
 GRAD_DIMS = ["academic_year", "grad_area_of_study", "grad_program", "grad_degree_code", "grad_cip", "gender",
              "race", "hispanic_origin", "first_generation", "wage_bin"]
+MEASURES = {"quality_points": "Quality Points", "gpa_credits": "GPA Credits", "enrolled_headcount": "Enrolled Headcount",
+            "retained_numerator": "Retained Numerator", "retained_denominator": "Retained Denominator",
+            "grad_headcount": "Grad Headcount", "grad_quality_points": "Grad Quality Points",
+            "grad_gpa_credits": "Grad GPA Credits", "years_to_completion": "Sum of Years To Completion"}
 MART_LABELS = ["Academic Year", "Area of Study", "Program", "Degree Code", "CIP", "Gender", "Race",
                "Hispanic Origin", "First Generation", "Wage Bin"]
 
@@ -107,22 +115,18 @@ def enrollment_detail(course_history: DataFrame, student_term: DataFrame, dim_te
                  F.col("term_degree_code").alias("degree_code"), F.col("term_major_cip").alias("cip"),
                  exact(F.col("gpa_quality_points") * F.col("gpa_credits")).alias("__qp"), exact("gpa_credits").alias("__gc"))
     # One early aggregate: a row per student, term and program with partial sums
-    # (map-side combined).  All that follows works on these rows; they are written
-    # once, for the two grouped sums, the ranking and the rows themselves.
+    # (map-side combined), then one layout by student.  A student's rows are now its
+    # distinct programs of a term, so plain windows by term and by year are bounded,
+    # and all of them, like the steps after this one, share that layout.
     rows = [c for c in f.columns if not c.startswith("__")]
-    f = materialise(f.groupBy(*rows).agg(F.sum("__qp").alias("__qp"), F.sum("__gc").alias("__gc")), "student_terms")
-    # Ranked over distinct (student, year, term): at most the terms of a year.
-    ranks = dense_rank_table(f, ["pidm", "academic_year"], "term_code", descending=True, name="seq",
-                             hot_rows=None)
-    ranks = ranks.select(F.col("pidm").alias("__rp"), F.col("academic_year").alias("__ry"),
-                         F.col("term_code").alias("__rt"), "seq")
-    total = lambda c: F.sum(c).cast("double")
-    out = partition_aggs(f, [
-        (["pidm", "term_code"], {"quality_points_term": total("__qp"), "gpa_credits_term": total("__gc")}),
-        (["pidm", "academic_year"], {"quality_points_ay": total("__qp"), "gpa_credits_ay": total("__gc")}),
-    ])
-    out = out.join(ranks, null_safe_on(out, ranks, ["pidm", "academic_year", "term_code"], ["__rp", "__ry", "__rt"]), "left")
-    return out.drop("__qp", "__gc", "__rp", "__ry", "__rt")
+    f = f.groupBy(*rows).agg(F.sum("__qp").alias("__qp"), F.sum("__gc").alias("__gc")).repartition("pidm")
+    term, year = Window.partitionBy("pidm", "term_code"), Window.partitionBy("pidm", "academic_year")
+    total = lambda c, w: F.sum(c).over(w).cast("double")
+    return f.withColumns({
+        "quality_points_term": total("__qp", term), "gpa_credits_term": total("__gc", term),
+        "quality_points_ay": total("__qp", year), "gpa_credits_ay": total("__gc", year),
+        "seq": F.dense_rank().over(year.orderBy(F.col("term_code").desc_nulls_first())).cast("long"),
+    }).drop("__qp", "__gc")
 
 
 def graduate_outcomes(grads: DataFrame, dim_student: DataFrame, wages: DataFrame, dim_term: DataFrame,
@@ -158,22 +162,19 @@ def graduate_outcomes(grads: DataFrame, dim_student: DataFrame, wages: DataFrame
         exact(F.col("cum_institution_gpa") * F.col("cum_institution_credits")).alias("__qp"),
         exact("cum_institution_credits").alias("__gc"))
     # One early aggregate: a row per distinct graduation with sums and how many rows
-    # it stands for; written once, for the two grouped sums and the rows themselves.
+    # it stands for, then one layout by student for both sums (a student's distinct
+    # graduations are bounded by its terms and programs).
     rows = [c for c in g.columns if c not in ("__qp", "__gc")]
-    g = materialise(g.groupBy(*rows).agg(F.sum("__qp").alias("__qp"), F.sum("__gc").alias("__gc"),
-                                         F.count(F.lit(1)).alias("__n")), "graduations")
+    g = g.groupBy(*rows).agg(F.sum("__qp").alias("__qp"), F.sum("__gc").alias("__gc"), F.count(F.lit(1)).alias("__n")).repartition("pidm")
     times = F.lit(1) if preaggregate_wages else F.coalesce("__rows", F.lit(1))
+    term, paid_year = Window.partitionBy("pidm", "grad_term_code"), Window.partitionBy("pidm", "wage_year")
     paid = F.max("__paid") if preaggregate_wages else F.sum(F.col("__paid") * F.col("__n"))
-    total = lambda c: F.sum(F.col(c) * times).cast("double")
-    g = partition_aggs(g, [
-        (["pidm", "grad_term_code"], {"grad_quality_points": total("__qp"), "grad_gpa_credits": total("__gc")}),
-        (["pidm", "wage_year"], {"__wsum": paid.cast("double")}),
-    ])
+    total = lambda c: F.sum(F.col(c) * times).over(term).cast("double")
     return g.select(
         "pidm", "grad_term_code", "grad_term_name", "grad_date", "grad_year", "grad_area_of_study", "grad_program",
-        "grad_degree_code", "grad_cip", "grad_quality_points", "grad_gpa_credits", "wage_year",
-        F.round(F.col("__wsum") * F.try_divide(F.lit(4.0), F.col("__quarters"))).alias("adjusted_annual_wages"),
-        "years_to_completion").distinct()
+        "grad_degree_code", "grad_cip", total("__qp").alias("grad_quality_points"), total("__gc").alias("grad_gpa_credits"), "wage_year",
+        F.round(paid.over(paid_year).cast("double") * F.try_divide(F.lit(4.0), F.col("__quarters"))).alias("adjusted_annual_wages"),
+        "years_to_completion")
 
 
 def transfers(nsc: DataFrame, institutions: DataFrame, ay: DataFrame,
@@ -190,34 +191,181 @@ def transfers(nsc: DataFrame, institutions: DataFrame, ay: DataFrame,
                     "institution_level").distinct()
 
 
-def _first_transfer_per_year(tr: DataFrame, ay: DataFrame, start: str, end: str, name: str) -> DataFrame:
+def _first_transfers(tr: DataFrame, ay: DataFrame) -> DataFrame:
+    """Per student and calendar year the first transfer inside this year's and next
+    year's window: one aggregate for both."""
     t = tr.select("pidm", "transfer_date", F.explode(_year_list(ay)).alias("__ay"))
-    t = t.filter(F.col("transfer_date").between(F.col(f"__ay.{start}"), F.col(f"__ay.{end}")))
+    within = lambda a, b: F.min(F.when(F.col("transfer_date").between(F.col(f"__ay.{a}"), F.col(f"__ay.{b}")), F.col("transfer_date")))
     return t.groupBy("pidm", F.col("__ay.academic_year").alias("academic_year")).agg(
-        F.min("transfer_date").alias(name))
+        within("ay_start_date", "ay_end_date").alias("transfer_date_this_year"),
+        within("ny_start_date", "ny_end_date").alias("transfer_date_next_year"))
 
 
-def combine(spine_df: DataFrame, ay: DataFrame, enroll: DataFrame, grads: DataFrame,
-            transfers_df: DataFrame) -> DataFrame:
-    """Spine rows with the latest enrollment of the year, graduation, wage bin and
-    the first transfer inside this year's and next year's windows."""
+# Columns of the two sides of a (student, year), in the order that sorts their rows.
+ENROLLED = ["program", "degree_code", "area_of_study", "cip", "quality_points", "gpa_credits"]
+GRADUATED = ["grad_term_code", "grad_date", "grad_area_of_study", "grad_program", "grad_degree_code", "grad_cip",
+             "grad_quality_points", "grad_gpa_credits", "wage_year", "adjusted_annual_wages", "years_to_completion"]
+YEAR = ["pidm", "academic_year"]
+
+
+@dataclass
+class Sides:
+    """The combined rows, factorised.  A student's year is the product of its enrolled
+    programs and its graduations (either side is one row of NULLs where it is
+    empty); the sides stay apart, each row knowing its place:
+
+    * ``enrolled``: ``e_rank`` in its program, ``e_place`` in the year, ``e_count``;
+    * ``graduated``: ``g_place`` and ``g_count``;
+    * ``years``: one row a student and calendar year with transfers, the sizes of the
+      sides, the wage bins of its graduations (first, last, all), what its last row
+      holds, and the retention outcome of that row.
+
+    All of a year's rows but the last are followed by a row of the same year, so
+    the lead over a student's rows needs only the years, at most as many rows
+    a student as the calendar has.
+    """
+
+    enrolled: DataFrame
+    graduated: DataFrame
+    years: DataFrame
+
+
+def sides(spine_df: DataFrame, ay: DataFrame, enroll: DataFrame, grads: DataFrame, transfers_df: DataFrame) -> Sides:
+    """The latest enrollments of a year, graduations and first transfers on the spine.
+    The groups below are a student's *distinct* programs or graduations of a year."""
+    last = lambda cols: [F.col(c).asc_nulls_last() for c in cols]
+    year = Window.partitionBy(*YEAR)
     e = enroll.filter(F.col("seq") == 1).select(
-        "pidm", "academic_year", "area_of_study", "program", "degree_code", "cip",
+        *YEAR, "area_of_study", "program", "degree_code", "cip",
         F.col("quality_points_ay").alias("quality_points"), F.col("gpa_credits_ay").alias("gpa_credits"))
-    g = grads.select("pidm", F.col("grad_year").alias("academic_year"), "grad_date", "grad_term_code",
-                     "grad_area_of_study", "grad_program", "grad_degree_code", "grad_cip", "grad_quality_points",
-                     "grad_gpa_credits", "wage_year", "adjusted_annual_wages", "years_to_completion")
-    c = spine_df.select("pidm", "academic_year")
-    c = c.join(e, ["pidm", "academic_year"], "left").join(g, ["pidm", "academic_year"], "left")
-    this_year = _first_transfer_per_year(transfers_df, ay, "ay_start_date", "ay_end_date", "transfer_date_this_year")
-    next_year = _first_transfer_per_year(transfers_df, ay, "ny_start_date", "ny_end_date", "transfer_date_next_year")
-    c = c.join(this_year, ["pidm", "academic_year"], "left").join(next_year, ["pidm", "academic_year"], "left")
-    c = c.withColumn("wage_bin", bin_label("adjusted_annual_wages"))
-    return c.select("pidm", "academic_year", "area_of_study", "program", "degree_code", "cip", "quality_points",
-                    "gpa_credits", "grad_date", "grad_term_code", "grad_area_of_study", "grad_program",
-                    "grad_degree_code", "grad_cip", "grad_quality_points", "grad_gpa_credits", "wage_year",
-                    "adjusted_annual_wages", "wage_bin", "years_to_completion", "transfer_date_this_year",
-                    "transfer_date_next_year").distinct()
+    # Both sides come laid out by student, which serves the distinct rows and all numbers.
+    e = e.distinct().withColumns({
+        "e_rank": F.row_number().over(Window.partitionBy(*YEAR, "program").orderBy(*last(ENROLLED[1:]))),
+        "e_place": F.row_number().over(year.orderBy(*last(ENROLLED))),
+        "e_count": F.count(F.lit(1)).over(year), "__named": F.count("program").over(year)})
+    e = materialise(e, "enrolled")
+    g = grads.select("pidm", F.col("grad_year").alias("academic_year"), *GRADUATED)
+    g = g.distinct().withColumn("wage_bin", bin_label("adjusted_annual_wages"))
+    place = year.orderBy(*last(GRADUATED))
+    g = g.withColumns({"g_place": F.row_number().over(place), "g_count": F.count(F.lit(1)).over(year),
+                       "__first_bin": F.first("wage_bin").over(place),
+                       "__bins": F.collect_set("wage_bin").over(year)})
+    g = materialise(g, "graduated")
+    e_last = e.filter(F.col("e_place") == F.col("e_count")).select(
+        *YEAR, "e_count", "__named", F.col("program").alias("__program"))
+    g_last = g.filter(F.col("g_place") == F.col("g_count")).select(
+        *YEAR, "g_count", F.col("__first_bin").alias("first_bin"), F.col("wage_bin").alias("last_bin"),
+        F.sort_array("__bins").alias("bins"), F.col("grad_program").alias("__grad_program"))
+    y = spine_df.select(*YEAR)
+    for side in (e_last, g_last, _first_transfers(transfers_df, ay)):
+        y = y.join(side, YEAR, "left")
+    # At most a row a calendar year: a student's years fit a task.
+    nxt = Window.partitionBy("pidm").orderBy(F.col("academic_year").asc_nulls_last())
+    starts = lambda c: F.substring(c, 1, 4).cast("int")
+    retained = (F.lead("__named").over(nxt) > 0) & (starts(F.lead("academic_year").over(nxt)) == starts("academic_year") + 1)
+    fate = F.when(F.col("__program").isNull(), "Not Enrolled").when(retained, "Yes")
+    y = y.withColumns({
+        "last_numerator": fate.otherwise("No"),
+        "last_denominator": fate.when(F.col("__grad_program").isNotNull(), "No")
+                                .when(F.col("transfer_date_next_year").isNotNull(), "No").otherwise("Yes")})
+    none = F.lit(WAGE_BIN_NONE)
+    one = F.lit(1).cast("long")
+    y = y.withColumns({"e_count": F.coalesce("e_count", one), "g_count": F.coalesce("g_count", one),
+                       "first_bin": F.coalesce("first_bin", none), "last_bin": F.coalesce("last_bin", none),
+                       "bins": F.coalesce("bins", F.array(none))}).drop("__named", "__program", "__grad_program")
+    return Sides(e.drop("__named"), g.drop("__first_bin", "__bins"), y)
+
+
+def _product(s: Sides) -> DataFrame:
+    """Every enrolled program of a student's year with every graduation."""
+    e, g = s.enrolled.drop("e_count"), s.graduated.drop("g_count")
+    c = s.years.join(e, YEAR, "left").join(g, YEAR, "left")
+    return c.withColumns({"wage_bin": F.coalesce("wage_bin", F.lit(WAGE_BIN_NONE)),
+                          **{k: F.coalesce(k, F.lit(1)) for k in ("e_rank", "e_place", "g_place")}})
+
+
+COMBINED = ["pidm", "academic_year", "area_of_study", "program", "degree_code", "cip", "quality_points", "gpa_credits",
+            "grad_date", "grad_term_code", "grad_area_of_study", "grad_program", "grad_degree_code", "grad_cip",
+            "grad_quality_points", "grad_gpa_credits", "wage_year", "adjusted_annual_wages", "wage_bin", "years_to_completion",
+            "transfer_date_this_year", "transfer_date_next_year"]
+
+
+def combine(spine_df: DataFrame, ay: DataFrame, enroll: DataFrame, grads: DataFrame, transfers_df: DataFrame) -> DataFrame:
+    """Spine rows with the latest enrollment of the year, graduation, wage bin and
+    the first transfer inside this year's and next year's windows."""
+    return _product(sides(spine_df, ay, enroll, grads, transfers_df)).select(*COMBINED)
+
+
+def demographics(dim_student: DataFrame) -> DataFrame:
+    """Students with the labels of the report."""
+    hisp = F.when(F.col("hispanic_ind") == "Y", HISPANIC_LABELS["Y"]) \
+            .when(F.col("hispanic_ind") == "N", HISPANIC_LABELS["N"]).otherwise(HISPANIC_OTHER)
+    return dim_student.select(F.col("pidm").alias("__spidm"), "first_term_non_concurrent", "gender", "race",
+                              hisp.alias("hispanic_origin"), recode("first_generation_ind", FIRST_GEN_LABELS).alias("first_generation"))
+
+
+def _with_student(c: DataFrame, dim_student: DataFrame, dim_term: DataFrame) -> DataFrame:
+    ds = demographics(dim_student)
+    c = c.join(ds, c.pidm == ds.__spidm, "left")
+    first = dim_term.select(F.col("term_code").alias("__ftc"), F.col("term_start_date").alias("first_term_nc_start_date"))
+    c = c.join(first, c.first_term_non_concurrent == first.__ftc, "left")
+    # A student without demographics has no row of labels: the default label stands for a missing flag.
+    return c.withColumn("hispanic_origin", F.coalesce("hispanic_origin", F.lit(HISPANIC_OTHER))).drop("__spidm", "__ftc")
+
+
+def retention_rows(s: Sides, dim_student: DataFrame, dim_term: DataFrame) -> DataFrame:
+    """``calc`` (see ``retention``) from the two sides: sequence and outcome of a row follow
+    from its places, so no window runs over the combined rows."""
+    c = _product(s)
+    is_last = (F.col("e_place") == F.col("e_count")) & (F.col("g_place") == F.col("g_count"))
+    outcome = lambda last: F.when(is_last, F.col(last)).when(F.col("program").isNull(), "Not Enrolled").otherwise("Same Year")
+    c = c.select(*COMBINED, ((F.col("e_rank") - 1) * F.col("g_count") + F.col("g_place")).cast("long").alias("enrolled_seq"),
+                 outcome("last_numerator").alias("retained_numerator"), outcome("last_denominator").alias("retained_denominator"))
+    return _with_student(c, dim_student, dim_term)
+
+
+def mart_of_sides(s: Sides, dim_student: DataFrame, null_safe: bool = False) -> DataFrame:
+    """``program_mart`` without the combined rows: each side is aggregated with the
+    multiplicity that the other side gives it.
+
+    A program's GPA counts once, under the wage bin of the year's first graduation; the
+    retention outcome counts at the year's last program, under the last one's bin; the
+    other bins of the year only add their keys.  A graduation counts once for every
+    program of the year.  No aggregate needs a distinct count: a student has one
+    first row a program and one last row a year.
+    """
+    ds = demographics(dim_student).drop("first_term_non_concurrent")
+    labels = ["gender", "race", "hispanic_origin", "first_generation"]
+    y = s.years.drop("transfer_date_this_year", "transfer_date_next_year")
+    y = y.join(ds, y.pidm == ds.__spidm, "left").drop("__spidm").withColumn("hispanic_origin", F.coalesce("hispanic_origin", F.lit(HISPANIC_OTHER)))
+    y = materialise(y, "student_years")
+    known = F.col("pidm").isNotNull()
+    e = y.select(*YEAR, *labels, "e_count", "bins", "first_bin", "last_bin", "last_numerator", "last_denominator").join(
+        s.enrolled.drop("e_count"), YEAR, "left")
+    first, is_last = F.coalesce("e_rank", F.lit(1)) == 1, F.coalesce("e_place", F.lit(1)) == F.col("e_count")
+    dims = [d for d in MART_DIMS if d != "wage_bin"]
+    # First by the set of bins, then by bin: the copies are made of groups, not of rows.
+    e = e.groupBy(*dims, "bins", "first_bin", "last_bin").agg(
+        F.sum(F.when(first, exact("quality_points"))).alias("__points"), F.sum(F.when(first, exact("gpa_credits"))).alias("__credits"),
+        F.count_if(first & F.col("program").isNotNull() & known).alias("__headcount"),
+        F.count_if(is_last & (F.col("last_numerator") == "Yes") & known).alias("__numerator"),
+        F.count_if(is_last & (F.col("last_denominator") == "Yes") & known).alias("__denominator"))
+    e = e.withColumn("wage_bin", F.explode("bins"))
+    at = lambda which, c: F.sum(F.when(F.col("wage_bin") == F.col(which), F.col(c)))
+    count = lambda which, c: F.coalesce(at(which, c), F.lit(0).cast("long"))
+    e = e.groupBy(*MART_DIMS).agg(
+        at("first_bin", "__points").cast("double").alias("quality_points"), at("first_bin", "__credits").cast("double").alias("gpa_credits"),
+        count("first_bin", "__headcount").alias("enrolled_headcount"),
+        count("last_bin", "__numerator").alias("retained_numerator"), count("last_bin", "__denominator").alias("retained_denominator"))
+    g = y.select(*YEAR, *labels, "e_count").join(s.graduated.drop("g_count"), YEAR, "left")
+    g = g.withColumn("wage_bin", F.coalesce("wage_bin", F.lit(WAGE_BIN_NONE)))
+    times = F.col("e_count").cast("decimal(10,0)")
+    g = g.groupBy(*GRAD_DIMS).agg(
+        F.sum(exact("grad_quality_points") * times).cast("double").alias("grad_quality_points"),
+        F.sum(exact("grad_gpa_credits") * times).cast("double").alias("grad_gpa_credits"),
+        F.coalesce(F.sum(F.when(F.col("grad_program").isNotNull() & known, F.col("e_count"))), F.lit(0).cast("long")).alias("grad_headcount"),
+        F.sum(F.col("years_to_completion").cast("decimal(18,2)") * times).cast("double").alias("years_to_completion"))
+    return _mart(e, g, null_safe)
 
 
 # Total order inside a student's rows, used by both sequence columns (H16:
@@ -228,8 +376,9 @@ TIE_BREAK = ["area_of_study", "cip", "quality_points", "gpa_credits", "grad_term
              "transfer_date_this_year", "transfer_date_next_year"]
 
 
-def retention(combined: DataFrame, dim_student: DataFrame, dim_term: DataFrame) -> DataFrame:
-    """``calc``: demographics, the within-program sequence and the retention
+def retention(combined: DataFrame, dim_student: DataFrame, dim_term: DataFrame,
+              hot_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
+    """``calc`` from combined rows: demographics, the within-program sequence and the retention
     numerator and denominator (first rule that holds):
 
     no program -> Not Enrolled; next row in the same year -> Same Year; next row
@@ -242,35 +391,20 @@ def retention(combined: DataFrame, dim_student: DataFrame, dim_term: DataFrame)
     # those domains, so a plain window is safe.
     c = row_number_by(combined, ["pidm", "academic_year", "program"],
                       [F.col("degree_code").asc_nulls_last(), *ties], name="enrolled_seq", hot_rows=None)
-    ds = dim_student.select(F.col("pidm").alias("__spidm"), "first_term_non_concurrent", "gender", "race",
-                            "hispanic_ind", "first_generation_ind")
-    c = c.join(ds, c.pidm == ds.__spidm, "left")
-    first = dim_term.select(F.col("term_code").alias("__ftc"), F.col("term_start_date").alias("first_term_nc_start_date"))
-    c = c.join(first, c.first_term_non_concurrent == first.__ftc, "left")
-    # A student's rows: at most (calendar years x programs x graduations); the
-    # window is bounded by those domains, not by the data volume.
-    w = Window.partitionBy("pidm").orderBy(F.col("academic_year").asc_nulls_last(),
-                                           F.col("program").asc_nulls_last(),
-                                           F.col("degree_code").asc_nulls_last(), *ties)
-    next_year, next_program = F.lead("academic_year").over(w), F.lead("program").over(w)
-    prog = F.col("program")
+    c = _with_student(c, dim_student, dim_term)
+    # The next row of the student, however many rows there are (``retention_rows`` needs none of this).
+    order = [F.col(k).asc_nulls_last() for k in ("academic_year", "program", "degree_code")]
+    c = shift_by(c, ["pidm"], [*order, *ties], {"__next_year": ("academic_year", 1), "__next_program": ("program", 1)}, hot_rows=hot_rows)
+    next_year, prog = F.col("__next_year"), F.col("program")
     same_year = prog.isNotNull() & (next_year == F.col("academic_year"))
-    retained = (prog.isNotNull() & next_program.isNotNull()
+    retained = (prog.isNotNull() & F.col("__next_program").isNotNull()
                 & (F.substring(next_year, 1, 4).cast("int") == F.substring("academic_year", 1, 4).cast("int") + 1))
-    numerator = (F.when(prog.isNull(), "Not Enrolled").when(same_year, "Same Year").when(retained, "Yes")
-                 .otherwise("No"))
-    denominator = (F.when(prog.isNull(), "Not Enrolled").when(same_year, "Same Year").when(retained, "Yes")
-                   .when(F.col("grad_program").isNotNull(), "No")
-                   .when(F.col("transfer_date_next_year").isNotNull(), "No").otherwise("Yes"))
-    hisp = F.when(F.col("hispanic_ind") == "Y", HISPANIC_LABELS["Y"]) \
-            .when(F.col("hispanic_ind") == "N", HISPANIC_LABELS["N"]).otherwise(HISPANIC_OTHER)
-    first_gen = None
-    for k, v in FIRST_GEN_LABELS.items():
-        cond = F.col("first_generation_ind") == k
-        first_gen = F.when(cond, v) if first_gen is None else first_gen.when(cond, v)
-    c = c.withColumns({"hispanic_origin": hisp, "first_generation": first_gen,
-                       "retained_numerator": numerator, "retained_denominator": denominator})
-    return c.drop("__spidm", "__ftc", "hispanic_ind", "first_generation_ind")
+    fate = F.when(prog.isNull(), "Not Enrolled").when(same_year, "Same Year").when(retained, "Yes")
+    return c.withColumns({
+        "retained_numerator": fate.otherwise("No"),
+        "retained_denominator": fate.when(F.col("grad_program").isNotNull(), "No")
+                                    .when(F.col("transfer_date_next_year").isNotNull(), "No").otherwise("Yes"),
+    }).drop("__next_year", "__next_program")
 
 
 def program_mart(calc: DataFrame, null_safe: bool = False) -> DataFrame:
@@ -280,9 +414,7 @@ def program_mart(calc: DataFrame, null_safe: bool = False) -> DataFrame:
     reference (H13).
 
     ``calc`` is read by both aggregates, so the columns they need are written once
-    as parquet.  The template is the union of the two
-    aggregates' keys, which are exactly the distinct dimension combinations of
-    each side, so it needs no extra pass over ``calc``.
+    as parquet.
     """
     used = dict.fromkeys([*MART_DIMS, *GRAD_DIMS, "pidm", "enrolled_seq", "quality_points", "gpa_credits", "retained_numerator",
                           "retained_denominator", "grad_quality_points", "grad_gpa_credits", "years_to_completion"])
@@ -299,20 +431,22 @@ def program_mart(calc: DataFrame, null_safe: bool = False) -> DataFrame:
         F.sum(exact("grad_gpa_credits")).cast("double").alias("grad_gpa_credits"),
         F.count(F.when(F.col("grad_program").isNotNull(), F.col("pidm"))).alias("grad_headcount"),
         F.sum(F.col("years_to_completion").cast("decimal(18,2)")).cast("double").alias("years_to_completion"))
-    tpl = template_grain([e.select(*MART_DIMS), g.select(*GRAD_DIMS)], MART_DIMS)
-    on = null_safe_on if null_safe else strict_on
-    e = e.select(*[F.col(c).alias(f"e_{c}") for c in MART_DIMS], *[c for c in e.columns if c not in MART_DIMS])
-    g = g.select(*[F.col(c).alias(f"g_{i}") for i, c in enumerate(GRAD_DIMS)],
-                 *[c for c in g.columns if c not in GRAD_DIMS])
-    out = tpl.join(e, on(tpl, e, MART_DIMS, [f"e_{c}" for c in MART_DIMS]), "left")
-    out = out.join(g, on(out, g, MART_DIMS, [f"g_{i}" for i in range(len(GRAD_DIMS))]), "left")
-    measures = [("quality_points", "Quality Points"), ("gpa_credits", "GPA Credits"),
-                ("enrolled_headcount", "Enrolled Headcount"), ("retained_numerator", "Retained Numerator"),
-                ("retained_denominator", "Retained Denominator"), ("grad_headcount", "Grad Headcount"),
-                ("grad_quality_points", "Grad Quality Points"), ("grad_gpa_credits", "Grad GPA Credits"),
-                ("years_to_completion", "Sum of Years To Completion")]
-    return out.select(*[F.col(c).alias(lab) for c, lab in zip(MART_DIMS, MART_LABELS)],
-                      *[F.col(c).alias(lab) for c, lab in measures])
+    return _mart(e, g, null_safe)
+
+
+def _mart(e: DataFrame, g: DataFrame, null_safe: bool) -> DataFrame:
+    """The template (all keys of both aggregates) with the measures of each.  A key has at
+    most one row in either, so both are laid on top of each other and grouped once:
+    no template to make first, no ten-key joins.  Joined strictly, a key with a NULL
+    would find neither row, so such rows bring their key only."""
+    def side(df: DataFrame, dims: Sequence[str]) -> DataFrame:
+        whole = F.lit(True) if null_safe else reduce(Column.__and__, [F.col(c).isNotNull() for c in dims])
+        measures = [c for c in df.columns if c not in dims]
+        return df.select(*[F.col(c).alias(lab) for c, lab in zip(dims, MART_LABELS)],
+                         *[F.when(whole, F.col(c)).alias(MEASURES[c]) for c in measures])
+
+    both = side(e, MART_DIMS).unionByName(side(g, GRAD_DIMS), allowMissingColumns=True)
+    return both.groupBy(*MART_LABELS).agg(*[F.max(c).alias(c) for c in MEASURES.values()])
 
 
 def present(mart: DataFrame, as_of: dt.date, ay: DataFrame | None = None) -> DataFrame:

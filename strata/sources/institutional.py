@@ -362,11 +362,13 @@ SECOND_DEGREE = "SECOND"
 
 
 def _program_entries(t: Tables) -> DataFrame:
-    """Orders as program entries: every 49th is missing, every 50th has a second one."""
+    """Orders as program entries: every 50th has a second one, and every 49th stands under
+    a key that no enrollment or graduation refers to."""
     o = t("orders", "o_orderkey", "o_orderpriority", "o_orderstatus")
     k = F.col("o_orderkey")
     one, two = F.array(F.lit(1)), F.array(F.lit(1), F.lit(2))
-    return o.where(k % 49 != 0).withColumn("entry", F.explode(F.when(k % 50 == 0, two).otherwise(one)))
+    o = o.withColumn("entry_key", F.when(k % 49 == 0, -k).otherwise(k))
+    return o.withColumn("entry", F.explode(F.when(k % 50 == 0, two).otherwise(one)))
 
 
 def _program_cols(prefix: str = "") -> list[Column]:
@@ -403,7 +405,7 @@ def pgm_student_term(t: Tables) -> DataFrame:
 
 
 def pgm_of_study_term(t: Tables) -> DataFrame:
-    return _program_entries(t).select(F.col("o_orderkey").alias("dim_pgm_of_study_term_key"), *_program_cols("term_"))
+    return _program_entries(t).select(F.col("entry_key").alias("dim_pgm_of_study_term_key"), *_program_cols("term_"))
 
 
 def grad_outcomes(t: Tables) -> DataFrame:
@@ -419,7 +421,7 @@ def grad_outcomes(t: Tables) -> DataFrame:
 
 
 def program_of_study(t: Tables) -> DataFrame:
-    return _program_entries(t).select(F.col("o_orderkey").alias("dim_program_of_study_key"), *_program_cols())
+    return _program_entries(t).select(F.col("entry_key").alias("dim_program_of_study_key"), *_program_cols())
 
 
 def student_wages(t: Tables) -> DataFrame:
@@ -480,21 +482,22 @@ def _program_cols_sql(prefix: str = "") -> str:
 def program_sql(as_of: dt.date) -> list[tuple[str, str]]:
     """CTEs for the program stand-ins (needs the ``o`` view and ``sql_views``)."""
     inst = " UNION ALL ".join(f"SELECT {k} AS dim_institution_key, '{v}' AS institution_level" for k, v in INSTITUTIONS)
-    entries = "orders JOIN (VALUES (1), (2)) AS e(entry) ON o_orderkey % 49 <> 0 AND (entry = 1 OR o_orderkey % 50 = 0)"
+    entries = "orders JOIN (VALUES (1), (2)) AS e(entry) ON entry = 1 OR o_orderkey % 50 = 0"
+    key = "CASE WHEN o_orderkey % 49 = 0 THEN -o_orderkey ELSE o_orderkey END"
     return [
         ("fsch", """SELECT pidm, term_code, CAST(term_code AS INTEGER) AS dim_term_key, o_orderkey AS dim_student_term_key,
             CAST(floor(o_totalprice / 100000) AS DOUBLE) AS gpa_quality_points,
             CASE WHEN o_orderstatus = 'F' THEN 3.0 WHEN o_orderstatus = 'O' THEN 4.0 ELSE 1.0 END::DOUBLE AS gpa_credits
           FROM o"""),
         ("pst", "SELECT o_orderkey AS dim_student_term_key, o_orderkey AS dim_pgm_of_study_term_key FROM orders"),
-        ("dpost", f"SELECT o_orderkey AS dim_pgm_of_study_term_key, {_program_cols_sql('term_')} FROM {entries}"),
+        ("dpost", f"SELECT {key} AS dim_pgm_of_study_term_key, {_program_cols_sql('term_')} FROM {entries}"),
         ("fsgo", """SELECT pidm, term_code, order_date AS graduation_date,
             CASE WHEN o_totalprice > 400000 THEN 'Y' ELSE 'N' END AS ug_ap_graduated_ind, 
             CASE WHEN o_totalprice BETWEEN 380000 AND 400000 THEN 'Y' ELSE 'N' END AS sat_graduated_ind,
             pidm AS dim_student_key, CAST(term_code AS INTEGER) AS dim_term_key, o_orderkey AS dim_program_of_study_key,
             CAST(floor(o_totalprice / 100000) AS DOUBLE) AS cum_institution_gpa, (60 + 15 * (o_orderkey % 3))::DOUBLE AS cum_institution_credits
           FROM o WHERE o_orderstatus = 'F'"""),
-        ("dpos", f"SELECT o_orderkey AS dim_program_of_study_key, {_program_cols_sql()} FROM {entries}"),
+        ("dpos", f"SELECT {key} AS dim_program_of_study_key, {_program_cols_sql()} FROM {entries}"),
         ("fsw", """SELECT o_custkey AS pidm, CAST(year(o_orderdate) AS VARCHAR) || 'Q' || CAST(quarter(o_orderdate) AS VARCHAR) AS quarter,
             CAST(floor(o_totalprice / 10) AS DOUBLE) AS wages FROM orders WHERE o_orderstatus = 'O'"""),
         ("fne", """SELECT pidm, order_date AS enrollment_begin_date, '0052' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS opeid,
