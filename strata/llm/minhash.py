@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import Words, discard, documents, mix, slices, written
 from strata.llm.components import components
+from strata.operators.joins import join_grouped
 
 #: Words in a shingle and least likeness in percent, unless a caller says otherwise.
 SHINGLE, LEAST = 5, 80
@@ -180,7 +181,7 @@ def remaining_pairs(stars: DataFrame, least: int) -> DataFrame:
     rest = rest.join(labels, F.col("x") == F.col("_x"), "left").withColumn("label", F.coalesce("label", "x")).drop("_x")
     mixed = (rest.groupBy("p").agg(F.min("linked").alias("_all"), F.min("label").alias("_low"), F.max("label").alias("_high"))
              .where("NOT _all AND _low < _high").select("p"))
-    rest = rest.join(mixed, "p", "left_semi")
+    rest = join_grouped(rest, mixed, ["p"], "left_semi")
     # Least number of difference elements a partner must share (partner size chosen to make it smallest).
     other = F.least(F.greatest(F.col("np"), s * F.col("nx")), F.col("nx") / s)
     tau = F.greatest(F.lit(1), F.ceil(theta * (F.col("nx") + other) - F.col("both")
@@ -188,7 +189,7 @@ def remaining_pairs(stars: DataFrame, least: int) -> DataFrame:
     rest = rest.withColumn("_prefix", F.size("diff") - tau + 1).where("_prefix > 0")
     items = rest.select("p", "x", "np", "nx", "both", "linked", "label", "_prefix", F.size("diff").alias("_size"), F.explode("diff").alias("e"))
     often = items.groupBy("p", "e").agg(F.count("*").alias("_df")).where("_df > 1")
-    shared = items.join(often, ["p", "e"])
+    shared = join_grouped(items, often, ["p", "e"])
     # Elements of one member only come first in order of rarity and match nothing.
     count = F.count("*").over(Window.partitionBy("p", "x"))
     place = F.row_number().over(Window.partitionBy("p", "x").orderBy("_df", "e"))
@@ -217,13 +218,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST,
     member = classes.select("rep", "copies", F.explode("bands").alias("bucket"))
     bucket = (member.groupBy("bucket").agg(F.count("*").alias("m"), F.max(F.struct("copies", (-F.col("rep")).alias("r"))).alias("top"))
               .where("m > 1").select(F.col("bucket").alias("_b"), (-F.col("top.r")).alias("p")))
-    pairs = (member.join(bucket, F.col("bucket") == F.col("_b")).where("rep != p")
+    pairs = (join_grouped(member, bucket, ["bucket"], grouped_keys=["_b"]).where("rep != p")
              .select("p", F.col("rep").alias("x")).distinct())
     pairs = written(pairs, "pairs")
     size = pairs.groupBy("p").agg((F.count("*") > 1).alias("wanted"))
     ids = written(pairs.select(F.col("p").alias("id")).union(pairs.select("x")).distinct(), "ids")
     sets = written(full_sets(docs, ids, shingle), "sets")
-    stars = written(compare(pairs.join(size, "p"), sets, differences=True), "stars")
+    stars = written(compare(join_grouped(pairs, size, ["p"]), sets, differences=True), "stars")
     rest = compare(remaining_pairs(stars, least), sets)
     links = (stars.drop("diff").union(rest.drop("diff")).where(_linked(least))
              .select(F.col("p").alias("a"), F.col("x").alias("b")))

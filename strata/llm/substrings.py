@@ -44,6 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import Words, discard, documents, mix, slices, written
+from strata.operators.joins import join_grouped
 
 WINDOW, GRAM = 50, 8
 SIDE = (WINDOW - GRAM) // 2
@@ -55,6 +56,8 @@ PART = 1 << 19
 NULL_ID = (1 << 63) - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Runs looked at together: their places in a step fit the low 24 bits.
+STEP = 1 << 23
 _LOW = np.uint64((1 << 24) - 1)
 
 
@@ -71,17 +74,19 @@ def _selected(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     g, first = w.grams(GRAM)
     if len(g) < per:
         return g, first, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    key = (g & ~_LOW) | (_LOW - (np.arange(len(g), dtype=np.uint64) & _LOW))
-    least, span = key, 1
-    while span * 2 <= per:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    least = np.minimum(least[:len(least) - (per - span)], least[per - span:])
+    place = []  # of the least hash from each run on, rightmost among ties
+    for a in range(0, len(g) - per + 1, STEP):
+        part = g[a:a + STEP + per - 1]
+        least, span = (part & ~_LOW) | (_LOW - np.arange(len(part), dtype=np.uint64)), 1
+        while span * 2 <= per:
+            least = np.minimum(least[:-span], least[span:])
+            span *= 2
+        least = np.minimum(least[:len(least) - (per - span)], least[per - span:])
+        place.append(a + (_LOW - (least & _LOW)).astype(np.int64))
     n = np.diff(first)
     windows = np.maximum(n - per + 1, 0)
     at = np.arange(windows.sum()) - np.repeat(np.concatenate([[0], np.cumsum(windows)[:-1]]), windows) + np.repeat(first[:-1], windows)
-    low = (_LOW - (least[at] & _LOW)).astype(np.int64)
-    return g, first, at, at + ((low - at) & int(_LOW))
+    return g, first, at, np.concatenate(place)[at]
 
 
 def find_anchors(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -287,21 +292,21 @@ def match_windows(contexts: DataFrame) -> DataFrame:
 
     windows = contexts.mapInArrow(run, "h binary, id long, th long, begin int")
     owner = windows.groupBy("h").agg(F.min("id").alias("owner"), F.max("id").alias("_last")).where("owner < _last").select("h", "owner")
-    return windows.join(owner, "h").where("id > owner").select("id", "th", "begin", (F.col("begin") + WINDOW).alias("end"))
+    return join_grouped(windows, owner, ["h"]).where("id > owner").select("id", "th", "begin", (F.col("begin") + WINDOW).alias("end"))
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """(id, th, spans array<struct<begin, end>>) of the words to remove, for rows with any."""
     found = written(anchors(rows), "anchors")
     shared = found.groupBy("anchor").agg(F.min("id").alias("_a"), F.max("id").alias("_z")).where("_a < _z").select("anchor")
-    hits = written(found.join(shared, "anchor"), "hits")
+    hits = written(join_grouped(found, shared, ["anchor"]), "hits")
     discard(found)
     owner = written(hits.groupBy("anchor", "context").agg(F.min(F.struct("id", "th", "at")).alias("own")), "owners")
     many = owner.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1")
     copies = (hits.join(owner.select("anchor", "context", F.col("own.id").alias("first_id")), ["anchor", "context"])
               .where("id > first_id").select("id", "th", F.greatest(F.col("at") - (WINDOW - GRAM), F.lit(0)).alias("begin"),
                                              (F.col("at") + WINDOW).alias("end")))
-    wanted = written(owner.join(many, "anchor").select("anchor", "own.*", "contexts"), "wanted")
+    wanted = written(join_grouped(owner, many, ["anchor"]).select("anchor", "own.*", "contexts"), "wanted")
     ids = wanted.select("id").distinct()
     holders = rows.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= BROADCAST_IDS else rows
     few, most = wanted.where(f"contexts <= {MOST}"), wanted.where(f"contexts > {MOST}")
@@ -309,7 +314,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     if not most.isEmpty():
         dealt = written(cut_contexts(most, holders, by_neighbours=True), "contexts")
         size = dealt.groupBy("anchor", "part").agg(F.count("*").alias("_n")).where("_n > 1")
-        dealt = dealt.join(size, ["anchor", "part"])
+        dealt = join_grouped(dealt, size, ["anchor", "part"])
         spans = spans.union(match_contexts(dealt.where(f"_n <= {MOST}").drop("_n")))
         if not size.where(f"_n > {MOST}").isEmpty():
             spans = spans.union(match_windows(dealt.where(f"_n > {MOST}")))

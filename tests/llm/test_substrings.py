@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
 from strata.llm import substrings
@@ -90,3 +91,13 @@ def test_nulls_repeats_and_rest_of_a_row(spark):
     assert out == {(1, "a"): (p, 9), (1, "b"): (p + " end", 9), (2, "c"): ("one two", 7), (None, "d"): ("", 0),
                    (3, "e"): (None, None), (4, None): ("", 0), (5, "g"): ("short  text", 11)}
     assert substrings.remove_repeats(df.limit(0)).collect() == []
+
+
+def test_anchors_do_not_depend_on_the_step(monkeypatch):
+    rng = random.Random(9)
+    words = [rng.choice(["a", "b"]) for _ in range(900)] + ["x"] * 300  # many ties
+    w = substrings.Words(pa.array([" ".join(words), " ".join(words[100:700])]))
+    whole = substrings.find_anchors(w)
+    for step in (1, 7, 64, 1000):
+        monkeypatch.setattr(substrings, "STEP", step)
+        assert all((x == y).all() for x, y in zip(substrings.find_anchors(w), whole))
