@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +42,40 @@ def partial_rollup(df: DataFrame, fixed: Sequence[str], rolled: str, aggs: dict[
     return g.select(*fixed, label.alias(rolled), *aggs.keys())
 
 
+def rollup_counts(df: DataFrame, fixed: Sequence[str], rolled: str, counts: Mapping[str, Mapping[str, Column | None]],
+                  sums: Mapping[str, Column], total_label: str = "All", null_label: str = "Unknown") -> DataFrame:
+    """``GROUP BY fixed..., ROLLUP(rolled)`` with conditional distinct counts and sums, on
+    states that merge.
+
+    ``counts``: {entity column: {name: condition or None}}, the number of distinct
+    non-NULL entities with a row that meets the condition.  The rows of an entity are
+    reduced to one row of flags per (fixed, rolled, entity); a group's counts are the
+    sums of its flags, and the total's flags are those of the entity's rows merged
+    over ``rolled``.  So however many counts there are, no row is copied for them
+    or for the total (``grouping sets`` with k distinct counts copies each row 2 (k + 1)
+    times), and a hot group is spread over its entities.  ``sums`` travel with the
+    first entity and are summed again.  ``df`` is read once an entity column.
+    """
+    fixed, named = list(fixed), list(sums)
+    parts = []
+    for i, (entity, flags) in enumerate(counts.items()):
+        there = F.col(entity).isNotNull()
+        flag = {n: F.max((there if c is None else there & F.coalesce(c, F.lit(False))).cast("int")) for n, c in flags.items()}
+        add = {n: F.sum(c) for n, c in sums.items()} if not i else {}
+        one = df.groupBy(*fixed, rolled, entity).agg(*[c.alias(n) for n, c in {**flag, **add}.items()])
+        again = [*[F.max(n).alias(n) for n in flags], *[F.sum(n).alias(n) for n in add]]
+        whole = one.groupBy(*fixed, entity).agg(*again)
+        count = [*[F.sum(n).cast("long").alias(n) for n in flags], *[F.sum(n).alias(n) for n in add]]
+        label = F.coalesce(F.col(rolled), F.lit(null_label))
+        parts.append(one.groupBy(*fixed, rolled).agg(*count).withColumns({"__total": F.when(F.col(rolled).isNull(), 2).otherwise(0), rolled: label}))
+        parts.append(whole.groupBy(*fixed).agg(*count).withColumns({rolled: F.lit(total_label), "__total": F.lit(1)}))
+    # A row or two a group and entity column: laid on top of each other and grouped once more.
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    values = [*[n for flags in counts.values() for n in flags], *named]
+    out = both.groupBy(*fixed, rolled, "__total").agg(*[F.max(n).alias(n) for n in values])
+    return out.drop("__total")
+
+
 def template_grain(parts: Sequence[DataFrame], names: Sequence[str]) -> DataFrame:
     """Union of distinct dimension combinations taken from differently named
     columns (``UNION`` of several ``SELECT DISTINCT``)."""

@@ -4,8 +4,8 @@ averaged from past terms.
 
 Plan shape: the fact is first cut to the comparable day of each term (a
 broadcast of the small ``periods`` relation, one row per term), so every later
-join and the rollup run on that slice only; measures are computed in one
-partial rollup (Expand + hash aggregates, map-side combined).
+join and the rollup run on that slice only; distinct counts are sums of flags kept per
+student and per section, merged from the campuses into the total (no copies of rows).
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from strata.functions.dates import parse_date_key
 from strata.operators.joins import few_rows, join_small, membership_flag
-from strata.operators.reshape import partial_rollup
+from strata.operators.reshape import rollup_counts
+from strata.sources.sinks import materialise
 from strata.sources.tables import constant_frame
 
 # Target factor per season: fixed values of the reference.
@@ -77,31 +78,29 @@ def enrollment_snapshot(facts: DataFrame, dim_student_term: DataFrame, dim_cours
 
     new, cont = F.col("continuing_student_ind") == "N", F.col("continuing_student_ind") == "Y"
     br = F.col("budget_related_ind") == "Y"
-    pidm, crn, cr = F.col("pidm"), F.col("crn"), F.col("credits_attempted")
+    cr = F.col("credits_attempted")
     crossed = F.col("cross_list_group").isNotNull()
-    aggs = {
-        "new_stu": F.count_distinct(F.when(new, pidm)),
-        "cont_stu": F.count_distinct(F.when(cont, pidm)),
-        "new_br_stu": F.count_distinct(F.when(br & new, pidm)),
-        "cont_br_stu": F.count_distinct(F.when(br & cont, pidm)),
-        "new_fte": F.round(F.sum(F.when(new, cr)) / 15),
-        "cont_fte": F.round(F.sum(F.when(cont, cr)) / 15),
-        "new_br_fte": F.round(F.sum(F.when(br & new, cr)) / 15),
-        "cont_br_fte": F.round(F.sum(F.when(br & cont, cr)) / 15),
-        "sections": F.count_distinct(crn),
-        "br_sections": F.count_distinct(F.when(br, crn)),
-        "enrolled": F.sum(F.when(crossed, F.col("students_enrolled_group") / 2)
-                           .otherwise(F.col("students_enrolled_section").cast("double"))),
-        "capacity": F.sum(F.when(crossed, F.col("max_enrollment_group") / 2)
-                           .otherwise(F.col("max_enrollment_section").cast("double"))),
-        "waitlisted": F.sum(F.col("students_enrolled_waitlist").cast("bigint")),
-    }
-    dse = partial_rollup(f, SNAPSHOT_KEYS, "campus_code", aggs)
+    half = lambda group, own: F.when(crossed, F.col(group) / 2).otherwise(F.col(own).cast("double"))
+    # The slice is read once for the students and once for the sections.
+    f = materialise(f.select(
+        *SNAPSHOT_KEYS, "campus_code", "pidm", "crn", new.alias("new"), cont.alias("cont"), br.alias("br"), cr.alias("credits"),
+        half("students_enrolled_group", "students_enrolled_section").alias("enrolled"),
+        half("max_enrollment_group", "max_enrollment_section").alias("capacity"),
+        F.col("students_enrolled_waitlist").cast("bigint").alias("waitlisted")), "snapshot_rows")
+    new, cont, br = F.col("new"), F.col("cont"), F.col("br")
+    fte = lambda who: F.when(who, F.col("credits"))
+    dse = rollup_counts(f, SNAPSHOT_KEYS, "campus_code", {
+        "pidm": {"new_stu": new, "cont_stu": cont, "new_br_stu": br & new, "cont_br_stu": br & cont},
+        "crn": {"sections": None, "br_sections": br},
+    }, {"new_fte": fte(new), "cont_fte": fte(cont), "new_br_fte": fte(br & new), "cont_br_fte": fte(br & cont),
+        "enrolled": F.col("enrolled"), "capacity": F.col("capacity"), "waitlisted": F.col("waitlisted")})
+    dse = dse.withColumns({c: F.round(F.col(c) / 15) for c in ("new_fte", "cont_fte", "new_br_fte", "cont_br_fte")})
     # recent_term: among the top three *rows* of periods by term code.
     top3 = periods.select("term_code").orderBy(F.desc("term_code")).limit(3)
     dse = membership_flag(dse, ["term_code"], F.broadcast(top3), "recent_term", yes="Y", no=None)
     return dse.select("term_code", "recent_term", "term_season", "term_name", "campus_code", "dim_date_key",
-                      "days_since_reg_start", *aggs.keys())
+                      "days_since_reg_start", "new_stu", "cont_stu", "new_br_stu", "cont_br_stu", "new_fte", "cont_fte",
+                      "new_br_fte", "cont_br_fte", "sections", "br_sections", "enrolled", "capacity", "waitlisted")
 
 
 def repeated_snapshot_rows(dse: DataFrame) -> DataFrame:

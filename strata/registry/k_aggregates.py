@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import percent
-from strata.operators.reshape import partial_rollup
+from strata.operators.reshape import rollup_counts
 from strata.registry import register
 from strata.registry.k_relational import _KNOB_SQL, knobs
 from strata.sources import staging
@@ -111,11 +111,9 @@ def d09_avg_times_factor(spark, sf_dir):
     FROM o GROUP BY term_code, ROLLUP (campus)""", "o"))
 def d10_partial_rollup(spark, sf_dir):
     o = staging.orders_terms(Tables(spark, sf_dir))
-    return partial_rollup(o, ["term_code"], "campus", {
-        "students": F.count_distinct("pidm"),
-        "orders_n": F.count(F.lit(1)),
-        "total_price": F.sum(_cents("o_totalprice")).cast("double"),
-    })
+    out = rollup_counts(o, ["term_code"], "campus", {"pidm": {"students": None}},
+                        {"orders_n": F.lit(1), "total_price": _cents("o_totalprice")})
+    return out.withColumn("total_price", F.col("total_price").cast("double"))
 
 
 @register("d11_rollup_label", """SELECT o_orderstatus,

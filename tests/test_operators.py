@@ -1,5 +1,6 @@
 """Operators on hand-made frames whose answers are worked out by hand."""
 import datetime as dt
+import random
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from strata.functions.numeric import bin_label, bin_sort_key, percent
 from strata.functions.text import before_delimiter, concat_null_as_empty, part_from_right, split_first
 from strata.operators.cleaning import conflicting_donors, fill_from_group, fill_zero, recode, sentinel_to_null
 from strata.operators.joins import interval_join, join_small, membership_flag
-from strata.operators.reshape import partial_rollup, pivot_fixed, template_grain
+from strata.operators.reshape import partial_rollup, pivot_fixed, rollup_counts, template_grain
 from strata.operators.windows import (dense_rank_by, keep_first, partition_agg, partition_aggs, row_number_by,
                                       running_sum)
 
@@ -43,6 +44,21 @@ def test_partial_rollup_labels_total_and_real_null_apart(spark):
     assert all(r.s == parts[r.term] for r in out.collect() if r.campus == "All")
 
 
+def test_rollup_counts_equal_the_rollup_of_distinct_counts(spark):
+    rng = random.Random(3)
+    data = [(rng.choice(["t1", "t2", None]), rng.choice(["A", "B", "All", "Unknown", None]), rng.choice([None, *range(12)]),
+             rng.choice([None, *range(5)]), rng.choice([None, 1, 2, 3])) for _ in range(400)] + [("t9", None, None, None, None)]
+    df = spark.createDataFrame(data, "term string, campus string, who int, room int, v int").repartition(5)
+    odd, big = F.col("v") % 2 == 1, F.col("v") > 1
+    want = partial_rollup(df, ["term"], "campus", {
+        "n": F.count_distinct("who"), "n_odd": F.count_distinct(F.when(odd, F.col("who"))),
+        "rooms": F.count_distinct(F.when(big, F.col("room"))), "s": F.sum("v"), "k": F.count(F.lit(1))})
+    got = rollup_counts(df, ["term"], "campus", {"who": {"n": None, "n_odd": odd}, "room": {"rooms": big}},
+                        {"s": F.col("v"), "k": F.lit(1)})
+    assert rows(got, *want.columns) == rows(want)
+    assert rollup_counts(df.limit(0), ["term"], "campus", {"who": {"n": None}}, {}).collect() == []
+
+
 def test_pivot_fixed_drops_unlisted_and_keeps_group(spark):
     df = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 2.0), ("b", "z", 5.0)], "k string, t string, v double")
     out = pivot_fixed(df, ["k"], "t", ["x", "y"], F.col("v"), ["X", "Y"])

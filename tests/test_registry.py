@@ -76,9 +76,10 @@ def test_global_rank_has_no_single_partition_window_over_rows(spark):
     assert df.select("recency").distinct().count() == df.select("y").distinct().count()
 
 
-def test_rollup_uses_expand_once(spark):
-    plan = _plan(QUERIES["d10_partial_rollup"](spark, MID))
-    assert "Expand" in plan and "NestedLoop" not in plan
+@pytest.mark.parametrize("key, copies", [("d11_rollup_label", 1), ("d10_partial_rollup", 0), ("l03_enrollment_snapshot", 0)])
+def test_rollups_copy_rows_once_or_not_at_all(spark, key, copies):
+    plan = _plan(QUERIES[key](spark, MID))
+    assert (plan.count("Expand") > 0) == copies and "NestedLoop" not in plan
 
 
 def test_fixed_pivot_is_one_exchange(spark):
