@@ -8,7 +8,7 @@ and the point at which they left; ``dropout_rate`` is the share of dropped
 students by any attribute.
 
 Skew: a student's rows are not assumed small.  Per-term and per-student
-totals are grouped aggregates joined back; the registration number uses the
+totals come from one grouped aggregate joined back; the registration number uses the
 range-split row number; the dropout flag is a hash join on distinct keys.
 """
 
@@ -17,13 +17,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.dates import year_diff
 from strata.functions.numeric import percent
-from strata.operators.joins import join_small, membership_flag
-from strata.operators.windows import partition_aggs, row_number_by
+from strata.operators.joins import join_small, membership_flag, null_safe_on
+from strata.operators.windows import row_number_by
 from strata.sources.sinks import materialise
 from strata.sources.tables import constant_frame
 
@@ -127,16 +127,24 @@ def currently_enrolled(src: Mapping[str, DataFrame], country: str | None) -> Dat
 def dropout_labels(base: DataFrame, enrolled: DataFrame) -> DataFrame:
     """Relevant rows with per-term totals, the dropout flag and the point of
     dropout (for dropped students only)."""
-    # The relevant rows feed three grouped aggregates and the flag join: written
-    # once as parquet (so each reader prunes columns) instead of recomputing the
-    # star join for each.
+    # The relevant rows feed the totals and the flag join: written once as parquet (so
+    # each reader prunes columns) instead of recomputing the star join for each.
     rel = materialise(base.filter(F.col("Relevant_YN_Flag") == "Y"), "relevant_rows")
-    rel = partition_aggs(rel, [
-        (["STUDENT_KEY", "TERM_KEY"], {"Absences_per_Term": F.sum("ABSENT_COUNT"),
-                                       "Attended_per_Term": F.sum("ATTENDED_COUNT")}),
-        (["STUDENT_KEY"], {"__max_year": F.max("YEAR_IN_SEMINARY")}),
-        (["STUDENT_KEY", "SCHOOL_YEAR_NAME"], {"__max_term": F.max("TERM_NUMBER")}),
-    ])
+    # One aggregate for all totals, a row per (student, school year, term): map-side
+    # combined, so a student's rows are now bounded by its terms and the windows over
+    # them fit a task.  One join brings them back.
+    keys = ["STUDENT_KEY", "SCHOOL_YEAR_NAME", "TERM_KEY"]
+    t = rel.groupBy(*keys).agg(F.sum("ABSENT_COUNT").alias("__absent"), F.sum("ATTENDED_COUNT").alias("__attended"),
+                               F.max("YEAR_IN_SEMINARY").alias("__year"), F.max("TERM_NUMBER").alias("__number"))
+    over = lambda *by: Window.partitionBy(*by)
+    t = t.repartition("STUDENT_KEY").select(
+        *[F.col(k).alias(f"__t{i}") for i, k in enumerate(keys)],
+        F.sum("__absent").over(over("STUDENT_KEY", "TERM_KEY")).alias("Absences_per_Term"),
+        F.sum("__attended").over(over("STUDENT_KEY", "TERM_KEY")).alias("Attended_per_Term"),
+        F.max("__year").over(over("STUDENT_KEY")).alias("__max_year"),
+        F.max("__number").over(over("STUDENT_KEY", "SCHOOL_YEAR_NAME")).alias("__max_term"))
+    names = [f"__t{i}" for i in range(len(keys))]
+    rel = rel.join(t, null_safe_on(rel, t, keys, names), "left").drop(*names)
     # NOT IN (enrolled) with NULL keys ignored (H17): a hash join on distinct keys.
     rel = membership_flag(rel, ["STUDENT_KEY"], enrolled, "Dropout_YN_Flag", yes="N", no="Y")
     point = None
@@ -147,6 +155,11 @@ def dropout_labels(base: DataFrame, enrolled: DataFrame) -> DataFrame:
     return rel.withColumn("Point_of_Dropout", point).drop("__max_year", "__max_term")
 
 
+def in_order(labels: DataFrame) -> DataFrame:
+    """The report's order: student, school year, term, class (NULL first)."""
+    return labels.orderBy("STUDENT_KEY", "SCHOOL_YEAR_NAME", "TERM_NUMBER", "CLASS_KEY")
+
+
 def dropout_rate(labels: DataFrame, by: Sequence[str]) -> DataFrame:
     """Distinct dropped students / distinct students, per ``by``."""
     k = F.col("STUDENT_KEY")

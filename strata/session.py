@@ -89,6 +89,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+# Folders under the checkpoint folder that hold an application's written tables.
+WRITTEN = ("tables", "exports", "llm")
+
+
+def application_folder(spark: SparkSession, kind: str) -> str:
+    """Where this application writes its tables of a kind: a folder of its own under the shared one."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{kind}/{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> list[str]:
+    """Remove what this application has written into the shared folder without a path of
+    its own, once its results are read; returns the folders that were there."""
+    gone = []
+    for kind in WRITTEN:
+        folder = application_folder(spark, kind)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True):
+            gone.append(folder)
+    return gone
+
+
+def stop(spark: SparkSession) -> None:
+    """The end of an application: its written tables go, then the session."""
+    clean(spark)
+    spark.stop()
+
+
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """``df.checkpoint()`` into the shared folder (set up on first use): cuts the
     lineage so later readers, and recomputation after a lost executor, read

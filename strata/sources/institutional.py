@@ -11,6 +11,7 @@ Each builder has a SQL twin in ``SQL`` for the DuckDB oracle.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,13 +41,14 @@ def _by_season(suffix: Column, idx: int) -> Column:
 _BUILT: dict[tuple, DataFrame] = {}
 
 
-def built_once(t: Tables, name: str, as_of: dt.date | None, build, reads: tuple[str, ...] = ("orders",)) -> DataFrame:
+def built_once(t: Tables, name: str, as_of: dt.date | None, build, reads: tuple[str, ...] = ("orders",),
+               partition_by: Sequence[str] = ()) -> DataFrame:
     from strata.sources.sinks import materialise
     state = tuple(input_version(t.spark, table_path(t.sf_dir, r)) for r in reads)
     key = (t.spark.sparkContext.applicationId, state, name, as_of)
     df = _BUILT.get(key)
     if df is None or df.sparkSession is not t.spark:
-        df = _BUILT[key] = materialise(build(), f"dim_{name}")
+        df = _BUILT[key] = materialise(build(), f"dim_{name}", partition_by=partition_by)
     return df
 
 
@@ -183,19 +185,39 @@ ATT_STATUS = [(1, "N", "Y"), (2, "N", "Y"), (3, "N", "N")]
 
 
 def _att_orders(t: Tables) -> DataFrame:
-    """Orders with their student's first year and nation: the one pass over the raw
-    tables (two scans of orders), written once; the fact and all dimensions that
-    follow from orders are projections or small aggregates of it."""
-    return built_once(t, "att_orders", None, lambda: _build_att_orders(t), ("orders", "customer"))
+    """Orders with their student's first year and nation and their term: the one pass
+    over the raw tables, written once by term, so a reader that joins the terms of a
+    few school years (or the current term) prunes to those."""
+    return built_once(t, "att_orders", None, lambda: _build_att_orders(t), ("orders", "customer"), partition_by=["TERM_KEY"])
+
+
+def _att_students(t: Tables) -> DataFrame:
+    """(o_custkey, first_year): one row a student with an order."""
+    def build() -> DataFrame:
+        o = t("orders", "o_custkey", "o_orderdate")
+        return o.groupBy("o_custkey").agg(F.min(F.year("o_orderdate")).alias("first_year"))
+    return built_once(t, "att_students", None, build)
 
 
 def _build_att_orders(t: Tables) -> DataFrame:
-    from strata.operators.windows import partition_agg
     o = t("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     o = o.withColumn("y", F.year("o_orderdate"))
-    o = partition_agg(o, ["o_custkey"], {"first_year": F.min("y")})
-    c = t("customer", "c_custkey", "c_nationkey")
-    return o.join(c, o.o_custkey == c.c_custkey, "left").drop("c_custkey")
+    f, c = _att_students(t).withColumnRenamed("o_custkey", "__k"), t("customer", "c_custkey", "c_nationkey")
+    o = o.join(f, o.o_custkey.eqNullSafe(f["__k"]), "left").drop("__k")
+    o = o.join(c, o.o_custkey == c.c_custkey, "left").drop("c_custkey")
+    return o.withColumn("TERM_KEY", F.col("y") * 10 + F.when(F.month("o_orderdate") <= 6, 1).otherwise(2))
+
+
+def _att_values(t: Tables) -> DataFrame:
+    """The values of all small dimensions, one row of sets from one aggregate over the
+    written pass; each set is bounded by the calendar or by the priorities."""
+    def build() -> DataFrame:
+        o = _att_orders(t)
+        known = F.col("c_nationkey").isNotNull()
+        return o.agg(F.collect_set(F.when(known, F.col("y") - F.col("first_year") + 1)).alias("student_types"),
+                     F.collect_set("TERM_KEY").alias("terms"),
+                     F.collect_set(F.substring("o_orderpriority", 1, 1).cast("bigint")).alias("employees"))
+    return built_once(t, "att_values", None, build, ("orders", "customer"))
 
 
 def att_fact(t: Tables) -> DataFrame:
@@ -204,7 +226,7 @@ def att_fact(t: Tables) -> DataFrame:
     return o.select(
         F.col("o_custkey").alias("STUDENT_KEY"),
         F.col("o_orderkey").alias("CLASS_KEY"),
-        (F.col("y") * 10 + F.when(F.month("o_orderdate") <= 6, 1).otherwise(2)).alias("TERM_KEY"),
+        "TERM_KEY",
         F.col("c_nationkey").cast("bigint").alias("PROGRAM_KEY"),
         F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 2).otherwise(3).alias("STATUS_KEY"),
         (F.col("y") - F.col("first_year") + 1).alias("BUSINESS_STUDENT_TYPE_KEY"),
@@ -218,7 +240,7 @@ def att_fact(t: Tables) -> DataFrame:
 
 
 def att_student(t: Tables) -> DataFrame:
-    o = _att_orders(t).select("o_custkey", "first_year").distinct()
+    o = _att_students(t)
     c = t("customer", "c_custkey", "c_acctbal", "c_nationkey")
     j = c.join(o, c.c_custkey == o.o_custkey, "left")
     return j.select(F.col("c_custkey").alias("STUDENT_KEY"),
@@ -228,7 +250,7 @@ def att_student(t: Tables) -> DataFrame:
 
 
 def att_student_type(t: Tables) -> DataFrame:
-    k = att_fact(t).select(F.col("BUSINESS_STUDENT_TYPE_KEY").alias("STUDENT_TYPE_KEY")).distinct()
+    k = _att_values(t).select(F.explode("student_types").alias("STUDENT_TYPE_KEY"))
     return k.select("STUDENT_TYPE_KEY", F.col("STUDENT_TYPE_KEY").alias("YEAR_IN_SEMINARY"),
                     (F.col("STUDENT_TYPE_KEY") + 13).alias("AGE_IN_YEARS"),
                     F.when(F.col("STUDENT_TYPE_KEY") <= 3, "Y").otherwise("N").alias("MEMBERSHIP_YN_FLAG"))
@@ -245,8 +267,7 @@ def att_class(t: Tables) -> DataFrame:
 
 
 def att_term(t: Tables, as_of: dt.date) -> DataFrame:
-    k = _att_orders(t).select((F.col("y") * 10 + F.when(F.month("o_orderdate") <= 6, 1).otherwise(2))
-                 .alias("TERM_KEY")).distinct()
+    k = _att_values(t).select(F.explode("terms").alias("TERM_KEY"))
     y = (F.col("TERM_KEY") / 10).cast("int")
     current = as_of.year * 10 + (1 if as_of.month <= 6 else 2)
     yy = lambda c: F.lpad((c % 100).cast("string"), 2, "0")
@@ -275,8 +296,7 @@ def att_status(t: Tables) -> DataFrame:
 
 
 def att_employee(t: Tables) -> DataFrame:
-    ids = (_att_orders(t)
-           .select(F.substring("o_orderpriority", 1, 1).cast("bigint").alias("EMPLOYEE_ID")).distinct())
+    ids = _att_values(t).select(F.explode("employees").alias("EMPLOYEE_ID"))
     return ids.select("EMPLOYEE_ID", F.when(F.col("EMPLOYEE_ID") <= 2, "F").otherwise("M").alias("GENDER"),
                       F.make_date((1950 + F.col("EMPLOYEE_ID") * 5).cast("int"), F.lit(1), F.lit(1)).alias("BIRTH_DATE"))
 

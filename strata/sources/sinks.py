@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StructType
 
 from strata.operators.cleaning import recode
-from strata.session import checkpoint_dir
+from strata.session import application_folder
 
 
 def typed_staging(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -26,16 +26,49 @@ def typed_staging(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
 
 def _new_path(spark: SparkSession, kind: str, name: str) -> str:
-    return os.path.join(checkpoint_dir(spark), kind, f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(application_folder(spark, kind), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
     """``SELECT ... INTO t``: write the result as parquet and read it back, which
-    also cuts the lineage (a lost executor does not recompute the query)."""
+    also cuts the lineage (a lost executor does not recompute the query).
+
+    Rows go to ``path`` in one step: they are written beside it and the folder is
+    renamed, so a reader sees the table as it was or as it is, never a part of it.
+    Without ``path`` the table belongs to the application: it lies in the shared
+    folder under the application's id and goes with it (``session.stop``).
+    ``partition_by`` lays it out in folders that readers prune.
+    """
     spark = df.sparkSession
-    path = path or _new_path(spark, "tables", name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    target = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}" if path else _new_path(spark, "tables", name)
+    path = path or target
+    w = df.write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(target)
+    if target != path:
+        _replace(spark, target, path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _replace(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``; what was there is moved aside first and
+    removed last, so there is a whole table under one of the two names at any time."""
+    src, fs = _file_system(spark, new)
+    dst, _ = _file_system(spark, path)
+    old, _ = _file_system(spark, f"{path.rstrip('/')}.old-{uuid.uuid4().hex[:12]}")
+    had = fs.exists(dst)
+    if had and not fs.rename(dst, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(src, dst):
+        if had:
+            fs.rename(old, dst)
+        raise OSError(f"cannot move {new} to {path}")
+    if had:
+        fs.delete(old, True)
 
 
 def export_mart(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
