@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import checkpoint_dir
+from strata.session import application_folder
 
 #: Text bytes worked on at once.
 SLICE_BYTES = 1 << 19
@@ -38,11 +38,12 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once an application, unless they find
-    it themselves (it is on PYTHONPATH, or they start in its folder)."""
+    """Send this package to the Python workers, once an application.  Only the workers of a
+    local master share the driver's folder and PYTHONPATH and may find it there."""
     root = Path(__file__).resolve().parents[2]
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED or Path.cwd() == root or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+    app, master = spark.sparkContext.applicationId, spark.sparkContext.master
+    found = Path.cwd() == root or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if app in _SHIPPED or found and (master == "local" or master.startswith("local[")):
         return
     with tempfile.NamedTemporaryFile(prefix="strata-", suffix=".zip", delete=False) as f, zipfile.ZipFile(f, "w") as z:
         for path in sorted((root / "strata").rglob("*.py")):
@@ -72,13 +73,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def _folder(spark: SparkSession) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm/{spark.sparkContext.applicationId}"
-
-
-def clear(spark: SparkSession) -> None:
-    """Remove all tables that ``written`` made for this application, once its results are read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Of this application; ``strata.session.clean`` and ``stop`` remove it."""
+    return application_folder(spark, "llm")
 
 
 def discard(*frames: DataFrame) -> None:
