@@ -15,6 +15,7 @@ from strata.operators.joins import join_grouped
 from strata.operators.reshape import pivot_fixed
 from strata.operators.windows import keep_first
 from strata.plans import ledger
+from strata.plans.properties import VACANT_LABELS
 from strata.registry import register
 from strata.sources import sinks, staging
 from strata.sources.staging import with_views
@@ -250,10 +251,6 @@ def j08_append(spark, sf_dir):
     return first.unionByName(more)
 
 
-# Vacancy flag recode: fixed values.
-VACANT_LABELS = {"Y": "Yes", "N": "No"}
-
-
 @register("j09_recode", with_views("""SELECT UniqueID,
     CASE WHEN SoldAsVacant = 'Y' THEN 'Yes' WHEN SoldAsVacant = 'N' THEN 'No' ELSE SoldAsVacant END AS SoldAsVacant
     FROM prop""", "prop"))

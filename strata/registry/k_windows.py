@@ -167,10 +167,10 @@ def e13_distinct_over_window(spark, sf_dir):
         "o_orderkey", "o_custkey", "y", "n_quarters")
 
 
-@register("e14_window_arithmetic", with_views("""SELECT DISTINCT o_custkey, y,
-    round(CAST(sum(cents) OVER (PARTITION BY o_custkey, y) AS DOUBLE)
-          * (4 / count(DISTINCT quarter) OVER (PARTITION BY o_custkey, y))) AS annualised
-    FROM q""", ctes=[_QUARTERS_SQL]))
+@register("e14_window_arithmetic", with_views("""SELECT o_custkey, y, round(CAST(paid AS DOUBLE) * (4 / quarters)) AS annualised
+    FROM (SELECT o_custkey, y, sum(cents) AS paid FROM q GROUP BY ALL)
+    JOIN (SELECT o_custkey, y, count(*) AS quarters FROM (SELECT DISTINCT o_custkey, y, quarter FROM q) GROUP BY ALL)
+      USING (o_custkey, y)""", ctes=[_QUARTERS_SQL]))
 def e14_window_arithmetic(spark, sf_dir):
     q = _quarters(Tables(spark, sf_dir))
     g = q.groupBy("o_custkey", "y").agg(F.sum("cents").cast("double").alias("s"),

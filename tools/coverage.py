@@ -69,7 +69,13 @@ def main():
         mod = fn.__module__.replace("strata.registry.", "registry/") + ".py"
         out.append(f"| {sid} | {what} | `{key}` | `{mod}` | {uses(fn)} | "
                    f"{'yes' if key in ORACLES else 'rows only'} |")
-    out += ["", f"{len(rows)} surveyed ids: {len(rows) - len(missing)} covered, "
+    listed = {k for _, _, k in rows}
+    out += ["", "Further outputs of the jobs:", "", "| key | registered in | uses | oracle |", "| --- | --- | --- | --- |"]
+    more = [k for k in sorted(QUERIES) if k not in listed]
+    for key in more:
+        mod = QUERIES[key].__module__.replace("strata.registry.", "registry/") + ".py"
+        out.append(f"| `{key}` | `{mod}` | {uses(QUERIES[key])} | {'yes' if key in ORACLES else 'rows only'} |")
+    out += ["", f"{len(QUERIES)} keys. {len(rows)} surveyed ids: {len(rows) - len(missing)} covered, "
             f"{sum(1 for _, _, k in rows if k in ORACLES)} keys with an oracle."]
     if missing:
         out.append("Missing: " + ", ".join(missing))
