@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.operators.joins import few_rows, interval_join, join_grouped, join_small, membership_flag, null_safe_on, strict_on
+from strata.operators.joins import binned_interval_join, few_rows, interval_join, join_grouped, join_small, membership_flag, null_safe_on, strict_on
 from strata.operators.reshape import partial_rollup, template_grain
 from strata.operators.windows import partition_agg
 from strata.registry import register
@@ -95,6 +95,27 @@ def c07_interval_join(spark, sf_dir):
     return j.groupBy("o_orderkey").agg(F.count("l_orderkey").alias("lines_within_30_days"))
 
 
+@register("c07_interval_join_binned", """WITH promo AS (SELECT p_partkey, p_size, p_brand,
+      CAST(DATE '1995-01-01' + CAST(p_partkey % 1500 AS INTEGER) AS DATE) AS opens FROM part WHERE p_size <= 5)
+    SELECT p_partkey, count(o_orderkey) AS orders_in_time, CAST(coalesce(sum(o_orderkey), 0) AS BIGINT) AS key_sum
+    FROM promo LEFT JOIN orders ON substr(p_brand, 7, 1) = substr(o_orderpriority, 1, 1)
+      AND CAST(o_orderdate AS DATE) BETWEEN opens AND CAST(opens + CAST(p_size AS INTEGER) AS DATE)
+    GROUP BY p_partkey""")
+def c07_interval_join_binned(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    # Five keys hold all points and intervals; the bins of a week spread them.
+    promo = t("part", "p_partkey", "p_size", "p_brand").filter("p_size <= 5").select(
+        "p_partkey", F.substring("p_brand", 7, 1).alias("kind"),
+        F.expr("date_add(DATE'1995-01-01', CAST(p_partkey % 1500 AS INT))").alias("opens"), "p_size")
+    promo = promo.withColumn("closes", F.expr("date_add(opens, CAST(p_size AS INT))"))
+    o = t("orders", "o_orderkey", "o_orderdate", "o_orderpriority").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("day"), F.substring("o_orderpriority", 1, 1).alias("level"))
+    j = binned_interval_join(o, promo, ["level"], "day", "opens", "closes", 7 * 86_400, keep="intervals",
+                             interval_keys=["kind"], interval_id="p_partkey")
+    return j.groupBy("p_partkey").agg(F.count("o_orderkey").alias("orders_in_time"),
+                                      F.coalesce(F.sum("o_orderkey"), F.lit(0).cast("long")).alias("key_sum"))
+
+
 @register("c08_theta_join", """WITH ay AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y FROM orders
       WHERE o_orderstatus = 'F' ORDER BY y DESC LIMIT 6)
     SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS transfer_date FROM orders

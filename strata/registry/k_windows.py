@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.operators.cleaning import repeated_values
 from strata.operators.joins import join_grouped
 from strata.operators.reshape import pivot_fixed, template_grain
-from strata.operators.windows import dense_rank_by, partition_agg, partition_aggs, row_number_by, running_sum
+from strata.operators.windows import dense_rank_by, partition_agg, partition_aggs, row_number_by, running_sum, shift_by
 from strata.plans import ledger
 from strata.registry import register
 from strata.sources import staging
@@ -104,6 +104,27 @@ def e08_lead_condition(spark, sf_dir):
     return y.select("pidm", "yr", F.when(nxt == F.col("yr") + 1, "Yes").otherwise("No").alias("retained"))
 
 
+# Three statuses hold all orders: each is a group that no single task should get.
+_HOT = 1_000
+
+
+@register("e01_running_sum_ranged", """SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS day,
+    CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) OVER (PARTITION BY o_orderstatus ORDER BY CAST(o_orderdate AS DATE)) AS BIGINT) AS cents_to_date
+    FROM orders""")
+def e01_running_sum_ranged(spark, sf_dir):
+    o = Tables(spark, sf_dir)("orders", "o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice")
+    o = o.select("o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("day"), F.round(F.col("o_totalprice") * 100).cast("long").alias("__c"))
+    return running_sum(o, ["o_orderstatus"], ["day"], F.col("__c"), "cents_to_date", hot_rows=_HOT).drop("__c")
+
+
+@register("e06_shift_ranged", """SELECT o_orderkey, o_orderstatus, lag(o_orderkey) OVER w AS before, lead(o_orderkey, 2) OVER w AS second_after
+    FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey)""")
+def e06_shift_ranged(spark, sf_dir):
+    o = Tables(spark, sf_dir)("orders", "o_orderkey", "o_orderstatus", "o_orderdate")
+    return shift_by(o, ["o_orderstatus"], ["o_orderdate", "o_orderkey"], {"before": ("o_orderkey", -1), "second_after": ("o_orderkey", 2)},
+                    hot_rows=_HOT).drop("o_orderdate")
+
+
 @register("e09_partition_min", with_views("""SELECT o_orderkey, substr(term_code, 5) AS season,
     min(order_date) OVER (PARTITION BY substr(term_code, 5)) AS season_first_day FROM o""", "o"))
 def e09_partition_min(spark, sf_dir):
