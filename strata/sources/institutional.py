@@ -11,12 +11,15 @@ Each builder has a SQL twin in ``SQL`` for the DuckDB oracle.
 from __future__ import annotations
 
 import datetime as dt
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.sources import staging
+from strata.sources.snapshots import DailyTable
 from strata.sources.tables import Tables
 from strata.sources.tables import constant_frame, input_version, table_path
 
@@ -126,14 +129,41 @@ def fact_daily_enrollments(t: Tables, as_of: dt.date) -> DataFrame:
     )
 
 
+# One row a term and day with sections: what ``section_days`` keeps.
+SECTION_DAYS = "term_code string, days_since_reg_start int, sections bigint, enrollments bigint"
+
+
+def section_days(t: Tables, as_of: dt.date, path: str | None = None) -> DataFrame:
+    """The section snapshot by day (``SECTION_DAYS``), kept as an incremental table: the
+    enrollments are read for new days and days whose orders have changed, or for
+    all if line items have.  Without ``path`` the table goes with the application."""
+    from strata.session import application_folder
+    state = zlib.crc32(repr(input_version(t.spark, table_path(t.sf_dir, "lineitem"))).encode())
+    where = path or f"{application_folder(t.spark, 'tables')}/section_days-{zlib.crc32(t.sf_dir.encode()):08x}"
+    table = DailyTable(t.spark, where, StructType.fromDDL(SECTION_DAYS), "term_code")
+    o = staging.order_terms_light(t).select("o_orderkey", "order_date", "term_code").filter(F.col("order_date").isNotNull())
+    marks = o.groupBy(F.col("order_date").alias("day")).agg(
+        F.concat_ws(":", F.count(F.lit(1)), F.sum(F.xxhash64("o_orderkey", "term_code") % (1 << 31)), F.lit(state)).alias("mark"))
+
+    def rows_of(days: list[dt.date]) -> DataFrame:
+        cut = F.col("order_date").between(F.lit(days[0]), F.lit(days[-1])) if days else F.lit(False)
+        chosen = o.filter(cut)  # reaches the scan
+        if len(days) <= 366:
+            chosen = chosen.filter(F.col("order_date").isin(days))
+        li = t("lineitem", "l_orderkey", "l_partkey")
+        terms = dim_term(t, as_of).select("term_code", "registration_start_date")
+        j = chosen.join(li, chosen.o_orderkey == li.l_orderkey).join(terms, "term_code")
+        since = F.datediff("order_date", "registration_start_date").alias("days_since_reg_start")
+        return j.groupBy("term_code", F.col("order_date").alias("day"), since).agg(
+            F.count_distinct("l_partkey").alias("sections"), F.count(F.lit(1)).alias("enrollments"))
+
+    table.refresh(marks, rows_of)
+    return table.read()
+
+
 def registration_days(t: Tables, as_of: dt.date) -> DataFrame:
-    """(term_code, days_since_reg_start) of every enrollment with a section, from the
-    orders side: an order without lines has no enrollment and is left out."""
-    li = t("lineitem", "l_orderkey")
-    o = staging.order_terms_light(t).select("o_orderkey", "order_date", "term_code")
-    terms = dim_term(t, as_of).select("term_code", "registration_start_date")
-    o = o.join(li, o.o_orderkey == li.l_orderkey, "left_semi").join(terms, "term_code")
-    return o.select("term_code", F.datediff("order_date", "registration_start_date").alias("days_since_reg_start"))
+    """(term_code, days_since_reg_start) of every day with an enrollment in a section."""
+    return section_days(t, as_of).select("term_code", "days_since_reg_start")
 
 
 def _season_sql(c: str, idx: int) -> str:
