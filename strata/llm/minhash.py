@@ -252,3 +252,21 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, least: int = L
 
 def op7_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir, "doc_id", "text"), shingle=3, least=85).drop("th")
+
+
+def oracle(shingle: int = 3, least: int = 85) -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    run = lambda n: f"array_to_string(w[i:i + {n} - 1], ' ')"
+    return rf"""
+    WITH RECURSIVE texts AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS w
+                             FROM documents),
+    sets AS (SELECT DISTINCT doc_id, {run(shingle)} AS s
+             FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {shingle - 2}, 2))) AS i FROM texts WHERE len(w) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY 1),
+    met AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS (SELECT x, y FROM met JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * common >= {least} * (p.n + q.n - common)),
+    reached AS (SELECT doc_id AS x, doc_id AS y FROM texts UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y),
+    least_of AS (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY 1)
+    SELECT t.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, t.doc_id = component_id AS kept
+    FROM texts t JOIN least_of USING (doc_id) LEFT JOIN sizes USING (doc_id)
+    """

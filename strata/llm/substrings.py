@@ -382,3 +382,17 @@ def op10_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = with_spans(documents(spark, sf_dir, "doc_id", "text"))
     return docs.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+def oracle(window: int = WINDOW) -> str:
+    return rf"""
+    WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM texts),
+    windows AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + {window - 1}], ' ')) AS h
+                FROM (SELECT doc_id, w, unnest(range(1, len(w) - {window - 2})) AS i FROM texts)),
+    owners AS (SELECT h, min(doc_id) AS owner FROM windows GROUP BY h),
+    gone AS (SELECT DISTINCT doc_id, i + k AS i FROM windows JOIN owners USING (h), range({window}) AS r(k) WHERE doc_id > owner),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT t.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM texts t LEFT JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1) g USING (doc_id)
+    """

@@ -92,3 +92,13 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(900, 901), (901, 900)], "a long, b long")
     got = dict((r["node"], r["component"]) for r in components.components(links).collect())
     assert got == {**{i: 0 for i in range(201)}, 900: 900, 901: 900}
+
+
+def test_query_equals_its_sql(spark):
+    import duckdb
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    cur = con.execute(minhash.oracle())
+    df = minhash.op7_min_max_hash(spark, sf).select(*[c[0] for c in cur.description])
+    assert sorted(map(tuple, df.collect())) == sorted(cur.fetchall())

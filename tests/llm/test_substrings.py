@@ -101,3 +101,13 @@ def test_anchors_do_not_depend_on_the_step(monkeypatch):
     for step in (1, 7, 64, 1000):
         monkeypatch.setattr(substrings, "STEP", step)
         assert all((x == y).all() for x, y in zip(substrings.find_anchors(w), whole))
+
+
+def test_query_equals_its_sql(spark):
+    import duckdb
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    cur = con.execute(substrings.oracle())
+    df = substrings.op10_suffix_automata(spark, sf).select(*[c[0] for c in cur.description])
+    assert sorted(map(tuple, df.collect())) == sorted(cur.fetchall())
