@@ -43,20 +43,23 @@ class DailyTable:
     def read(self) -> DataFrame:
         return self._read(self.path, self.schema).select(*self.names)
 
+    def _differing(self, now: DataFrame) -> list:
+        """(day, built) for each day whose mark is not the one kept: bounded by the calendar."""
+        then = self._read(self.marks, StructType.fromDDL("__d date, __m string"))
+        both = now.join(then, now[DAY] == then["__d"], "full")
+        return both.filter(~F.col(MARK).eqNullSafe(F.col("__m"))).select(
+            F.coalesce(DAY, "__d").alias("day"), F.col(DAY).isNotNull().alias("built")).collect()
+
     def refresh(self, marks: DataFrame, rows_of: Callable[[list[dt.date]], DataFrame]) -> list[dt.date]:
         """Bring the table up to ``marks`` (day, mark: one row a day of the source).  ``rows_of(days)``
         builds the rows of these days, with ``day``.  Returns the days it built, at most
         one entry a calendar day."""
         held = self._read(self.path, self.schema)
         now = marks.select(F.col("day").alias(DAY), F.col("mark").cast("string").alias(MARK))
-        now = materialise(now, "marks")  # compared, and kept as it was compared
-        then = self._read(self.marks, StructType.fromDDL("__d date, __m string"))
-        both = now.join(then, now[DAY] == then["__d"], "full")
-        # Bounded by the calendar: a row a day that differs.
-        differs = both.filter(~F.col(MARK).eqNullSafe(F.col("__m"))).select(
-            F.coalesce(DAY, "__d").alias("day"), F.col(DAY).isNotNull().alias("built")).collect()
-        if not differs:
+        if not self._differing(now):
             return []
+        now = materialise(now, "marks")  # kept as it is compared, whatever the source does meanwhile
+        differs = self._differing(now)
         built = sorted(r["day"] for r in differs if r["built"])
         days = self.spark.createDataFrame([(d,) for d in built], "__b date")
         gone = self.spark.createDataFrame([(r["day"],) for r in differs], "__gone date")
