@@ -8,41 +8,49 @@ bytes; those of a class are one more word, which takes its smoothed share of wha
 the training words of that class gather.  The probabilities of all texts add up to
 one (unseen words of a class taken as one word).
 
-Training: texts are dealt into chunks of bounded size with the list of their words.
-Every chunk runs the scaled forward and backward recursions over its texts and adds
-up expected counts (first states, transitions, emissions).  The emission counts of
-all words are one table keyed by word, summed across chunks each round and joined
-with the words of every chunk for the next; only those of the most frequent words
-(up to ``HOT``, which are in every chunk), of the classes and of the end go through
-the driver and a broadcast instead, so nothing of the size of the vocabulary is
-held in one place, and ``HOT`` changes no result beyond rounding.  Texts are worked
+Training: in all rounds but the last a word that makes up less than one in ``SHARE``
+training tokens is emitted as its class (tied states); the last round takes the
+expected counts of every word on its own, so the model has a row for each training
+word, however many there are.  A round runs the scaled forward and backward
+recursions over all training texts and adds up expected counts (first states,
+transitions, emissions) across tasks.  The words above the share, at most ``SHARE``
+in any corpus, and the classes go through the driver and a broadcast.  In the last
+round texts are dealt into chunks of bounded size; a chunk sends the counts of its
+other words, in blobs by hash range, to where they are added up over all chunks,
+and gets the sums back for the score, so nothing of the size of the vocabulary is
+held in one place.  The sums are kept as 16-bit shares of a word's count; what the
+emissions are divided by is added up after that rounding.  Texts are worked
 on side by side, longest first, one word of each at a time; no text is cut.
 Scoring runs the forward recursion once more over all texts.
 
+The other words are known by a 64-bit hash after they have been counted (two words of
+equal hash would share a count: expected once in 6 billion distinct words).
+
 Defined results: null, empty and blank texts consist of the end only; equal
-texts have equal scores; without training texts every count is 0 and the model
-is the shaken start; null ids are the empty text for the fold; an empty table
+texts have equal scores; without training texts every count is 0 and all states emit
+alike; null ids are the empty text for the fold; an empty table
 gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import crc_mod, discard, documents, mix, slices, written
+from strata.llm.common import crc_mod, documents, mix, slices, written
 
 STATES, ROUNDS = 12, 5
-HOT, CLASSES, TAIL = 32_000, 256, 3
+SHARE, CLASSES, TAIL = 100_000, 256, 3
 FOLDS, ADD = 10, 0.1
 #: Weight of the corpus frequencies in every state's emissions, in words.
 PRIOR = 20.0
@@ -50,8 +58,8 @@ PRIOR = 20.0
 MIX = 0.3
 #: Words worked on side by side, words a task counts before it hands them on, steps between rescalings.
 TOKENS, FLUSH, RESCALE = 300_000, 300_000, 16
-#: Text bytes of a chunk.
-CHUNK = 1 << 25
+#: Tokens of a chunk, and rows (a word of a chunk) that are added up together, on average at most.
+CHUNK, BUCKET = 5_000_000, 1_000_000
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -81,15 +89,19 @@ def class_of(word: bytes) -> int:
     return zlib.crc32(word[-TAIL:]) % CLASSES
 
 
+def hash_of(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+
+
 @dataclass
 class Symbols:
-    """What is known of the words.  Numbers: hot words, the end, the classes (unseen
-    words), then the other words of a chunk."""
+    """What is known of the words.  Numbers: frequent words, the end, the classes, then
+    (in the last round and the score) the other words of a chunk."""
 
     hot: dict[bytes, int]
-    counts: np.ndarray  # of the hot words and the end, in training tokens
-    noise: np.ndarray  # hashes of the hot words, for the start
-    classes: np.ndarray  # of every hot word
+    counts: np.ndarray  # of the frequent words and the end, in training tokens
+    noise: np.ndarray  # hashes of the frequent words, for the start
+    classes: np.ndarray  # of every frequent word
     words: np.ndarray  # training words of every class
     mass: np.ndarray  # their tokens
     tokens: int  # N
@@ -112,104 +124,131 @@ class Symbols:
         """What counts (with ``ADD``) are divided by: all words, the end and one unseen word."""
         return self.tokens + ADD * (self.words.sum() + 2)
 
-    def prior(self) -> np.ndarray:
-        """Of the hot words, the end and the unseen word of every class."""
+    @property
+    def cold_words(self) -> np.ndarray:
+        return self.words - np.bincount(self.classes, minlength=CLASSES)
+
+    @property
+    def cold_mass(self) -> np.ndarray:
+        return self.mass - np.bincount(self.classes, self.counts[:self.end], CLASSES)
+
+    def prior(self, tied: bool) -> np.ndarray:
+        """Of the frequent words, the end and of every class its unseen word, if ``tied``
+        with the training words that are not frequent."""
         unseen = ADD * (self.words + 1) / (self.words + 1).sum()
+        if tied:
+            unseen = unseen + self.cold_mass + ADD * self.cold_words
         return np.concatenate([self.counts + ADD, unseen]) / self.whole
 
     def unseen_share(self) -> np.ndarray:
         return ADD / (self.mass + ADD * (self.words + 1))
 
 
-def split_by_count(counts: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
-    """The words above a count that at most ``most`` words reach, and the others.  The
-    count is found from a histogram by 64ths of an octave, a few thousand rows for any
-    corpus (a sorted limit would send that many words from every task to the driver)."""
-    octave = F.floor(F.log2("n") * 64)
-    total, low = 0, 0
-    for r in sorted(counts.groupBy(octave.alias("o")).agg(F.count("*").alias("k")).collect(), key=lambda r: -r["o"]):
-        if total + r["k"] > most:
-            low = r["o"] + 1
-            break
-        total += r["k"]
-    return counts.where(octave >= low), counts.where(octave < low)
-
-
-def symbols(counts: DataFrame, frequent: DataFrame, texts: int) -> Symbols:
-    """From the word counts, the frequent of them and the number of training texts; only
-    the frequent words and a row a class reach the driver."""
-    top = sorted(frequent.withColumn("h", F.xxhash64("word")).collect(), key=lambda r: (-r["n"], r["word"]))
+def symbols(counts: DataFrame, texts: int, share: int) -> Symbols:
+    """From the word counts and the number of training texts; only the words that make up
+    one in ``share`` tokens (so at most ``share`` of them) and a row a class reach the driver."""
     tail = F.crc32(F.expr(f"substr(word, greatest(1, octet_length(word) - {TAIL - 1}))")) % CLASSES
     words, mass = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in counts.groupBy(tail.alias("c")).agg(F.count("*").alias("v"), F.sum("n").alias("n")).collect():
         words[r["c"]], mass[r["c"]] = r["v"], r["n"]
+    least = -(-int(mass.sum()) // share)
+    top = sorted(counts.where(F.col("n") >= least).withColumn("h", F.xxhash64("word")).collect(), key=lambda r: (-r["n"], r["word"]))
     return Symbols({bytes(r["word"]): i for i, r in enumerate(top)}, np.array([*[r["n"] for r in top], texts], float),
                    np.array([r["h"] for r in top], np.int64), np.array([class_of(bytes(r["word"])) for r in top], np.int64),
                    words, mass, int(mass.sum()) + texts, int(words.sum()) + (texts > 0))
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers as one compressed blob, bytes of equal weight together."""
+    return pa.compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True) if len(values) else b""
+
+
+def unpacked(blob: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, "<u4")
+    raw = np.frombuffer(pa.decompress(blob, 4 * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, n).T).view("<u4")[:, 0]
+
+
+#: Columns of a row of coded texts, besides their ids.
+TEXTS = "held_out array<boolean>, n_tokens array<long>, symbols binary, rare binary"
+
+
+def lists(cols: dict[str, pa.Array]) -> list[pa.Array]:
+    """One row with each column as a list."""
+    return [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in cols.values()]
+
+
 def encode(docs: DataFrame, known: Symbols) -> DataFrame:
-    """Per row of (doc_id, held_out, text) its chunk and symbols (unsigned 32-bit), and
-    per chunk a row for each of its words that is not hot (``word`` is null else)."""
+    """Rows of some texts of (doc_id, held_out, text) each: ``symbols`` has the frequent words,
+    ends and classes, ``rare`` the hashes of the words that stand as their class."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = shared.value
-        get, local = s.hot.get, {}
-        chunk, size = TaskContext.get().partitionId() << 32, 0
-
-        def rows(n: int, **cols: pa.Array) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)), *[
-                cols[f.name].cast(f.type) if f.name in cols else pa.nulls(n, f.type) for f in fields]],
-                ["chunk", *[f.name for f in fields]])
-
-        def vocabulary() -> Iterator[pa.RecordBatch]:
-            words = list(local)
-            for at in range(0, len(words), 10_000):
-                part = words[at:at + 10_000]
-                yield rows(len(part), local=pa.array(np.arange(at, at + len(part))), word=pa.array(part, pa.binary()),
-                           cls=pa.array([class_of(w) for w in part]))
-
-        fields: list[pa.Field] = []
+        get, others = s.hot.get, {}
         for b in slices(batches, "text"):
-            fields = fields or [pa.field("doc_id", b.column("doc_id").type), *rest]
-            if size and size + b.column("text").nbytes > CHUNK:
-                yield from vocabulary()
-                local.clear()
-                chunk, size = chunk + 1, 0
-            size += max(1, b.column("text").nbytes)
-            coded, counts = [], []
+            ids, rare, sizes = [], [], []
             for t in b.column("text").to_pylist():
-                ids = []
+                before = len(ids)
                 for w in (t or "").encode("utf-8").lower().split():
                     i = get(w)
-                    ids.append(s.fixed + local.setdefault(w, len(local)) if i is None else i)
+                    if i is None:
+                        x = others.get(w)
+                        if x is None:
+                            x = others[w] = s.end + 1 + class_of(w), hash_of(w)
+                        i = x[0]
+                        rare.append(x[1])
+                    ids.append(i)
                 ids.append(s.end)
-                coded.append(np.array(ids, "<u4").tobytes())
-                counts.append(len(ids))
-            yield rows(b.num_rows, doc_id=b.column("doc_id"), held_out=b.column("held_out"), n_tokens=pa.array(counts),
-                       symbols=pa.array(coded, pa.binary()))
-        if size:
-            yield from vocabulary()
+                sizes.append(len(ids) - before)
+            if len(others) > FLUSH:
+                others.clear()
+            cols = {"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "n_tokens": pa.array(sizes, pa.int64())}
+            yield pa.RecordBatch.from_arrays([*lists(cols), pa.array([packed(np.array(ids, "<u4"))], pa.binary()),
+                                              pa.array([np.array(rare, "<u8").tobytes()], pa.binary())], [*cols, "symbols", "rare"])
+
+    return docs.mapInArrow(run, f"doc_id array<{kind}>, {TEXTS}")
+
 
-    rest = [pa.field("held_out", pa.bool_()), pa.field("n_tokens", pa.int64()), pa.field("symbols", pa.binary()),
-            pa.field("local", pa.int32()), pa.field("cls", pa.int32()), pa.field("word", pa.binary())]
-    return docs.mapInArrow(run, f"chunk long, doc_id {kind}, held_out boolean, n_tokens long, symbols binary, "
-                                "local int, cls int, word binary")
+class Coded:
+    """Texts of some rows: their symbols one after the other, sizes and folds."""
+
+    def __init__(self, rows: list[dict]):
+        self.sizes = np.concatenate([np.zeros(0, np.int64), *[np.array(r["n_tokens"], np.int64) for r in rows]])
+        self.held = np.concatenate([np.zeros(0, bool), *[np.array(r["held_out"], bool) for r in rows]])
+        self.sym = np.concatenate([np.zeros(0, "<u4"), *[unpacked(r["symbols"], sum(r["n_tokens"])) for r in rows]])
+
+    def texts(self, sym: np.ndarray, keep: np.ndarray | None = None) -> list[np.ndarray]:
+        parts = np.split(sym, np.cumsum(self.sizes)[:-1]) if len(self.sizes) else []
+        return parts if keep is None else [x for x, k in zip(parts, keep, strict=True) if k]
+
+
+def gathered_rows(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[list[dict]]:
+    """Rows with about ``limit`` tokens together (one row at least)."""
+    rows, size = [], 0
+    for b in batches:
+        for i in range(b.num_rows):
+            r = b.slice(i, 1).to_pylist()[0]
+            n = sum(r["n_tokens"])
+            if rows and size + n > limit:
+                yield rows
+                rows, size = [], 0
+            rows.append(r)
+            size += n
+    if rows:
+        yield rows
 
 
 @dataclass
 class Model:
     first: np.ndarray  # K
     move: np.ndarray  # K x K
-    emit: np.ndarray  # symbols x K (of a trained model: those that are not of a chunk)
-    #: Of the words in the table: their emissions are (own + weight * prior) / total, where ``mix``
-    #: of their own counts comes from ``rate``, the counts a token of each class.
-    total: np.ndarray | None = None
-    weight: float = 0.0
-    mix: float = 0.0
+    emit: np.ndarray  # symbols x K
+    #: Counts a token of each class, and what the emissions of the other words are divided by.
     rate: np.ndarray | None = None
+    total: np.ndarray | None = None
 
 
 def noise(hashes: np.ndarray, states: int) -> np.ndarray:
@@ -220,51 +259,42 @@ def noise(hashes: np.ndarray, states: int) -> np.ndarray:
     return np.sqrt(-2 * np.log(u[:, :states])) * np.cos(2 * np.pi * u[:, states:])
 
 
-def columns(states: int, kind: str) -> str:
-    return ", ".join(f"s{i} {kind}" for i in range(states))
-
-
-def start_model(cold: DataFrame, known: Symbols, states: int = STATES) -> tuple[Model, DataFrame]:
+def start_model(known: Symbols, states: int = STATES) -> Model:
     """Every state begins as the corpus frequencies, shaken by noise from each word's
-    hash; states tend to stay.  Also the table (key, s0..) of the words that are not hot."""
-    whole = known.whole
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            p = (b.column("n").to_numpy() + ADD) / whole
-            e = p[:, None] * np.exp(noise(b.column("h").to_numpy(), states))
-            yield pa.RecordBatch.from_arrays([b.column("id"), *[pa.array(c) for c in e.T.astype(np.float32)]],
-                                             ["key", *[f"s{i}" for i in range(states)]])
-
-    table = written(cold.select("id", "n", F.xxhash64("word").alias("h")).mapInArrow(
-        run, f"key long, {columns(states, 'float')}"), "emissions")
-    rest = table.agg(*[F.sum(f"s{i}") for i in range(states)]).first()
-    emit = known.prior()[:, None] * np.exp(noise(np.concatenate([known.noise, np.arange(1 + CLASSES)]), states))
-    total = emit.sum(0) + np.array([x or 0.0 for x in rest])
+    hash; states tend to stay."""
+    emit = known.prior(True)[:, None] * np.exp(noise(np.concatenate([known.noise, np.arange(1 + CLASSES)]), states))
     move = np.full((states, states), 0.1 / max(states - 1, 1))
     np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
-    return Model(np.full(states, 1 / states), move, emit / total, total), table
-
+    return Model(np.full(states, 1 / states), move, emit / emit.sum(0))
 
-def of_chunk(model: Model, known: Symbols, words: pa.Table) -> tuple[Model, np.ndarray, np.ndarray, np.ndarray]:
-    """The model with the emissions of a chunk's words, and their keys, counts and classes by number."""
-    size, at = words.num_rows, words.column("local").to_numpy()
-    keys, cls, n = np.empty(size, np.int64), np.empty(size, np.int64), np.empty(size)
-    keys[at], cls[at], n[at] = (words.column(c).to_numpy() for c in ("key", "cls", "n"))
-    gathered = np.empty((size, len(model.first)))
-    for i in range(gathered.shape[1]):
-        gathered[at, i] = words.column(f"s{i}").to_numpy()
-    if model.mix:
-        gathered = (1 - model.mix) * gathered + model.mix * n[:, None] * model.rate[cls]
-    emit = (gathered + model.weight * ((n + ADD) / known.whole)[:, None]) / model.total
-    emit = np.where((n > 0)[:, None], emit, model.emit[known.end + 1 + cls])
-    return Model(model.first, model.move, np.concatenate([model.emit, emit])), keys, n, cls
 
-
-def with_emissions(vocab: DataFrame, table: DataFrame, states: int) -> DataFrame:
-    """The words of every chunk with what the table holds of them (0 if nothing)."""
-    return vocab.join(table, "key", "left").select("chunk", "local", "cls", "key", "n", *[
-        F.coalesce(f"s{i}", F.lit(0.0)).cast("float").alias(f"s{i}") for i in range(states)])
+def maximise(known: Symbols, first: np.ndarray, moves: np.ndarray, emitted: np.ndarray, own: np.ndarray | None = None) -> Model:
+    """The model from expected counts.  ``emitted``: of the frequent words, the end and
+    the other words by class.  ``own``: the others' counts by state as they are kept, in the last round."""
+    end, first, moves = known.end, first + 0.1, moves + 0.1
+    cold, classes = emitted[end + 1:], emitted[end + 1:].copy()
+    for i in range(classes.shape[1]):
+        classes[:, i] += np.bincount(known.classes, emitted[:end, i], CLASSES)
+    rate = classes / np.maximum(known.mass, 1)[:, None]
+    unseen = known.unseen_share()[:, None] * classes
+    emit = emitted[:end + 1].copy()
+    emit[:end] = (1 - MIX) * emit[:end] + MIX * known.counts[:end, None] * rate[known.classes]
+    from_class = MIX * known.cold_mass[:, None] * rate
+    if own is None:
+        emit = np.concatenate([emit, (1 - MIX) * cold + from_class + unseen]) + PRIOR * known.prior(True)[:, None]
+        total = emit.sum(0)
+    else:
+        total = emit.sum(0) + (1 - MIX) * own + from_class.sum(0) + unseen.sum(0) + PRIOR
+        emit = np.concatenate([emit, unseen]) + PRIOR * known.prior(False)[:, None]
+    return Model(first / first.sum(), moves / moves.sum(1)[:, None], emit / total, rate, total)
+
+
+def own_emissions(model: Model, known: Symbols, n: np.ndarray, cls: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Of words that are not frequent, from their counts and classes and the share of them in
+    every state; words without a count are unseen."""
+    gathered = n[:, None] * ((1 - MIX) * share + MIX * model.rate[cls])
+    emit = (gathered + PRIOR * ((n + ADD) / known.whole)[:, None]) / model.total
+    return np.where((n > 0)[:, None], emit, model.emit[known.end + 1 + cls])
 
 
 def groups(texts: list[np.ndarray], limit: int = TOKENS) -> Iterator[list[int]]:
@@ -350,117 +380,243 @@ def expected(model: Model, sym: np.ndarray, active: np.ndarray) -> tuple[float,
     return float(like.sum()), gamma[:first].sum(0), moves, emitted
 
 
-def read_symbols(col: pa.ChunkedArray) -> list[np.ndarray]:
-    return [np.frombuffer(x, "<u4") for x in col.to_pylist()]
+class Counts:
+    """Expected counts that a task adds up: likelihood, first states, transitions, emissions."""
+
+    def __init__(self, states: int, fixed: int):
+        self.like, self.first, self.moves = 0.0, np.zeros(states), np.zeros((states, states))
+        self.emitted = np.zeros((states, fixed))
+
+    def add(self, model: Model, texts: list[np.ndarray]) -> np.ndarray:
+        """Of ``texts``; returns the emissions of the symbols beyond the fixed ones."""
+        fixed = self.emitted.shape[1]
+        late = np.zeros((len(self.first), len(model.emit) - fixed))
+        for g in groups(texts):
+            like, first, moves, emitted = expected(model, *side_by_side([texts[i] for i in g]))
+            self.like, self.first, self.moves = self.like + like, self.first + first, self.moves + moves
+            self.emitted += emitted[:, :fixed]
+            late += emitted[:, fixed:]
+        return late
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and counts by state: likelihood, first states, transitions, then every symbol."""
+        k = len(self.first)
+        seen = np.flatnonzero(self.emitted.any(0))
+        return (np.concatenate([np.arange(2 + k), 2 + k + seen]),
+                np.concatenate([np.full((1, k), self.like), self.first[None], self.moves, self.emitted[:, seen].T]))
+
+
+def columns(states: int, kind: str) -> str:
+    return ", ".join(f"s{i} {kind}" for i in range(states))
+
 
+def summed(parts: DataFrame, states: int, fixed: int) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of all tasks (key, s0..): a row a key, at most ``SHARE`` and the classes."""
+    names = [f"s{i}" for i in range(states)]
+    rows = parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in names]).toPandas()
+    got = np.zeros((2 + states + fixed, states))
+    got[rows["key"].to_numpy()] = rows[names].to_numpy()
+    return float(got[0, 0]), got[1], got[2:2 + states], got[2 + states:]
 
-def train_round(docs: DataFrame, vocab: DataFrame, table: DataFrame, model: Model, known: Symbols) -> tuple[Model, DataFrame, float]:
-    """One Baum-Welch step over ``docs`` (chunk, symbols): counts by chunk, sums by word, the
-    model and the table that follow from them."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model, known))
+
+def tied_round(coded: DataFrame, model: Model, known: Symbols) -> tuple[Model, float]:
+    """One Baum-Welch step in which words that are not frequent are emitted as their class."""
+    shared = coded.sparkSession.sparkContext.broadcast(model)
     k, fixed = len(model.first), known.fixed
-    names = ["key", *[f"s{i}" for i in range(k)]]
 
-    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        base, s = shared.value
-        m, keys, _, cls = of_chunk(base, s, words)
-        like, first, moves, emitted = 0.0, np.zeros(k), np.zeros((k, k)), np.zeros((k, len(m.emit)))
-        coded = read_symbols(texts.column("symbols"))
-        for g in groups(coded):
-            part = expected(m, *side_by_side([coded[i] for i in g]))
-            like, first, moves, emitted = like + part[0], first + part[1], moves + part[2], emitted + part[3]
-        # What the words of a class gather, the hot ones aside, stands at the class.
-        for i in range(k):
-            emitted[i, s.end + 1:fixed] = np.bincount(cls, emitted[i, fixed:], CLASSES)
-        seen = np.flatnonzero(emitted.any(0))
-        # Below 0 stand the likelihood, the first states, the transitions, the hot words, the end and the classes.
-        rows = np.concatenate([np.full((1, k), like), first[None], moves, emitted[:, seen].T])
-        at = np.concatenate([-1 - np.arange(2 + k), np.where(seen < fixed, -3 - k - seen, 0)])
-        late = seen >= fixed
-        at[2 + k:][late] = keys[seen[late] - fixed]
-        return pa.table([pa.array(at, pa.int64()), *[pa.array(c) for c in rows.T.astype(np.float32)]], names)
-
-    parts = docs.groupBy("chunk").cogroup(with_emissions(vocab, table, k).groupBy("chunk")).applyInArrow(
-        run, f"key long, {columns(k, 'float')}")
-    sums = written(parts.groupBy("key").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(k)]), "emissions")
-    own = sums.where("key < 0").toPandas()
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = Counts(k, fixed)
+        for rows in gathered_rows(batches, CHUNK):
+            c = Coded(rows)
+            counts.add(shared.value, c.texts(c.sym, ~c.held))
+        at, values = counts.rows()
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), *[pa.array(x) for x in values.T.astype(np.float32)]],
+                                         ["key", *[f"s{i}" for i in range(k)]])
+
+    parts = coded.select("held_out", "n_tokens", "symbols").mapInArrow(run, f"key long, {columns(k, 'float')}")
+    like, *rest = summed(parts, k, fixed)
     shared.unpersist()
-    got = np.zeros((2 + k + fixed, k))
-    got[-1 - own["key"].to_numpy()] = own[names[1:]].to_numpy()
-    like, first, move, gathered = float(got[0, 0]), got[1] + 0.1, got[2:2 + k] + 0.1, got[2 + k:]
-    end, classes = known.end, gathered[known.end + 1:].copy()
-    words = gathered[:end + 1].sum(0) + classes.sum(0)
-    for i in range(k):
-        classes[:, i] += np.bincount(known.classes, gathered[:end, i], CLASSES)
-    rate = classes / np.maximum(known.mass, 1)[:, None]
-    gathered[:end] = (1 - MIX) * gathered[:end] + MIX * known.counts[:end, None] * rate[known.classes]
-    unseen = known.unseen_share()[:, None] * classes
-    total = words + unseen.sum(0) + PRIOR
-    emit = (np.concatenate([gathered[:end + 1], unseen]) + PRIOR * known.prior()[:, None]) / total
-    return Model(first / first.sum(), move / move.sum(1)[:, None], emit, total, PRIOR, MIX, rate), sums.where("key >= 0"), like
-
-
-def train(docs: DataFrame, vocab: DataFrame, cold: DataFrame, known: Symbols, states: int = STATES,
-          rounds: int = ROUNDS) -> tuple[Model, DataFrame, list[float]]:
-    """The model, the table of the words that are not hot, and the likelihood before every round."""
-    model, table = start_model(cold, known, states)
-    likes: list[float] = []
-    if known.tokens and rounds:
-        # Dealt by chunk once; every round only moves the words of the chunks.
-        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        docs = docs.select("chunk", "symbols").repartition(parts, "chunk").persist(StorageLevel.DISK_ONLY)
-        docs.count()
-        for _ in range(rounds):
-            model, after, like = train_round(docs, vocab, table, model, known)
-            discard(table)
-            table = after
-            likes.append(like)
-        docs.unpersist()
-    return model, table, likes
-
-
-def likelihoods(docs: DataFrame, vocab: DataFrame, table: DataFrame, model: Model, known: Symbols) -> DataFrame:
+    return maximise(known, *rest), like
+
+
+def dealt(coded: DataFrame, model: Model, known: Symbols, buckets: int) -> DataFrame:
+    """The last round's expected counts, and the texts in chunks.  Rows: texts of a chunk as in
+    ``coded``, ``rare`` now the places of words in its list; blobs (``bucket`` and its words, a
+    range of hashes) of the list: hash, class, count and shares by state; sums (``key``)."""
+    shared = coded.sparkSession.sparkContext.broadcast((model, known))
+    k, fixed = len(model.first), known.fixed
+    kind = coded.schema["doc_id"].dataType.simpleString()
+    width = -(-(1 << 64) // buckets)
+    fields = ["chunk", "doc_id", "held_out", "n_tokens", "symbols", "rare", "bucket", "words", "key", *[f"s{i}" for i in range(k)]]
+    types = [pa.int64(), None, pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64(), pa.binary(),
+             pa.int64(), *[pa.float32()] * k]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, s = shared.value
+        counts, chunk = Counts(k, fixed), TaskContext.get().partitionId() << 32
+
+        def batch(n: int, **cols: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([cols.get(f, pa.nulls(n, t)) for f, t in zip(fields, types, strict=True)], fields)
+
+        for rows in gathered_rows(watched(batches), CHUNK):
+            c = Coded(rows)
+            late = c.sym > s.end
+            rare = np.concatenate([np.frombuffer(r["rare"], "<u8") for r in rows])
+            words, first, place = np.unique(rare, return_index=True, return_inverse=True)
+            cls = c.sym[late][first].astype(np.int64) - s.end - 1
+            full = c.sym.astype(np.int64)
+            full[late] = fixed + place
+            tied = replace(m, emit=np.concatenate([m.emit, m.emit[s.end + 1 + cls]]))
+            own = counts.add(tied, c.texts(full, ~c.held))
+            for i in range(k):
+                counts.emitted[i, s.end + 1:] += np.bincount(cls, own[i], CLASSES)
+            n = np.bincount(place[~np.repeat(c.held, c.sizes)[late]], minlength=len(words))
+            share = (own / np.maximum(n, 1)).astype(np.float16)
+            at, cuts = 0, np.searchsorted(words, np.array([i * width for i in range(1, buckets)], np.uint64)).tolist()
+            out = []
+            for bucket, to in enumerate([*cuts, len(words)]):
+                if to > at:
+                    out.append((bucket, b"".join([words[at:to].tobytes(), cls[at:to].astype(np.uint8).tobytes(),
+                                                  n[at:to].astype("<u4").tobytes(), share[:, at:to].tobytes()])))
+                at = to
+            if out:
+                yield batch(len(out), chunk=pa.array([chunk] * len(out)), bucket=pa.array([b for b, _ in out], pa.int64()),
+                            words=pa.array([b for _, b in out], pa.binary()))
+            at = 0
+            for r in rows:
+                size = len(r["rare"]) // 8
+                yield batch(1, chunk=pa.array([chunk]), doc_id=pa.array([r["doc_id"]], types[1]), held_out=pa.array([r["held_out"]], types[2]),
+                            n_tokens=pa.array([r["n_tokens"]], types[3]), symbols=pa.array([r["symbols"]], pa.binary()),
+                            rare=pa.array([packed(place[at:at + size])], pa.binary()))
+                at += size
+            chunk += 1
+        if chunk & 0xFFFFFFFF:
+            at, values = counts.rows()
+            yield batch(len(at), key=pa.array(at, pa.int64()), **{f"s{i}": pa.array(x) for i, x in enumerate(values.T.astype(np.float32))})
+
+    def watched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            types[1] = b.schema.field("doc_id").type
+            yield b
+
+    return coded.mapInArrow(run, f"chunk long, doc_id {kind}, {TEXTS}, bucket long, words binary, key long, {columns(k, 'float')}")
+
+
+def read_words(blob: bytes, states: int) -> tuple[np.ndarray, ...]:
+    """Hashes, classes, counts and shares (states x words) of a blob."""
+    n = len(blob) // (13 + 2 * states)
+    return (np.frombuffer(blob, "<u8", n), np.frombuffer(blob, np.uint8, n, 8 * n), np.frombuffer(blob, "<u4", n, 9 * n),
+            np.frombuffer(blob, np.float16, states * n, 13 * n).reshape(states, n))
+
+
+def added_up(blobs: DataFrame, states: int) -> DataFrame:
+    """For every blob of (chunk, bucket, words) its words with the sums over all chunks, in the
+    same order; and per bucket (chunk is null) the counts by state as they are kept."""
+
+    def run(t: pa.Table) -> pa.Table:
+        parts = [read_words(x, states) for x in t.column("words").to_pylist()]
+        _, first, place = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_inverse=True)
+        n = np.concatenate([p[2] for p in parts])
+        total = np.bincount(place, n, len(first))
+        share = np.empty((states, len(first)), np.float16)
+        for i in range(states):
+            share[i] = np.bincount(place, n * np.concatenate([p[3][i] for p in parts]).astype(float), len(first)) / np.maximum(total, 1)
+        out, at = [], 0
+        for hashes, cls, _, _ in parts:
+            to = place[at:at + len(hashes)]
+            out.append(b"".join([cls.tobytes(), total[to].astype("<u4").tobytes(), share[:, to].tobytes()]))
+            at += len(hashes)
+        own = share.astype(float) @ total
+        return pa.table({"chunk": pa.concat_arrays([t.column("chunk").combine_chunks().cast(pa.int64()), pa.nulls(1, pa.int64())]),
+                         "bucket": pa.array([t.column("bucket")[0].as_py()] * (len(out) + 1), pa.int64()),
+                         "words": pa.array([*out, own.astype("<f8").tobytes()], pa.binary())})
+
+    return blobs.groupBy("bucket").applyInArrow(run, "chunk long, bucket long, words binary")
+
+
+def own_round(coded: DataFrame, model: Model, known: Symbols, buckets: int) -> tuple[Model, DataFrame, DataFrame, float]:
+    """The last Baum-Welch step, every word on its own: the model, the texts in chunks, what
+    each chunk gets of its words, and the likelihood before."""
+    k = len(model.first)
+    parts = written(dealt(coded, model, known, buckets), "dealt")
+    like, *rest = summed(parts.where("key IS NOT NULL").select("key", *[f"s{i}" for i in range(k)]), k, known.fixed)
+    replies = written(added_up(parts.where("words IS NOT NULL").select("chunk", "bucket", "words"), k), "replies")
+    sums = replies.where("chunk IS NULL").select("words").mapInArrow(by_state(k), columns(k, "double"))
+    own = np.array([x or 0.0 for x in sums.agg(*[F.sum(f"s{i}") for i in range(k)]).first()])
+    return (maximise(known, *rest, own), parts.where("symbols IS NOT NULL").select("chunk", "doc_id", "held_out", "n_tokens", "symbols", "rare"),
+            replies.where("chunk IS NOT NULL"), like)
+
+
+def by_state(states: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = np.array([np.frombuffer(w, "<f8") for w in b.column("words").to_pylist()]).reshape(-1, states)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in x.T], [f"s{i}" for i in range(states)])
+
+    return run
+
+
+def train(coded: DataFrame, known: Symbols, buckets: int, states: int = STATES,
+          rounds: int = ROUNDS) -> tuple[Model, DataFrame, DataFrame, list[float]]:
+    """The model, the texts in chunks, the words of every chunk, and the likelihood before every round."""
+    model, likes = start_model(known, states), []
+    for _ in range(rounds - 1):
+        model, like = tied_round(coded, model, known)
+        likes.append(like)
+    model, texts, words, like = own_round(coded, model, known, buckets)
+    return model, texts, words, [*likes, like]
+
+
+def likelihoods(texts: DataFrame, words: DataFrame, model: Model, known: Symbols) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, base_log, score): log10 of the probability of the
     symbols, and the sum of the logarithms of their counts."""
-    shared = docs.sparkSession.sparkContext.broadcast((model, known))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    kept = ["doc_id", "held_out", "n_tokens"]
+    shared = texts.sparkSession.sparkContext.broadcast((model, known))
+    kind = texts.schema["doc_id"].dataType.elementType.simpleString()
+    k = len(model.first)
 
-    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
+    def run(chunk: pa.Table, replies: pa.Table) -> pa.Table:
         base, s = shared.value
-        m, _, n, _ = of_chunk(base, s, words)
+        # Buckets are ranges of hashes: in their order the words stand as in the chunk's list.
+        order = np.argsort(replies.column("bucket").to_numpy())
+        blobs = [replies.column("words")[int(i)].as_py() for i in order]
+        cls, n, share = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros((0, k))]
+        for b in blobs:
+            size = len(b) // (5 + 2 * k)
+            cls.append(np.frombuffer(b, np.uint8, size).astype(np.int64))
+            n.append(np.frombuffer(b, "<u4", size, size).astype(float))
+            share.append(np.frombuffer(b, np.float16, k * size, 5 * size).reshape(k, size).T.astype(float))
+        cls, n = np.concatenate(cls), np.concatenate(n)
+        m = replace(base, emit=np.concatenate([base.emit, own_emissions(base, s, n, cls, np.concatenate(share))]))
         counts = np.concatenate([s.counts, np.zeros(CLASSES), n])
         logs, seen = np.log10(counts + ADD), counts > 0
-        coded = read_symbols(texts.column("symbols"))
+        rows = chunk.to_pylist()
+        c = Coded(rows)
+        full, late = c.sym.astype(np.int64), c.sym > s.end
+        known_at = np.cumsum(np.concatenate([[0], late]))
+        ends = np.cumsum([0, *[sum(r["n_tokens"]) for r in rows]])
+        full[late] = s.fixed + np.concatenate([unpacked(r["rare"], int(known_at[b] - known_at[a]))
+                                               for r, a, b in zip(rows, ends, ends[1:], strict=False)])
+        coded = c.texts(full)
         out = np.zeros(len(coded))
         for g in groups(coded):
             out[g] = forward(m, *side_by_side([coded[i] for i in g]), False)[0] / math.log(10)
-        return pa.table([*[texts.column(c) for c in kept], pa.array([int(seen[x].sum()) for x in coded], pa.int64()),
+        return pa.table([pa.array([i for r in rows for i in r["doc_id"]], chunk.schema.field("doc_id").type.value_type),
+                         pa.array(c.held), pa.array(c.sizes), pa.array([int(seen[x].sum()) for x in coded], pa.int64()),
                          pa.array([float(logs[x].sum()) for x in coded], pa.float64()), pa.array(out)],
-                        [*kept, "n_known", "base_log", "score"])
+                        ["doc_id", "held_out", "n_tokens", "n_known", "base_log", "score"])
 
-    return docs.select("chunk", *kept, "symbols").groupBy("chunk").cogroup(
-        with_emissions(vocab, table, len(model.first)).groupBy("chunk")).applyInArrow(
+    return texts.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(
         run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_log double, score double")
 
 
-def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, hot: int = HOT) -> DataFrame:
+def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, share: int = SHARE, bucket: int = BUCKET) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs``."""
     rows = docs.select("doc_id", (crc_mod("doc_id", FOLDS) == 0).alias("held_out"), "text")
     training = rows.where("NOT held_out")
-    counts = written(word_counts(training.select("text")), "counts")
-    frequent, others = split_by_count(counts, hot)
-    cold = written(others.withColumn("id", F.monotonically_increasing_id()), "cold")
-    known = symbols(counts, frequent, training.count())
+    known = symbols(written(word_counts(training.select("text")), "counts"), training.count(), share)
     coded = written(encode(rows, known), "coded")
-    texts = coded.where("word IS NULL")
-    # Words that are not in the training texts get keys below 0, which no table has.
-    unseen = -1 - F.pmod(F.xxhash64("word"), F.lit(1 << 62))
-    vocab = written(coded.where("word IS NOT NULL").select("chunk", "local", "cls", "word").join(cold, "word", "left").select(
-        "chunk", "local", "cls", F.coalesce("id", unseen).alias("key"), F.coalesce("n", F.lit(0)).alias("n")), "vocabulary")
-    model, table, _ = train(texts.where("NOT held_out"), vocab, cold, known, states, rounds)
-    return likelihoods(texts, vocab, table, model, known).select(
+    model, texts, words, _ = train(coded, known, 1 + int(known.cold_mass.sum()) // bucket, states, rounds)
+    return likelihoods(texts, words, model, known).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(known.tokens).cast("long").alias("train_tokens"),
         (F.col("base_log") - F.col("n_tokens") * known.base_log).alias("base_score"), "score")
 

@@ -89,7 +89,7 @@ def rows_of(seed, n):
 def test_scores(spark):
     rows = rows_of(1, 150)
     df = spark.createDataFrame(rows + [rows[3], (None, "a1 a2")], "doc_id long, text string").repartition(3)
-    out = {r["doc_id"]: r for r in hmm.score(df, states=3, rounds=8, hot=100).collect()}
+    out = {r["doc_id"]: r for r in hmm.score(df, states=3, rounds=8, share=150).collect()}
     held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows}
     tokens = {i: (t or "").lower().split() + ["</s>"] for i, t in rows}
     c = Counter(w for i, t in tokens.items() if not held[i] for w in t)
@@ -106,13 +106,116 @@ def test_scores(spark):
     assert sum(r["score"] for r in test) > sum(r["base_score"] for r in test) + 10
 
 
-def test_scores_do_not_depend_on_how_many_words_are_broadcast(spark):
-    df = spark.createDataFrame(rows_of(2, 90), "doc_id long, text string").repartition(3)
-    runs = [{r["doc_id"]: r for r in hmm.score(df, states=3, rounds=4, hot=h).collect()} for h in (0, 40, 100_000)]
-    for i, r in runs[0].items():
-        for other in runs[1:]:
-            assert math.isclose(r["score"], other[i]["score"], rel_tol=1e-4)
+def test_scores_do_not_depend_on_chunks_and_buckets(spark, monkeypatch):
+    rows = rows_of(2, 90)
+    one = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    runs = [hmm.score(one, states=3, rounds=4, share=150).collect(),
+            hmm.score(one.repartition(5), states=3, rounds=4, share=150, bucket=200).collect()]
+    monkeypatch.setattr(hmm, "CHUNK", 300)
+    runs.append(hmm.score(one.repartition(2), states=3, rounds=4, share=150, bucket=500).collect())
+    first, *others = [{r["doc_id"]: r for r in run} for run in runs]
+    for i, r in first.items():
+        for other in others:
+            # Shares of a word's count are rounded to 16 bits in every chunk.
+            assert math.isclose(r["score"], other[i]["score"], rel_tol=1e-3)
             assert math.isclose(r["base_score"], other[i]["base_score"], rel_tol=1e-9)
+            assert r["n_known"] == other[i]["n_known"]
+
+
+def plain_scores(rows, states, rounds, share):
+    """The same model by dictionaries in one place: emissions by word, no chunks, no blobs."""
+    texts = {i: (t or "").lower().encode().split() for i, t in rows}
+    train = [t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10]
+    c = Counter(w for t in train for w in t)
+    n = sum(c.values())
+    hot = sorted((w for w in c if c[w] >= -(-n // share)), key=lambda w: (-c[w], w))
+    cold = sorted(set(c) - set(hot))
+    v, mass = Counter(map(hmm.class_of, c)), Counter()
+    for w in c:
+        mass[hmm.class_of(w)] += c[w]
+    whole = n + len(train) + 0.1 * (len(c) + 2)
+    total_v = sum(v[k] + 1 for k in range(256))
+    unseen = {k: 0.1 * (v[k] + 1) / total_v / whole for k in range(256)}
+    prior = {w: (c[w] + 0.1) / whole for w in c} | {"end": (len(train) + 0.1) / whole}
+    tied = {w: prior[w] for w in [*hot, "end"]} | {k: unseen[k] + sum(prior[w] for w in cold if hmm.class_of(w) == k) for k in range(256)}
+    return texts, train, c, hot, cold, v, mass, prior, unseen, tied
+
+
+@pytest.mark.parametrize("share", [150, 1, 10**9])
+def test_scores_equal_a_plain_training(spark, share):
+    states, rounds, rows = 3, 3, rows_of(5, 60)
+    texts, train, c, hot, cold, v, mass, prior, unseen, tied = plain_scores(rows, states, rounds, share)
+    assert math.isclose(sum(tied.values()), 1.0) and math.isclose(sum(prior.values()) + sum(unseen.values()), 1.0)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    hashes = {bytes(r["w"]): r["h"] for r in spark.createDataFrame([(w,) for w in c], "w binary").selectExpr("w", "xxhash64(w) h").collect()}
+    names = [*hot, "end", *range(256)]
+    start = np.array([tied[x] for x in names])[:, None] * np.exp(
+        hmm.noise(np.array([*[hashes[w] for w in hot], *range(257)], np.int64), states))
+    emit = dict(zip(names, start / start.sum(0)))
+    first, move = np.full(states, 1 / states), np.where(np.eye(states) > 0, 0.9, 0.1 / (states - 1))
+    for step in range(rounds):
+        last = step == rounds - 1
+        got = {x: np.zeros(states) for x in [*names, *cold]}
+        f, m = np.full(states, 0.1), np.full((states, states), 0.1)
+        for t in train:
+            seq = [*t, "end"]
+            e = np.array([emit[x if x in emit else hmm.class_of(x)] for x in seq])
+            a, b = np.zeros((len(seq), states)), np.ones((len(seq), states))
+            a[0] = first * e[0] / (first * e[0]).sum()
+            for i in range(1, len(seq)):
+                a[i] = (a[i - 1] @ move) * e[i]
+                a[i] /= a[i].sum()
+            for i in range(len(seq) - 1, 0, -1):
+                b[i - 1] = move @ (e[i] * b[i])
+                b[i - 1] /= b[i - 1].sum()
+                x = move * np.outer(a[i - 1], e[i] * b[i])
+                m += x / x.sum()
+            g = a * b / (a * b).sum(1)[:, None]
+            f += g[0]
+            for x, y in zip(seq, g):
+                got[x if x in got else hmm.class_of(x)] += y
+        by_class = {k: sum((got[w] for w in c if hmm.class_of(w) == k), np.zeros(states)) for k in range(256)}
+        rate = {k: by_class[k] / max(mass[k], 1) for k in range(256)}
+        smoothed = {w: 0.7 * got[w] + 0.3 * c[w] * rate[hmm.class_of(w)] + 20 * prior[w] for w in c} | {"end": got["end"] + 20 * prior["end"]}
+        rest = {k: 0.1 / (mass[k] + 0.1 * (v[k] + 1)) * by_class[k] + 20 * unseen[k] for k in range(256)}
+        total = sum(smoothed.values()) + sum(rest.values())
+        if not last:
+            rest = {k: rest[k] + sum((smoothed[w] for w in cold if hmm.class_of(w) == k), np.zeros(states)) for k in range(256)}
+            smoothed = {w: smoothed[w] for w in [*hot, "end"]}
+        emit = {x: y / total for x, y in [*smoothed.items(), *rest.items()]}
+        assert np.allclose(sum(emit.values()), 1.0)
+        first, move = f / f.sum(), m / m.sum(1)[:, None]
+    assert set(emit) == {*c, "end", *range(256)}  # every training word has emissions of its own
+    for r in hmm.score(df, states=states, rounds=rounds, share=share).collect():
+        log, a = 0.0, None
+        for x in [*texts[r["doc_id"]], "end"]:
+            a = (first if a is None else a @ move) * emit[x if x in emit else hmm.class_of(x)]
+            log, a = log + math.log10(a.sum()), a / a.sum()
+        assert math.isclose(r["score"], log, rel_tol=1e-3)
+
+
+def test_long_text_repeated_rows_and_other_columns(spark):
+    long = " ".join(f"w{i % 700}" for i in range(40_000))
+    rows = [(1, long, "a"), (2, long, "b"), (2, long, "c"), (3, "", None), (4, None, None), (None, None, None)]
+    out = hmm.score(spark.createDataFrame(rows, "doc_id long, text string, symbols string"), states=2, rounds=2, share=50)
+    assert out.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    got = out.collect()
+    assert sorted(r["n_tokens"] for r in got) == [1, 1, 1, 40_001, 40_001, 40_001]
+    assert len({r["score"] for r in got if r["n_tokens"] > 1}) == 1
+
+
+def test_only_empty_and_held_out_texts(spark):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
+    out = hmm.score(spark.createDataFrame([(held, "a b"), (held, None)], "doc_id long, text string"), states=2, rounds=2).collect()
+    assert {(r["held_out"], r["n_known"], r["train_tokens"]) for r in out} == {(True, 0, 0)}
+    assert all(math.isfinite(r["score"]) for r in out)
+
+
+def test_numbers_come_back_from_their_blob():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 1000):
+        x = rng.integers(0, 1 << 32, n).astype("<u4")
+        assert (hmm.unpacked(hmm.packed(x), n) == x).all()
 
 
 def test_empty_table(spark):
