@@ -179,6 +179,25 @@ def lists(cols: dict[str, pa.Array]) -> list[pa.Array]:
     return [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in cols.values()]
 
 
+class Numbers(dict):
+    """Numbers of words: those of the frequent words, and below 0 (-1, -2, ..) of others as they
+    are met; ``classes`` and ``hashes`` have the others in order."""
+
+    def __init__(self, known: Symbols):
+        super().__init__(known.hot)
+        self.end, self.size = known.end, 0
+        self.classes, self.hashes = np.zeros(1024, np.int64), np.zeros(1024, np.uint64)
+
+    def __missing__(self, word: bytes) -> int:
+        i = self.size
+        if i == len(self.classes):
+            self.classes, self.hashes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.classes, self.hashes))
+        self.classes[i], self.hashes[i] = self.end + 1 + class_of(word), hash_of(word)
+        self.size = i + 1
+        self[word] = -1 - i
+        return -1 - i
+
+
 def encode(docs: DataFrame, known: Symbols) -> DataFrame:
     """Rows of some texts of (doc_id, held_out, text) each: ``symbols`` has the frequent words,
     ends and classes, ``rare`` the hashes of the words that stand as their class."""
@@ -186,28 +205,23 @@ def encode(docs: DataFrame, known: Symbols) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = shared.value
-        get, others = s.hot.get, {}
+        s, numbers = shared.value, None
         for b in slices(batches, "text"):
-            ids, rare, sizes = [], [], []
+            if numbers is None or numbers.size > FLUSH:
+                numbers = Numbers(s)
+            number, ids, sizes = numbers.__getitem__, [], []
             for t in b.column("text").to_pylist():
-                before = len(ids)
-                for w in (t or "").encode("utf-8").lower().split():
-                    i = get(w)
-                    if i is None:
-                        x = others.get(w)
-                        if x is None:
-                            x = others[w] = s.end + 1 + class_of(w), hash_of(w)
-                        i = x[0]
-                        rare.append(x[1])
-                    ids.append(i)
+                words = (t or "").encode("utf-8").lower().split()
+                ids.extend(map(number, words))
                 ids.append(s.end)
-                sizes.append(len(ids) - before)
-            if len(others) > FLUSH:
-                others.clear()
+                sizes.append(len(words) + 1)
+            sym = np.array(ids, np.int64)
+            late = sym < 0
+            others = -1 - sym[late]
+            sym[late] = numbers.classes[others]
             cols = {"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "n_tokens": pa.array(sizes, pa.int64())}
-            yield pa.RecordBatch.from_arrays([*lists(cols), pa.array([packed(np.array(ids, "<u4"))], pa.binary()),
-                                              pa.array([np.array(rare, "<u8").tobytes()], pa.binary())], [*cols, "symbols", "rare"])
+            yield pa.RecordBatch.from_arrays([*lists(cols), pa.array([packed(sym)], pa.binary()),
+                                              pa.array([numbers.hashes[others].astype("<u8").tobytes()], pa.binary())], [*cols, "symbols", "rare"])
 
     return docs.mapInArrow(run, f"doc_id array<{kind}>, {TEXTS}")
 
@@ -322,14 +336,34 @@ def side_by_side(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return out, active
 
 
-def forward(model: Model, sym: np.ndarray, active: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+_ROOM: dict[str, np.ndarray] = {}
+
+
+def room(name: str, rows: int, states: int) -> np.ndarray:
+    """An array for the numbers of a group, taken again for the next group (fresh pages cost
+    as much as the work on them); a group of one very long text gets its own."""
+    size = rows * states
+    if size > TOKENS * STATES:
+        return np.empty((rows, states))
+    if name not in _ROOM:
+        _ROOM[name] = np.empty(TOKENS * STATES)
+    return _ROOM[name][:size].reshape(rows, states)
+
+
+def emissions(model: Model, sym: np.ndarray) -> np.ndarray:
+    out = room("emit", len(sym), len(model.first))
+    return np.take(model.emit, sym, axis=0, out=out, mode="clip")
+
+
+def forward(model: Model, sym: np.ndarray, active: np.ndarray, keep: bool,
+            emit: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
     """Scaled forward recursion: log-likelihoods, and (if kept) alpha and the scale of every word."""
-    emit = model.emit[sym]
+    emit = emissions(model, sym) if emit is None else emit
     texts = int(active[0])
     total, like = np.zeros(texts), np.zeros(texts)
     scale = np.ones(len(sym)) if keep else np.zeros(0)
     a = model.first * emit[:texts]
-    alpha = emit if keep else None  # overwritten in place: row t is read before it is written
+    alpha = room("alpha", *emit.shape) if keep else None
     at = 0
     for t, n in enumerate(active.tolist()):
         if t:
@@ -351,12 +385,18 @@ def forward(model: Model, sym: np.ndarray, active: np.ndarray, keep: bool) -> tu
     return like, alpha, scale
 
 
-def expected(model: Model, sym: np.ndarray, active: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
-    """Log-likelihood and expected counts of first states, transitions and emissions (states x symbols)."""
-    like, alpha, scale = forward(model, sym, active, True)
-    emit = model.emit[sym]
+def expected(model: Model, sym: np.ndarray, active: np.ndarray, into: np.ndarray | None = None,
+             counted: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+    """Log-likelihood and expected counts of first states, transitions and emissions (states x
+    symbols, added to ``into``, which is symbols x states, of the symbols ``counted`` if they
+    differ from those emitted)."""
+    emit = emissions(model, sym)
+    like, alpha, scale = forward(model, sym, active, True, emit)
     k = len(model.first)
-    beta = np.ones((len(sym), k))
+    into = np.zeros((len(model.emit), k)) if into is None else into
+    counted = sym if counted is None else counted
+    beta = room("beta", len(sym), k)
+    beta[:] = 1
     ends = np.cumsum(active)
     back = model.move.T.copy()
     for t in range(len(active) - 1, 0, -1):
@@ -368,16 +408,22 @@ def expected(model: Model, sym: np.ndarray, active: np.ndarray) -> tuple[float,
             b /= b.sum(1)[:, None]
         before = at - int(active[t - 1])
         beta[before:before + n] = b
-    gamma = alpha * beta
-    norm = gamma.sum(1)
+    beta *= alpha
+    norm = beta.sum(1)
     first = int(active[0])
-    later = np.arange(first, len(sym))
-    previous = later - np.repeat(active[:-1], active[1:])
-    x = emit[first:] / (norm[first:] * scale[first:])[:, None]
-    moves = model.move * (alpha[previous].T @ x)
+    previous = np.arange(first, len(sym)) - np.repeat(active[:-1], active[1:])
+    x = emit[first:]
+    x /= (norm[first:] * scale[first:])[:, None]
+    before = np.take(alpha, previous, axis=0, out=room("before", len(previous), k), mode="clip")
+    moves = model.move * (before.T @ x)
+    gamma = beta
     gamma /= norm[:, None]
-    emitted = np.stack([np.bincount(sym, gamma[:, i], len(model.emit)) for i in range(k)])
-    return float(like.sum()), gamma[:first].sum(0), moves, emitted
+    got = np.bincount((counted.astype(np.int64)[:, None] * k + np.arange(k)).ravel(), gamma.ravel()).reshape(-1, k)
+    into[:len(got)] += got  # as long as the largest symbol
+    return float(like.sum()), gamma[:first].sum(0), moves, into.T
+
+
+_NONE = np.zeros(0, np.int64)
 
 
 class Counts:
@@ -385,25 +431,28 @@ class Counts:
 
     def __init__(self, states: int, fixed: int):
         self.like, self.first, self.moves = 0.0, np.zeros(states), np.zeros((states, states))
-        self.emitted = np.zeros((states, fixed))
-
-    def add(self, model: Model, texts: list[np.ndarray]) -> np.ndarray:
-        """Of ``texts``; returns the emissions of the symbols beyond the fixed ones."""
-        fixed = self.emitted.shape[1]
-        late = np.zeros((len(self.first), len(model.emit) - fixed))
+        self.emitted = np.zeros((fixed, states))
+
+    def add(self, model: Model, texts: list[np.ndarray], late: np.ndarray = _NONE) -> np.ndarray:
+        """Of ``texts``, whose symbols beyond the fixed ones are emitted as the classes ``late``;
+        returns the counts of those by state."""
+        fixed = len(self.emitted)
+        emitted = np.zeros((fixed + len(late), len(self.first))) if len(late) else self.emitted
+        emitted_as = np.concatenate([np.arange(fixed), fixed - CLASSES + late])
         for g in groups(texts):
-            like, first, moves, emitted = expected(model, *side_by_side([texts[i] for i in g]))
+            full, active = side_by_side([texts[i] for i in g])
+            like, first, moves, _ = expected(model, emitted_as[full] if len(late) else full, active, emitted, full)
             self.like, self.first, self.moves = self.like + like, self.first + first, self.moves + moves
-            self.emitted += emitted[:, :fixed]
-            late += emitted[:, fixed:]
-        return late
+        if len(late):
+            self.emitted += emitted[:fixed]
+        return emitted[fixed:].T
 
     def rows(self) -> tuple[np.ndarray, np.ndarray]:
         """Keys and counts by state: likelihood, first states, transitions, then every symbol."""
         k = len(self.first)
-        seen = np.flatnonzero(self.emitted.any(0))
+        seen = np.flatnonzero(self.emitted.any(1))
         return (np.concatenate([np.arange(2 + k), 2 + k + seen]),
-                np.concatenate([np.full((1, k), self.like), self.first[None], self.moves, self.emitted[:, seen].T]))
+                np.concatenate([np.full((1, k), self.like), self.first[None], self.moves, self.emitted[seen]]))
 
 
 def columns(states: int, kind: str) -> str:
@@ -464,12 +513,11 @@ def dealt(coded: DataFrame, model: Model, known: Symbols, buckets: int) -> DataF
             rare = np.concatenate([np.frombuffer(r["rare"], "<u8") for r in rows])
             words, first, place = np.unique(rare, return_index=True, return_inverse=True)
             cls = c.sym[late][first].astype(np.int64) - s.end - 1
-            full = c.sym.astype(np.int64)
+            full = c.sym.copy()
             full[late] = fixed + place
-            tied = replace(m, emit=np.concatenate([m.emit, m.emit[s.end + 1 + cls]]))
-            own = counts.add(tied, c.texts(full, ~c.held))
+            own = counts.add(m, c.texts(full, ~c.held), cls)
             for i in range(k):
-                counts.emitted[i, s.end + 1:] += np.bincount(cls, own[i], CLASSES)
+                counts.emitted[s.end + 1:, i] += np.bincount(cls, own[i], CLASSES)
             n = np.bincount(place[~np.repeat(c.held, c.sizes)[late]], minlength=len(words))
             share = (own / np.maximum(n, 1)).astype(np.float16)
             at, cuts = 0, np.searchsorted(words, np.array([i * width for i in range(1, buckets)], np.uint64)).tolist()
@@ -579,19 +627,19 @@ def likelihoods(texts: DataFrame, words: DataFrame, model: Model, known: Symbols
         # Buckets are ranges of hashes: in their order the words stand as in the chunk's list.
         order = np.argsort(replies.column("bucket").to_numpy())
         blobs = [replies.column("words")[int(i)].as_py() for i in order]
-        cls, n, share = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros((0, k))]
+        n, emit = [np.zeros(0)], [base.emit]
         for b in blobs:
             size = len(b) // (5 + 2 * k)
-            cls.append(np.frombuffer(b, np.uint8, size).astype(np.int64))
             n.append(np.frombuffer(b, "<u4", size, size).astype(float))
-            share.append(np.frombuffer(b, np.float16, k * size, 5 * size).reshape(k, size).T.astype(float))
-        cls, n = np.concatenate(cls), np.concatenate(n)
-        m = replace(base, emit=np.concatenate([base.emit, own_emissions(base, s, n, cls, np.concatenate(share))]))
+            emit.append(own_emissions(base, s, n[-1], np.frombuffer(b, np.uint8, size).astype(np.int64),
+                                      np.frombuffer(b, np.float16, k * size, 5 * size).reshape(k, size).T.astype(float)))
+        n, m = np.concatenate(n), replace(base, emit=np.concatenate(emit))
+        del emit
         counts = np.concatenate([s.counts, np.zeros(CLASSES), n])
         logs, seen = np.log10(counts + ADD), counts > 0
         rows = chunk.to_pylist()
         c = Coded(rows)
-        full, late = c.sym.astype(np.int64), c.sym > s.end
+        full, late = c.sym.copy(), c.sym > s.end
         known_at = np.cumsum(np.concatenate([[0], late]))
         ends = np.cumsum([0, *[sum(r["n_tokens"]) for r in rows]])
         full[late] = s.fixed + np.concatenate([unpacked(r["rare"], int(known_at[b] - known_at[a]))
