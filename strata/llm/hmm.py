@@ -47,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import crc_mod, documents, mix, slices, written
+from strata.llm.common import crc_mod, discard, documents, mix, slices, written
 
 STATES, ROUNDS = 12, 5
 SHARE, CLASSES, TAIL = 100_000, 256, 3
@@ -57,7 +57,7 @@ PRIOR = 20.0
 #: Part of every word's expected counts that is taken from its class, by its share of the class's tokens.
 MIX = 0.3
 #: Words worked on side by side, words a task counts before it hands them on, steps between rescalings.
-TOKENS, FLUSH, RESCALE = 300_000, 300_000, 16
+TOKENS, FLUSH, RESCALE = 150_000, 300_000, 16
 #: Tokens of a chunk, and rows (a word of a chunk) that are added up together, on average at most.
 CHUNK, BUCKET = 5_000_000, 1_000_000
 
@@ -519,7 +519,10 @@ def dealt(coded: DataFrame, model: Model, known: Symbols, buckets: int) -> DataF
             for i in range(k):
                 counts.emitted[s.end + 1:, i] += np.bincount(cls, own[i], CLASSES)
             n = np.bincount(place[~np.repeat(c.held, c.sizes)[late]], minlength=len(words))
-            share = (own / np.maximum(n, 1)).astype(np.float16)
+            share = np.empty(own.shape, np.float16)
+            for i in range(k):
+                share[i] = own[i] / np.maximum(n, 1)
+            del own
             at, cuts = 0, np.searchsorted(words, np.array([i * width for i in range(1, buckets)], np.uint64)).tolist()
             out = []
             for bucket, to in enumerate([*cuts, len(words)]):
@@ -538,6 +541,7 @@ def dealt(coded: DataFrame, model: Model, known: Symbols, buckets: int) -> DataF
                             rare=pa.array([packed(place[at:at + size])], pa.binary()))
                 at += size
             chunk += 1
+        _ROOM.clear()
         if chunk & 0xFFFFFFFF:
             at, values = counts.rows()
             yield batch(len(at), key=pa.array(at, pa.int64()), **{f"s{i}": pa.array(x) for i, x in enumerate(values.T.astype(np.float32))})
@@ -624,17 +628,22 @@ def likelihoods(texts: DataFrame, words: DataFrame, model: Model, known: Symbols
 
     def run(chunk: pa.Table, replies: pa.Table) -> pa.Table:
         base, s = shared.value
+        _ROOM.clear()  # a worker may have been at the training
+        pa.default_memory_pool().release_unused()
         # Buckets are ranges of hashes: in their order the words stand as in the chunk's list.
         order = np.argsort(replies.column("bucket").to_numpy())
         blobs = [replies.column("words")[int(i)].as_py() for i in order]
-        n, emit = [np.zeros(0)], [base.emit]
+        n, at = np.zeros(sum(len(b) for b in blobs) // (5 + 2 * k)), 0
+        m = replace(base, emit=np.empty((s.fixed + len(n), k)))
+        m.emit[:s.fixed] = base.emit
         for b in blobs:
             size = len(b) // (5 + 2 * k)
-            n.append(np.frombuffer(b, "<u4", size, size).astype(float))
-            emit.append(own_emissions(base, s, n[-1], np.frombuffer(b, np.uint8, size).astype(np.int64),
-                                      np.frombuffer(b, np.float16, k * size, 5 * size).reshape(k, size).T.astype(float)))
-        n, m = np.concatenate(n), replace(base, emit=np.concatenate(emit))
-        del emit
+            n[at:at + size] = np.frombuffer(b, "<u4", size, size)
+            m.emit[s.fixed + at:s.fixed + at + size] = own_emissions(
+                base, s, n[at:at + size], np.frombuffer(b, np.uint8, size).astype(np.int64),
+                np.frombuffer(b, np.float16, k * size, 5 * size).reshape(k, size).T.astype(float))
+            at += size
+        del blobs
         counts = np.concatenate([s.counts, np.zeros(CLASSES), n])
         logs, seen = np.log10(counts + ADD), counts > 0
         rows = chunk.to_pylist()
@@ -644,11 +653,12 @@ def likelihoods(texts: DataFrame, words: DataFrame, model: Model, known: Symbols
         ends = np.cumsum([0, *[sum(r["n_tokens"]) for r in rows]])
         full[late] = s.fixed + np.concatenate([unpacked(r["rare"], int(known_at[b] - known_at[a]))
                                                for r, a, b in zip(rows, ends, ends[1:], strict=False)])
-        coded = c.texts(full)
+        coded, ids = c.texts(full), [i for r in rows for i in r["doc_id"]]
+        del rows, late, known_at
         out = np.zeros(len(coded))
         for g in groups(coded):
             out[g] = forward(m, *side_by_side([coded[i] for i in g]), False)[0] / math.log(10)
-        return pa.table([pa.array([i for r in rows for i in r["doc_id"]], chunk.schema.field("doc_id").type.value_type),
+        return pa.table([pa.array(ids, chunk.schema.field("doc_id").type.value_type),
                          pa.array(c.held), pa.array(c.sizes), pa.array([int(seen[x].sum()) for x in coded], pa.int64()),
                          pa.array([float(logs[x].sum()) for x in coded], pa.float64()), pa.array(out)],
                         ["doc_id", "held_out", "n_tokens", "n_known", "base_log", "score"])
@@ -661,9 +671,12 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, share: in
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs``."""
     rows = docs.select("doc_id", (crc_mod("doc_id", FOLDS) == 0).alias("held_out"), "text")
     training = rows.where("NOT held_out")
-    known = symbols(written(word_counts(training.select("text")), "counts"), training.count(), share)
+    counts = written(word_counts(training.select("text")), "counts")
+    known = symbols(counts, training.count(), share)
+    discard(counts)
     coded = written(encode(rows, known), "coded")
     model, texts, words, _ = train(coded, known, 1 + int(known.cold_mass.sum()) // bucket, states, rounds)
+    discard(coded)  # its texts stand in chunks now
     return likelihoods(texts, words, model, known).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(known.tokens).cast("long").alias("train_tokens"),
         (F.col("base_log") - F.col("n_tokens") * known.base_log).alias("base_score"), "score")
