@@ -56,8 +56,9 @@ FOLDS, ADD = 10, 0.1
 PRIOR = 20.0
 #: Part of every word's expected counts that is taken from its class, by its share of the class's tokens.
 MIX = 0.3
-#: Words worked on side by side, words a task counts before it hands them on, steps between rescalings.
-TOKENS, FLUSH, RESCALE = 150_000, 300_000, 16
+#: Words worked on side by side, words a task counts before it hands them on, steps between rescalings,
+#: words whose transitions are added up at once.
+TOKENS, FLUSH, RESCALE, BLOCK = 150_000, 300_000, 16, 2048
 #: Tokens of a chunk, and rows (a word of a chunk) that are added up together, on average at most.
 CHUNK, BUCKET = 5_000_000, 1_000_000
 
@@ -89,8 +90,8 @@ def class_of(word: bytes) -> int:
     return zlib.crc32(word[-TAIL:]) % CLASSES
 
 
-def hash_of(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join([hashlib.blake2b(w, digest_size=8).digest() for w in words]), "<u8")
 
 
 @dataclass
@@ -181,21 +182,24 @@ def lists(cols: dict[str, pa.Array]) -> list[pa.Array]:
 
 class Numbers(dict):
     """Numbers of words: those of the frequent words, and below 0 (-1, -2, ..) of others as they
-    are met; ``classes`` and ``hashes`` have the others in order."""
+    are met; ``classes`` and ``hashes`` have the others in order, once ``learn`` was called."""
 
     def __init__(self, known: Symbols):
         super().__init__(known.hot)
-        self.end, self.size = known.end, 0
-        self.classes, self.hashes = np.zeros(1024, np.int64), np.zeros(1024, np.uint64)
+        self.end, self.size, self.met = known.end, 0, []
+        self.classes, self.hashes = np.zeros(0, np.int64), np.zeros(0, np.uint64)
 
     def __missing__(self, word: bytes) -> int:
-        i = self.size
-        if i == len(self.classes):
-            self.classes, self.hashes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.classes, self.hashes))
-        self.classes[i], self.hashes[i] = self.end + 1 + class_of(word), hash_of(word)
-        self.size = i + 1
-        self[word] = -1 - i
-        return -1 - i
+        self.met.append(word)
+        self.size = i = self.size + 1
+        self[word] = -i
+        return -i
+
+    def learn(self) -> None:
+        classes = np.array([class_of(w) for w in self.met], np.int64) + self.end + 1
+        self.classes = np.concatenate([self.classes, classes])
+        self.hashes = np.concatenate([self.hashes, hashes_of(self.met)])
+        self.met.clear()
 
 
 def encode(docs: DataFrame, known: Symbols) -> DataFrame:
@@ -215,7 +219,8 @@ def encode(docs: DataFrame, known: Symbols) -> DataFrame:
                 ids.extend(map(number, words))
                 ids.append(s.end)
                 sizes.append(len(words) + 1)
-            sym = np.array(ids, np.int64)
+            numbers.learn()
+            sym = np.fromiter(ids, np.int64, len(ids))
             late = sym < 0
             others = -1 - sym[late]
             sym[late] = numbers.classes[others]
@@ -355,72 +360,71 @@ def emissions(model: Model, sym: np.ndarray) -> np.ndarray:
     return np.take(model.emit, sym, axis=0, out=out, mode="clip")
 
 
+def last_words(active: np.ndarray) -> np.ndarray:
+    """The place of the last word of every text."""
+    texts = np.arange(int(active[0]))
+    size = len(active) - np.searchsorted(active[::-1], texts, "right")
+    return (np.cumsum(active) - active)[size - 1] + texts
+
+
 def forward(model: Model, sym: np.ndarray, active: np.ndarray, keep: bool,
-            emit: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
-    """Scaled forward recursion: log-likelihoods, and (if kept) alpha and the scale of every word."""
+            emit: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Scaled forward recursion: log-likelihoods, alpha (in the place of the emissions unless
+    they are to be kept) and what the words of every rescaled step were divided by."""
     emit = emissions(model, sym) if emit is None else emit
-    texts = int(active[0])
-    total, like = np.zeros(texts), np.zeros(texts)
-    scale = np.ones(len(sym)) if keep else np.zeros(0)
-    a = model.first * emit[:texts]
-    alpha = room("alpha", *emit.shape) if keep else None
-    at = 0
+    alpha = room("alpha", *emit.shape) if keep else emit
+    like, scales = np.zeros(int(active[0])), []
+    moved = np.empty((len(like), len(model.first)))
+    a, at = model.first, 0
     for t, n in enumerate(active.tolist()):
         if t:
-            if n < len(a):
-                like[n:len(a)] = total[n:len(a)] + np.log(a[n:].sum(1))
-                a = a[:n]
-            a = a @ model.move
-            a *= emit[at:at + n]
+            a = np.dot(a[:n], model.move, out=moved[:n])
+        a = np.multiply(a, emit[at:at + n], out=alpha[at:at + n])
         if t % RESCALE == 0:
             c = a.sum(1)
             a /= c[:, None]
-            total[:n] += np.log(c)
-            if keep:
-                scale[at:at + n] = c
-        if keep:
-            alpha[at:at + n] = a
+            like[:n] += np.log(c)
+            scales.append(c)
         at += n
-    like[:len(a)] = total[:len(a)] + np.log(a.sum(1))
-    return like, alpha, scale
+    return like + np.log(alpha[last_words(active)].sum(1)), alpha, scales
 
 
 def expected(model: Model, sym: np.ndarray, active: np.ndarray, into: np.ndarray | None = None,
              counted: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
     """Log-likelihood and expected counts of first states, transitions and emissions (states x
-    symbols, added to ``into``, which is symbols x states, of the symbols ``counted`` if they
-    differ from those emitted)."""
+    symbols, added to ``into``, of the symbols ``counted`` if they differ from those emitted).
+    A text's beta begins as one over the sum of its last alpha and is rescaled where alpha was,
+    so alpha times beta is the share of every state at a word without another division."""
     emit = emissions(model, sym)
-    like, alpha, scale = forward(model, sym, active, True, emit)
-    k = len(model.first)
-    into = np.zeros((len(model.emit), k)) if into is None else into
+    like, alpha, scales = forward(model, sym, active, True, emit)
+    k, texts = len(model.first), int(active[0])
+    into = np.zeros((k, len(model.emit))) if into is None else into
     counted = sym if counted is None else counted
-    beta = room("beta", len(sym), k)
-    beta[:] = 1
-    ends = np.cumsum(active)
-    back = model.move.T.copy()
+    beta = np.repeat(1 / alpha[last_words(active)].sum(1), k).reshape(texts, k)
+    after, back, to = beta.copy(), model.move.T.copy(), len(sym)
     for t in range(len(active) - 1, 0, -1):
-        n, at = int(active[t]), int(ends[t]) - int(active[t])
-        x = emit[at:at + n]
-        x *= beta[at:at + n]  # emission times beta, kept for the transitions
-        b = x @ back
+        n = int(active[t])
+        x = emit[to - n:to]
+        x *= beta[:n]  # emission times beta, kept for the transitions
         if t % RESCALE == 0:
-            b /= b.sum(1)[:, None]
-        before = at - int(active[t - 1])
-        beta[before:before + n] = b
-    beta *= alpha
-    norm = beta.sum(1)
-    first = int(active[0])
-    previous = np.arange(first, len(sym)) - np.repeat(active[:-1], active[1:])
-    x = emit[first:]
-    x /= (norm[first:] * scale[first:])[:, None]
-    before = np.take(alpha, previous, axis=0, out=room("before", len(previous), k), mode="clip")
-    moves = model.move * (before.T @ x)
-    gamma = beta
-    gamma /= norm[:, None]
-    got = np.bincount((counted.astype(np.int64)[:, None] * k + np.arange(k)).ravel(), gamma.ravel()).reshape(-1, k)
-    into[:len(got)] += got  # as long as the largest symbol
-    return float(like.sum()), gamma[:first].sum(0), moves, into.T
+            x /= scales[t // RESCALE][:, None]
+        np.dot(x, back, out=after[:n])
+        beta, after, to = after, beta, to - n
+    beta *= alpha[:texts]
+    emit[:texts] = beta
+    moves = np.zeros((k, k))
+    previous = np.arange(texts, len(sym)) - np.repeat(active[:-1], active[1:])
+    for at in range(0, len(previous), BLOCK):
+        before = alpha[previous[at:at + BLOCK]]
+        x = emit[texts + at:texts + at + BLOCK]
+        moves += before.T @ x
+        x *= before @ model.move  # alpha times beta
+    width = max(BLOCK, into.shape[1])
+    for at in range(0, len(sym), width):
+        for i in range(k):
+            got = np.bincount(counted[at:at + width], emit[at:at + width, i])
+            into[i, :len(got)] += got  # as long as the largest symbol
+    return float(like.sum()), beta.sum(0), model.move * moves, into
 
 
 _NONE = np.zeros(0, np.int64)
@@ -431,28 +435,28 @@ class Counts:
 
     def __init__(self, states: int, fixed: int):
         self.like, self.first, self.moves = 0.0, np.zeros(states), np.zeros((states, states))
-        self.emitted = np.zeros((fixed, states))
+        self.emitted = np.zeros((states, fixed))
 
     def add(self, model: Model, texts: list[np.ndarray], late: np.ndarray = _NONE) -> np.ndarray:
         """Of ``texts``, whose symbols beyond the fixed ones are emitted as the classes ``late``;
         returns the counts of those by state."""
-        fixed = len(self.emitted)
-        emitted = np.zeros((fixed + len(late), len(self.first))) if len(late) else self.emitted
+        fixed = self.emitted.shape[1]
+        emitted = np.zeros((len(self.first), fixed + len(late))) if len(late) else self.emitted
         emitted_as = np.concatenate([np.arange(fixed), fixed - CLASSES + late])
         for g in groups(texts):
             full, active = side_by_side([texts[i] for i in g])
             like, first, moves, _ = expected(model, emitted_as[full] if len(late) else full, active, emitted, full)
             self.like, self.first, self.moves = self.like + like, self.first + first, self.moves + moves
         if len(late):
-            self.emitted += emitted[:fixed]
-        return emitted[fixed:].T
+            self.emitted += emitted[:, :fixed]
+        return emitted[:, fixed:]
 
     def rows(self) -> tuple[np.ndarray, np.ndarray]:
         """Keys and counts by state: likelihood, first states, transitions, then every symbol."""
         k = len(self.first)
-        seen = np.flatnonzero(self.emitted.any(1))
+        seen = np.flatnonzero(self.emitted.any(0))
         return (np.concatenate([np.arange(2 + k), 2 + k + seen]),
-                np.concatenate([np.full((1, k), self.like), self.first[None], self.moves, self.emitted[seen]]))
+                np.concatenate([np.full((1, k), self.like), self.first[None], self.moves, self.emitted[:, seen].T]))
 
 
 def columns(states: int, kind: str) -> str:
@@ -513,12 +517,13 @@ def dealt(coded: DataFrame, model: Model, known: Symbols, buckets: int) -> DataF
             rare = np.concatenate([np.frombuffer(r["rare"], "<u8") for r in rows])
             words, first, place = np.unique(rare, return_index=True, return_inverse=True)
             cls = c.sym[late][first].astype(np.int64) - s.end - 1
-            full = c.sym.copy()
-            full[late] = fixed + place
-            own = counts.add(m, c.texts(full, ~c.held), cls)
-            for i in range(k):
-                counts.emitted[s.end + 1:, i] += np.bincount(cls, own[i], CLASSES)
             n = np.bincount(place[~np.repeat(c.held, c.sizes)[late]], minlength=len(words))
+            c.sym[late] = fixed + place
+            del rare, late
+            own = counts.add(m, c.texts(c.sym, ~c.held), cls)
+            del c
+            for i in range(k):
+                counts.emitted[i, s.end + 1:] += np.bincount(cls, own[i], CLASSES)
             share = np.empty(own.shape, np.float16)
             for i in range(k):
                 share[i] = own[i] / np.maximum(n, 1)
@@ -648,13 +653,12 @@ def likelihoods(texts: DataFrame, words: DataFrame, model: Model, known: Symbols
         logs, seen = np.log10(counts + ADD), counts > 0
         rows = chunk.to_pylist()
         c = Coded(rows)
-        full, late = c.sym.copy(), c.sym > s.end
-        known_at = np.cumsum(np.concatenate([[0], late]))
+        late = c.sym > s.end
         ends = np.cumsum([0, *[sum(r["n_tokens"]) for r in rows]])
-        full[late] = s.fixed + np.concatenate([unpacked(r["rare"], int(known_at[b] - known_at[a]))
-                                               for r, a, b in zip(rows, ends, ends[1:], strict=False)])
-        coded, ids = c.texts(full), [i for r in rows for i in r["doc_id"]]
-        del rows, late, known_at
+        c.sym[late] = s.fixed + np.concatenate([unpacked(r["rare"], int(np.count_nonzero(late[a:b])))
+                                                for r, a, b in zip(rows, ends, ends[1:], strict=False)])
+        coded, ids = c.texts(c.sym), [i for r in rows for i in r["doc_id"]]
+        del rows, late
         out = np.zeros(len(coded))
         for g in groups(coded):
             out[g] = forward(m, *side_by_side([coded[i] for i in g]), False)[0] / math.log(10)

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -75,6 +76,25 @@ def test_long_texts_keep_their_scale():
     assert math.isclose(like, logs + math.log(plain_forward(m, long[:3])), rel_tol=1e-9)
 
 
+def test_a_training_step_keeps_two_arrays_of_a_group(monkeypatch):
+    rng = np.random.default_rng(5)
+    m, tokens = random_model(rng, hmm.STATES, 60_000), 60_000
+    monkeypatch.setattr(hmm, "TOKENS", tokens)
+    monkeypatch.setattr(hmm, "_ROOM", {})
+    group = hmm.side_by_side([rng.integers(0, 60_000, n) for n in sorted(rng.integers(1, 300, 400), reverse=True)])
+    into = np.zeros((hmm.STATES, 60_000))
+    assert len(group[0]) < tokens
+    tracemalloc.start()
+    try:
+        gamma = hmm.expected(m, *group, into)[3]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert math.isclose(gamma.sum(), len(group[0])) and gamma is into
+    # Emissions and alpha of a group; the rest is of the size of a step, of a block or of one state.
+    assert peak < 3 * tokens * hmm.STATES * 8
+
+
 def rows_of(seed, n):
     rng = random.Random(seed)
     langs = [[f"{p}{i}" for i in range(60)] for p in "abc"]
