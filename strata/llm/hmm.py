@@ -61,6 +61,8 @@ MIX = 0.3
 TOKENS, FLUSH, RESCALE, BLOCK = 150_000, 300_000, 16, 2048
 #: Tokens of a chunk, and rows (a word of a chunk) that are added up together, on average at most.
 CHUNK, BUCKET = 5_000_000, 1_000_000
+#: Bytes of blobs that a task hands on at once.
+BLOB = 1 << 20
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -237,19 +239,28 @@ class Coded:
     def __init__(self, rows: list[dict]):
         self.sizes = np.concatenate([np.zeros(0, np.int64), *[np.array(r["n_tokens"], np.int64) for r in rows]])
         self.held = np.concatenate([np.zeros(0, bool), *[np.array(r["held_out"], bool) for r in rows]])
-        self.sym = np.concatenate([np.zeros(0, "<u4"), *[unpacked(r["symbols"], sum(r["n_tokens"])) for r in rows]])
+        self.sym, at = np.empty(int(self.sizes.sum()), "<u4"), 0
+        for r in rows:
+            n = sum(r["n_tokens"])
+            self.sym[at:at + n] = unpacked(r["symbols"], n)
+            at += n
 
     def texts(self, sym: np.ndarray, keep: np.ndarray | None = None) -> list[np.ndarray]:
         parts = np.split(sym, np.cumsum(self.sizes)[:-1]) if len(self.sizes) else []
         return parts if keep is None else [x for x, k in zip(parts, keep, strict=True) if k]
 
 
+def blob_rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows of coded texts, their blobs as they lie in the batch."""
+    for i in range(batch.num_rows):
+        yield {f: batch.column(f)[i].as_buffer() if f in ("symbols", "rare") else batch.column(f)[i].as_py() for f in batch.schema.names}
+
+
 def gathered_rows(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[list[dict]]:
     """Rows with about ``limit`` tokens together (one row at least)."""
     rows, size = [], 0
     for b in batches:
-        for i in range(b.num_rows):
-            r = b.slice(i, 1).to_pylist()[0]
+        for r in blob_rows(b):
             n = sum(r["n_tokens"])
             if rows and size + n > limit:
                 yield rows
@@ -390,9 +401,10 @@ def forward(model: Model, sym: np.ndarray, active: np.ndarray, keep: bool,
 
 
 def expected(model: Model, sym: np.ndarray, active: np.ndarray, into: np.ndarray | None = None,
-             counted: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+             counted: np.ndarray | None = None, once: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
     """Log-likelihood and expected counts of first states, transitions and emissions (states x
-    symbols, added to ``into``, of the symbols ``counted`` if they differ from those emitted).
+    symbols, added to ``into``, of the symbols ``counted`` if they differ from those emitted;
+    of those beyond ``into``, which occur once, they go to ``once`` and are added as what was emitted).
     A text's beta begins as one over the sum of its last alpha and is rescaled where alpha was,
     so alpha times beta is the share of every state at a word without another division."""
     emit = emissions(model, sym)
@@ -421,9 +433,16 @@ def expected(model: Model, sym: np.ndarray, active: np.ndarray, into: np.ndarray
         x *= before @ model.move  # alpha times beta
     width = max(BLOCK, into.shape[1])
     for at in range(0, len(sym), width):
+        part = counted[at:at + width]
+        single = np.flatnonzero(part >= into.shape[1])
+        if len(single):
+            alone, part = part[single] - into.shape[1], part.copy()
+            part[single] = sym[at + single]
         for i in range(k):
-            got = np.bincount(counted[at:at + width], emit[at:at + width, i])
+            got = np.bincount(part, emit[at:at + width, i])
             into[i, :len(got)] += got  # as long as the largest symbol
+            if len(single):
+                once[i, alone] = emit[at + single, i]
     return float(like.sum()), beta.sum(0), model.move * moves, into
 
 
@@ -437,19 +456,24 @@ class Counts:
         self.like, self.first, self.moves = 0.0, np.zeros(states), np.zeros((states, states))
         self.emitted = np.zeros((states, fixed))
 
-    def add(self, model: Model, texts: list[np.ndarray], late: np.ndarray = _NONE) -> np.ndarray:
-        """Of ``texts``, whose symbols beyond the fixed ones are emitted as the classes ``late``;
-        returns the counts of those by state."""
-        fixed = self.emitted.shape[1]
-        emitted = np.zeros((len(self.first), fixed + len(late))) if len(late) else self.emitted
+    def add(self, model: Model, texts: list[np.ndarray], late: np.ndarray = _NONE, n: np.ndarray = _NONE) -> np.ndarray:
+        """Of ``texts``, whose symbols beyond the fixed ones are emitted as the classes ``late`` and
+        occur ``n`` times, most often first; returns their shares by state, in 16 bits.  Only those
+        that occur twice are added up: a share of one that occurs once is what it gets there."""
+        k, fixed, often = len(self.first), self.emitted.shape[1], int(np.count_nonzero(n > 1))
+        emitted = np.zeros((k, fixed + often)) if len(late) else self.emitted
         emitted_as = np.concatenate([np.arange(fixed), fixed - CLASSES + late])
+        share = np.zeros((k, len(late)), np.float16)
         for g in groups(texts):
             full, active = side_by_side([texts[i] for i in g])
-            like, first, moves, _ = expected(model, emitted_as[full] if len(late) else full, active, emitted, full)
+            like, first, moves, _ = expected(model, emitted_as[full] if len(late) else full, active, emitted, full, share[:, often:])
             self.like, self.first, self.moves = self.like + like, self.first + first, self.moves + moves
         if len(late):
             self.emitted += emitted[:, :fixed]
-        return emitted[:, fixed:]
+        for i in range(k if often else 0):
+            self.emitted[i, fixed - CLASSES:] += np.bincount(late[:often], emitted[i, fixed:], CLASSES)
+            share[i, :often] = emitted[i, fixed:] / n[:often]
+        return share
 
     def rows(self) -> tuple[np.ndarray, np.ndarray]:
         """Keys and counts by state: likelihood, first states, transitions, then every symbol."""
@@ -492,6 +516,21 @@ def tied_round(coded: DataFrame, model: Model, known: Symbols) -> tuple[Model, f
     return maximise(known, *rest), like
 
 
+def listed(rare: np.ndarray, cls: np.ndarray, training: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct hashes in order, their classes and times in training, and every word's place
+    among them; a range of hashes at a time, so little more is held than what is returned."""
+    parts = 1 + len(rare) // TOKENS
+    part = ((rare >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype("<u2")
+    place, found, at = np.empty(len(rare), "<u4"), [], 0
+    for i in range(parts):
+        mine = np.flatnonzero(part == i)
+        words, first, inverse = np.unique(rare[mine], return_index=True, return_inverse=True)
+        place[mine] = at + inverse
+        found.append((words, cls[mine[first]], np.bincount(inverse[training[mine]], minlength=len(words)).astype("<u4")))
+        at += len(words)
+    return *[np.concatenate(x) for x in zip(*found, strict=True)], place
+
+
 def dealt(coded: DataFrame, model: Model, known: Symbols, buckets: int) -> DataFrame:
     """The last round's expected counts, and the texts in chunks.  Rows: texts of a chunk as in
     ``coded``, ``rare`` now the places of words in its list; blobs (``bucket`` and its words, a
@@ -514,37 +553,42 @@ def dealt(coded: DataFrame, model: Model, known: Symbols, buckets: int) -> DataF
         for rows in gathered_rows(watched(batches), CHUNK):
             c = Coded(rows)
             late = c.sym > s.end
-            rare = np.concatenate([np.frombuffer(r["rare"], "<u8") for r in rows])
-            words, first, place = np.unique(rare, return_index=True, return_inverse=True)
-            cls = c.sym[late][first].astype(np.int64) - s.end - 1
-            n = np.bincount(place[~np.repeat(c.held, c.sizes)[late]], minlength=len(words))
-            c.sym[late] = fixed + place
-            del rare, late
-            own = counts.add(m, c.texts(c.sym, ~c.held), cls)
-            del c
-            for i in range(k):
-                counts.emitted[i, s.end + 1:] += np.bincount(cls, own[i], CLASSES)
-            share = np.empty(own.shape, np.float16)
-            for i in range(k):
-                share[i] = own[i] / np.maximum(n, 1)
-            del own
-            at, cuts = 0, np.searchsorted(words, np.array([i * width for i in range(1, buckets)], np.uint64)).tolist()
-            out = []
+            words, cls, n, place = listed(np.concatenate([np.frombuffer(r["rare"], "<u8") for r in rows]),
+                                          (c.sym[late] - np.uint32(s.end + 1)).astype(np.uint8), ~np.repeat(c.held, c.sizes)[late])
+            order = np.argsort(n, kind="stable")[::-1].astype("<u4")  # as the counts want them
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order), dtype="<u4")
+            c.sym[late] = rank[place] + np.uint32(fixed)
+            del late, place
+            share = counts.add(m, c.texts(c.sym, ~c.held), cls[order].astype(np.int64), n[order])
+            at, size, out = 0, 0, []
+
+            def blobs() -> pa.RecordBatch:
+                return batch(len(out), chunk=pa.array([chunk] * len(out)), bucket=pa.array([b for b, _ in out], pa.int64()),
+                             words=pa.array([b for _, b in out], pa.binary()))
+
+            cuts = np.searchsorted(words, np.array([i * width for i in range(1, buckets)], np.uint64)).tolist()
             for bucket, to in enumerate([*cuts, len(words)]):
                 if to > at:
-                    out.append((bucket, b"".join([words[at:to].tobytes(), cls[at:to].astype(np.uint8).tobytes(),
-                                                  n[at:to].astype("<u4").tobytes(), share[:, at:to].tobytes()])))
+                    out.append((bucket, b"".join([words[at:to].tobytes(), cls[at:to].tobytes(), n[at:to].tobytes(),
+                                                  share[:, rank[at:to]].tobytes()])))
+                    size += len(out[-1][1])
+                if size > BLOB:
+                    yield blobs()
+                    size, out = 0, []
                 at = to
             if out:
-                yield batch(len(out), chunk=pa.array([chunk] * len(out)), bucket=pa.array([b for b, _ in out], pa.int64()),
-                            words=pa.array([b for _, b in out], pa.binary()))
+                yield blobs()
+            del share, rank, words, cls, n, out
             at = 0
             for r in rows:
-                size = len(r["rare"]) // 8
+                size = sum(r["n_tokens"])
+                sym = c.sym[at:at + size]
                 yield batch(1, chunk=pa.array([chunk]), doc_id=pa.array([r["doc_id"]], types[1]), held_out=pa.array([r["held_out"]], types[2]),
-                            n_tokens=pa.array([r["n_tokens"]], types[3]), symbols=pa.array([r["symbols"]], pa.binary()),
-                            rare=pa.array([packed(place[at:at + size])], pa.binary()))
+                            n_tokens=pa.array([r["n_tokens"]], types[3]), symbols=pa.array([r["symbols"].to_pybytes()], pa.binary()),
+                            rare=pa.array([packed(order[sym[sym >= fixed] - np.uint32(fixed)])], pa.binary()))
                 at += size
+            del c, order
             chunk += 1
         _ROOM.clear()
         if chunk & 0xFFFFFFFF:
@@ -593,9 +637,10 @@ def added_up(blobs: DataFrame, states: int) -> DataFrame:
 
 def own_round(coded: DataFrame, model: Model, known: Symbols, buckets: int) -> tuple[Model, DataFrame, DataFrame, float]:
     """The last Baum-Welch step, every word on its own: the model, the texts in chunks, what
-    each chunk gets of its words, and the likelihood before."""
+    each chunk gets of its words, and the likelihood before.  ``coded`` is removed on the way."""
     k = len(model.first)
     parts = written(dealt(coded, model, known, buckets), "dealt")
+    discard(coded)  # its texts stand in chunks now
     like, *rest = summed(parts.where("key IS NOT NULL").select("key", *[f"s{i}" for i in range(k)]), k, known.fixed)
     replies = written(added_up(parts.where("words IS NOT NULL").select("chunk", "bucket", "words"), k), "replies")
     sums = replies.where("chunk IS NULL").select("words").mapInArrow(by_state(k), columns(k, "double"))
@@ -637,7 +682,7 @@ def likelihoods(texts: DataFrame, words: DataFrame, model: Model, known: Symbols
         pa.default_memory_pool().release_unused()
         # Buckets are ranges of hashes: in their order the words stand as in the chunk's list.
         order = np.argsort(replies.column("bucket").to_numpy())
-        blobs = [replies.column("words")[int(i)].as_py() for i in order]
+        blobs = [replies.column("words")[int(i)].as_buffer() for i in order]
         n, at = np.zeros(sum(len(b) for b in blobs) // (5 + 2 * k)), 0
         m = replace(base, emit=np.empty((s.fixed + len(n), k)))
         m.emit[:s.fixed] = base.emit
@@ -651,7 +696,7 @@ def likelihoods(texts: DataFrame, words: DataFrame, model: Model, known: Symbols
         del blobs
         counts = np.concatenate([s.counts, np.zeros(CLASSES), n])
         logs, seen = np.log10(counts + ADD), counts > 0
-        rows = chunk.to_pylist()
+        rows = [r for b in chunk.to_batches() for r in blob_rows(b)]
         c = Coded(rows)
         late = c.sym > s.end
         ends = np.cumsum([0, *[sum(r["n_tokens"]) for r in rows]])
@@ -680,7 +725,6 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, share: in
     discard(counts)
     coded = written(encode(rows, known), "coded")
     model, texts, words, _ = train(coded, known, 1 + int(known.cold_mass.sum()) // bucket, states, rounds)
-    discard(coded)  # its texts stand in chunks now
     return likelihoods(texts, words, model, known).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(known.tokens).cast("long").alias("train_tokens"),
         (F.col("base_log") - F.col("n_tokens") * known.base_log).alias("base_score"), "score")

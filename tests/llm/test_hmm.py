@@ -3,9 +3,12 @@ import random
 import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from strata.llm import hmm
 
@@ -95,6 +98,76 @@ def test_a_training_step_keeps_two_arrays_of_a_group(monkeypatch):
     assert peak < 3 * tokens * hmm.STATES * 8
 
 
+def test_words_of_a_chunk_are_listed_in_order_of_hash(monkeypatch):
+    monkeypatch.setattr(hmm, "TOKENS", 100)
+    rng = np.random.default_rng(7)
+    for size in (0, 1, 5000):
+        some = rng.integers(0, 1 << 64, 900, np.uint64)
+        rare, training = rng.choice(some, size), rng.random(size) < 0.8
+        cls = (rare % np.uint64(hmm.CLASSES)).astype(np.uint8)
+        words, kinds, n, place = hmm.listed(rare, cls, training)
+        assert (words == np.unique(rare)).all() and (words[place] == rare).all() and (kinds[place] == cls).all()
+        assert n.tolist() == [int((training & (rare == w)).sum()) for w in words]
+
+
+class Broadcast:
+    sparkContext = property(lambda self: self)
+
+    def broadcast(self, value):
+        self.value = value
+        return self
+
+
+class Chunks:
+    """Stands for a table of coded texts whose tasks run here."""
+
+    def __init__(self, rows):
+        self.sparkSession, self.rows = Broadcast(), rows
+        self.schema = StructType([StructField("doc_id", ArrayType(LongType()))])
+
+    def mapInArrow(self, run, _):
+        return list(run(iter(self.rows)))
+
+
+def test_the_last_round_holds_little_more_than_its_words_besides_the_chunk(monkeypatch):
+    monkeypatch.setattr(hmm, "TOKENS", 3000)
+    monkeypatch.setattr(hmm.groups, "__defaults__", (3000,))
+    monkeypatch.setattr(hmm, "_ROOM", {})
+    monkeypatch.setattr(hmm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    rng = np.random.default_rng(8)
+    sizes, k = [200] * 1000, hmm.STATES
+    tokens = sum(sizes)
+    hot = {b"%d" % i: i for i in range(50)}
+    mass = np.full(hmm.CLASSES, 1000.0)
+    known = hmm.Symbols(hot, np.full(51, 500.0), np.arange(50), np.arange(50), np.full(hmm.CLASSES, 400.0), mass, 256_000, 102_400)
+    hashes = rng.integers(0, 1 << 64, 100_000, np.uint64)
+    pick = np.concatenate([rng.permutation(80_000), rng.integers(80_000, 100_000, 120_000)])  # 80,000 words occur once
+    rare = hashes[pick]
+    sym = (rare % np.uint64(hmm.CLASSES)).astype(np.int64) + 51
+    model = hmm.start_model(known)
+    schema = pa.schema([("doc_id", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("n_tokens", pa.list_(pa.int64())),
+                        ("symbols", pa.binary()), ("rare", pa.binary())])
+    row = pa.RecordBatch.from_pydict({"doc_id": [list(range(1000))], "held_out": [[False] * 1000], "n_tokens": [sizes],
+                                      "symbols": [hmm.packed(sym)], "rare": [rare.tobytes()]}, schema)
+    hmm.dealt(Chunks([row]), model, known, 4)  # what is imported on the way does not count
+    tracemalloc.start()
+    try:
+        out = hmm.dealt(Chunks([row]), model, known, 4)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    got, total = {}, np.zeros(k)
+    for x in (x for b in out for x in b.column("words").to_pylist() if x):
+        h, cls, n, share = hmm.read_words(x, k)
+        got |= dict(zip(h.tolist(), n.tolist()))
+        total += share.astype(float) @ n
+        assert np.allclose(share.astype(float).sum(0), 1, atol=0.01) and (cls == h % np.uint64(hmm.CLASSES)).all()
+    assert got == dict(Counter(rare.tolist()))
+    assert math.isclose(total.sum(), tokens, rel_tol=1e-3)
+    # Counts of 20,000 words by state and the 16-bit shares of 100,000; the rest is a few numbers a token.
+    assert peak < 20_000 * k * 8 + 100_000 * k * 2 + 40 * tokens
+
+
 def rows_of(seed, n):
     rng = random.Random(seed)
     langs = [[f"{p}{i}" for i in range(60)] for p in "abc"]
